@@ -24,12 +24,22 @@ def not_delivered() -> Column:
     return F.col("order_state") != DELIVERED
 
 
-def partner_providers(ctx: KpiContext) -> DataFrame:
+def _partner_dim(ctx: KpiContext) -> DataFrame:
     p = ctx.params
-    d = ctx.wh.dim_provider.where(
+    return ctx.wh.dim_provider.where(
         (F.col("country_code") == p.country) & (F.col("group_name") == p.partner_group)
     ).select("provider_id")
-    return ctx.checked_broadcast(d, f"partner:{p.country}:{p.partner_group}")
+
+
+def partner_is_bounded(ctx: KpiContext) -> bool:
+    """Whether the partner's provider set passed the broadcast row check (per-provider tables inherit the bound)."""
+    p = ctx.params
+    return ctx.fits_broadcast(_partner_dim(ctx), f"partner:{p.country}:{p.partner_group}")
+
+
+def partner_providers(ctx: KpiContext) -> DataFrame:
+    d = _partner_dim(ctx)
+    return F.broadcast(d) if partner_is_bounded(ctx) else d
 
 
 def peer_providers(ctx: KpiContext) -> DataFrame:

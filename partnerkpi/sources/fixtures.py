@@ -13,6 +13,8 @@ estimate; only the fixed 25-row nation table is broadcast by hint.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -98,10 +100,10 @@ def enriched_orders(raw: dict[str, DataFrame], providers: DataFrame) -> DataFram
     is_late = minutes > 50
     spend = []
     for i, kind in enumerate(SPEND_KINDS[:5], start=1):
-        spend.append(F.when(digit == str(i), F.col("incent") * F.lit(0.4)).alias(f"platform_spend_{kind}"))
-        spend.append(F.when(digit == str(i), F.col("incent") * F.lit(0.6)).alias(f"merchant_spend_{kind}"))
-    spend.append(F.when(F.col("o_custkey") % 7 == 0, F.col("net") * F.lit(0.01)).alias("platform_spend_other"))
-    spend.append(F.when(F.col("o_custkey") % 11 == 0, F.col("net") * F.lit(0.01)).alias("merchant_spend_other"))
+        spend.append(F.when(digit == str(i), F.col("incent") * F.lit(Decimal("0.4"))).alias(f"platform_spend_{kind}"))
+        spend.append(F.when(digit == str(i), F.col("incent") * F.lit(Decimal("0.6"))).alias(f"merchant_spend_{kind}"))
+    spend.append(F.when(F.col("o_custkey") % 7 == 0, F.col("net") * F.lit(Decimal("0.01"))).alias("platform_spend_other"))
+    spend.append(F.when(F.col("o_custkey") % 11 == 0, F.col("net") * F.lit(Decimal("0.01"))).alias("merchant_spend_other"))
     out = j.select(
         F.col("o_orderkey").alias("order_id"),
         "provider_id",
@@ -115,7 +117,7 @@ def enriched_orders(raw: dict[str, DataFrame], providers: DataFrame) -> DataFram
         .alias("order_state"),
         F.col("gross"),
         F.col("net").alias("gmv"),
-        (F.col("net") * F.lit(0.02)).alias("gmv_eur"),
+        (F.col("net") * F.lit(Decimal("0.02"))).alias("gmv_eur"),
         F.col("refunded"),
         F.col("incent").alias("discount"),
         (F.col("o_orderdate") == F.col("first_orderdate")).alias("is_first"),
