@@ -1,28 +1,78 @@
-"""Run context: session, the five input tables, parameters, and the size-checked broadcast helper."""
+"""Run context: session, the five input tables, parameters, run-level staging and size-checked broadcasts."""
 
 from __future__ import annotations
 
 import threading
+import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .params import DEFAULT_PARAMS, ReportParams
-from .sources.catalog import Warehouse, fixture_warehouse
+from .sources.catalog import Warehouse, checkpoint_root, fixture_warehouse
 
 
 @dataclass
 class KpiContext:
+    """Everything one report run needs.
+
+    ``stage`` writes a bounded intermediate once per run as parquet under the cluster's checkpoint directory and
+    serves later uses from there: the partner's order slice is scanned out of the fact table once instead of once per
+    KPI family, scorecard parts are shared by all outputs, and the lineage is cut (a lost executor re-reads parquet).
+    """
+
     spark: SparkSession
     wh: Warehouse
     params: ReportParams = DEFAULT_PARAMS
+    staging: bool = True
     _fits: dict = field(default_factory=dict, repr=False)
-    _lock: threading.Lock = field(default_factory=threading.Lock, repr=False)
+    _stages: dict = field(default_factory=dict, repr=False)
+    _rows: dict = field(default_factory=dict, repr=False)
+    _root: str | None = field(default=None, repr=False)
+    _lock: threading.RLock = field(default_factory=threading.RLock, repr=False)
 
     def with_params(self, **kw) -> "KpiContext":
-        return KpiContext(self.spark, self.wh, self.params.with_(**kw))
+        return KpiContext(self.spark, self.wh, self.params.with_(**kw), self.staging)
+
+    def reset(self, wh: Warehouse) -> None:
+        with self._lock:
+            if wh is not self.wh:
+                self.wh = wh
+                self._fits.clear()
+                self._stages.clear()
+                self._rows.clear()
+                self._root = None
+
+    # ---- staging -------------------------------------------------------------------------------------------------
+    def _stage_root(self) -> str:
+        if self._root is None:
+            self._root = f"{checkpoint_root(self.spark).rstrip('/')}/partnerkpi-stages-{uuid.uuid4().hex[:12]}"
+        return self._root
+
+    def stage(self, name: str, build: Callable[[], DataFrame], sort_by: list[str] | None = None) -> DataFrame:
+        """Materialize ``build()`` once per run (when staging is on) and return a scan of the written table."""
+        if not self.staging:
+            return build()
+        with self._lock:
+            if name not in self._stages:
+                path = f"{self._stage_root()}/{name}"
+                df = build()
+                if sort_by:
+                    df = df.sortWithinPartitions(*sort_by)
+                df.write.mode("errorifexists").parquet(path)
+                self._stages[name] = self.spark.read.parquet(path)
+            return self._stages[name]
+
+    def staged_rows(self, name: str) -> int:
+        """Row count of a staged table (read from the written files, cheap)."""
+        with self._lock:
+            if name not in self._rows:
+                self._rows[name] = self._stages[name].agg(F.count(F.lit(1))).first()[0]
+            return self._rows[name]
 
+    # ---- broadcast guard -----------------------------------------------------------------------------------------
     def fits_broadcast(self, df: DataFrame, key: str) -> bool:
         """Whether ``df`` has at most ``broadcast_row_limit`` rows; counted once per key (a bounded probe job)."""
         with self._lock:
@@ -37,5 +87,6 @@ class KpiContext:
         return F.broadcast(df) if self.fits_broadcast(df, key) else df
 
 
-def fixture_context(spark: SparkSession, sf_dir: str, params: ReportParams = DEFAULT_PARAMS) -> KpiContext:
-    return KpiContext(spark, fixture_warehouse(spark, sf_dir), params)
+def fixture_context(spark: SparkSession, sf_dir: str, params: ReportParams = DEFAULT_PARAMS,
+                    staging: bool = True) -> KpiContext:
+    return KpiContext(spark, fixture_warehouse(spark, sf_dir), params, staging)

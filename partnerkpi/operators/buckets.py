@@ -12,15 +12,18 @@ from pyspark.sql import functions as F
 
 from ..context import KpiContext
 from ..functions.calendar import date_between, month_key
-from .scope import is_delivered, partner_orders
+from .scope import is_delivered, partner_orders, partner_slice
 
 
 def provider_city_history(ctx: KpiContext) -> DataFrame:
     """Per partner provider: MAX city and MAX name over all its facts up to ``as_of`` (any state)."""
-    f = partner_orders(ctx, F.col("order_date") <= F.lit(ctx.params.as_of))
-    return f.groupBy("provider_id").agg(
-        F.max("city_name").alias("city_name"), F.max("provider_name").alias("provider_name")
-    )
+    def build() -> DataFrame:
+        f = partner_orders(ctx, F.col("order_date") <= F.lit(ctx.params.as_of))
+        return f.groupBy("provider_id").agg(
+            F.max("city_name").alias("city_name"), F.max("provider_name").alias("provider_name")
+        )
+
+    return ctx.stage("city_map", build)
 
 
 def provider_city_map(ctx: KpiContext) -> DataFrame:
@@ -31,7 +34,7 @@ def provider_city_map(ctx: KpiContext) -> DataFrame:
 def city_orders_rank(ctx: KpiContext) -> DataFrame:
     """Q18: delivered partner orders per city in the benchmark window, descending."""
     p = ctx.params
-    f = partner_orders(ctx, is_delivered() & date_between("order_date", p.bench_start, p.bench_end))
+    f = partner_slice(ctx, is_delivered() & date_between("order_date", p.bench_start, p.bench_end))
     return (
         f.groupBy(F.col("city_name").alias("city"))
         .agg(F.count(F.lit(1)).alias("orders"))
@@ -42,24 +45,31 @@ def city_orders_rank(ctx: KpiContext) -> DataFrame:
 def top_cities(ctx: KpiContext) -> DataFrame:
     """The top ``top_cities`` named cities by orders (ties by name); NULL never takes a slot. At most N rows."""
     n = ctx.params.top_cities
-    top = (
-        city_orders_rank(ctx)
-        .where(F.col("city").isNotNull())
-        .orderBy(F.desc("orders"), F.asc("city"))
-        .limit(n)
-    )
-    # a window over the <= N rows of the limit, not over data
-    return top.select(
-        F.col("city").alias("bucket"),
-        F.row_number().over(Window.orderBy(F.desc("orders"), F.asc("city"))).cast("long").alias("bucket_ord"),
-    )
 
+    def build() -> DataFrame:
+        top = (
+            city_orders_rank(ctx)
+            .where(F.col("city").isNotNull())
+            .orderBy(F.desc("orders"), F.asc("city"))
+            .limit(n)
+        )
+        # a window over the <= N rows of the limit, not over data
+        return top.select(
+            F.col("city").alias("bucket"),
+            F.row_number().over(Window.orderBy(F.desc("orders"), F.asc("city"))).cast("long").alias("bucket_ord"),
+        )
 
-def city_bucket(ctx: KpiContext) -> DataFrame:
+    return ctx.stage("top_cities", build)
+
+
+def city_bucket(ctx: KpiContext, top: DataFrame | None = None) -> DataFrame:
     """Q19: the bucket list - top cities in rank order, then the 'other' bucket (always present)."""
     p = ctx.params
-    other = ctx.spark.range(1).select(F.lit(p.other_bucket).alias("bucket"), F.lit(p.top_cities + 1).cast("long").alias("bucket_ord"))
-    return top_cities(ctx).unionByName(other)
+    top = top_cities(ctx) if top is None else top
+    other = ctx.spark.range(1).select(
+        F.lit(p.other_bucket).alias("bucket"), F.lit(p.top_cities + 1).cast("long").alias("bucket_ord")
+    )
+    return top.unionByName(other)
 
 
 def bucketize(ctx: KpiContext, df: DataFrame, city_col: str, top: DataFrame | None = None) -> DataFrame:
@@ -74,7 +84,7 @@ def bucketize(ctx: KpiContext, df: DataFrame, city_col: str, top: DataFrame | No
 def scorecard_orders(ctx: KpiContext) -> DataFrame:
     """Delivered partner orders in the scorecard window with their month key."""
     p = ctx.params
-    f = partner_orders(ctx, is_delivered() & date_between("order_date", p.scorecard_start, p.scorecard_end))
+    f = partner_slice(ctx, is_delivered() & date_between("order_date", p.scorecard_start, p.scorecard_end))
     return f.withColumn("month", month_key("order_date"))
 
 

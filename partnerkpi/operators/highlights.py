@@ -12,21 +12,21 @@ from pyspark.sql import functions as F
 
 from ..context import KpiContext
 from ..functions.measures import round_half_up, safe_div
-from .scorecard import QUALITY_GROUP, metric_matrix, metric_means, populated_months
+from .scorecard import QUALITY_GROUP, Scorecard, _sc
 
 # Fixed text of the highlight rows (level / kind / wording).
 LEVEL_WIN, LEVEL_WATCH, LEVEL_CRIT = "win", "watch", "crit"
 KIND_ORDERS, KIND_NEW_USERS, KIND_GAPS = "Orders", "New users", "Where to improve"
 
 
-def _month_span(ctx: KpiContext) -> DataFrame:
+def _month_span(sc: Scorecard) -> DataFrame:
     """First and last populated month (the labels of the trend texts); exactly one row."""
-    return populated_months(ctx).agg(F.min("month").alias("m_first"), F.max("month").alias("m_last"))
+    return sc.months.agg(F.min("month").alias("m_first"), F.max("month").alias("m_last"))
 
 
-def _trend(ctx: KpiContext, metric_key: str, matrix: DataFrame | None = None) -> DataFrame:
+def _trend(sc: Scorecard, metric_key: str) -> DataFrame:
     """First and last non-NULL month value per bucket; only buckets with at least two such months."""
-    m = metric_matrix(ctx) if matrix is None else matrix
+    m = sc.matrix
     t = (
         m.where((F.col("metric_key") == metric_key) & F.col("value").isNotNull())
         .groupBy("bucket")
@@ -37,16 +37,16 @@ def _trend(ctx: KpiContext, metric_key: str, matrix: DataFrame | None = None) ->
         )
         .where(F.col("n_months") >= 2)
     )
-    return t.crossJoin(F.broadcast(_month_span(ctx)))  # one row
+    return t.crossJoin(F.broadcast(_month_span(sc)))  # one row
 
 
 def _as_int_text(c):
     return round_half_up(c, 0).cast("long").cast("string")
 
 
-def highlight_orders_trend(ctx: KpiContext, matrix: DataFrame | None = None) -> DataFrame:
+def highlight_orders_trend(ctx: KpiContext, sc: Scorecard | None = None) -> DataFrame:
     """Q32: orders first vs last month; win when not lower; pct = |change| / first, 0 when first is 0."""
-    t = _trend(ctx, "Orders", matrix)
+    t = _trend(_sc(ctx, sc), "Orders")
     a1, a2 = F.col("first_value"), F.col("last_value")
     up = a2 >= a1
     pct = F.when(a1 != 0, round_half_up(safe_div(F.abs(a2 - a1), a1) * 100, 0)).otherwise(F.lit(0.0)).cast("long")
@@ -62,9 +62,9 @@ def highlight_orders_trend(ctx: KpiContext, matrix: DataFrame | None = None) ->
     )
 
 
-def highlight_new_users_trend(ctx: KpiContext, matrix: DataFrame | None = None) -> DataFrame:
+def highlight_new_users_trend(ctx: KpiContext, sc: Scorecard | None = None) -> DataFrame:
     """Q33: the same on New Users, without the percentage."""
-    t = _trend(ctx, "New Users", matrix)
+    t = _trend(_sc(ctx, sc), "New Users")
     a1, a2 = F.col("first_value"), F.col("last_value")
     text = F.concat(
         F.lit("New users "), _as_int_text(a1), F.lit("→"), _as_int_text(a2),
@@ -88,9 +88,9 @@ def _gap_value_text(v, fmt):
     )
 
 
-def quality_gaps(ctx: KpiContext, matrix: DataFrame | None = None) -> DataFrame:
+def quality_gaps(ctx: KpiContext, sc: Scorecard | None = None) -> DataFrame:
     """Quality metrics whose mean is strictly worse than the benchmark, ranked per bucket by raw mean desc."""
-    m = metric_means(ctx, matrix)
+    m = _sc(ctx, sc).means
     a, b, d = F.col("mean_value"), F.col("bench"), F.col("dir")
     worse = (d * (a - b)) < 0
     gaps = m.where(b.isNotNull() & (d != 0) & a.isNotNull() & worse & (F.col("metric_group") == QUALITY_GROUP))
@@ -98,9 +98,9 @@ def quality_gaps(ctx: KpiContext, matrix: DataFrame | None = None) -> DataFrame:
     return gaps.withColumn("gap_rank", F.row_number().over(w)).where(F.col("gap_rank") <= ctx.params.max_gaps)
 
 
-def highlight_gaps(ctx: KpiContext, matrix: DataFrame | None = None) -> DataFrame:
+def highlight_gaps(ctx: KpiContext, sc: Scorecard | None = None) -> DataFrame:
     """Q34: one 'crit' row per bucket with gaps; the text joins the top gaps with '; '."""
-    g = quality_gaps(ctx, matrix).withColumn(
+    g = quality_gaps(ctx, sc).withColumn(
         "item", F.concat(F.col("metric_key"), F.lit(" ("), _gap_value_text(F.col("mean_value"), F.col("fmt")), F.lit(")"))
     )
     per_bucket = g.groupBy("bucket").agg(
@@ -115,12 +115,12 @@ def highlight_gaps(ctx: KpiContext, matrix: DataFrame | None = None) -> DataFram
 
 def highlights(ctx: KpiContext) -> DataFrame:
     """Q35: orders trend, new-users trend, gaps - in that order, 0 to 3 rows per bucket."""
-    m = metric_matrix(ctx)
+    sc = Scorecard(ctx)
     cols = ["bucket", "level", "kind", "text"]
     parts = [
-        highlight_orders_trend(ctx, m).select(*cols).withColumn("ord", F.lit(1)),
-        highlight_new_users_trend(ctx, m).select(*cols).withColumn("ord", F.lit(2)),
-        highlight_gaps(ctx, m).select(*cols).withColumn("ord", F.lit(3)),
+        highlight_orders_trend(ctx, sc).select(*cols).withColumn("ord", F.lit(1)),
+        highlight_new_users_trend(ctx, sc).select(*cols).withColumn("ord", F.lit(2)),
+        highlight_gaps(ctx, sc).select(*cols).withColumn("ord", F.lit(3)),
     ]
     out = parts[0].unionByName(parts[1]).unionByName(parts[2])
     return out.select("bucket", "ord", "level", "kind", "text").orderBy("bucket", "ord")

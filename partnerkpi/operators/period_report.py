@@ -14,7 +14,7 @@ from ..context import KpiContext
 from ..functions.calendar import MONTH, WEEK, date_between, date_half_open, month_key, period_key, stamp_key, ts_between
 from ..functions.measures import coalesce_sum, flag_count, flag_share_pct, mart, round_half_up, safe_div, weighted_rate
 from ..sources.schema import MERCHANT_SPEND, PLATFORM_SPEND
-from .scope import is_delivered, not_delivered, partner_metrics, partner_orders
+from .scope import is_delivered, not_delivered, partner_slice, partner_weekly
 
 
 def _order_window(ctx: KpiContext, grain: str):
@@ -31,7 +31,7 @@ def _scoped(ctx: KpiContext, grain: str, delivered_only: bool = True) -> DataFra
     cond = date_between("order_date", s, e)
     if delivered_only:
         cond = is_delivered() & cond
-    return partner_orders(ctx, cond).withColumn("period", period_key("order_date", grain))
+    return partner_slice(ctx, cond).withColumn("period", period_key("order_date", grain))
 
 
 def financial(ctx: KpiContext, grain: str = MONTH) -> DataFrame:
@@ -83,10 +83,10 @@ def _weekly_metric_scope(ctx: KpiContext, grain: str) -> DataFrame:
     """Weekly metric rows of the partner; a whole week goes to the month of its stamp, weekly key = raw stamp."""
     p = ctx.params
     if grain == MONTH:
-        rows = partner_metrics(ctx, ctx.wh.provider_weekly, ts_between("ts", p.data_start, p.data_end))
+        rows = partner_weekly(ctx, ts_between("ts", p.data_start, p.data_end))
         return rows.withColumn("period", month_key("ts"))
     if grain == WEEK:
-        rows = partner_metrics(ctx, ctx.wh.provider_weekly, ts_between("ts", p.week_start, p.week_end))
+        rows = partner_weekly(ctx, ts_between("ts", p.week_start, p.week_end))
         return rows.withColumn("period", stamp_key("ts"))
     raise ValueError(grain)
 
@@ -125,9 +125,12 @@ def failed_orders(ctx: KpiContext, grain: str = MONTH) -> DataFrame:
 def failed_reasons(ctx: KpiContext, grain: str = MONTH) -> DataFrame:
     """Q09/Q10: resolution rows of the partner's non-delivered orders by reason and actor (rows, not orders)."""
     s, e = _order_window(ctx, grain)
-    orders = partner_orders(ctx, not_delivered() & date_between("order_date", s, e)).select(
+    orders = partner_slice(ctx, not_delivered() & date_between("order_date", s, e)).select(
         "order_id", period_key("order_date", grain).alias("period")
     )
+    # the scoped side is the partner's failed orders of one window: broadcast it after a row-count check so the
+    # (large) resolution table is scanned without a shuffle; beyond the bound it becomes a shuffle join
+    orders = ctx.checked_broadcast(orders, f"failed_orders:{grain}")
     return (
         ctx.wh.resolution.join(orders, "order_id")
         .groupBy("period", "reason", "actor_type")
@@ -166,7 +169,7 @@ def acceptance_current(ctx: KpiContext) -> DataFrame:
     over history give the same answer.
     """
     p = ctx.params
-    rows = partner_metrics(ctx, ctx.wh.provider_weekly, ts_between("ts", p.rolling_start, p.as_of))
+    rows = partner_weekly(ctx, ts_between("ts", p.rolling_start, p.as_of))
     return rows.agg(*_acceptance_aggs())
 
 
@@ -178,7 +181,7 @@ def acceptance(ctx: KpiContext, grain: str = MONTH) -> DataFrame:
 def top_stores_last_month(ctx: KpiContext) -> DataFrame:
     """Q16: previous calendar month, stores (name, city) by merchant price, top N (TakeOrderedAndProject)."""
     p = ctx.params
-    f = partner_orders(ctx, is_delivered() & date_half_open("order_date", p.prev_month_start, p.prev_month_end_excl))
+    f = partner_slice(ctx, is_delivered() & date_half_open("order_date", p.prev_month_start, p.prev_month_end_excl))
     return (
         f.groupBy("provider_name", "city_name")
         .agg(F.count(F.lit(1)).alias("orders"), F.sum("gross").cast("double").alias("merchant_price"))

@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..context import KpiContext
+from ..functions.calendar import date_between, ts_between
+from ..params import ReportParams
 
 DELIVERED = "delivered"
 
@@ -70,3 +72,42 @@ def partner_metrics(ctx: KpiContext, table: DataFrame, where: Column | None = No
 def peer_metrics(ctx: KpiContext, table: DataFrame, where: Column | None = None) -> DataFrame:
     t = table if where is None else table.where(where)
     return t.join(peer_providers(ctx), "provider_id")
+
+
+# ---- the partner's slice, staged once per run ------------------------------------------------------------------------
+def order_window(p: ReportParams):
+    """One closed order-date range covering every order window of the period report and the scorecard."""
+    starts = [p.data_start, p.week_start, p.prev_month_start, p.scorecard_start, p.bench_start]
+    ends = [p.data_end, p.week_end, p.prev_month_end_excl, p.scorecard_end, p.bench_end]
+    return min(starts), max(ends)
+
+
+def stamp_window(p: ReportParams):
+    """One closed stamp range covering every metric-table window (period report, rolling 7 days, scorecard)."""
+    starts = [p.data_start, p.week_start, p.rolling_start, p.scorecard_start.replace(day=1), p.bench_start.replace(day=1)]
+    ends = [p.data_end, p.week_end, p.as_of, p.scorecard_end_excl, p.bench_end_excl]
+    return min(starts), max(ends)
+
+
+def partner_fact(ctx: KpiContext) -> DataFrame:
+    """The partner's orders over the union of report windows (all states): one fact scan per run.
+
+    Every period-report family and the scorecard's order-based parts filter this slice instead of the fact table,
+    so the (date-pruned) fact scan and the dimension join happen once per run, not once per KPI family.
+    """
+    s, e = order_window(ctx.params)
+    return ctx.stage("partner_fact", lambda: partner_orders(ctx, date_between("order_date", s, e)),
+                     sort_by=["order_date"])
+
+
+def partner_slice(ctx: KpiContext, where: Column | None = None) -> DataFrame:
+    f = partner_fact(ctx)
+    return f if where is None else f.where(where)
+
+
+def partner_weekly(ctx: KpiContext, where: Column | None = None) -> DataFrame:
+    """The partner's weekly metric rows over the union of stamp windows, staged once per run."""
+    s, e = stamp_window(ctx.params)
+    t = ctx.stage("partner_weekly", lambda: partner_metrics(ctx, ctx.wh.provider_weekly, ts_between("ts", s, e)),
+                  sort_by=["ts"])
+    return t if where is None else t.where(where)

@@ -8,6 +8,8 @@ provider ids.
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,8 +17,16 @@ from pyspark.sql import types as T
 from ..context import KpiContext
 from ..functions.calendar import date_between, month_key, ts_half_open
 from ..functions.measures import finish_pair, mart, round_half_up, safe_div, weighted_pair
-from .buckets import bucketize, city_bucket, keep_months, populated_months_from, provider_city_history, scorecard_orders
-from .scope import is_delivered, partner_is_bounded, peer_metrics, peer_orders
+from .buckets import (
+    bucketize,
+    city_bucket,
+    keep_months,
+    populated_months_from,
+    provider_city_history,
+    scorecard_orders,
+    top_cities,
+)
+from .scope import is_delivered, partner_is_bounded, partner_weekly, peer_metrics, peer_orders
 
 # The metric catalogue (order, key, group, direction, display format).
 # direction 1 = higher is better, -1 = lower is better; groups: scale, unit, availability, quality.
@@ -72,97 +82,202 @@ def metric_def(ctx: KpiContext) -> DataFrame:
     return ctx.spark.createDataFrame(METRICS, METRIC_DEF_SCHEMA)
 
 
-# ---- bucket x month series ----------------------------------------------------------------------------------------
-def business_by_bucket_month(ctx: KpiContext) -> DataFrame:
-    """Q20: per bucket (the order's own city) and month: orders, GMV EUR, active/new users, merchants."""
-    f = bucketize(ctx, scorecard_orders(ctx), "city_name")
-    return f.groupBy("bucket", "month").agg(
-        F.count(F.lit(1)).alias("orders"),
-        mart(F.sum("gmv_eur").cast("double")).alias("gmv_eur"),
-        F.countDistinct("user_id").alias("active_users"),
-        F.countDistinct(F.when(F.col("is_first"), F.col("user_id"))).alias("new_users"),
-        F.countDistinct("provider_id").alias("merchants"),
-    )
-
-
-def populated_months(ctx: KpiContext) -> DataFrame:
-    """Q21."""
-    return populated_months_from(ctx, business_by_bucket_month(ctx)).orderBy("month")
-
-
-def _city_map_bcast(ctx: KpiContext) -> DataFrame:
-    """Provider -> MAX city/name; at most one row per partner provider, whose count passed the broadcast check."""
-    cm = provider_city_history(ctx)
-    return F.broadcast(cm) if partner_is_bounded(ctx) else cm
-
-
-def _scorecard_metric_rows(ctx: KpiContext, table: DataFrame, months: DataFrame | None) -> DataFrame:
-    p = ctx.params
-    rows = table.where(ts_half_open("ts", p.scorecard_start.replace(day=1), p.scorecard_end_excl)).withColumn(
-        "month", month_key("ts")
-    )
-    months = populated_months_from(ctx, business_by_bucket_month(ctx)) if months is None else months
-    rows = keep_months(rows, months)
-    rows = rows.join(_city_map_bcast(ctx).select("provider_id", "city_name"), "provider_id")
-    return bucketize(ctx, rows, "city_name")
-
-
-def quality_by_bucket_month(ctx: KpiContext, months: DataFrame | None = None) -> DataFrame:
-    """Q22: nine (sum v*w, sum w) pairs per bucket (provider's MAX city) and populated month."""
-    rows = _scorecard_metric_rows(ctx, ctx.wh.provider_monthly, months)
-    aggs = []
-    for short, rate in QUALITY_PAIRS:
-        vw, w = weighted_pair(f"{rate}_value", f"{rate}_weight", short)
-        aggs += [mart(vw).alias(f"{short}_vw"), w.cast("long").alias(f"{short}_w")]
-    return rows.groupBy("bucket", "month").agg(*aggs)
-
-
-def adjustment_by_bucket_month(ctx: KpiContext, months: DataFrame | None = None) -> DataFrame:
-    """Q23: the item-adjustment pair from the weekly table (week goes to its stamp's month)."""
-    rows = _scorecard_metric_rows(ctx, ctx.wh.provider_weekly, months)
-    vw, w = weighted_pair("adjustment_value", "adjustment_weight", "adj")
-    return rows.groupBy("bucket", "month").agg(mart(vw).alias("adj_vw"), w.cast("long").alias("adj_w"))
-
-
-# ---- peer benchmarks (one row each, even over an empty scope) -----------------------------------------------------
-def benchmark_business(ctx: KpiContext) -> DataFrame:
-    """Q24."""
-    p = ctx.params
-    f = peer_orders(ctx, is_delivered() & date_between("order_date", p.bench_start, p.bench_end))
-    return f.agg(
-        F.count(F.lit(1)).alias("orders"),
-        mart(F.sum("gmv_eur").cast("double")).alias("gmv_eur"),
-        F.countDistinct("user_id").alias("active_users"),
-        F.countDistinct(F.when(F.col("is_first"), F.col("user_id"))).alias("new_users"),
-        F.countDistinct("provider_id").alias("merchants"),
-    )
-
-
-def _bench_rows(ctx: KpiContext, table: DataFrame) -> DataFrame:
-    p = ctx.params
-    return peer_metrics(ctx, table, ts_half_open("ts", p.bench_start.replace(day=1), p.bench_end_excl))
+# ---- shared parts --------------------------------------------------------------------------------------------------
+class Scorecard:
+    """The scorecard's intermediate tables, each built once per query plan.
+
+    Every output of the scorecard, highlight and store families is derived from these members; sharing the same
+    DataFrame objects lets Catalyst reuse identical exchanges (the top-city ranking, business series, city map and
+    benchmark scans appear once in a plan instead of once per use).
+    """
+
+    def __init__(self, ctx: KpiContext):
+        self.ctx = ctx
+
+    @cached_property
+    def top(self) -> DataFrame:
+        return top_cities(self.ctx)
+
+    @cached_property
+    def buckets(self) -> DataFrame:
+        return city_bucket(self.ctx, self.top)
+
+    @cached_property
+    def metric_def(self) -> DataFrame:
+        return metric_def(self.ctx)
+
+    @cached_property
+    def city_map(self) -> DataFrame:
+        """Provider -> MAX city/name; one row per partner provider, whose count passed the broadcast check."""
+        cm = provider_city_history(self.ctx)
+        return F.broadcast(cm) if partner_is_bounded(self.ctx) else cm
+
+    @cached_property
+    def business(self) -> DataFrame:
+        return self.ctx.stage("sc_business", self._business)
+
+    def _business(self) -> DataFrame:
+        f = bucketize(self.ctx, scorecard_orders(self.ctx), "city_name", self.top)
+        return f.groupBy("bucket", "month").agg(
+            F.count(F.lit(1)).alias("orders"),
+            mart(F.sum("gmv_eur").cast("double")).alias("gmv_eur"),
+            F.countDistinct("user_id").alias("active_users"),
+            F.countDistinct(F.when(F.col("is_first"), F.col("user_id"))).alias("new_users"),
+            F.countDistinct("provider_id").alias("merchants"),
+        )
+
+    @cached_property
+    def months(self) -> DataFrame:
+        return self.ctx.stage("sc_months", lambda: populated_months_from(self.ctx, self.business))
+
+    def _metric_rows(self, table: DataFrame) -> DataFrame:
+        p = self.ctx.params
+        rows = table.where(ts_half_open("ts", p.scorecard_start.replace(day=1), p.scorecard_end_excl)).withColumn(
+            "month", month_key("ts")
+        )
+        rows = keep_months(rows, self.months)
+        rows = rows.join(self.city_map.select("provider_id", "city_name"), "provider_id")
+        return bucketize(self.ctx, rows, "city_name", self.top)
+
+    @cached_property
+    def quality(self) -> DataFrame:
+        def build() -> DataFrame:
+            aggs = []
+            for short, rate in QUALITY_PAIRS:
+                vw, w = weighted_pair(f"{rate}_value", f"{rate}_weight", short)
+                aggs += [mart(vw).alias(f"{short}_vw"), w.cast("long").alias(f"{short}_w")]
+            return self._metric_rows(self.ctx.wh.provider_monthly).groupBy("bucket", "month").agg(*aggs)
+
+        return self.ctx.stage("sc_quality", build)
+
+    @cached_property
+    def adjustment(self) -> DataFrame:
+        def build() -> DataFrame:
+            vw, w = weighted_pair("adjustment_value", "adjustment_weight", "adj")
+            return (
+                self._metric_rows(partner_weekly(self.ctx))
+                .groupBy("bucket", "month")
+                .agg(mart(vw).alias("adj_vw"), w.cast("long").alias("adj_w"))
+            )
+
+        return self.ctx.stage("sc_adjustment", build)
+
+    # ---- peer benchmarks (one row each, even over an empty scope) --------------------------------------------------
+    def _bench_rows(self, table: DataFrame) -> DataFrame:
+        p = self.ctx.params
+        return peer_metrics(self.ctx, table, ts_half_open("ts", p.bench_start.replace(day=1), p.bench_end_excl))
+
+    @cached_property
+    def bench_business(self) -> DataFrame:
+        return self.ctx.stage("sc_bench_business", self._bench_business)
+
+    def _bench_business(self) -> DataFrame:
+        p = self.ctx.params
+        f = peer_orders(self.ctx, is_delivered() & date_between("order_date", p.bench_start, p.bench_end))
+        return f.agg(
+            F.count(F.lit(1)).alias("orders"),
+            mart(F.sum("gmv_eur").cast("double")).alias("gmv_eur"),
+            F.countDistinct("user_id").alias("active_users"),
+            F.countDistinct(F.when(F.col("is_first"), F.col("user_id"))).alias("new_users"),
+            F.countDistinct("provider_id").alias("merchants"),
+        )
+
+    @cached_property
+    def bench_quality(self) -> DataFrame:
+        names = {"rat": "rating"}
+        return self.ctx.stage("sc_bench_quality", lambda: self._bench_rows(self.ctx.wh.provider_monthly).agg(
+            *[mart(_w2(rate, short not in ("dur", "rat"))).alias(names.get(short, short)) for short, rate in QUALITY_PAIRS]
+        ))
+
+    @cached_property
+    def bench_adjustment(self) -> DataFrame:
+        return self.ctx.stage(
+            "sc_bench_adjustment",
+            lambda: self._bench_rows(self.ctx.wh.provider_weekly).agg(mart(_w2("adjustment", True)).alias("adj")),
+        )
+
+    # ---- matrix, benchmarks, means ---------------------------------------------------------------------------------
+    def _long(self, wide: DataFrame, ids: list[str], value_name: str) -> DataFrame:
+        long_df = wide.unpivot(ids, METRIC_KEYS, "metric_key", value_name)
+        return long_df.join(F.broadcast(self.metric_def), "metric_key")  # 19 rows
+
+    @cached_property
+    def matrix(self) -> DataFrame:
+        return self.ctx.stage("sc_matrix", self._matrix)
+
+    def _matrix(self) -> DataFrame:
+        # every input below is bounded by (buckets x months): broadcast by construction
+        spine = self.buckets.crossJoin(F.broadcast(self.months.select("month")))
+        wide = (
+            spine.join(F.broadcast(self.business), ["bucket", "month"], "left")
+            .join(F.broadcast(self.quality), ["bucket", "month"], "left")
+            .join(F.broadcast(self.adjustment), ["bucket", "month"], "left")
+        )
+        wide = wide.select("bucket", "bucket_ord", "month", *[v.alias(k) for v, k in zip(_matrix_values(), METRIC_KEYS)])
+        return self._long(wide, ["bucket", "bucket_ord", "month"], "value").select(
+            "metric_ord", "metric_key", "bucket_ord", "bucket", "month", "value"
+        )
+
+    @cached_property
+    def benchmarks(self) -> DataFrame:
+        return self.ctx.stage("sc_benchmarks", self._benchmarks)
+
+    def _benchmarks(self) -> DataFrame:
+        p = self.ctx.params
+        one = self.bench_business.crossJoin(F.broadcast(self.bench_quality)).crossJoin(
+            F.broadcast(self.bench_adjustment)
+        )  # three one-row aggregates
+        nm = F.when(F.coalesce(F.col("merchants"), F.lit(0)) == 0, F.lit(1)).otherwise(F.col("merchants"))
+        months = float(p.bench_months)
+
+        def per_merchant_month(c):
+            return round_half_up(safe_div(safe_div(c, nm), F.lit(months)), 1)
+
+        o, g, au = F.col("orders"), F.col("gmv_eur"), F.col("active_users")
+        vals = [
+            per_merchant_month(g),
+            per_merchant_month(o),
+            per_merchant_month(au),
+            per_merchant_month(F.col("new_users")),
+            round_half_up(safe_div(o, au), 2),
+            F.lit(None).cast("double"),
+            round_half_up(safe_div(g, o), 1),
+            per_merchant_month(g),
+            per_merchant_month(o),
+            round_half_up(F.col("avail"), 1),
+            round_half_up(F.col("dur"), 1),
+            round_half_up(F.col("late"), 1),
+            round_half_up(F.col("prep"), 1),
+            round_half_up(F.col("fail"), 1),
+            round_half_up(F.col("bad"), 1),
+            F.when(F.col("adj") != 0, round_half_up(F.col("adj"), 1)),  # 0 counts as missing
+            round_half_up(F.col("cs"), 1),
+            round_half_up(F.col("compl"), 1),
+            round_half_up(F.col("rating"), 2),
+        ]
+        wide = one.select(*[v.cast("double").alias(k) for v, k in zip(vals, METRIC_KEYS)])
+        return self._long(wide, [], "bench").select("metric_ord", "metric_key", "bench")
+
+    def with_bench(self, df: DataFrame) -> DataFrame:
+        return df.join(F.broadcast(self.benchmarks.select("metric_key", "bench")), "metric_key")  # 19 rows
+
+    @cached_property
+    def means(self) -> DataFrame:
+        """Mean over the non-NULL (already rounded) months per metric and bucket, with benchmark and catalogue."""
+
+        def build() -> DataFrame:
+            means = self.matrix.groupBy("metric_ord", "metric_key", "bucket_ord", "bucket").agg(
+                F.avg("value").alias("mean_value")
+            )
+            return self.with_bench(means).join(F.broadcast(self.metric_def.drop("metric_ord")), "metric_key")
+
+        return self.ctx.stage("sc_means", build)
 
 
 def _w2(rate: str, pct: bool):
     return finish_pair(F.sum(F.col(f"{rate}_value") * F.col(f"{rate}_weight")), F.sum(f"{rate}_weight"), pct)
 
 
-def benchmark_quality(ctx: KpiContext) -> DataFrame:
-    """Q25: nine finished weighted rates of the peers over the benchmark months."""
-    pct = {"dur": False, "rat": False}
-    names = {"dur": "dur", "late": "late", "prep": "prep", "fail": "fail", "bad": "bad", "cs": "cs",
-             "compl": "compl", "rat": "rating", "avail": "avail"}
-    return _bench_rows(ctx, ctx.wh.provider_monthly).agg(
-        *[mart(_w2(rate, pct.get(short, True))).alias(names[short]) for short, rate in QUALITY_PAIRS]
-    )
-
-
-def benchmark_adjustment(ctx: KpiContext) -> DataFrame:
-    """Q26."""
-    return _bench_rows(ctx, ctx.wh.provider_weekly).agg(mart(_w2("adjustment", True)).alias("adj"))
-
-
-# ---- metric matrix and benchmarks ---------------------------------------------------------------------------------
 def _matrix_values() -> list:
     """The 19 cell values of one (bucket, month) row from the joined business/quality/adjustment parts."""
     o, g, au, nu, mc = (F.col(c) for c in ("orders", "gmv_eur", "active_users", "new_users", "merchants"))
@@ -193,74 +308,54 @@ def _matrix_values() -> list:
     ]
 
 
-def _long(ctx: KpiContext, wide: DataFrame, ids: list[str], value_name: str) -> DataFrame:
-    long_df = wide.unpivot(ids, METRIC_KEYS, "metric_key", value_name)
-    return long_df.join(F.broadcast(metric_def(ctx)), "metric_key")  # 19 rows
+def _sc(ctx: KpiContext, sc: Scorecard | None) -> Scorecard:
+    return Scorecard(ctx) if sc is None else sc
 
 
-def metric_matrix(ctx: KpiContext) -> DataFrame:
-    """Q28: 19 metrics x every bucket x every populated month, missing parts give NULL (dense series)."""
-    biz = business_by_bucket_month(ctx)
-    months = populated_months_from(ctx, biz)
-    qual = quality_by_bucket_month(ctx, months)
-    adj = adjustment_by_bucket_month(ctx, months)
-    # every input below is bounded by (buckets x months): broadcast by construction
-    spine = city_bucket(ctx).crossJoin(F.broadcast(months.select("month")))
-    wide = (
-        spine.join(F.broadcast(biz), ["bucket", "month"], "left")
-        .join(F.broadcast(qual), ["bucket", "month"], "left")
-        .join(F.broadcast(adj), ["bucket", "month"], "left")
-    )
-    vals = _matrix_values()
-    wide = wide.select("bucket", "bucket_ord", "month", *[v.alias(k) for v, k in zip(vals, METRIC_KEYS)])
-    return _long(ctx, wide, ["bucket", "bucket_ord", "month"], "value").select(
-        "metric_ord", "metric_key", "bucket_ord", "bucket", "month", "value"
-    )
+# ---- registered outputs -------------------------------------------------------------------------------------------
+def business_by_bucket_month(ctx: KpiContext, sc: Scorecard | None = None) -> DataFrame:
+    """Q20: per bucket (the order's own city) and month: orders, GMV EUR, active/new users, merchants."""
+    return _sc(ctx, sc).business
 
 
-def metric_benchmarks(ctx: KpiContext) -> DataFrame:
-    """Q29: one benchmark per metric; per-merchant-per-month for scale metrics, NULL for Active Merchants."""
-    p = ctx.params
-    one = (
-        benchmark_business(ctx)
-        .crossJoin(F.broadcast(benchmark_quality(ctx)))
-        .crossJoin(F.broadcast(benchmark_adjustment(ctx)))
-    )  # three one-row aggregates
-    nm = F.when(F.coalesce(F.col("merchants"), F.lit(0)) == 0, F.lit(1)).otherwise(F.col("merchants"))
-    months = float(p.bench_months)
-
-    def per_merchant_month(c):
-        return round_half_up(safe_div(safe_div(c, nm), F.lit(months)), 1)
-
-    o, g, au = F.col("orders"), F.col("gmv_eur"), F.col("active_users")
-    vals = [
-        per_merchant_month(g),
-        per_merchant_month(o),
-        per_merchant_month(au),
-        per_merchant_month(F.col("new_users")),
-        round_half_up(safe_div(o, au), 2),
-        F.lit(None).cast("double"),
-        round_half_up(safe_div(g, o), 1),
-        per_merchant_month(g),
-        per_merchant_month(o),
-        round_half_up(F.col("avail"), 1),
-        round_half_up(F.col("dur"), 1),
-        round_half_up(F.col("late"), 1),
-        round_half_up(F.col("prep"), 1),
-        round_half_up(F.col("fail"), 1),
-        round_half_up(F.col("bad"), 1),
-        F.when(F.col("adj") != 0, round_half_up(F.col("adj"), 1)),  # 0 counts as missing
-        round_half_up(F.col("cs"), 1),
-        round_half_up(F.col("compl"), 1),
-        round_half_up(F.col("rating"), 2),
-    ]
-    wide = one.select(*[v.cast("double").alias(k) for v, k in zip(vals, METRIC_KEYS)])
-    return _long(ctx, wide, [], "bench").select("metric_ord", "metric_key", "bench")
+def populated_months(ctx: KpiContext, sc: Scorecard | None = None) -> DataFrame:
+    """Q21: months whose orders summed over buckets reach the threshold, in calendar order."""
+    return _sc(ctx, sc).months.orderBy("month")
+
+
+def quality_by_bucket_month(ctx: KpiContext, sc: Scorecard | None = None) -> DataFrame:
+    """Q22: nine (sum v*w, sum w) pairs per bucket (provider's MAX city) and populated month."""
+    return _sc(ctx, sc).quality
+
+
+def adjustment_by_bucket_month(ctx: KpiContext, sc: Scorecard | None = None) -> DataFrame:
+    """Q23: the item-adjustment pair from the weekly table (a week goes to its stamp's month)."""
+    return _sc(ctx, sc).adjustment
+
 
+def benchmark_business(ctx: KpiContext, sc: Scorecard | None = None) -> DataFrame:
+    """Q24: peers' orders, GMV EUR, active/new users, merchants over the benchmark window (one row)."""
+    return _sc(ctx, sc).bench_business
 
-def _with_bench(ctx: KpiContext, df: DataFrame) -> DataFrame:
-    b = metric_benchmarks(ctx).select("metric_key", "bench")
-    return df.join(F.broadcast(b), "metric_key")  # 19 rows
+
+def benchmark_quality(ctx: KpiContext, sc: Scorecard | None = None) -> DataFrame:
+    """Q25: nine finished weighted rates of the peers over the benchmark months (one row)."""
+    return _sc(ctx, sc).bench_quality
+
+
+def benchmark_adjustment(ctx: KpiContext, sc: Scorecard | None = None) -> DataFrame:
+    """Q26: peers' item adjustment % over the benchmark months (one row)."""
+    return _sc(ctx, sc).bench_adjustment
+
+
+def metric_matrix(ctx: KpiContext, sc: Scorecard | None = None) -> DataFrame:
+    """Q28: 19 metrics x every bucket x every populated month, missing parts give NULL (dense series)."""
+    return _sc(ctx, sc).matrix
+
+
+def metric_benchmarks(ctx: KpiContext, sc: Scorecard | None = None) -> DataFrame:
+    """Q29: one benchmark per metric; per-merchant-per-month for scale metrics, NULL for Active Merchants."""
+    return _sc(ctx, sc).benchmarks
 
 
 def good_or_bad(value, ref, direction):
@@ -271,26 +366,20 @@ def good_or_bad(value, ref, direction):
     ).otherwise("bad")
 
 
-def metric_cell_class(ctx: KpiContext) -> DataFrame:
-    """Q30."""
-    m = _with_bench(ctx, metric_matrix(ctx)).join(F.broadcast(metric_def(ctx).select("metric_key", "dir")), "metric_key")
+def metric_cell_class(ctx: KpiContext, sc: Scorecard | None = None) -> DataFrame:
+    """Q30: good/bad per matrix cell against the metric's benchmark."""
+    sc = _sc(ctx, sc)
+    m = sc.with_bench(sc.matrix).join(F.broadcast(sc.metric_def.select("metric_key", "dir")), "metric_key")
     return m.select(
         "metric_ord", "metric_key", "bucket", "month", "value", "bench",
         good_or_bad(F.col("value"), F.col("bench"), F.col("dir")).alias("cell_class"),
     )
 
 
-def metric_means(ctx: KpiContext, matrix: DataFrame | None = None) -> DataFrame:
-    """Mean over the non-NULL (already rounded) months per metric and bucket, with benchmark and catalogue."""
-    m = metric_matrix(ctx) if matrix is None else matrix
-    means = m.groupBy("metric_ord", "metric_key", "bucket_ord", "bucket").agg(F.avg("value").alias("mean_value"))
-    return _with_bench(ctx, means).join(F.broadcast(metric_def(ctx).drop("metric_ord")), "metric_key")
-
-
-def metric_verdict(ctx: KpiContext) -> DataFrame:
+def metric_verdict(ctx: KpiContext, sc: Scorecard | None = None) -> DataFrame:
     """Q31: mean vs benchmark: 'par' within +-par_band (relative), else above/below; tone flips for dir -1."""
     band = ctx.params.par_band
-    m = metric_means(ctx)
+    m = _sc(ctx, sc).means
     a, b, d = F.col("mean_value"), F.col("bench"), F.col("dir")
     rel = safe_div(a - b, F.abs(b))  # NULL when the benchmark is 0: never 'par'
     undefined = a.isNull() | b.isNull()

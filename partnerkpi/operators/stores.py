@@ -15,8 +15,9 @@ from pyspark.sql import types as T
 from ..context import KpiContext
 from ..functions.calendar import ts_half_open
 from ..functions.measures import finish_pair, mart, round_half_up, safe_div
-from .buckets import bucketize, provider_city_history
-from .scope import partner_is_bounded, partner_metrics, partner_providers
+from .buckets import bucketize
+from .scope import partner_weekly
+from .scorecard import Scorecard, _sc
 
 # Store columns (key, direction, display format); direction 0 = not scored.
 STORE_COLS = [
@@ -52,17 +53,19 @@ def _bench_window(ctx: KpiContext) -> Column:
     return ts_half_open("ts", p.bench_start.replace(day=1), p.bench_end_excl)
 
 
-def store_quality(ctx: KpiContext) -> DataFrame:
+def store_quality(ctx: KpiContext, sc: Scorecard | None = None) -> DataFrame:
     """Q27: per store (name, city): delivered orders and nine weighted rates over the benchmark months.
 
     The weekly adjustment rate is pre-aggregated per provider (and scoped to the partner first) before the left
     join, which keeps the grain right; stores with no delivered order are dropped after aggregation.
     """
-    cm = provider_city_history(ctx)
-    cm = F.broadcast(cm) if partner_is_bounded(ctx) else cm  # one row per partner provider
+    return ctx.stage("st_quality", lambda: _store_quality(ctx, _sc(ctx, sc)))
+
+
+def _store_quality(ctx: KpiContext, sc: Scorecard) -> DataFrame:
+    cm = sc.city_map  # one row per partner provider, broadcast when the partner passed the size check
     adj = (
-        ctx.wh.provider_weekly.where(_bench_window(ctx))
-        .join(partner_providers(ctx), "provider_id", "left_semi")
+        partner_weekly(ctx, _bench_window(ctx))
         .groupBy("provider_id")
         .agg(finish_pair(F.sum(F.col("adjustment_value") * F.col("adjustment_weight")),
                          F.sum("adjustment_weight"), pct=True).alias("replacement"))
@@ -80,16 +83,20 @@ def store_quality(ctx: KpiContext) -> DataFrame:
         .agg(*aggs)
         .where(F.col("orders") > 0)
         .select("addr", "city", *STORE_KEYS)
-        .orderBy(F.desc("orders"), "addr", "city")
     )
 
 
-def store_bucketed(ctx: KpiContext) -> DataFrame:
+def store_bucketed(ctx: KpiContext, sc: Scorecard | None = None) -> DataFrame:
     """Q36: store rows with their bucket; numeric columns rounded to 2 dp when not NULL."""
-    s = bucketize(ctx, store_quality(ctx), "city")
-    return s.select(
-        "addr", "city", "bucket", "orders", *[round_half_up(k, 2).alias(k) for k in STORE_KEYS if k != "orders"]
-    )
+    sc = _sc(ctx, sc)
+
+    def build() -> DataFrame:
+        s = bucketize(ctx, store_quality(ctx, sc), "city", sc.top)
+        return s.select(
+            "addr", "city", "bucket", "orders", *[round_half_up(k, 2).alias(k) for k in STORE_KEYS if k != "orders"]
+        )
+
+    return ctx.stage("st_bucketed", build)
 
 
 def store_medians(ctx: KpiContext, stores: DataFrame | None = None) -> DataFrame:
@@ -109,8 +116,9 @@ def _worse(value: Column, ref: Column, direction: int) -> Column:
 
 def store_flags(ctx: KpiContext, stores: DataFrame | None = None) -> DataFrame:
     """Q38: number of directed metrics strictly worse than the network median; NULL never counts."""
-    s = store_bucketed(ctx) if stores is None else stores
-    j = _with_medians(ctx, s)
+    if stores is None:
+        return ctx.stage("st_flags", lambda: store_flags(ctx, store_bucketed(ctx)))
+    j = _with_medians(ctx, stores)
     flags = None
     for k, d in DIRECTED:
         term = F.when(_worse(F.col(k), F.col(f"med_{k}"), d), 1).otherwise(0)

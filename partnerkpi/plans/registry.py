@@ -9,6 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..context import KpiContext, fixture_context
+from ..sources.catalog import fixture_warehouse
 from ..functions.calendar import MONTH, WEEK
 from ..operators import buckets, highlights, period_report, scorecard, stores
 from ..params import DEFAULT_PARAMS, ReportParams
@@ -79,8 +80,8 @@ def context_for(spark: SparkSession, sf_dir: str, params: ReportParams = DEFAULT
         ctx = fixture_context(spark, sf_dir, params)
         with _CTX_LOCK:
             _CTX[key] = ctx
-    else:  # re-validates that the materialized tables are still there
-        ctx.wh = fixture_context(spark, sf_dir, params).wh
+    else:  # re-validates that the materialized tables are still there (a rebuilt warehouse drops the stages)
+        ctx.reset(fixture_warehouse(spark, sf_dir))
     return ctx
 
 
