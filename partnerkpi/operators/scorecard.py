@@ -378,10 +378,20 @@ def metric_cell_class(ctx: KpiContext, sc: Scorecard | None = None) -> DataFrame
 
 def metric_verdict(ctx: KpiContext, sc: Scorecard | None = None) -> DataFrame:
     """Q31: mean vs benchmark: 'par' within +-par_band (relative), else above/below; tone flips for dir -1."""
-    band = ctx.params.par_band
     m = _sc(ctx, sc).means
-    a, b, d = F.col("mean_value"), F.col("bench"), F.col("dir")
-    rel = safe_div(a - b, F.abs(b))  # NULL when the benchmark is 0: never 'par'
+    a = F.col("mean_value")
+    verdict, tone = verdict_columns(a, F.col("bench"), F.col("dir"), ctx.params.par_band)
+    return m.select("metric_ord", "metric_key", "bucket", mart(a).alias("mean_value"), "bench",
+                    verdict.alias("verdict"), tone.alias("tone"))
+
+
+def verdict_columns(a, b, d, band: float):
+    """(verdict, tone) of a mean ``a`` against benchmark ``b`` for direction ``d``.
+
+    'par' when |a - b| / |b| <= band; a zero benchmark gives no ratio, so it is never 'par' and falls to
+    above/below. No verdict (tone 'eq') when the mean or the benchmark is NULL.
+    """
+    rel = safe_div(a - b, F.abs(b))
     undefined = a.isNull() | b.isNull()
     par = F.coalesce(F.abs(rel) <= band, F.lit(False))
     verdict = F.when(undefined, F.lit(None).cast("string")).when(par, "par").when(a > b, "above").otherwise("below")
@@ -390,5 +400,4 @@ def metric_verdict(ctx: KpiContext, sc: Scorecard | None = None) -> DataFrame:
         .when(a > b, F.when(d == -1, "down").otherwise("up"))
         .otherwise(F.when(d == -1, "up").otherwise("down"))
     )
-    return m.select("metric_ord", "metric_key", "bucket", mart(a).alias("mean_value"), "bench",
-                    verdict.alias("verdict"), tone.alias("tone"))
+    return verdict, tone
