@@ -51,14 +51,22 @@ class KpiContext:
             self._root = f"{checkpoint_root(self.spark).rstrip('/')}/partnerkpi-stages-{uuid.uuid4().hex[:12]}"
         return self._root
 
-    def stage(self, name: str, build: Callable[[], DataFrame], sort_by: list[str] | None = None) -> DataFrame:
-        """Materialize ``build()`` once per run (when staging is on) and return a scan of the written table."""
+    def stage(self, name: str, build: Callable[[], DataFrame], sort_by: list[str] | None = None,
+              rebalance: bool = False) -> DataFrame:
+        """Materialize ``build()`` once per run (when staging is on) and return a scan of the written table.
+
+        ``rebalance`` is for stages that grow with the data (the partner's slices): AQE's rebalance sizes the output
+        partitions (splitting skewed ones, merging small ones) so the written table has neither tiny nor huge files;
+        ``sort_by`` clusters rows inside each file so later range filters skip row groups.
+        """
         if not self.staging:
             return build()
         with self._lock:
             if name not in self._stages:
                 path = f"{self._stage_root()}/{name}"
                 df = build()
+                if rebalance:
+                    df = df.hint("rebalance")
                 if sort_by:
                     df = df.sortWithinPartitions(*sort_by)
                 df.write.mode("errorifexists").parquet(path)

@@ -19,9 +19,9 @@ LEVEL_WIN, LEVEL_WATCH, LEVEL_CRIT = "win", "watch", "crit"
 KIND_ORDERS, KIND_NEW_USERS, KIND_GAPS = "Orders", "New users", "Where to improve"
 
 
-def _month_span(sc: Scorecard) -> DataFrame:
-    """First and last populated month (the labels of the trend texts); exactly one row."""
-    return sc.months.agg(F.min("month").alias("m_first"), F.max("month").alias("m_last"))
+def _month_span(sc: Scorecard):
+    """First and last populated month (the labels of the trend texts) as one scalar-subquery struct."""
+    return sc.months.select(F.struct(F.min("month").alias("m_first"), F.max("month").alias("m_last"))).scalar()
 
 
 def _trend(sc: Scorecard, metric_key: str) -> DataFrame:
@@ -37,7 +37,7 @@ def _trend(sc: Scorecard, metric_key: str) -> DataFrame:
         )
         .where(F.col("n_months") >= 2)
     )
-    return t.crossJoin(F.broadcast(_month_span(sc)))  # one row
+    return t.withColumn("_span", _month_span(sc)).select("*", "_span.*").drop("_span")
 
 
 def _as_int_text(c):

@@ -1,8 +1,9 @@
 """Period report: seven KPI families by month and by ISO week, the rolling-7-day snapshot and the top stores.
 
 Each family is one function taking ``grain`` ('month' or 'week'); the weekly twin is the same plan with another key
-and window. Every plan is: scoped scan (pushed date filter, broadcast partner ids) -> one hash aggregate with
-map-side partial aggregation -> a few-row result.
+and window. Every plan is: the partner's staged order slice (built once per run from a date-pruned fact scan joined
+to the size-checked, broadcast partner ids) -> pushed window filter -> one hash aggregate with map-side partial
+aggregation -> a few-row result.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from ..context import KpiContext
 from ..functions.calendar import MONTH, WEEK, date_between, date_half_open, month_key, period_key, stamp_key, ts_between
 from ..functions.measures import coalesce_sum, flag_count, flag_share_pct, mart, round_half_up, safe_div, weighted_rate
 from ..sources.schema import MERCHANT_SPEND, PLATFORM_SPEND
-from .scope import is_delivered, not_delivered, partner_slice, partner_weekly
+from .scope import is_delivered, not_delivered, partner_failed_resolutions, partner_slice, partner_weekly
 
 
 def _order_window(ctx: KpiContext, grain: str):
@@ -125,14 +126,9 @@ def failed_orders(ctx: KpiContext, grain: str = MONTH) -> DataFrame:
 def failed_reasons(ctx: KpiContext, grain: str = MONTH) -> DataFrame:
     """Q09/Q10: resolution rows of the partner's non-delivered orders by reason and actor (rows, not orders)."""
     s, e = _order_window(ctx, grain)
-    orders = partner_slice(ctx, not_delivered() & date_between("order_date", s, e)).select(
-        "order_id", period_key("order_date", grain).alias("period")
-    )
-    # the scoped side is the partner's failed orders of one window: broadcast it after a row-count check so the
-    # (large) resolution table is scanned without a shuffle; beyond the bound it becomes a shuffle join
-    orders = ctx.checked_broadcast(orders, f"failed_orders:{grain}")
+    rows = partner_failed_resolutions(ctx).where(date_between("order_date", s, e))
     return (
-        ctx.wh.resolution.join(orders, "order_id")
+        rows.withColumn("period", period_key("order_date", grain))
         .groupBy("period", "reason", "actor_type")
         .agg(F.count(F.lit(1)).alias("cnt"))
         .orderBy("period", F.desc("cnt"), "reason", "actor_type")

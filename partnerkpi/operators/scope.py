@@ -97,7 +97,7 @@ def partner_fact(ctx: KpiContext) -> DataFrame:
     """
     s, e = order_window(ctx.params)
     return ctx.stage("partner_fact", lambda: partner_orders(ctx, date_between("order_date", s, e)),
-                     sort_by=["order_date"])
+                     sort_by=["order_date"], rebalance=True)
 
 
 def partner_slice(ctx: KpiContext, where: Column | None = None) -> DataFrame:
@@ -109,5 +109,21 @@ def partner_weekly(ctx: KpiContext, where: Column | None = None) -> DataFrame:
     """The partner's weekly metric rows over the union of stamp windows, staged once per run."""
     s, e = stamp_window(ctx.params)
     t = ctx.stage("partner_weekly", lambda: partner_metrics(ctx, ctx.wh.provider_weekly, ts_between("ts", s, e)),
-                  sort_by=["ts"])
+                  sort_by=["ts"], rebalance=True)
     return t if where is None else t.where(where)
+
+
+def partner_failed_resolutions(ctx: KpiContext) -> DataFrame:
+    """Resolution rows of the partner's non-delivered orders in the report windows, with the order date.
+
+    The resolution table has no date to prune on, so it is scanned once per run here (not once per grain). The
+    order side is the partner's failed orders: broadcast after a row-count check, so the large resolution table is
+    never shuffled; beyond the bound the join becomes a shuffle join (AQE splits skewed order keys).
+    """
+
+    def build() -> DataFrame:
+        orders = partner_slice(ctx, not_delivered()).select("order_id", "order_date")
+        orders = ctx.checked_broadcast(orders, "partner_failed_orders")
+        return ctx.wh.resolution.join(orders, "order_id").select("order_id", "order_date", "reason", "actor_type")
+
+    return ctx.stage("partner_failed_resolutions", build, sort_by=["order_date"], rebalance=True)

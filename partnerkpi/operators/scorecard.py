@@ -206,8 +206,10 @@ class Scorecard:
         return self.ctx.stage("sc_matrix", self._matrix)
 
     def _matrix(self) -> DataFrame:
+        # dense grid: every bucket gets the (bounded) array of populated months, one scalar subquery, no join
+        months = self.months.select(F.sort_array(F.collect_list("month"))).scalar()
+        spine = self.buckets.select("bucket", "bucket_ord", F.explode(months).alias("month"))
         # every input below is bounded by (buckets x months): broadcast by construction
-        spine = self.buckets.crossJoin(F.broadcast(self.months.select("month")))
         wide = (
             spine.join(F.broadcast(self.business), ["bucket", "month"], "left")
             .join(F.broadcast(self.quality), ["bucket", "month"], "left")
@@ -224,9 +226,12 @@ class Scorecard:
 
     def _benchmarks(self) -> DataFrame:
         p = self.ctx.params
-        one = self.bench_business.crossJoin(F.broadcast(self.bench_quality)).crossJoin(
-            F.broadcast(self.bench_adjustment)
-        )  # three one-row aggregates
+        # three one-row aggregates: quality and adjustment attach to the business row as scalar subqueries
+        one = (
+            self.bench_business.withColumn("_q", self.bench_quality.select(F.struct("*")).scalar())
+            .withColumn("_a", self.bench_adjustment.select(F.struct("*")).scalar())
+            .select("*", "_q.*", "_a.*")
+        )
         nm = F.when(F.coalesce(F.col("merchants"), F.lit(0)) == 0, F.lit(1)).otherwise(F.col("merchants"))
         months = float(p.bench_months)
 

@@ -3,7 +3,8 @@ severity tiers, worst stores, per-cell classes and per-bucket ranking.
 
 The per-store table has one row per (store name, city) of the partner. Medians use Spark's exact ``median``
 (``percentile(0.5)``), whose aggregation buffer holds value->count pairs: the store values are rounded to 2 dp, so the
-buffer is bounded by the value domain, not by the number of stores. The one-row median table is then broadcast.
+buffer is bounded by the value domain, not by the number of stores. The one-row median struct is attached to the
+store rows as a scalar subquery.
 """
 
 from __future__ import annotations
@@ -106,8 +107,9 @@ def store_medians(ctx: KpiContext, stores: DataFrame | None = None) -> DataFrame
 
 
 def _with_medians(ctx: KpiContext, stores: DataFrame) -> DataFrame:
-    med = store_medians(ctx, stores).select(*[F.col(k).alias(f"med_{k}") for k in STORE_KEYS])
-    return stores.crossJoin(F.broadcast(med))  # exactly one row
+    """Attach the network medians to every store row: one scalar subquery (a one-row struct), no join."""
+    med = store_medians(ctx, stores).select(F.struct(*[F.col(k).alias(f"med_{k}") for k in STORE_KEYS])).scalar()
+    return stores.withColumn("_med", med).select("*", "_med.*").drop("_med")
 
 
 def _worse(value: Column, ref: Column, direction: int) -> Column:

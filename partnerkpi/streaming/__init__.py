@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The workload is a scheduled batch recompute (weekly refresh of closed months and closed ISO weeks); it reads no
+stream and keeps no state between runs, so there is no Structured Streaming operator to build. A scheduled run is
+``plans.report.write_period_report`` / ``write_scorecard`` with a new ``as_of``.
+"""
