@@ -1,22 +1,25 @@
 """Period report: seven KPI families by month and by ISO week, the rolling-7-day snapshot and the top stores.
 
-Each family is one function taking ``grain`` ('month' or 'week'); the weekly twin is the same plan with another key
-and window. Every plan is: the partner's staged order slice (built once per run from a date-pruned fact scan joined
-to the size-checked, broadcast partner ids) -> pushed window filter -> one hash aggregate with map-side partial
-aggregation -> a few-row result.
+Each family is one function taking ``grain`` ('month' or 'week'). The order-based families (financial,
+operational, failed orders, campaigns) share one conditional-aggregation pass per grain over the partner's staged
+order slice (``orders_mart``), and the weekly-metric families (adjustment/replacement, acceptance) share one pass of
+mergeable (sum v*w, sum w) pairs per grain (``weekly_mart``). Both marts are staged once per run, so the slice is read
+twice per run instead of once per family and grain; each family is then a projection of a few-row table.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..context import KpiContext
 from ..functions.calendar import MONTH, WEEK, date_between, date_half_open, month_key, period_key, stamp_key, ts_between
-from ..functions.measures import coalesce_sum, flag_count, flag_share_pct, mart, round_half_up, safe_div, weighted_rate
+from ..functions.measures import coalesce_sum, finish_pair, mart, round_half_up, safe_div, weighted_rate
 from ..sources.schema import MERCHANT_SPEND, PLATFORM_SPEND
 from .scope import is_delivered, not_delivered, partner_failed_resolutions, partner_slice, partner_weekly
 
+WEEKLY_PAIRS = ["adjustment", "replacement", "acceptance", "active", "rating"]
+
 
 def _order_window(ctx: KpiContext, grain: str):
     p = ctx.params
@@ -27,100 +30,136 @@ def _order_window(ctx: KpiContext, grain: str):
     raise ValueError(grain)
 
 
-def _scoped(ctx: KpiContext, grain: str, delivered_only: bool = True) -> DataFrame:
-    s, e = _order_window(ctx, grain)
-    cond = date_between("order_date", s, e)
-    if delivered_only:
-        cond = is_delivered() & cond
-    return partner_slice(ctx, cond).withColumn("period", period_key("order_date", grain))
+# ---- shared per-grain marts ----------------------------------------------------------------------------------------
+def orders_mart(ctx: KpiContext, grain: str) -> DataFrame:
+    """Per period, every measure of the four order-based families, in one pass over the partner's order slice.
+
+    Delivered-only measures are conditional (``when(delivered, ...)``), so a period without delivered orders has
+    ``n_delivered = 0`` and is dropped by those families, as a WHERE on the state would.
+    """
+
+    def build() -> DataFrame:
+        s, e = _order_window(ctx, grain)
+        f = partner_slice(ctx, date_between("order_date", s, e)).withColumn("period", period_key("order_date", grain))
+        dl = is_delivered()
+
+        def dsum(c: Column | str) -> Column:
+            return F.sum(F.when(dl, F.col(c) if isinstance(c, str) else c))
+
+        def dcount(cond: Column) -> Column:
+            return F.count(F.when(dl & cond, 1))
+
+        return f.groupBy("period").agg(
+            F.count(F.lit(1)).alias("n_all"),
+            F.count(F.when(dl, 1)).alias("n_delivered"),
+            F.count(F.when(not_delivered(), 1)).alias("n_failed"),
+            dsum("gross").cast("double").alias("gross"),
+            dsum("gmv").cast("double").alias("gmv"),
+            dsum("gmv_eur").cast("double").alias("gmv_eur"),
+            dsum("refunded").cast("double").alias("refunded"),
+            dsum("discount").cast("double").alias("discount"),
+            dsum(coalesce_sum(PLATFORM_SPEND)).cast("double").alias("platform_spend"),
+            dsum(coalesce_sum(MERCHANT_SPEND)).cast("double").alias("merchant_spend"),
+            dcount(F.col("discount") > 0).alias("campaign_orders"),
+            F.countDistinct(F.when(dl & F.col("is_first"), F.col("user_id"))).alias("users_activated"),
+            F.countDistinct(F.when(dl, F.col("user_id"))).alias("active_users"),
+            F.countDistinct(F.when(dl, F.col("provider_id"))).alias("active_stores"),
+            dcount(F.col("is_honey")).alias("n_honey"),
+            dcount(F.col("is_bad")).alias("n_bad"),
+            dcount(F.col("is_late")).alias("n_late"),
+            dcount(F.col("is_late_pickup")).alias("n_late_pickup"),
+            dsum("delivery_minutes").alias("minutes_sum"),
+            F.count(F.when(dl, F.col("delivery_minutes"))).alias("minutes_n"),
+            dsum("courier_minutes").alias("courier_sum"),
+            F.count(F.when(dl, F.col("courier_minutes"))).alias("courier_n"),
+        )
+
+    return ctx.stage(f"pr_orders_{grain}", build)
+
+
+def weekly_mart(ctx: KpiContext, grain: str) -> DataFrame:
+    """Per period, the (sum v*w, sum w) pairs of the weekly metric table; a week goes whole to its stamp's month."""
 
+    def build() -> DataFrame:
+        p = ctx.params
+        if grain == MONTH:
+            rows = partner_weekly(ctx, ts_between("ts", p.data_start, p.data_end)).withColumn("period", month_key("ts"))
+        elif grain == WEEK:
+            rows = partner_weekly(ctx, ts_between("ts", p.week_start, p.week_end)).withColumn("period", stamp_key("ts"))
+        else:
+            raise ValueError(grain)
+        aggs = []
+        for r in WEEKLY_PAIRS:
+            aggs += [F.sum(F.col(f"{r}_value") * F.col(f"{r}_weight")).alias(f"{r}_vw"),
+                     F.sum(f"{r}_weight").alias(f"{r}_w")]
+        return rows.groupBy("period").agg(*aggs)
 
+    return ctx.stage(f"pr_weekly_{grain}", build)
+
+
+def _delivered_periods(ctx: KpiContext, grain: str) -> DataFrame:
+    return orders_mart(ctx, grain).where(F.col("n_delivered") > 0)
+
+
+def _pct(num: str, den: str) -> Column:
+    return mart(safe_div(num, den) * 100)
+
+
+# ---- families -----------------------------------------------------------------------------------------------------
 def financial(ctx: KpiContext, grain: str = MONTH) -> DataFrame:
-    """Q01/Q02: orders, merchant price, GMV, AOV, activated and active users, refund rate, implied FX rate."""
-    n = F.count(F.lit(1))
-    agg = _scoped(ctx, grain).groupBy("period").agg(
-        n.alias("orders"),
-        F.sum("gross").cast("double").alias("_gross"),
-        F.sum("gmv").cast("double").alias("_gmv"),
-        F.sum("gmv_eur").cast("double").alias("_gmv_eur"),
-        F.sum("refunded").cast("double").alias("_refunded"),
-        F.countDistinct(F.when(F.col("is_first"), F.col("user_id"))).alias("users_activated"),
-        F.countDistinct("user_id").alias("active_users"),
-    )
-    return agg.select(
+    """Q01/Q02: orders, merchant price, GMV, AOV, activated and active users, refund rate, implied FX rate.
+
+    Price per order and AOV divide by all delivered rows (rows with a NULL price included), not by the non-NULL ones.
+    """
+    return _delivered_periods(ctx, grain).select(
         "period",
-        "orders",
-        mart("_gross").alias("merchant_price"),
-        mart(safe_div("_gross", "orders")).alias("merchant_price_per_order"),
-        mart("_gmv").alias("gmv"),
-        mart(safe_div("_gmv", "orders")).alias("aov"),
+        F.col("n_delivered").alias("orders"),
+        mart("gross").alias("merchant_price"),
+        mart(safe_div("gross", "n_delivered")).alias("merchant_price_per_order"),
+        mart("gmv").alias("gmv"),
+        mart(safe_div("gmv", "n_delivered")).alias("aov"),
         "users_activated",
         "active_users",
-        mart(safe_div("_refunded", "_gmv") * 100).alias("refund_rate_pct"),
-        mart(safe_div("_gmv", "_gmv_eur")).alias("fx_rate"),
+        _pct("refunded", "gmv").alias("refund_rate_pct"),
+        mart(safe_div("gmv", "gmv_eur")).alias("fx_rate"),
     ).orderBy("period")
 
 
 def operational(ctx: KpiContext, grain: str = MONTH) -> DataFrame:
-    """Q03/Q04: delivered orders, active stores, honey/bad/late/late-pickup shares, mean delivery times."""
-    return (
-        _scoped(ctx, grain)
-        .groupBy("period")
-        .agg(
-            F.count(F.lit(1)).alias("delivered_orders"),
-            F.countDistinct("provider_id").alias("active_stores"),
-            mart(flag_share_pct("is_honey")).alias("honey_order_rate"),
-            mart(flag_share_pct("is_bad")).alias("bad_order_rate"),
-            mart(flag_share_pct("is_late")).alias("late_delivery_rate"),
-            mart(flag_share_pct("is_late_pickup")).alias("late_pickup_rate"),
-            mart(F.avg("delivery_minutes")).alias("avg_delivery_minutes"),
-            mart(F.avg("courier_minutes")).alias("avg_courier_delivery_min"),
-        )
-        .orderBy("period")
-    )
-
-
-def _weekly_metric_scope(ctx: KpiContext, grain: str) -> DataFrame:
-    """Weekly metric rows of the partner; a whole week goes to the month of its stamp, weekly key = raw stamp."""
-    p = ctx.params
-    if grain == MONTH:
-        rows = partner_weekly(ctx, ts_between("ts", p.data_start, p.data_end))
-        return rows.withColumn("period", month_key("ts"))
-    if grain == WEEK:
-        rows = partner_weekly(ctx, ts_between("ts", p.week_start, p.week_end))
-        return rows.withColumn("period", stamp_key("ts"))
-    raise ValueError(grain)
-
-
-def replacement_adjustment(ctx: KpiContext, grain: str = MONTH) -> DataFrame:
-    """Q05/Q06: item adjustment and replacement rates, % rounded to 2 dp, from the weekly metric table."""
-    return (
-        _weekly_metric_scope(ctx, grain)
-        .groupBy("period")
-        .agg(
-            round_half_up(weighted_rate("adjustment_value", "adjustment_weight", pct=True), 2).alias("adjustment_rate"),
-            round_half_up(weighted_rate("replacement_value", "replacement_weight", pct=True), 2).alias(
-                "replacement_rate"
-            ),
-        )
-        .orderBy("period")
-    )
+    """Q03/Q04: delivered orders, active stores, honey/bad/late/late-pickup shares (NULL flag = 0), mean times."""
+    return _delivered_periods(ctx, grain).select(
+        "period",
+        F.col("n_delivered").alias("delivered_orders"),
+        "active_stores",
+        _pct("n_honey", "n_delivered").alias("honey_order_rate"),
+        _pct("n_bad", "n_delivered").alias("bad_order_rate"),
+        _pct("n_late", "n_delivered").alias("late_delivery_rate"),
+        _pct("n_late_pickup", "n_delivered").alias("late_pickup_rate"),
+        mart(safe_div("minutes_sum", "minutes_n")).alias("avg_delivery_minutes"),
+        mart(safe_div("courier_sum", "courier_n")).alias("avg_courier_delivery_min"),
+    ).orderBy("period")
 
 
 def failed_orders(ctx: KpiContext, grain: str = MONTH) -> DataFrame:
     """Q07/Q08: placed, delivered and failed orders over all states; a NULL state is in neither count."""
-    failed = flag_count(not_delivered())
-    return (
-        _scoped(ctx, grain, delivered_only=False)
-        .groupBy("period")
-        .agg(
-            F.count(F.lit(1)).alias("total_placed"),
-            flag_count(is_delivered()).cast("long").alias("delivered"),
-            failed.cast("long").alias("failed_total"),
-            mart(safe_div(failed, F.count(F.lit(1))) * 100).alias("failed_rate_pct"),
-        )
-        .orderBy("period")
-    )
+    return orders_mart(ctx, grain).select(
+        "period",
+        F.col("n_all").alias("total_placed"),
+        F.col("n_delivered").alias("delivered"),
+        F.col("n_failed").alias("failed_total"),
+        _pct("n_failed", "n_all").alias("failed_rate_pct"),
+    ).orderBy("period")
+
+
+def campaigns(ctx: KpiContext, grain: str = MONTH) -> DataFrame:
+    """Q11/Q12: campaign discount, platform and merchant spend (six null-safe columns each), campaign orders."""
+    return _delivered_periods(ctx, grain).select(
+        "period",
+        mart("discount").alias("campaigns_discount"),
+        mart("platform_spend").alias("platform_spend"),
+        mart("merchant_spend").alias("merchant_spend"),
+        "campaign_orders",
+    ).orderBy("period")
 
 
 def failed_reasons(ctx: KpiContext, grain: str = MONTH) -> DataFrame:
@@ -135,27 +174,23 @@ def failed_reasons(ctx: KpiContext, grain: str = MONTH) -> DataFrame:
     )
 
 
-def campaigns(ctx: KpiContext, grain: str = MONTH) -> DataFrame:
-    """Q11/Q12: campaign discount, platform and merchant spend (six null-safe columns each), campaign orders."""
-    return (
-        _scoped(ctx, grain)
-        .groupBy("period")
-        .agg(
-            mart(F.sum("discount").cast("double")).alias("campaigns_discount"),
-            mart(F.sum(coalesce_sum(PLATFORM_SPEND)).cast("double")).alias("platform_spend"),
-            mart(F.sum(coalesce_sum(MERCHANT_SPEND)).cast("double")).alias("merchant_spend"),
-            F.count(F.when(F.col("discount") > 0, 1)).alias("campaign_orders"),
-        )
-        .orderBy("period")
-    )
+def replacement_adjustment(ctx: KpiContext, grain: str = MONTH) -> DataFrame:
+    """Q05/Q06: item adjustment and replacement rates, % rounded to 2 dp, from the weekly metric table."""
+    return weekly_mart(ctx, grain).select(
+        "period",
+        round_half_up(finish_pair("adjustment_vw", "adjustment_w", pct=True), 2).alias("adjustment_rate"),
+        round_half_up(finish_pair("replacement_vw", "replacement_w", pct=True), 2).alias("replacement_rate"),
+    ).orderBy("period")
 
 
-def _acceptance_aggs():
-    return [
-        round_half_up(weighted_rate("acceptance_value", "acceptance_weight", pct=True), 1).alias("acceptance_rate"),
-        round_half_up(weighted_rate("active_value", "active_weight", pct=True), 1).alias("availability_rate"),
-        round_half_up(weighted_rate("rating_value", "rating_weight"), 3).alias("avg_rating"),
-    ]
+def acceptance(ctx: KpiContext, grain: str = MONTH) -> DataFrame:
+    """Q14/Q15: acceptance, availability and rating by month of the weekly stamp / by raw stamp."""
+    return weekly_mart(ctx, grain).select(
+        "period",
+        round_half_up(finish_pair("acceptance_vw", "acceptance_w", pct=True), 1).alias("acceptance_rate"),
+        round_half_up(finish_pair("active_vw", "active_w", pct=True), 1).alias("availability_rate"),
+        round_half_up(finish_pair("rating_vw", "rating_w"), 3).alias("avg_rating"),
+    ).orderBy("period")
 
 
 def acceptance_current(ctx: KpiContext) -> DataFrame:
@@ -166,12 +201,11 @@ def acceptance_current(ctx: KpiContext) -> DataFrame:
     """
     p = ctx.params
     rows = partner_weekly(ctx, ts_between("ts", p.rolling_start, p.as_of))
-    return rows.agg(*_acceptance_aggs())
-
-
-def acceptance(ctx: KpiContext, grain: str = MONTH) -> DataFrame:
-    """Q14/Q15: the same three rates by month of the weekly stamp / by raw stamp."""
-    return _weekly_metric_scope(ctx, grain).groupBy("period").agg(*_acceptance_aggs()).orderBy("period")
+    return rows.agg(
+        round_half_up(weighted_rate("acceptance_value", "acceptance_weight", pct=True), 1).alias("acceptance_rate"),
+        round_half_up(weighted_rate("active_value", "active_weight", pct=True), 1).alias("availability_rate"),
+        round_half_up(weighted_rate("rating_value", "rating_weight"), 3).alias("avg_rating"),
+    )
 
 
 def top_stores_last_month(ctx: KpiContext) -> DataFrame:
