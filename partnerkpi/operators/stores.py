@@ -11,11 +11,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..context import KpiContext
 from ..functions.calendar import ts_half_open
-from ..functions.measures import finish_pair, mart, round_half_up, safe_div
+from ..functions.measures import finish_pair, mart, round_half_up
 from .buckets import bucketize
 from .scope import partner_weekly
 from .scorecard import Scorecard, _sc

@@ -8,7 +8,7 @@ top cities) stay DataFrames.
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 from datetime import date, timedelta
 
 
