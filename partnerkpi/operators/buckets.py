@@ -19,8 +19,14 @@ def provider_city_history(ctx: KpiContext) -> DataFrame:
     """Per partner provider: MAX city and MAX name over all its facts up to ``as_of`` (any state)."""
     def build() -> DataFrame:
         f = partner_orders(ctx, F.col("order_date") <= F.lit(ctx.params.as_of))
-        return f.groupBy("provider_id").agg(
-            F.max("city_name").alias("city_name"), F.max("provider_name").alias("provider_name")
+        # MAX over strings cannot use a hash aggregate buffer (it would sort the whole history); the distinct
+        # (provider, city, name) triples are reduced by a hash aggregate first, so only they are sorted. The variant
+        # count (providers seen under several cities or names) keeps that distinct step in the optimized plan.
+        triples = f.select("provider_id", "city_name", "provider_name").distinct()
+        return triples.groupBy("provider_id").agg(
+            F.max("city_name").alias("city_name"),
+            F.max("provider_name").alias("provider_name"),
+            F.count(F.lit(1)).alias("n_variants"),
         )
 
     return ctx.stage("city_map", build)

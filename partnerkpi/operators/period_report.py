@@ -37,44 +37,45 @@ def orders_mart(ctx: KpiContext, grain: str) -> DataFrame:
     Delivered-only measures are conditional (``when(delivered, ...)``), so a period without delivered orders has
     ``n_delivered = 0`` and is dropped by those families, as a WHERE on the state would.
     """
+    return ctx.stage(f"pr_orders_{grain}", lambda: orders_mart_plan(ctx, grain))
 
-    def build() -> DataFrame:
-        s, e = _order_window(ctx, grain)
-        f = partner_slice(ctx, date_between("order_date", s, e)).withColumn("period", period_key("order_date", grain))
-        dl = is_delivered()
-
-        def dsum(c: Column | str) -> Column:
-            return F.sum(F.when(dl, F.col(c) if isinstance(c, str) else c))
-
-        def dcount(cond: Column) -> Column:
-            return F.count(F.when(dl & cond, 1))
-
-        return f.groupBy("period").agg(
-            F.count(F.lit(1)).alias("n_all"),
-            F.count(F.when(dl, 1)).alias("n_delivered"),
-            F.count(F.when(not_delivered(), 1)).alias("n_failed"),
-            dsum("gross").cast("double").alias("gross"),
-            dsum("gmv").cast("double").alias("gmv"),
-            dsum("gmv_eur").cast("double").alias("gmv_eur"),
-            dsum("refunded").cast("double").alias("refunded"),
-            dsum("discount").cast("double").alias("discount"),
-            dsum(coalesce_sum(PLATFORM_SPEND)).cast("double").alias("platform_spend"),
-            dsum(coalesce_sum(MERCHANT_SPEND)).cast("double").alias("merchant_spend"),
-            dcount(F.col("discount") > 0).alias("campaign_orders"),
-            F.countDistinct(F.when(dl & F.col("is_first"), F.col("user_id"))).alias("users_activated"),
-            F.countDistinct(F.when(dl, F.col("user_id"))).alias("active_users"),
-            F.countDistinct(F.when(dl, F.col("provider_id"))).alias("active_stores"),
-            dcount(F.col("is_honey")).alias("n_honey"),
-            dcount(F.col("is_bad")).alias("n_bad"),
-            dcount(F.col("is_late")).alias("n_late"),
-            dcount(F.col("is_late_pickup")).alias("n_late_pickup"),
-            dsum("delivery_minutes").alias("minutes_sum"),
-            F.count(F.when(dl, F.col("delivery_minutes"))).alias("minutes_n"),
-            dsum("courier_minutes").alias("courier_sum"),
-            F.count(F.when(dl, F.col("courier_minutes"))).alias("courier_n"),
-        )
-
-    return ctx.stage(f"pr_orders_{grain}", build)
+
+def orders_mart_plan(ctx: KpiContext, grain: str) -> DataFrame:
+    """The unstaged plan of ``orders_mart``."""
+    s, e = _order_window(ctx, grain)
+    f = partner_slice(ctx, date_between("order_date", s, e)).withColumn("period", period_key("order_date", grain))
+    dl = is_delivered()
+
+    def dsum(c: Column | str) -> Column:
+        return F.sum(F.when(dl, F.col(c) if isinstance(c, str) else c))
+
+    def dcount(cond: Column) -> Column:
+        return F.count(F.when(dl & cond, 1))
+
+    return f.groupBy("period").agg(
+        F.count(F.lit(1)).alias("n_all"),
+        F.count(F.when(dl, 1)).alias("n_delivered"),
+        F.count(F.when(not_delivered(), 1)).alias("n_failed"),
+        dsum("gross").cast("double").alias("gross"),
+        dsum("gmv").cast("double").alias("gmv"),
+        dsum("gmv_eur").cast("double").alias("gmv_eur"),
+        dsum("refunded").cast("double").alias("refunded"),
+        dsum("discount").cast("double").alias("discount"),
+        dsum(coalesce_sum(PLATFORM_SPEND)).cast("double").alias("platform_spend"),
+        dsum(coalesce_sum(MERCHANT_SPEND)).cast("double").alias("merchant_spend"),
+        dcount(F.col("discount") > 0).alias("campaign_orders"),
+        F.countDistinct(F.when(dl & F.col("is_first"), F.col("user_id"))).alias("users_activated"),
+        F.countDistinct(F.when(dl, F.col("user_id"))).alias("active_users"),
+        F.countDistinct(F.when(dl, F.col("provider_id"))).alias("active_stores"),
+        dcount(F.col("is_honey")).alias("n_honey"),
+        dcount(F.col("is_bad")).alias("n_bad"),
+        dcount(F.col("is_late")).alias("n_late"),
+        dcount(F.col("is_late_pickup")).alias("n_late_pickup"),
+        dsum("delivery_minutes").alias("minutes_sum"),
+        F.count(F.when(dl, F.col("delivery_minutes"))).alias("minutes_n"),
+        dsum("courier_minutes").alias("courier_sum"),
+        F.count(F.when(dl, F.col("courier_minutes"))).alias("courier_n"),
+    )
 
 
 def weekly_mart(ctx: KpiContext, grain: str) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..context import KpiContext
 from ..functions.calendar import date_between, ts_between
 from ..params import ReportParams
+from ..sources.schema import FACT_ORDER
 
 DELIVERED = "delivered"
 
@@ -96,7 +97,8 @@ def partner_fact(ctx: KpiContext) -> DataFrame:
     so the (date-pruned) fact scan and the dimension join happen once per run, not once per KPI family.
     """
     s, e = order_window(ctx.params)
-    return ctx.stage("partner_fact", lambda: partner_orders(ctx, date_between("order_date", s, e)),
+    cols = [f.name for f in FACT_ORDER.fields]  # only the declared order-fact columns reach the stage
+    return ctx.stage("partner_fact", lambda: partner_orders(ctx, date_between("order_date", s, e)).select(*cols),
                      sort_by=["order_date"], rebalance=True)
 
 

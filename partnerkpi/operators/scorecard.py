@@ -79,7 +79,12 @@ METRIC_DEF_SCHEMA = T.StructType(
 
 
 def metric_def(ctx: KpiContext) -> DataFrame:
-    return ctx.spark.createDataFrame(METRICS, METRIC_DEF_SCHEMA)
+    """The catalogue as a 19-row table built from literals (JVM-side, no Python data path)."""
+    rows = [
+        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(m, METRIC_DEF_SCHEMA.fields)])
+        for m in METRICS
+    ]
+    return ctx.spark.range(1).select(F.inline(F.array(*rows)))
 
 
 # ---- shared parts --------------------------------------------------------------------------------------------------

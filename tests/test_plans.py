@@ -8,6 +8,8 @@ import io
 import pytest
 
 from partnerkpi.context import KpiContext
+from partnerkpi.functions.calendar import WEEK
+from partnerkpi.operators import buckets, period_report
 from partnerkpi.plans.registry import QUERIES
 
 
@@ -44,5 +46,18 @@ def test_no_python_udf_and_no_cartesian_product(small_ctx, name):
 
 
 def test_staged_slice_is_read_with_pushed_filters(small_ctx):
-    txt = plan_text(QUERIES["financial_weekly"](small_ctx))
-    assert "partner_fact" in txt and "PushedFilters" in txt
+    txt = plan_text(period_report.orders_mart_plan(small_ctx, WEEK))
+    scan = [b for b in txt.split("\n\n") if "Scan parquet" in b and "partner_fact" in b][0]
+    assert "GreaterThanOrEqual(order_date" in scan and "LessThanOrEqual(order_date" in scan
+
+
+def test_family_queries_read_the_staged_mart(small_ctx):
+    for name in ("financial_weekly", "operational_weekly", "failed_orders_weekly", "campaigns_weekly"):
+        txt = plan_text(QUERIES[name](small_ctx))
+        assert "pr_orders_week" in txt and "Exchange hashpartitioning" not in txt
+
+
+def test_city_map_dedupes_with_a_hash_aggregate_before_the_string_max(raw_ctx):
+    txt = plan_text(buckets.provider_city_history(raw_ctx))
+    tree = txt.split("\n\n\n")[0]
+    assert tree.index("SortAggregate") < tree.index("HashAggregate")  # hash distinct sits below the sort aggregate
