@@ -2,17 +2,23 @@
 
 from __future__ import annotations
 
+import os
+import sys
 import threading
+import time
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .params import DEFAULT_PARAMS, ReportParams
 from .sources.catalog import Warehouse, checkpoint_root, fixture_warehouse
 
+_TRACE = bool(os.environ.get("PARTNERKPI_TRACE"))
+
 
 @dataclass
 class KpiContext:
@@ -41,7 +47,7 @@ class KpiContext:
             if wh is not self.wh:
                 self.wh = wh
                 self._fits.clear()
-                self._stages.clear()
+                self.release()
                 self._rows.clear()
                 self._root = None
 
@@ -52,17 +58,34 @@ class KpiContext:
         return self._root
 
     def stage(self, name: str, build: Callable[[], DataFrame], sort_by: list[str] | None = None,
-              rebalance: bool = False) -> DataFrame:
-        """Materialize ``build()`` once per run (when staging is on) and return a scan of the written table.
+              rebalance: bool = False, mode: str = "table") -> DataFrame:
+        """Materialize ``build()`` once per run (when staging is on) and return it for every later use.
+
+        ``mode="table"`` (stages that grow with the data or end an expensive lineage: the partner's slices, the city
+        map over the order history) writes parquet to the checkpoint directory and returns a scan of it - the lineage
+        is cut there. ``rebalance`` lets AQE size the written files (no tiny or huge ones); ``sort_by`` clusters rows
+        inside each file so later range filters skip row groups.
+
+        ``mode="checkpoint"`` is for parts bounded by construction whose plans carry scalar subqueries (the dense
+        matrix, benchmarks, trends, store flags): a reliable ``checkpoint()`` into the checkpoint directory cuts the
+        lineage, so later plans scan plain rows instead of re-planning those subqueries.
 
-        ``rebalance`` is for stages that grow with the data (the partner's slices): AQE's rebalance sizes the output
-        partitions (splitting skewed ones, merging small ones) so the written table has neither tiny nor huge files;
-        ``sort_by`` clusters rows inside each file so later range filters skip row groups.
+        ``mode="persist"`` is for the other bounded parts (marts of a few periods, bucket x month series, one-row
+        benchmark aggregates, per-store tables): persisted (memory, spilling to disk) on first use; their lineage
+        starts at written tables, so a lost executor recomputes them cheaply.
         """
         if not self.staging:
             return build()
         with self._lock:
-            if name not in self._stages:
+            if name in self._stages:
+                return self._stages[name]
+            t0 = time.perf_counter()
+            if mode == "persist":
+                self._stages[name] = build().persist(StorageLevel.MEMORY_AND_DISK)
+            elif mode == "checkpoint":
+                self._stage_root()  # makes sure a checkpoint directory is set
+                self._stages[name] = build().checkpoint(eager=True)
+            elif mode == "table":
                 path = f"{self._stage_root()}/{name}"
                 df = build()
                 if rebalance:
@@ -71,8 +94,20 @@ class KpiContext:
                     df = df.sortWithinPartitions(*sort_by)
                 df.write.mode("errorifexists").parquet(path)
                 self._stages[name] = self.spark.read.parquet(path)
+            else:
+                raise ValueError(f"unknown stage mode {mode!r}")
+            if _TRACE:
+                print(f"[stage] {name} ({mode}): {time.perf_counter() - t0:.3f}s", file=sys.stderr)
             return self._stages[name]
 
+    def release(self) -> None:
+        """Drop the run's persisted parts and forget its stages (written tables stay for inspection)."""
+        with self._lock:
+            for df in self._stages.values():
+                if df.is_cached:
+                    df.unpersist()
+            self._stages.clear()
+
     def staged_rows(self, name: str) -> int:
         """Row count of a staged table (read from the written files, cheap)."""
         with self._lock:

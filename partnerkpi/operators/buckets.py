@@ -65,7 +65,7 @@ def top_cities(ctx: KpiContext) -> DataFrame:
             F.row_number().over(Window.orderBy(F.desc("orders"), F.asc("city"))).cast("long").alias("bucket_ord"),
         )
 
-    return ctx.stage("top_cities", build)
+    return ctx.stage("top_cities", build, mode="persist")
 
 
 def city_bucket(ctx: KpiContext, top: DataFrame | None = None) -> DataFrame:

@@ -24,20 +24,36 @@ def _month_span(sc: Scorecard):
     return sc.months.select(F.struct(F.min("month").alias("m_first"), F.max("month").alias("m_last"))).scalar()
 
 
-def _trend(sc: Scorecard, metric_key: str) -> DataFrame:
-    """First and last non-NULL month value per bucket; only buckets with at least two such months."""
-    m = sc.matrix
-    t = (
-        m.where((F.col("metric_key") == metric_key) & F.col("value").isNotNull())
-        .groupBy("bucket")
-        .agg(
-            F.min_by("value", "month").alias("first_value"),
-            F.max_by("value", "month").alias("last_value"),
-            F.count(F.lit(1)).alias("n_months"),
+TREND_METRICS = ["Orders", "New Users"]
+
+
+def trends(ctx: KpiContext, sc: Scorecard | None = None) -> DataFrame:
+    """First and last non-NULL month value per bucket for both trend metrics, in one aggregation.
+
+    Only buckets with at least two such months. The month is ordered as a DATE (fixed width), so ``min_by`` /
+    ``max_by`` run in a hash aggregate. Persisted once per run; Q32, Q33 and Q35 project it.
+    """
+    sc = _sc(ctx, sc)
+
+    def build() -> DataFrame:
+        t = (
+            sc.matrix.where(F.col("metric_key").isin(TREND_METRICS) & F.col("value").isNotNull())
+            .withColumn("month_date", F.to_date("month", "yyyy-MM"))
+            .groupBy("bucket", "metric_key")
+            .agg(
+                F.min_by("value", "month_date").alias("first_value"),
+                F.max_by("value", "month_date").alias("last_value"),
+                F.count(F.lit(1)).alias("n_months"),
+            )
+            .where(F.col("n_months") >= 2)
         )
-        .where(F.col("n_months") >= 2)
-    )
-    return t.withColumn("_span", _month_span(sc)).select("*", "_span.*").drop("_span")
+        return t.withColumn("_span", _month_span(sc)).select("*", "_span.*").drop("_span")
+
+    return ctx.stage("sc_trends", build, mode="checkpoint")
+
+
+def _trend(sc: Scorecard, metric_key: str) -> DataFrame:
+    return trends(sc.ctx, sc).where(F.col("metric_key") == metric_key)
 
 
 def _as_int_text(c):
@@ -99,7 +115,11 @@ def quality_gaps(ctx: KpiContext, sc: Scorecard | None = None) -> DataFrame:
 
 
 def highlight_gaps(ctx: KpiContext, sc: Scorecard | None = None) -> DataFrame:
-    """Q34: one 'crit' row per bucket with gaps; the text joins the top gaps with '; '."""
+    """Q34: one 'crit' row per bucket with gaps; the text joins the top gaps with '; '. Persisted once per run."""
+    return ctx.stage("sc_gaps", lambda: _highlight_gaps(ctx, sc), mode="persist")
+
+
+def _highlight_gaps(ctx: KpiContext, sc: Scorecard | None) -> DataFrame:
     g = quality_gaps(ctx, sc).withColumn(
         "item", F.concat(F.col("metric_key"), F.lit(" ("), _gap_value_text(F.col("mean_value"), F.col("fmt")), F.lit(")"))
     )

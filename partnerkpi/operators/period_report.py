@@ -37,7 +37,7 @@ def orders_mart(ctx: KpiContext, grain: str) -> DataFrame:
     Delivered-only measures are conditional (``when(delivered, ...)``), so a period without delivered orders has
     ``n_delivered = 0`` and is dropped by those families, as a WHERE on the state would.
     """
-    return ctx.stage(f"pr_orders_{grain}", lambda: orders_mart_plan(ctx, grain))
+    return ctx.stage(f"pr_orders_{grain}", lambda: orders_mart_plan(ctx, grain), mode="persist")
 
 
 def orders_mart_plan(ctx: KpiContext, grain: str) -> DataFrame:
@@ -95,7 +95,7 @@ def weekly_mart(ctx: KpiContext, grain: str) -> DataFrame:
                      F.sum(f"{r}_weight").alias(f"{r}_w")]
         return rows.groupBy("period").agg(*aggs)
 
-    return ctx.stage(f"pr_weekly_{grain}", build)
+    return ctx.stage(f"pr_weekly_{grain}", build, mode="persist")
 
 
 def _delivered_periods(ctx: KpiContext, grain: str) -> DataFrame:

@@ -119,7 +119,7 @@ class Scorecard:
 
     @cached_property
     def business(self) -> DataFrame:
-        return self.ctx.stage("sc_business", self._business)
+        return self.ctx.stage("sc_business", self._business, mode="persist")
 
     def _business(self) -> DataFrame:
         f = bucketize(self.ctx, scorecard_orders(self.ctx), "city_name", self.top)
@@ -133,7 +133,7 @@ class Scorecard:
 
     @cached_property
     def months(self) -> DataFrame:
-        return self.ctx.stage("sc_months", lambda: populated_months_from(self.ctx, self.business))
+        return self.ctx.stage("sc_months", lambda: populated_months_from(self.ctx, self.business), mode="persist")
 
     def _metric_rows(self, table: DataFrame) -> DataFrame:
         p = self.ctx.params
@@ -153,7 +153,7 @@ class Scorecard:
                 aggs += [mart(vw).alias(f"{short}_vw"), w.cast("long").alias(f"{short}_w")]
             return self._metric_rows(self.ctx.wh.provider_monthly).groupBy("bucket", "month").agg(*aggs)
 
-        return self.ctx.stage("sc_quality", build)
+        return self.ctx.stage("sc_quality", build, mode="persist")
 
     @cached_property
     def adjustment(self) -> DataFrame:
@@ -165,7 +165,7 @@ class Scorecard:
                 .agg(mart(vw).alias("adj_vw"), w.cast("long").alias("adj_w"))
             )
 
-        return self.ctx.stage("sc_adjustment", build)
+        return self.ctx.stage("sc_adjustment", build, mode="persist")
 
     # ---- peer benchmarks (one row each, even over an empty scope) --------------------------------------------------
     def _bench_rows(self, table: DataFrame) -> DataFrame:
@@ -174,7 +174,7 @@ class Scorecard:
 
     @cached_property
     def bench_business(self) -> DataFrame:
-        return self.ctx.stage("sc_bench_business", self._bench_business)
+        return self.ctx.stage("sc_bench_business", self._bench_business, mode="persist")
 
     def _bench_business(self) -> DataFrame:
         p = self.ctx.params
@@ -192,13 +192,14 @@ class Scorecard:
         names = {"rat": "rating"}
         return self.ctx.stage("sc_bench_quality", lambda: self._bench_rows(self.ctx.wh.provider_monthly).agg(
             *[mart(_w2(rate, short not in ("dur", "rat"))).alias(names.get(short, short)) for short, rate in QUALITY_PAIRS]
-        ))
+        ), mode="persist")
 
     @cached_property
     def bench_adjustment(self) -> DataFrame:
         return self.ctx.stage(
             "sc_bench_adjustment",
             lambda: self._bench_rows(self.ctx.wh.provider_weekly).agg(mart(_w2("adjustment", True)).alias("adj")),
+            mode="persist",
         )
 
     # ---- matrix, benchmarks, means ---------------------------------------------------------------------------------
@@ -208,7 +209,7 @@ class Scorecard:
 
     @cached_property
     def matrix(self) -> DataFrame:
-        return self.ctx.stage("sc_matrix", self._matrix)
+        return self.ctx.stage("sc_matrix", self._matrix, mode="checkpoint")
 
     def _matrix(self) -> DataFrame:
         # dense grid: every bucket gets the (bounded) array of populated months, one scalar subquery, no join
@@ -227,7 +228,7 @@ class Scorecard:
 
     @cached_property
     def benchmarks(self) -> DataFrame:
-        return self.ctx.stage("sc_benchmarks", self._benchmarks)
+        return self.ctx.stage("sc_benchmarks", self._benchmarks, mode="checkpoint")
 
     def _benchmarks(self) -> DataFrame:
         p = self.ctx.params
@@ -281,7 +282,7 @@ class Scorecard:
             )
             return self.with_bench(means).join(F.broadcast(self.metric_def.drop("metric_ord")), "metric_key")
 
-        return self.ctx.stage("sc_means", build)
+        return self.ctx.stage("sc_means", build, mode="persist")
 
 
 def _w2(rate: str, pct: bool):

@@ -59,7 +59,7 @@ def store_quality(ctx: KpiContext, sc: Scorecard | None = None) -> DataFrame:
     The weekly adjustment rate is pre-aggregated per provider (and scoped to the partner first) before the left
     join, which keeps the grain right; stores with no delivered order are dropped after aggregation.
     """
-    return ctx.stage("st_quality", lambda: _store_quality(ctx, _sc(ctx, sc)))
+    return ctx.stage("st_quality", lambda: _store_quality(ctx, _sc(ctx, sc)), mode="persist")
 
 
 def _store_quality(ctx: KpiContext, sc: Scorecard) -> DataFrame:
@@ -96,7 +96,7 @@ def store_bucketed(ctx: KpiContext, sc: Scorecard | None = None) -> DataFrame:
             "addr", "city", "bucket", "orders", *[round_half_up(k, 2).alias(k) for k in STORE_KEYS if k != "orders"]
         )
 
-    return ctx.stage("st_bucketed", build)
+    return ctx.stage("st_bucketed", build, mode="persist")
 
 
 def store_medians(ctx: KpiContext, stores: DataFrame | None = None) -> DataFrame:
@@ -118,7 +118,7 @@ def _worse(value: Column, ref: Column, direction: int) -> Column:
 def store_flags(ctx: KpiContext, stores: DataFrame | None = None) -> DataFrame:
     """Q38: number of directed metrics strictly worse than the network median; NULL never counts."""
     if stores is None:
-        return ctx.stage("st_flags", lambda: store_flags(ctx, store_bucketed(ctx)))
+        return ctx.stage("st_flags", lambda: store_flags(ctx, store_bucketed(ctx)), mode="checkpoint")
     j = _with_medians(ctx, stores)
     flags = None
     for k, d in DIRECTED:
