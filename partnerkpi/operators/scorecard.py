@@ -89,11 +89,11 @@ def metric_def(ctx: KpiContext) -> DataFrame:
 
 # ---- shared parts --------------------------------------------------------------------------------------------------
 class Scorecard:
-    """The scorecard's intermediate tables, each built once per query plan.
+    """The scorecard's intermediate tables.
 
-    Every output of the scorecard, highlight and store families is derived from these members; sharing the same
-    DataFrame objects lets Catalyst reuse identical exchanges (the top-city ranking, business series, city map and
-    benchmark scans appear once in a plan instead of once per use).
+    Every output of the scorecard, highlight and store families is derived from these members. Each member is a
+    run-level stage of the context (``KpiContext.stage``), so the top-city ranking, the business series, the city map
+    and the benchmark scans run once per report run, however many outputs use them.
     """
 
     def __init__(self, ctx: KpiContext):

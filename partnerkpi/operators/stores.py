@@ -59,6 +59,10 @@ def store_quality(ctx: KpiContext, sc: Scorecard | None = None) -> DataFrame:
     The weekly adjustment rate is pre-aggregated per provider (and scoped to the partner first) before the left
     join, which keeps the grain right; stores with no delivered order are dropped after aggregation.
     """
+    return _store_quality_part(ctx, sc).orderBy(F.desc("orders"), "addr", "city")
+
+
+def _store_quality_part(ctx: KpiContext, sc: Scorecard | None) -> DataFrame:
     return ctx.stage("st_quality", lambda: _store_quality(ctx, _sc(ctx, sc)), mode="persist")
 
 
@@ -91,7 +95,7 @@ def store_bucketed(ctx: KpiContext, sc: Scorecard | None = None) -> DataFrame:
     sc = _sc(ctx, sc)
 
     def build() -> DataFrame:
-        s = bucketize(ctx, store_quality(ctx, sc), "city", sc.top)
+        s = bucketize(ctx, _store_quality_part(ctx, sc), "city", sc.top)
         return s.select(
             "addr", "city", "bucket", "orders", *[round_half_up(k, 2).alias(k) for k in STORE_KEYS if k != "orders"]
         )
