@@ -116,15 +116,19 @@ class KpiContext:
             return self._rows[name]
 
     # ---- broadcast guard -----------------------------------------------------------------------------------------
-    def fits_broadcast(self, df: DataFrame, key: str) -> bool:
-        """Whether ``df`` has at most ``broadcast_row_limit`` rows; counted once per key (a bounded probe job)."""
+    def bounded_count(self, df: DataFrame, key: str) -> int:
+        """Row count of ``df`` capped at ``broadcast_row_limit + 1``; counted once per key (a bounded probe job)."""
         with self._lock:
             if key not in self._fits:
-                limit = self.params.broadcast_row_limit
-                n = df.limit(limit + 1).agg(F.count(F.lit(1))).first()[0]
-                self._fits[key] = n <= limit
+                cap = self.params.broadcast_row_limit + 1
+                self._fits[key] = df.limit(cap).agg(F.count(F.lit(1))).first()[0]
             return self._fits[key]
 
+    def fits_broadcast(self, df: DataFrame, key: str, limit: int | None = None) -> bool:
+        """Whether ``df`` has at most ``limit`` rows (default ``broadcast_row_limit``)."""
+        limit = self.params.broadcast_row_limit if limit is None else min(limit, self.params.broadcast_row_limit)
+        return self.bounded_count(df, key) <= limit
+
     def checked_broadcast(self, df: DataFrame, key: str) -> DataFrame:
         """Broadcast hint only behind a proven row bound; beyond it Catalyst/AQE pick a shuffle join."""
         return F.broadcast(df) if self.fits_broadcast(df, key) else df

@@ -34,10 +34,15 @@ def _partner_dim(ctx: KpiContext) -> DataFrame:
     ).select("provider_id")
 
 
-def partner_is_bounded(ctx: KpiContext) -> bool:
-    """Whether the partner's provider set passed the broadcast row check (per-provider tables inherit the bound)."""
+def partner_is_bounded(ctx: KpiContext, wide: bool = False) -> bool:
+    """Whether the partner's provider count passed the broadcast row check.
+
+    Tables with one row per partner provider inherit the bound; ``wide`` applies the lower limit for such tables
+    that carry names and cities (the city map) instead of ids only.
+    """
     p = ctx.params
-    return ctx.fits_broadcast(_partner_dim(ctx), f"partner:{p.country}:{p.partner_group}")
+    limit = p.broadcast_wide_row_limit if wide else p.broadcast_row_limit
+    return ctx.fits_broadcast(_partner_dim(ctx), f"partner:{p.country}:{p.partner_group}", limit)
 
 
 def partner_providers(ctx: KpiContext) -> DataFrame:

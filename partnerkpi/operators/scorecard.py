@@ -113,9 +113,10 @@ class Scorecard:
 
     @cached_property
     def city_map(self) -> DataFrame:
-        """Provider -> MAX city/name; one row per partner provider, whose count passed the broadcast check."""
+        """Provider -> MAX city/name: one row per partner provider, broadcast only when that count is within the
+        wide-table bound; beyond it the joins on provider_id shuffle."""
         cm = provider_city_history(self.ctx)
-        return F.broadcast(cm) if partner_is_bounded(self.ctx) else cm
+        return F.broadcast(cm) if partner_is_bounded(self.ctx, wide=True) else cm
 
     @cached_property
     def business(self) -> DataFrame:

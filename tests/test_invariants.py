@@ -57,3 +57,15 @@ def test_staged_equals_unstaged(small_ctx, name):
     a = sorted(map(tuple, QUERIES[name](small_ctx).collect()), key=str)
     b = sorted(map(tuple, QUERIES[name](raw).collect()), key=str)
     assert a == b
+
+
+@pytest.mark.parametrize("name", ["financial_monthly", "failed_reasons_weekly", "quality_by_bucket_month",
+                                  "benchmark_business", "store_quality", "metric_verdict"])
+def test_results_do_not_depend_on_the_broadcast_decision(small_ctx, name):
+    """With the row limits at 1 no broadcast hint is given (Catalyst/AQE pick the joins); results are the same."""
+    tight = KpiContext(small_ctx.spark, small_ctx.wh,
+                       small_ctx.params.with_(broadcast_row_limit=1, broadcast_wide_row_limit=1), staging=False)
+    assert not tight.fits_broadcast(tight.wh.dim_provider, "all-providers")
+    a = sorted(map(tuple, QUERIES[name](small_ctx).collect()), key=str)
+    b = sorted(map(tuple, QUERIES[name](tight).collect()), key=str)
+    assert a == b
