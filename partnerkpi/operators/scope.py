@@ -113,10 +113,14 @@ def partner_slice(ctx: KpiContext, where: Column | None = None) -> DataFrame:
 
 
 def partner_weekly(ctx: KpiContext, where: Column | None = None) -> DataFrame:
-    """The partner's weekly metric rows over the union of stamp windows, staged once per run."""
+    """The partner's weekly metric rows over the union of stamp windows, staged once per run.
+
+    Bounded by (partner providers x weeks in the windows) and read from the per-provider metric table, not the order
+    fact, so it is persisted rather than written; a lost executor recomputes it from one pruned scan.
+    """
     s, e = stamp_window(ctx.params)
     t = ctx.stage("partner_weekly", lambda: partner_metrics(ctx, ctx.wh.provider_weekly, ts_between("ts", s, e)),
-                  sort_by=["ts"], rebalance=True)
+                  mode="persist")
     return t if where is None else t.where(where)
 
 

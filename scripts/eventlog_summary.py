@@ -1,0 +1,51 @@
+"""Summarize a Spark event log per query: wall time, jobs, time with a job running, driver-only time.
+
+usage: python scripts/eventlog_summary.py <dir>   (the dir holds the eventlog_v2_* folder and marks.json, a JSON list
+of [query, start_epoch_s, end_epoch_s] written by the run being measured)
+"""
+
+import json, glob, sys, collections
+D = sys.argv[1]
+marks = json.load(open(f"{D}/marks.json"))
+files = sorted(glob.glob(f"{D}/eventlog_v2_*/*"))
+jobs = {}
+stages = {}
+tasks = collections.defaultdict(float)
+import io, zstandard
+def lines(f):
+    if f.endswith(".zstd"):
+        with open(f, "rb") as fh:
+            r = zstandard.ZstdDecompressor().stream_reader(fh, read_across_frames=True)
+            yield from io.TextIOWrapper(r, encoding="utf-8")
+    else:
+        yield from open(f)
+for f in files:
+    if "appstatus" in f:
+        continue
+    for line in lines(f):
+        e = json.loads(line)
+        ev = e.get("Event")
+        if ev == "SparkListenerJobStart":
+            jobs[e["Job ID"]] = [e["Submission Time"] / 1000, None, len(e.get("Stage IDs", []))]
+        elif ev == "SparkListenerJobEnd":
+            jobs[e["Job ID"]][1] = e["Completion Time"] / 1000
+        elif ev == "SparkListenerTaskEnd":
+            m = e.get("Task Metrics") or {}
+            tasks[e["Stage ID"]] += m.get("Executor Run Time", 0) / 1000
+            stages.setdefault(e["Stage ID"], 0)
+            stages[e["Stage ID"]] += 1
+tot_q = tot_j = 0
+for n, t0, t1 in marks:
+    js = [(a, b) for a, b, _ in jobs.values() if b and a >= t0 and b <= t1 + 0.01]
+    # union of job intervals
+    iv = sorted(js); busy = 0; cur = None
+    for a, b in iv:
+        if cur is None or a > cur[1]:
+            if cur: busy += cur[1] - cur[0]
+            cur = [a, b]
+        else:
+            cur[1] = max(cur[1], b)
+    if cur: busy += cur[1] - cur[0]
+    tot_q += t1 - t0; tot_j += busy
+    print(f"{n:32s} wall {t1-t0:6.2f} jobs {len(js):3d} job-busy {busy:6.2f} driver-only {t1-t0-busy:6.2f}")
+print("total wall", round(tot_q, 2), "job busy", round(tot_j, 2), "stages", len(stages), "task run time sum", round(sum(tasks.values()), 2))
