@@ -16,7 +16,7 @@ from ..context import KpiContext
 from ..functions.calendar import ts_half_open
 from ..functions.measures import finish_pair, mart, round_half_up
 from .buckets import bucketize
-from .scope import partner_weekly
+from .scope import partner_is_bounded, partner_weekly
 from .scorecard import Scorecard, _sc
 
 # Store columns (key, direction, display format); direction 0 = not scored.
@@ -74,6 +74,8 @@ def _store_quality(ctx: KpiContext, sc: Scorecard) -> DataFrame:
         .agg(finish_pair(F.sum(F.col("adjustment_value") * F.col("adjustment_weight")),
                          F.sum("adjustment_weight"), pct=True).alias("replacement"))
     )
+    # one narrow row per partner provider: broadcast behind the partner's row check, so the monthly rows never shuffle
+    adj = F.broadcast(adj) if partner_is_bounded(ctx) else adj
     rows = ctx.wh.provider_monthly.where(_bench_window(ctx)).join(cm, "provider_id").join(adj, "provider_id", "left")
     aggs = [F.sum("delivered_orders").cast("long").alias("orders")]
     for key, rate, pct in _STORE_RATES:
