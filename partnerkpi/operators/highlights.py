@@ -56,6 +56,12 @@ def _trend(sc: Scorecard, metric_key: str) -> DataFrame:
     return trends(sc.ctx, sc).where(F.col("metric_key") == metric_key)
 
 
+def trend_pct(first, last):
+    """|last - first| / first in whole percent (half-up); 0 when the first value is 0."""
+    return F.when(first != 0, round_half_up(safe_div(F.abs(last - first), first) * 100, 0)).otherwise(
+        F.lit(0.0)).cast("long")
+
+
 def _as_int_text(c):
     return round_half_up(c, 0).cast("long").cast("string")
 
@@ -65,7 +71,7 @@ def highlight_orders_trend(ctx: KpiContext, sc: Scorecard | None = None) -> Data
     t = _trend(_sc(ctx, sc), "Orders")
     a1, a2 = F.col("first_value"), F.col("last_value")
     up = a2 >= a1
-    pct = F.when(a1 != 0, round_half_up(safe_div(F.abs(a2 - a1), a1) * 100, 0)).otherwise(F.lit(0.0)).cast("long")
+    pct = trend_pct(a1, a2)
     text = F.concat(
         F.lit("Orders "), _as_int_text(a1), F.lit("→"), _as_int_text(a2),
         F.lit(" ("), F.col("m_first"), F.lit("→"), F.col("m_last"), F.lit("), "),

@@ -133,10 +133,10 @@ def store_flags(ctx: KpiContext, stores: DataFrame | None = None) -> DataFrame:
     return j.select("addr", "city", "bucket", *STORE_KEYS, flags.cast("long").alias("flags"))
 
 
-def worst_stores(ctx: KpiContext) -> DataFrame:
+def worst_stores(ctx: KpiContext, flags: DataFrame | None = None) -> DataFrame:
     """Q39: top N by flags, then late (NULL as 0); later ties by orders, name, city."""
     return (
-        store_flags(ctx)
+        (store_flags(ctx) if flags is None else flags)
         .orderBy(F.desc("flags"), F.desc(F.coalesce(F.col("late"), F.lit(0.0))), F.desc("orders"), "addr", "city")
         .limit(ctx.params.worst_stores)
     )

@@ -233,5 +233,16 @@ def test_ranking_puts_nulls_last_both_ways(spark):
 
 
 def test_worst_stores_treat_null_late_as_zero(spark):
-    c = ctx(spark, _store_wh(spark), PARAMS.with_(worst_stores=1))
-    assert stores.worst_stores(c).count() == 1
+    c = ctx(spark, warehouse(spark, [provider(2)]), PARAMS.with_(worst_stores=2))
+    flags = spark.createDataFrame(
+        [("a", "A", "A", 9, None, 3), ("b", "A", "A", 1, 0.5, 3), ("c", "A", "A", 5, None, 3), ("d", "A", "A", 1, 9.0, 2)],
+        "addr string, city string, bucket string, orders bigint, late double, flags bigint",
+    )
+    # equal flags: b (late 0.5) before a and c (late NULL = 0); a before c by orders
+    assert rows(stores.worst_stores(c, flags), "addr") == [("b",), ("a",)]
+
+
+def test_trend_pct_is_zero_when_the_first_value_is_zero(spark):
+    df = spark.createDataFrame([(0.0, 5.0), (4.0, 5.0), (8.0, 7.0), (2.0, 2.0)], "a double, b double")
+    got = [r[0] for r in df.select(highlights.trend_pct(F.col("a"), F.col("b"))).collect()]
+    assert got == [0, 25, 13, 0]  # 12.5 rounds half-up to 13
