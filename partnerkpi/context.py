@@ -58,13 +58,14 @@ class KpiContext:
         return self._root
 
     def stage(self, name: str, build: Callable[[], DataFrame], sort_by: list[str] | None = None,
-              rebalance: bool = False, mode: str = "table") -> DataFrame:
+              rebalance: bool | list[str] = False, mode: str = "table") -> DataFrame:
         """Materialize ``build()`` once per run (when staging is on) and return it for every later use.
 
         ``mode="table"`` (stages that grow with the data or end an expensive lineage: the partner's slices, the city
         map over the order history) writes parquet to the checkpoint directory and returns a scan of it - the lineage
-        is cut there. ``rebalance`` lets AQE size the written files (no tiny or huge ones); ``sort_by`` clusters rows
-        inside each file so later range filters skip row groups.
+        is cut there. ``rebalance`` lets AQE size the written files (no tiny or huge ones; given columns, rows with
+        the same values land in the same files and skewed values are split); ``sort_by`` clusters rows inside each
+        file so later range filters skip files and row groups.
 
         ``mode="checkpoint"`` is for parts bounded by construction whose plans carry scalar subqueries (the dense
         matrix, benchmarks, trends, store flags): a reliable ``checkpoint()`` into the checkpoint directory cuts the
@@ -89,7 +90,7 @@ class KpiContext:
                 path = f"{self._stage_root()}/{name}"
                 df = build()
                 if rebalance:
-                    df = df.hint("rebalance")
+                    df = df.hint("rebalance", *([] if rebalance is True else rebalance))
                 if sort_by:
                     df = df.sortWithinPartitions(*sort_by)
                 df.write.mode("errorifexists").parquet(path)

@@ -104,7 +104,7 @@ def partner_fact(ctx: KpiContext) -> DataFrame:
     s, e = order_window(ctx.params)
     cols = [f.name for f in FACT_ORDER.fields]  # only the declared order-fact columns reach the stage
     return ctx.stage("partner_fact", lambda: partner_orders(ctx, date_between("order_date", s, e)).select(*cols),
-                     sort_by=["order_date"], rebalance=True)
+                     sort_by=["order_date"], rebalance=["order_date"])
 
 
 def partner_slice(ctx: KpiContext, where: Column | None = None) -> DataFrame:
@@ -137,4 +137,4 @@ def partner_failed_resolutions(ctx: KpiContext) -> DataFrame:
         orders = ctx.checked_broadcast(orders, "partner_failed_orders")
         return ctx.wh.resolution.join(orders, "order_id").select("order_id", "order_date", "reason", "actor_type")
 
-    return ctx.stage("partner_failed_resolutions", build, sort_by=["order_date"], rebalance=True)
+    return ctx.stage("partner_failed_resolutions", build, sort_by=["order_date"], rebalance=["order_date"])
