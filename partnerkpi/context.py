@@ -35,7 +35,6 @@ class KpiContext:
     staging: bool = True
     _fits: dict = field(default_factory=dict, repr=False)
     _stages: dict = field(default_factory=dict, repr=False)
-    _rows: dict = field(default_factory=dict, repr=False)
     _root: str | None = field(default=None, repr=False)
     _lock: threading.RLock = field(default_factory=threading.RLock, repr=False)
 
@@ -48,7 +47,6 @@ class KpiContext:
                 self.wh = wh
                 self._fits.clear()
                 self.release()
-                self._rows.clear()
                 self._root = None
 
     # ---- staging -------------------------------------------------------------------------------------------------
@@ -109,13 +107,6 @@ class KpiContext:
                     df.unpersist()
             self._stages.clear()
 
-    def staged_rows(self, name: str) -> int:
-        """Row count of a staged table (read from the written files, cheap)."""
-        with self._lock:
-            if name not in self._rows:
-                self._rows[name] = self._stages[name].agg(F.count(F.lit(1))).first()[0]
-            return self._rows[name]
-
     # ---- broadcast guard -----------------------------------------------------------------------------------------
     def bounded_count(self, df: DataFrame, key: str) -> int:
         """Row count of ``df`` capped at ``broadcast_row_limit + 1``; counted once per key (a bounded probe job)."""
