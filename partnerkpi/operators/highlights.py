@@ -116,7 +116,13 @@ def quality_gaps(ctx: KpiContext, sc: Scorecard | None = None) -> DataFrame:
     a, b, d = F.col("mean_value"), F.col("bench"), F.col("dir")
     worse = (d * (a - b)) < 0
     gaps = m.where(b.isNotNull() & (d != 0) & a.isNotNull() & worse & (F.col("metric_group") == QUALITY_GROUP))
-    w = Window.partitionBy("bucket").orderBy(F.desc("mean_value"), F.asc("metric_ord"))
+    if ctx.params.gap_order == "distance":
+        key = F.coalesce(safe_div(F.abs(a - b), F.abs(b)), F.lit(float("inf"))).desc()  # zero benchmark: farthest
+    elif ctx.params.gap_order == "mean":
+        key = F.desc("mean_value")
+    else:
+        raise ValueError(f"gap_order must be 'mean' or 'distance', not {ctx.params.gap_order!r}")
+    w = Window.partitionBy("bucket").orderBy(key, F.asc("metric_ord"))
     return gaps.withColumn("gap_rank", F.row_number().over(w)).where(F.col("gap_rank") <= ctx.params.max_gaps)
 
 

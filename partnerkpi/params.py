@@ -42,6 +42,8 @@ class ReportParams:
     top_stores: int = 15
     worst_stores: int = 6
     max_gaps: int = 4
+    # gap ranking: 'mean' (raw mean, descending - the original's order) or 'distance' (|mean - bench| / |bench|)
+    gap_order: str = "mean"
     par_band: float = 0.05
     severity_high: float = 0.6
     severity_mid: float = 0.35

@@ -246,3 +246,24 @@ def test_trend_pct_is_zero_when_the_first_value_is_zero(spark):
     df = spark.createDataFrame([(0.0, 5.0), (4.0, 5.0), (8.0, 7.0), (2.0, 2.0)], "a double, b double")
     got = [r[0] for r in df.select(highlights.trend_pct(F.col("a"), F.col("b"))).collect()]
     assert got == [0, 25, 13, 0]  # 12.5 rounds half-up to 13
+
+
+def test_gap_order_by_distance_ranks_relative_distance(spark):
+    from partnerkpi.operators.scorecard import Scorecard
+
+    means = spark.createDataFrame(
+        [("A", 11, "Total Delivery Time", 60.0, 40.0, -1, "min"), ("A", 12, "Late Delivery 10+", 30.0, 10.0, -1, "pct"),
+         ("A", 19, "Rating", 1.0, 4.0, 1, "dec")],
+        "bucket string, metric_ord bigint, metric_key string, mean_value double, bench double, dir bigint, fmt string",
+    ).withColumn("metric_group", F.lit("quality"))
+
+    class Fixed(Scorecard):
+        means = None
+
+    for order_by, want in (("mean", ["Total Delivery Time", "Late Delivery 10+", "Rating"]),
+                           ("distance", ["Late Delivery 10+", "Rating", "Total Delivery Time"])):
+        c = ctx(spark, warehouse(spark, [provider(2)]), PARAMS.with_(gap_order=order_by))
+        sc = Fixed(c)
+        sc.means = means
+        got = [r["metric_key"] for r in highlights.quality_gaps(c, sc).orderBy("gap_rank").collect()]
+        assert got == want
