@@ -37,3 +37,19 @@ def test_scorecard_round_trip_and_nested_metrics(small_ctx):
     months = back["months"].count()
     row = metrics.where("metric_key = 'Orders'").first()
     assert all(len(v) == months for v in row["brands"].asDict().values())
+
+
+def test_command_line_period_report(spark, capsys):
+    import json
+    import os
+
+    from partnerkpi.__main__ import main
+
+    out = tempfile.mkdtemp(prefix="partnerkpi-test-cli-")
+    main(["period", "--fixture", "/root/testdata/sf0.001", "--out", f"{out}/period", "--format", "json",
+          "--min-month-orders", "1"])
+    paths = json.loads(capsys.readouterr().out)
+    assert set(paths) >= {"meta", "monthly/financial", "weekly/failed_reasons", "acceptance_current", "top_stores"}
+    assert all(os.path.exists(os.path.join(p, "_SUCCESS")) for p in paths.values())
+    meta = spark.read.json(paths["meta"]).first()
+    assert (meta["as_of"], meta["weekly_start"], meta["weekly_end"]) == ("1999-07-14", "1999-06-14", "1999-07-11")
