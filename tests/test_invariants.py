@@ -85,3 +85,17 @@ def test_lost_cached_parts_are_recomputed_from_lineage(small_ctx):
     for df in persisted:  # leave the shared context as it was for later tests
         df.persist(StorageLevel.MEMORY_AND_DISK)
     assert before == after
+
+
+def test_peer_scope_without_the_partner(small_ctx):
+    p = small_ctx.params
+    incl = KpiContext(small_ctx.spark, small_ctx.wh, p, staging=False)
+    excl = KpiContext(small_ctx.spark, small_ctx.wh, p.with_(peers_exclude_partner=True), staging=False)
+    n_incl = scorecard.benchmark_business(incl).first()["orders"]
+    n_excl = scorecard.benchmark_business(excl).first()["orders"]
+    partner_grocery = (
+        partner_orders(incl, is_delivered() & date_between("order_date", p.bench_start, p.bench_end))
+        .join(small_ctx.wh.dim_provider.where("is_grocery").select("provider_id"), "provider_id", "left_semi")
+        .count()
+    )
+    assert n_incl - n_excl == partner_grocery
