@@ -43,6 +43,8 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--bench-start", type=_date, default=DEFAULT_PARAMS.bench_start)
     ap.add_argument("--bench-end", type=_date, default=DEFAULT_PARAMS.bench_end)
     ap.add_argument("--min-month-orders", type=int, default=DEFAULT_PARAMS.min_month_orders)
+    ap.add_argument("--by-partner", action="store_true",
+                    help="partition every section by country and partner group (several partners, one output root)")
     a = ap.parse_args(argv)
 
     params = DEFAULT_PARAMS.with_(
@@ -62,7 +64,7 @@ def main(argv: list[str] | None = None) -> None:
         wh = Warehouse.from_paths(spark, {t: f"{a.tables.rstrip('/')}/{t}" for t in TABLES})
         ctx = KpiContext(spark, wh, params)
     write = write_period_report if a.report == "period" else write_scorecard
-    print(json.dumps(write(ctx, a.out, a.format), indent=1))
+    print(json.dumps(write(ctx, a.out, a.format, by_partner=a.by_partner), indent=1))
 
 
 if __name__ == "__main__":

@@ -70,9 +70,15 @@ def scorecard_sections(ctx: KpiContext) -> dict[str, DataFrame]:
     }
 
 
-def write_period_report(ctx: KpiContext, out_dir: str, fmt: str = "parquet") -> dict[str, str]:
-    return write_sections(period_report_sections(ctx), out_dir, fmt)
+def _partition(ctx: KpiContext, by_partner: bool) -> dict[str, str] | None:
+    return {"country": ctx.params.country, "partner_group": ctx.params.partner_group} if by_partner else None
 
 
-def write_scorecard(ctx: KpiContext, out_dir: str, fmt: str = "parquet") -> dict[str, str]:
-    return write_sections(scorecard_sections(ctx), out_dir, fmt)
+def write_period_report(ctx: KpiContext, out_dir: str, fmt: str = "parquet", by_partner: bool = False) -> dict[str, str]:
+    """Write all period-report sections; ``by_partner`` partitions them by (country, partner_group)."""
+    return write_sections(period_report_sections(ctx), out_dir, fmt, partition=_partition(ctx, by_partner))
+
+
+def write_scorecard(ctx: KpiContext, out_dir: str, fmt: str = "parquet", by_partner: bool = False) -> dict[str, str]:
+    """Write all scorecard sections; ``by_partner`` partitions them by (country, partner_group)."""
+    return write_sections(scorecard_sections(ctx), out_dir, fmt, partition=_partition(ctx, by_partner))

@@ -30,12 +30,23 @@ def to_mart(df: DataFrame) -> DataFrame:
 
 
 def write_sections(sections: Mapping[str, DataFrame], out_dir: str, fmt: str = "parquet",
-                   mode: str = "errorifexists") -> dict[str, str]:
-    """Write every section as its own dataset under ``out_dir``; returns section -> path."""
+                   mode: str = "errorifexists", partition: Mapping[str, str] | None = None) -> dict[str, str]:
+    """Write every section as its own dataset under ``out_dir``; returns section -> path.
+
+    With ``partition`` (e.g. ``{"country": "xa", "partner_group": "P0"}``) each section gets those columns and is
+    written partitioned by them with dynamic partition overwrite: runs for several partners share one output root and
+    a rerun replaces only its own partition.
+    """
     paths = {}
     for name, df in sections.items():
         path = f"{out_dir.rstrip('/')}/{name}"
-        to_mart(df).write.mode(mode).format(fmt).save(path)
+        out = to_mart(df)
+        if partition:
+            out = out.select(*out.columns, *[F.lit(v).alias(k) for k, v in partition.items() if k not in out.columns])
+            (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy(*partition).format(fmt).save(path))
+        else:
+            out.write.mode(mode).format(fmt).save(path)
         paths[name] = path
     return paths
 

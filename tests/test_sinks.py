@@ -53,3 +53,16 @@ def test_command_line_period_report(spark, capsys):
     assert all(os.path.exists(os.path.join(p, "_SUCCESS")) for p in paths.values())
     meta = spark.read.json(paths["meta"]).first()
     assert (meta["as_of"], meta["weekly_start"], meta["weekly_end"]) == ("1999-07-14", "1999-06-14", "1999-07-11")
+
+
+def test_sections_partitioned_by_partner_share_one_root(small_ctx):
+    out = tempfile.mkdtemp(prefix="partnerkpi-test-bundle-")
+    other = small_ctx.with_params(partner_group="P1")
+    report.write_period_report(small_ctx, out, by_partner=True)
+    paths = report.write_period_report(other, out, by_partner=True)
+    report.write_period_report(other, out, by_partner=True)  # a rerun replaces only its own partition
+    fin = small_ctx.spark.read.parquet(paths["monthly/financial"])
+    got = {r["partner_group"]: r["n"] for r in fin.groupBy("partner_group").count().withColumnRenamed("count", "n").collect()}
+    want = {g: report.period_report_sections(c)["monthly/financial"].count()
+            for g, c in (("P0", small_ctx), ("P1", other))}
+    assert got == want
