@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..context import KpiContext
 from ..functions.calendar import MONTH, WEEK, date_between, date_half_open, month_key, period_key, stamp_key, ts_between
-from ..functions.measures import coalesce_sum, finish_pair, mart, round_half_up, safe_div, weighted_rate
+from ..functions.measures import coalesce_sum, distinct_count, finish_pair, mart, round_half_up, safe_div, weighted_rate
 from ..sources.schema import MERCHANT_SPEND, PLATFORM_SPEND
 from .scope import is_delivered, not_delivered, partner_failed_resolutions, partner_slice, partner_weekly
 
@@ -45,6 +45,7 @@ def orders_mart_plan(ctx: KpiContext, grain: str) -> DataFrame:
     s, e = _order_window(ctx, grain)
     f = partner_slice(ctx, date_between("order_date", s, e)).withColumn("period", period_key("order_date", grain))
     dl = is_delivered()
+    rsd = ctx.params.approx_distinct_rsd
 
     def dsum(c: Column | str) -> Column:
         return F.sum(F.when(dl, F.col(c) if isinstance(c, str) else c))
@@ -64,9 +65,9 @@ def orders_mart_plan(ctx: KpiContext, grain: str) -> DataFrame:
         dsum(coalesce_sum(PLATFORM_SPEND)).cast("double").alias("platform_spend"),
         dsum(coalesce_sum(MERCHANT_SPEND)).cast("double").alias("merchant_spend"),
         dcount(F.col("discount") > 0).alias("campaign_orders"),
-        F.countDistinct(F.when(dl & F.col("is_first"), F.col("user_id"))).alias("users_activated"),
-        F.countDistinct(F.when(dl, F.col("user_id"))).alias("active_users"),
-        F.countDistinct(F.when(dl, F.col("provider_id"))).alias("active_stores"),
+        distinct_count(F.when(dl & F.col("is_first"), F.col("user_id")), rsd).alias("users_activated"),
+        distinct_count(F.when(dl, F.col("user_id")), rsd).alias("active_users"),
+        distinct_count(F.when(dl, F.col("provider_id")), rsd).alias("active_stores"),
         dcount(F.col("is_honey")).alias("n_honey"),
         dcount(F.col("is_bad")).alias("n_bad"),
         dcount(F.col("is_late")).alias("n_late"),

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from ..context import KpiContext
 from ..functions.calendar import date_between, month_key, ts_half_open
-from ..functions.measures import finish_pair, mart, round_half_up, safe_div, weighted_pair
+from ..functions.measures import distinct_count, finish_pair, mart, round_half_up, safe_div, weighted_pair
 from .buckets import (
     bucketize,
     city_bucket,
@@ -124,13 +124,7 @@ class Scorecard:
 
     def _business(self) -> DataFrame:
         f = bucketize(self.ctx, scorecard_orders(self.ctx), "city_name", self.top)
-        return f.groupBy("bucket", "month").agg(
-            F.count(F.lit(1)).alias("orders"),
-            mart(F.sum("gmv_eur").cast("double")).alias("gmv_eur"),
-            F.countDistinct("user_id").alias("active_users"),
-            F.countDistinct(F.when(F.col("is_first"), F.col("user_id"))).alias("new_users"),
-            F.countDistinct("provider_id").alias("merchants"),
-        )
+        return f.groupBy("bucket", "month").agg(*_business_aggs(self.ctx.params.approx_distinct_rsd))
 
     @cached_property
     def months(self) -> DataFrame:
@@ -180,13 +174,7 @@ class Scorecard:
     def _bench_business(self) -> DataFrame:
         p = self.ctx.params
         f = peer_orders(self.ctx, is_delivered() & date_between("order_date", p.bench_start, p.bench_end))
-        return f.agg(
-            F.count(F.lit(1)).alias("orders"),
-            mart(F.sum("gmv_eur").cast("double")).alias("gmv_eur"),
-            F.countDistinct("user_id").alias("active_users"),
-            F.countDistinct(F.when(F.col("is_first"), F.col("user_id"))).alias("new_users"),
-            F.countDistinct("provider_id").alias("merchants"),
-        )
+        return f.agg(*_business_aggs(p.approx_distinct_rsd))
 
     @cached_property
     def bench_quality(self) -> DataFrame:
@@ -286,6 +274,17 @@ class Scorecard:
         return self.ctx.stage("sc_means", build, mode="persist")
 
 
+def _business_aggs(rsd: float | None) -> list:
+    """Orders, GMV EUR and the three distinct counts (exact unless an HLL error is requested)."""
+    return [
+        F.count(F.lit(1)).alias("orders"),
+        mart(F.sum("gmv_eur").cast("double")).alias("gmv_eur"),
+        distinct_count("user_id", rsd).alias("active_users"),
+        distinct_count(F.when(F.col("is_first"), F.col("user_id")), rsd).alias("new_users"),
+        distinct_count("provider_id", rsd).alias("merchants"),
+    ]
+
+
 def _w2(rate: str, pct: bool):
     return finish_pair(F.sum(F.col(f"{rate}_value") * F.col(f"{rate}_weight")), F.sum(f"{rate}_weight"), pct)
 

@@ -49,6 +49,8 @@ class ReportParams:
     severity_mid: float = 0.35
     # peer scope: the partner's own providers are part of it unless this is set
     peers_exclude_partner: bool = False
+    # opt-in HyperLogLog distinct counts (relative standard deviation); None = exact, as the original
+    approx_distinct_rsd: float | None = None
     # a join side is broadcast only after a count proves it has at most this many rows (narrow id lists) ...
     broadcast_row_limit: int = 2_000_000
     # ... or this many for wide per-provider tables (ids with names and cities, ~60 bytes a row)
