@@ -66,3 +66,20 @@ def test_sections_partitioned_by_partner_share_one_root(small_ctx):
     want = {g: report.period_report_sections(c)["monthly/financial"].count()
             for g, c in (("P0", small_ctx), ("P1", other))}
     assert got == want
+
+
+def test_warehouse_from_catalog_tables_gives_the_same_results(small_ctx):
+    from partnerkpi.context import KpiContext
+    from partnerkpi.plans.registry import QUERIES
+    from partnerkpi.sources.catalog import TABLES, Warehouse
+
+    names = {}
+    for t in TABLES:
+        getattr(small_ctx.wh, t).createOrReplaceTempView(f"pk_test_{t}")
+        names[t] = f"pk_test_{t}"
+    wh = Warehouse.from_tables(small_ctx.spark, names)
+    ctx = KpiContext(small_ctx.spark, wh, small_ctx.params)
+    for q in ("financial_weekly", "metric_verdict"):
+        a = sorted(map(tuple, QUERIES[q](small_ctx).collect()), key=str)
+        b = sorted(map(tuple, QUERIES[q](ctx).collect()), key=str)
+        assert a == b, q
