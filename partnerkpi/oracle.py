@@ -152,6 +152,8 @@ def _store_cols_values() -> str:
 
 
 def build(p: ReportParams = DEFAULT_PARAMS) -> dict[str, str]:
+    if p.approx_distinct_rsd is not None:
+        raise ValueError("the oracle is exact: approximate distinct counts have no oracle")
     scopes = f"""
 partner AS (SELECT provider_id FROM dim_provider WHERE country_code = '{p.country}' AND group_name = '{p.partner_group}'),
 peers AS (SELECT provider_id FROM dim_provider WHERE country_code = '{p.country}' AND is_grocery
@@ -419,10 +421,12 @@ FROM {trend("Orders")}"""
 FROM {trend("New Users")}"""
     item_val = (f"CASE fmt WHEN 'min' THEN {whole('mean_value')} || ' min' WHEN 'pct' THEN {whole('mean_value')} || '%' "
                 f"WHEN 'dec' THEN printf('%.2f', {rhu('mean_value', 2)}) ELSE {whole('mean_value')} END")
+    gap_key = ("mean_value" if p.gap_order == "mean"
+               else f"COALESCE({sdiv('abs(mean_value - bench)', 'abs(bench)')}, CAST('infinity' AS DOUBLE))")
     gaps = f"""SELECT bucket, 'crit' AS level, 'Where to improve' AS kind,
   'Biggest gaps with the market: ' || string_agg(item, '; ' ORDER BY gap_rank) || '.' AS text, COUNT(*) AS n_gaps
 FROM (SELECT bucket, metric_key || ' (' || {item_val} || ')' AS item,
-        row_number() OVER (PARTITION BY bucket ORDER BY mean_value DESC, metric_ord) AS gap_rank
+        row_number() OVER (PARTITION BY bucket ORDER BY {gap_key} DESC, metric_ord) AS gap_rank
       FROM means
       WHERE bench IS NOT NULL AND dir <> 0 AND mean_value IS NOT NULL AND dir * (mean_value - bench) < 0
         AND metric_group = 'quality')
