@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, simhash
+from . import bpe, decontam, simhash, suffix_dedup
 from .common import read_table
 
 
@@ -34,9 +34,51 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hit words and items of every document, for windows of 10 words."""
+    found = decontam.contamination(
+        read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), n=10
+    )
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size(decontam.hit_words()).cast("long").alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        (F.size("hits") > 0).alias("contaminated"),
+    )
+
+
+def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Maximal passages of 50 words or more that another document holds too, with the first holder."""
+    return suffix_dedup.repeated_passages(read_table(spark, sf_dir, "documents"), min_words=50)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op3_byte_bpe": op3_byte_bpe,
+    "op5_benchmark_decontamination": op5_benchmark_decontamination,
+    "op9_suffix_array_dedup": op9_suffix_array_dedup,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+_OP5_WORDS = r"""list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+  'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op5_benchmark_decontamination": f"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, {_OP5_WORDS} AS w FROM documents),
+b AS (SELECT item_id, {_OP5_WORDS} AS w FROM benchmark),
+win AS (SELECT DISTINCT item_id, least(len(w), 10) AS k, w[i : i + least(len(w), 10) - 1] AS g
+  FROM (SELECT item_id, w, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i FROM b WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT k FROM win),
+grams AS (SELECT r, k, i, w[i : i + k - 1] AS g
+  FROM (SELECT r, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM d, sizes WHERE len(w) >= k)),
+hit AS (SELECT r, grams.k, i, item_id FROM grams JOIN win ON grams.k = win.k AND grams.g = win.g),
+pos AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + k)) AS p FROM hit) GROUP BY r),
+ids AS (SELECT r, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS id_list
+  FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS id FROM hit) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+  CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(id_list, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN pos USING (r) LEFT JOIN ids USING (r)""",
+}
