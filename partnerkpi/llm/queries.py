@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, simhash, suffix_dedup
-from .common import read_table
+from . import bpe, decontam, quality_crf, simhash, suffix_dedup
+from .common import id_bucket, read_table
 
 
 def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,6 +49,21 @@ def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+def training_labels(spark: SparkSession, sf_dir: str, mod: int = 5) -> DataFrame:
+    """The labelled rows that may be learned from: crc32 of the doc_id as text, modulo ``mod``, is not 0."""
+    return read_table(spark, sf_dir, "labels").where(id_bucket(mod) != 0)
+
+
+def op6_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, trained on the labelled rows outside the held-out fifth."""
+    docs = read_table(spark, sf_dir, "documents")
+    model = quality_crf.fit(docs, training_labels(spark, sf_dir), label="quality")
+    scored = docs.select("doc_id", quality_crf.score_column(model).alias("score"))
+    return scored.select(
+        "doc_id", (id_bucket(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )
+
+
 def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Maximal passages of 50 words or more that another document holds too, with the first holder."""
     return suffix_dedup.repeated_passages(read_table(spark, sf_dir, "documents"), min_words=50)
@@ -58,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op3_byte_bpe": op3_byte_bpe,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
+    "op6_quality_crf": op6_quality_crf,
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
 }
 

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import text_or_empty, written
 from .components import connected_components
 
 SEED = 42
@@ -265,16 +265,48 @@ def links(fps: DataFrame, max_bits: int = 4, block_rows: int = BLOCK_ROWS) -> Da
 def near_duplicates(
     docs: DataFrame, shingle_words: int = 4, max_bits: int = 4, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """(doc_id, fp, component_id) of every row: the smallest doc_id reachable over links, its own class included."""
-    prints = written(docs.select(F.col(doc_id).alias("doc_id"), fingerprint_column(text, shingle_words).alias("fp")), "prints")
+    """(doc_id, text_key, fp, label, component_id) of every row.
+
+    ``component_id``: the smallest doc_id reachable over links, its own class included; ``label``: a fingerprint that
+    names the component; ``text_key``: hash of the text, which tells rows of one doc_id apart.
+    """
+    prints = written(
+        docs.select(
+            F.col(doc_id).alias("doc_id"),
+            F.xxhash64(text_or_empty(text)).alias("text_key"),
+            fingerprint_column(text, shingle_words).alias("fp"),
+        ),
+        "prints",
+    )
     classes = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
     label = connected_components(links(classes, max_bits))
     named = classes.join(label, F.col("node") == F.col("fp"), "left").select(
         "fp", "least", F.coalesce("label", "fp").alias("label")
     )
     component = named.groupBy("label").agg(F.min("least").alias("component_id"))
-    by_print = named.join(component, "label").select("fp", "component_id")
-    return prints.join(by_print, "fp").select("doc_id", "fp", "component_id")
+    by_print = named.join(component, "label").select("fp", "label", "component_id")
+    return prints.join(by_print, "fp").select("doc_id", "text_key", "fp", "label", "component_id")
+
+
+def keep_one(docs: DataFrame, shingle_words: int = 4, max_bits: int = 4) -> DataFrame:
+    """One document of each component, all columns kept: the least doc_id (null last), then the least text hash.
+
+    Only ids and hashes are grouped; the texts are filtered by an ordinary join. Rows equal in doc_id and text count as
+    one document.
+    """
+    found = written(near_duplicates(docs, shingle_words, max_bits), "components")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
+    first = found.groupBy("label").agg(F.min(order).alias("w")).select("w.doc_id", "w.text_key")
+    times = found.groupBy("doc_id", "text_key").agg(F.count("*").alias("n"))
+    winners = first.join(
+        times.select(F.col("doc_id").alias("t_id"), F.col("text_key").alias("t_key"), "n"),
+        F.col("doc_id").eqNullSafe(F.col("t_id")) & (F.col("text_key") == F.col("t_key")),
+    ).select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), "n")
+    winners = written(winners, "winners")
+    same = docs["doc_id"].eqNullSafe(F.col("__id")) & (F.xxhash64(text_or_empty()) == F.col("__key"))
+    single = docs.join(winners.where("n = 1"), same, "left_semi")
+    repeated = docs.join(winners.where("n > 1"), same, "left_semi").dropDuplicates(["doc_id", "text"])
+    return single.unionAll(repeated)
 
 
 def fingerprint_hex(fp: str = "fp") -> Column:
