@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, quality_crf, simhash, suffix_dedup
+from . import bpe, decontam, quality_crf, simhash, suffix_dedup, toxicity
 from .common import id_bucket, read_table
 
 
@@ -69,12 +69,23 @@ def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.repeated_passages(read_table(spark, sf_dir, "documents"), min_words=50)
 
 
+def op10_toxicity_string_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, trained on the labelled rows outside the held-out fifth."""
+    docs = read_table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, training_labels(spark, sf_dir), label="toxic")
+    scored = docs.select("doc_id", toxicity.score_column(model).alias("score"))
+    return scored.select(
+        "doc_id", (id_bucket(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op3_byte_bpe": op3_byte_bpe,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op6_quality_crf": op6_quality_crf,
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
+    "op10_toxicity_string_kernel": op10_toxicity_string_kernel,
 }
 
 _OP5_WORDS = r"""list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
