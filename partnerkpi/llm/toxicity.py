@@ -12,14 +12,14 @@ be listed, the machine folds into one weight per subsequence, and scoring is a l
 vectorised over all words of a batch.
 
 Labels name documents, so the sentences of a toxic document are labelled in rounds (multiple-instance learning): all
-sentences of clean documents are clean; of each toxic document the sentence that the machine of the round before scores
-highest is toxic, with all others beyond the margin (at first those with the words of highest log-odds); the others are
-left out. Each round also adds the clean words that it scored highest. A document's score is its highest sentence's, mapped to the chance of label 1.
+sentences of clean documents are clean; of a toxic document those are toxic that the machine of the round before scores
+beyond half the margin, by a word that no clean sentence has (at first those with a word of high log-odds), the others are left out; a toxic document without any, as a
+wrong label gives, teaches nothing. Each round also adds the clean words that it scored highest. A document's score is its highest sentence's, mapped to the chance of label 1.
 
 Training uses a bounded sample: ``max_docs`` labelled rows of each class, least by hash, of up to ``max_chars``
 characters. Scoring covers every word of every text.
 
-Defined results: null and empty texts and texts without a word of three letters get the score of the bias alone;
+Defined results: null and empty texts and texts without a word of three letters get a clean text's score;
 without training rows of both classes every score is 0; repeated rows score alike; null labels do not train; labels,
 language, source and ids are never read for a score; extra columns are kept and ignored.
 """
@@ -45,17 +45,18 @@ LANDMARKS = 160
 ROUNDS = 4
 MAX_DOCS = 2000
 MAX_CHARS = 20_000
-#: Words of at least these log-odds are toxic in the first round, beside each toxic document's best.
+#: Words of at least these log-odds are toxic in the first round.
 FIRST_ODDS = 4.0
 #: Clean words a round trains on.
 MAX_WORDS = 20_000
 
-# Letter classes: a-z, 0-9, and 28 classes for all bytes beyond ASCII; 255 is no letter.
+# Letter classes: a-z, 0-9, 26 classes for all bytes beyond ASCII, a word's begin and end; 255 is no letter.
+_BEGIN, _END = 62, 63
 _CLASS = np.full(256, 255, np.uint8)
 _CLASS[97:123] = np.arange(26)
 _CLASS[65:91] = np.arange(26)
 _CLASS[48:58] = 26 + np.arange(10)
-_CLASS[128:] = 36 + np.arange(128) % 28
+_CLASS[128:] = 36 + np.arange(128) % 26
 CODES = 1 << 18
 
 
@@ -74,7 +75,7 @@ def _norm(length: np.ndarray) -> np.ndarray:
 
 
 def letter_words(block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(letter classes of all words in a row, first letter of each word with the end added, row of each word)."""
+    """(letter classes of all words in a row, with a mark before and after each; where each word begins, and the end; row of each)."""
     starts, ends, first = block.words()
     letters = _CLASS[block.data]
     keep = letters != 255
@@ -85,8 +86,15 @@ def letter_words(block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     single = hi - lo == 1
     joins = np.zeros(len(lo), bool)
     joins[1:] = single[1:] & single[:-1] & (doc[1:] == doc[:-1])
-    own = ~joins & (hi > lo)
-    return letters[keep], np.append(lo[own], upto[-1]), doc[own]
+    own = np.flatnonzero(~joins & (hi > lo))
+    start = np.append(lo[own], upto[-1])
+    length = np.diff(start)
+    marked = np.empty(upto[-1] + 2 * len(own), np.uint8)  # each word between its marks
+    bounds = start + 2 * np.arange(len(start))
+    marked[np.arange(upto[-1]) + 2 * np.repeat(np.arange(len(own)), length) + 1] = letters[keep]
+    marked[bounds[:-1]] = _BEGIN
+    marked[bounds[1:] - 1] = _END
+    return marked, bounds, doc[own]
 
 
 def _occurrences(letters: np.ndarray, bounds: np.ndarray):
@@ -211,7 +219,7 @@ def train(texts: list[str], labels: list[int], landmarks: int = LANDMARKS, round
         raw = letters.tobytes()
         rows: list[set[bytes]] = [set() for _ in range(block.rows)]
         for d, s, e in zip(doc.tolist(), bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-            if e - s >= 3:
+            if e - s >= 5:  # three letters and the marks
                 rows[d].add(raw[s:e])
         bags.extend(sorted(r) for r in rows)
     count = [Counter(), Counter()]
@@ -226,8 +234,11 @@ def train(texts: list[str], labels: list[int], landmarks: int = LANDMARKS, round
     base = marks.kernel(marks.words)
     val, vec = np.linalg.eigh(base)
     root = vec @ np.diag(1 / np.sqrt(np.maximum(val, 1e-3))) @ vec.T  # K^(-1/2), small eigenvalues held up
-    witness = [w for bag, label in zip(bags, y, strict=True) if label and bag for w in _first_witnesses(bag, odds)]
-    negatives = clean[:: max(1, len(clean) // MAX_WORDS)][:MAX_WORDS]
+    witness = [w for bag, label in zip(bags, y, strict=True) if label for w in bag if odds[w] >= FIRST_ODDS]
+    if not witness:
+        return ToxicModel(np.zeros(CODES, np.float32), 0.0, 0.0, -np.inf)
+    common = clean[: MAX_WORDS // 4]
+    negatives = sorted(set(common) | set(clean[:: max(1, len(clean) // (MAX_WORDS - len(common)))]))
     weights, bias = np.zeros(CODES, np.float32), 0.0
     all_clean = list(count[0])
     for _ in range(rounds):
@@ -236,8 +247,8 @@ def train(texts: list[str], labels: list[int], landmarks: int = LANDMARKS, round
         force = np.sqrt([pos[w] for w in words])
         z = marks.kernel(words + negatives) @ root
         label = np.concatenate([np.ones(len(words)), -np.ones(len(negatives))])
-        weight = np.concatenate([force, np.ones(len(negatives))])
-        weight[: len(words)] *= min(20.0, len(negatives) / weight[: len(words)].sum())
+        weight = np.concatenate([force, np.sqrt([count[0][w] for w in negatives])])
+        weight[: len(words)] *= weight[len(words) :].sum() / weight[: len(words)].sum()
         w, bias = svm(z, label, weight)
         weights = marks.folded(root @ w)
         scored = _word_values(all_clean, weights)
@@ -247,9 +258,7 @@ def train(texts: list[str], labels: list[int], landmarks: int = LANDMARKS, round
         for bag, lab in zip(bags, y, strict=True):
             if lab and bag:
                 v = _word_values(bag, weights)
-                if v.max() + bias > -1:  # a document without any likely insult names no witness
-                    witness.append(bag[int(v.argmax())])
-                    witness += [bag[i] for i in np.flatnonzero(v + bias > 0.5)]
+                witness += [bag[i] for i in np.flatnonzero(v + bias > 0.5) if not count[0][bag[i]]]
         if not witness:
             break
     top = _top_scores(arr, weights, bias)
@@ -257,12 +266,6 @@ def train(texts: list[str], labels: list[int], landmarks: int = LANDMARKS, round
     return ToxicModel(weights, bias, slope, shift)
 
 
-def _first_witnesses(bag: list[bytes], odds: dict[bytes, float]) -> list[bytes]:
-    """Words of a toxic document that stand for its toxic sentences before any machine is trained."""
-    top = max(bag, key=lambda w: (odds[w], w))
-    return [top] + [w for w in bag if w != top and odds[w] >= FIRST_ODDS]
-
-
 def _word_values(words: list[bytes], weights: np.ndarray) -> np.ndarray:
     letters = np.frombuffer(b"".join(words), np.uint8)
     bounds = np.concatenate([[0], np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))])
