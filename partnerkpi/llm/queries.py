@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, quality_crf, simhash, suffix_dedup, toxicity
+from . import bpe, decontam, lm_mixing, quality_crf, simhash, suffix_dedup, toxicity
 from .common import id_bucket, read_table
 
 
@@ -64,6 +64,11 @@ def op6_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_lm_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram base score and context-mixing score of every document, trained outside the held-out seventh."""
+    return lm_mixing.score(read_table(spark, sf_dir, "documents"), mod=7, rest=2)
+
+
 def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Maximal passages of 50 words or more that another document holds too, with the first holder."""
     return suffix_dedup.repeated_passages(read_table(spark, sf_dir, "documents"), min_words=50)
@@ -84,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_byte_bpe": op3_byte_bpe,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op6_quality_crf": op6_quality_crf,
+    "op7_lm_context_mixing": op7_lm_context_mixing,
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
     "op10_toxicity_string_kernel": op10_toxicity_string_kernel,
 }
