@@ -7,8 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, lm_mixing, quality_crf, simhash, suffix_dedup, toxicity
-from .common import id_bucket, read_table
+from . import (
+    bpe,
+    decontam,
+    language_id,
+    lm_mixing,
+    quality_crf,
+    quality_rules,
+    simhash,
+    suffix_dedup,
+    token_rollup,
+    toxicity,
+)
+from .common import id_bucket, read_table, scratch_dir
 
 
 def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,6 +28,13 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.fingerprint_hex("fp").alias("fingerprint"), "component_id")
 
 
+def op2_language_evidence_fusion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every page, the text model trained on the documents' languages."""
+    model = language_id.fit(read_table(spark, sf_dir, "documents"))
+    found = language_id.identify(read_table(spark, sf_dir, "pages"), model)
+    return found.select("page_id", "host", "declared", "suffix", "text_lang", "language", F.round("confidence", 6).alias("confidence"))
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts and digests of the ids and of the decoded bytes of every document."""
     import public_tokenizers
@@ -34,6 +52,14 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_quality_rules_mcd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base statistics and verdict of every document."""
+    found = quality_rules.judged(read_table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance"
+    )
+
+
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hit words and items of every document, for windows of 10 words."""
     found = decontam.contamination(
@@ -69,6 +95,27 @@ def op7_lm_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_mixing.score(read_table(spark, sf_dir, "documents"), mod=7, rest=2)
 
 
+def op8_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals by source, language and tokenizer version after five batches, one of them sent twice.
+
+    All documents are inserted under two versions; those labelled of bad quality are deleted from both; the toxic ones
+    among the others are revised from ``pieces-1`` to ``pieces-2``; two batches are folded into a base on the way.
+    """
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    labels = read_table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic"))
+    bad = docs.join(labels.where("quality = 0"), "doc_id", "left_semi")
+    toxic = docs.join(labels.where("quality = 1 and toxic = 1"), "doc_id", "left_semi")
+    store = token_rollup.TokenRollup(spark, scratch_dir(spark))
+    store.commit("words", token_rollup.deltas(docs, "words-1", "insert"))
+    store.commit("pieces", token_rollup.deltas(docs, "pieces-1", "insert"))
+    base = store.compact("first", ["words", "pieces"])
+    gone = token_rollup.deltas(bad, "words-1", "delete").unionAll(token_rollup.deltas(bad, "pieces-1", "delete"))
+    store.commit("bad-quality", gone)
+    store.commit("bad-quality", gone)  # sent again: no effect
+    store.commit("recount", token_rollup.revision(toxic, "pieces-1", "pieces-2"))
+    return store.totals(["words", "pieces", "bad-quality", "recount"], base)
+
+
 def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Maximal passages of 50 words or more that another document holds too, with the first holder."""
     return suffix_dedup.repeated_passages(read_table(spark, sf_dir, "documents"), min_words=50)
@@ -86,10 +133,13 @@ def op10_toxicity_string_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
+    "op2_language_evidence_fusion": op2_language_evidence_fusion,
     "op3_byte_bpe": op3_byte_bpe,
+    "op4_quality_rules_mcd": op4_quality_rules_mcd,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op6_quality_crf": op6_quality_crf,
     "op7_lm_context_mixing": op7_lm_context_mixing,
+    "op8_token_rollup": op8_token_rollup,
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
     "op10_toxicity_string_kernel": op10_toxicity_string_kernel,
 }
@@ -114,4 +164,15 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
   CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(id_list, '')) AS items_sha256,
   coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN pos USING (r) LEFT JOIN ids USING (r)""",
+    "op8_token_rollup": r"""
+WITH l AS (SELECT doc_id, min(quality) AS quality, max(toxic) AS toxic FROM labels GROUP BY doc_id),
+c AS (SELECT source, lang, coalesce(quality = 0, false) AS bad, coalesce(quality = 1 AND toxic = 1, false) AS moved,
+  len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS w1,
+  len(regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[0-9]+|[^\x00-\x7F]+')) AS p1,
+  len(regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[0-9]|[^\x00-\x7F]+')) AS p2
+  FROM documents LEFT JOIN l USING (doc_id)),
+t AS (SELECT source, lang, 'words-1' AS version, w1 AS n FROM c WHERE NOT bad
+  UNION ALL SELECT source, lang, 'pieces-1', p1 FROM c WHERE NOT bad AND NOT moved
+  UNION ALL SELECT source, lang, 'pieces-2', p2 FROM c WHERE moved)
+SELECT source, lang, version, count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_tokens FROM t GROUP BY ALL""",
 }
