@@ -28,13 +28,15 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import text_or_empty, written
 from .components import connected_components
 
 SEED = 42
+#: Stands for a null doc_id in join keys.
+_NO_ID = -(1 << 63)
 #: An anchor's fingerprints are compared in blocks of at most about so many.
 BLOCK_ROWS = 8192
 #: Candidate pairs held at once while comparing.
@@ -294,19 +296,15 @@ def keep_one(docs: DataFrame, shingle_words: int = 4, max_bits: int = 4) -> Data
     Only ids and hashes are grouped; the texts are filtered by an ordinary join. Rows equal in doc_id and text count as
     one document.
     """
-    found = written(near_duplicates(docs, shingle_words, max_bits), "components")
+    found = near_duplicates(docs, shingle_words, max_bits)
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
-    first = found.groupBy("label").agg(F.min(order).alias("w")).select("w.doc_id", "w.text_key")
-    times = found.groupBy("doc_id", "text_key").agg(F.count("*").alias("n"))
-    winners = first.join(
-        times.select(F.col("doc_id").alias("t_id"), F.col("text_key").alias("t_key"), "n"),
-        F.col("doc_id").eqNullSafe(F.col("t_id")) & (F.col("text_key") == F.col("t_key")),
-    ).select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), "n")
-    winners = written(winners, "winners")
-    same = docs["doc_id"].eqNullSafe(F.col("__id")) & (F.xxhash64(text_or_empty()) == F.col("__key"))
-    single = docs.join(winners.where("n = 1"), same, "left_semi")
-    repeated = docs.join(winners.where("n > 1"), same, "left_semi").dropDuplicates(["doc_id", "text"])
-    return single.unionAll(repeated)
+    winners = found.groupBy("label").agg(F.min(order).alias("w")).select(
+        F.coalesce("w.doc_id", F.lit(_NO_ID)).alias("__id"), F.col("w.text_key").alias("__key")
+    )
+    keyed = docs.withColumn("__id", F.coalesce("doc_id", F.lit(_NO_ID))).withColumn("__key", F.xxhash64(text_or_empty()))
+    once = Window.partitionBy("__id", "__key").orderBy("__key")  # the join's own partitioning: no further shuffle
+    kept = keyed.join(winners, ["__id", "__key"], "left_semi").withColumn("__nth", F.row_number().over(once))
+    return kept.where("__nth = 1").select(*docs.columns)
 
 
 def fingerprint_hex(fp: str = "fp") -> Column:

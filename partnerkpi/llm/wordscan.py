@@ -9,7 +9,10 @@ import numpy as np
 import pyarrow as pa
 
 #: Texts are scanned in blocks of about this many bytes (one longer text is a block of its own).
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 512 << 10
+
+# Freed Arrow buffers go back to the system, so that a worker's memory follows its current batch.
+pa.set_memory_pool(pa.system_memory_pool())
 
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INV = np.uint64(pow(int(_BASE), -1, 1 << 64))
