@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from partnerkpi.llm import bpe, decontam, quality_crf, simhash, suffix_dedup
-from partnerkpi.llm.common import read_table, written
+from partnerkpi.llm.common import read_table, ship_code, written
 from partnerkpi.llm.queries import training_labels
 
 #: Documents of a lower quality score are rejected (the cut of op6's ``predicted``).
@@ -61,6 +61,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages, one after another, over the whole documents table."""
+    ship_code(spark)
     docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = written(stage(spark, docs, sf_dir), name)

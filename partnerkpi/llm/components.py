@@ -20,7 +20,7 @@ def _min_neighbour(directed: DataFrame) -> DataFrame:
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60) -> DataFrame:
     """(node, label) for every node of ``edges``; self-loops and repeated edges do no harm, an empty list gives no rows."""
     e = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u <> v").distinct()
-    e = written(e, "edges")
+    e = written(e, "edges", small=True)
     for _ in range(max_rounds):
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = (
@@ -38,7 +38,7 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
             .where("u <> v")
             .distinct()
         )
-        nxt = written(small, "edges")
+        nxt = written(small, "edges", small=True)
         # every node is tied to one other, and that one to none: the stars are the components
         tied = nxt.groupBy("u").agg(F.count("*").alias("n"))
         open_ends = tied.where("n > 1").select("u").union(nxt.select("v").join(tied.select(F.col("u").alias("v")), "v", "left_semi"))

@@ -94,7 +94,7 @@ def contamination(
 
     ``text_key`` tells texts under one doc_id apart.
     """
-    windows = written(benchmark_windows(benchmark, n, item_id), "windows")
+    windows = written(benchmark_windows(benchmark, n, item_id), "windows", small=True)
     stats = windows.agg(F.count("*").alias("n"), F.sort_array(F.collect_set("size")).alias("sizes")).first()
     sets = max(1, -(-stats["n"] // max_windows))
     base = docs.select(

@@ -152,7 +152,7 @@ def estimates(vectors: DataFrame, coverage: float = COVERAGE, steps: int = STEPS
     """(pool, centre, inverse, scale) of every pool of ``vectors`` (pool, x): the minimum covariance determinant."""
     d = len(VECTOR)
     median = [F.percentile_approx(F.col("x")[i], 0.5, 2000).alias(f"m{i}") for i in range(d)]
-    mid = written(vectors.groupBy("pool").agg(*median), "medians")
+    mid = written(vectors.groupBy("pool").agg(*median), "medians", small=True)
     spread = vectors.join(mid, "pool").groupBy("pool").agg(
         *[F.percentile_approx(F.abs(F.col("x")[i] - F.col(f"m{i}")), 0.5, 2000).alias(f"v{i}") for i in range(d)]
     )
@@ -163,7 +163,7 @@ def estimates(vectors: DataFrame, coverage: float = COVERAGE, steps: int = STEPS
         F.array(*[weight[i] if i == j else F.lit(0.0) for i in range(d) for j in range(d)]).alias("inverse"),
     )
     for step in range(steps):
-        now = written(now, f"step{step}")
+        now = written(now, f"step{step}", small=True)
         far = vectors.join(now, "pool").select("pool", "x", _distance().alias("d2"))
         near = far.join(far.groupBy("pool").agg(F.percentile_approx("d2", coverage, 2000).alias("cut")), "pool").where("d2 <= cut")
         sums = [F.sum(F.col("x")[i]).alias(f"s{i}") for i in range(d)]
@@ -171,7 +171,7 @@ def estimates(vectors: DataFrame, coverage: float = COVERAGE, steps: int = STEPS
         now = near.groupBy("pool").agg(F.count("*").alias("n"), *sums, *products).mapInArrow(
             _inverses, "pool string, centre array<double>, inverse array<double>"
         )
-    now = written(now, "mcd")
+    now = written(now, "mcd", small=True)
     far = vectors.join(now, "pool").groupBy("pool").agg(F.percentile_approx(_distance(), 0.5, 2000).alias("mid"))
     scale = F.greatest(F.col("mid") / F.lit(chi_square_quantile(d, 0.0)), F.lit(1.0))
     return now.join(far, "pool").select("pool", "centre", "inverse", scale.alias("scale"))

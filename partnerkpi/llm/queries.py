@@ -19,7 +19,7 @@ from . import (
     token_rollup,
     toxicity,
 )
-from .common import id_bucket, read_table, scratch_dir
+from .common import id_bucket, read_table, scratch_dir, with_code
 
 
 def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -131,7 +131,7 @@ def op10_toxicity_string_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_language_evidence_fusion": op2_language_evidence_fusion,
     "op3_byte_bpe": op3_byte_bpe,
@@ -144,6 +144,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_toxicity_string_kernel": op10_toxicity_string_kernel,
 }
 
+QUERIES = {name: with_code(query) for name, query in _QUERIES.items()}
+
 _OP5_WORDS = r"""list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
   'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"""
 

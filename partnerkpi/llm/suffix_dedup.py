@@ -245,7 +245,7 @@ def _class_passages(docs: DataFrame, min_words: int, gram_words: int) -> tuple[D
         .agg(F.collect_set(hit).alias("hits"))
         .mapInArrow(_merge(min_words), "cid long, start int, end int, first_doc_id long, later boolean")
     )
-    return classes, written(passages, "passages")
+    return classes, written(passages, "passages", small=True)
 
 
 def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, gram_words: int = GRAM_WORDS) -> DataFrame:
