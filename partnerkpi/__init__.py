@@ -1,6 +1,6 @@
 """partnerkpi: partner KPI reporting (period report, scorecard, store scoring) as PySpark DataFrame operators."""
 
 from .context import KpiContext
-from .params import DEFAULT_PARAMS, ReportParams
+from .params import FIXTURE_PARAMS, ReportParams
 
-__all__ = ["KpiContext", "ReportParams", "DEFAULT_PARAMS"]
+__all__ = ["KpiContext", "ReportParams", "FIXTURE_PARAMS"]

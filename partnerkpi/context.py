@@ -1,131 +1,51 @@
-"""Run context: session, the five input tables, parameters, run-level staging and size-checked broadcasts."""
+"""Run context: session, the five input tables and parameters; optional reuse of parts within one report run."""
 
 from __future__ import annotations
 
-import os
-import sys
-import threading
-import time
-import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from .params import DEFAULT_PARAMS, ReportParams
-from .sources.catalog import Warehouse, checkpoint_root, fixture_warehouse
-
-_TRACE = bool(os.environ.get("PARTNERKPI_TRACE"))
+from .params import ReportParams
+from .sources.catalog import Warehouse
 
 
 @dataclass
 class KpiContext:
-    """Everything one report run needs.
+    """Everything one report run needs; it belongs to its caller.
 
-    ``stage`` writes a bounded intermediate once per run as parquet under the cluster's checkpoint directory and
-    serves later uses from there: the partner's order slice is scanned out of the fact table once instead of once per
-    KPI family, scorecard parts are shared by all outputs, and the lineage is cut (a lost executor re-reads parquet).
+    Building a query runs no job and writes nothing. With ``staging`` (a report run that writes many sections) the
+    parts that several sections share - a few rows per period, bucket or store - are persisted when a section first
+    computes them; their lineage is kept, so a lost executor recomputes what it held. ``release`` drops them.
     """
 
     spark: SparkSession
     wh: Warehouse
-    params: ReportParams = DEFAULT_PARAMS
-    staging: bool = True
-    _fits: dict = field(default_factory=dict, repr=False)
-    _stages: dict = field(default_factory=dict, repr=False)
-    _root: str | None = field(default=None, repr=False)
-    _lock: threading.RLock = field(default_factory=threading.RLock, repr=False)
+    params: ReportParams
+    staging: bool = False
+    _stages: dict[str, DataFrame] = field(default_factory=dict, repr=False)
 
     def with_params(self, **kw) -> "KpiContext":
         return KpiContext(self.spark, self.wh, self.params.with_(**kw), self.staging)
 
-    def reset(self, wh: Warehouse) -> None:
-        with self._lock:
-            if wh is not self.wh:
-                self.wh = wh
-                self._fits.clear()
-                self.release()
-                self._root = None
-
-    # ---- staging -------------------------------------------------------------------------------------------------
-    def _stage_root(self) -> str:
-        if self._root is None:
-            self._root = f"{checkpoint_root(self.spark).rstrip('/')}/partnerkpi-stages-{uuid.uuid4().hex[:12]}"
-        return self._root
-
-    def stage(self, name: str, build: Callable[[], DataFrame], sort_by: list[str] | None = None,
-              rebalance: bool | list[str] = False, mode: str = "table") -> DataFrame:
-        """Materialize ``build()`` once per run (when staging is on) and return it for every later use.
-
-        ``mode="table"`` (stages that grow with the data or end an expensive lineage: the partner's slices, the city
-        map over the order history) writes parquet to the checkpoint directory and returns a scan of it - the lineage
-        is cut there. ``rebalance`` lets AQE size the written files (no tiny or huge ones; given columns, rows with
-        the same values land in the same files and skewed values are split); ``sort_by`` clusters rows inside each
-        file so later range filters skip files and row groups.
-
-        ``mode="checkpoint"`` is for parts bounded by construction whose plans carry scalar subqueries (the dense
-        matrix, benchmarks, trends, store flags): a reliable ``checkpoint()`` into the checkpoint directory cuts the
-        lineage, so later plans scan plain rows instead of re-planning those subqueries.
-
-        ``mode="persist"`` is for the other bounded parts (marts of a few periods, bucket x month series, one-row
-        benchmark aggregates, per-store tables): persisted (memory, spilling to disk) on first use; their lineage
-        starts at written tables, so a lost executor recomputes them cheaply.
-        """
+    def stage(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """``build()``, or in a staging run one persisted copy of it for all uses."""
         if not self.staging:
             return build()
-        with self._lock:
-            if name in self._stages:
-                return self._stages[name]
-            t0 = time.perf_counter()
-            if mode == "persist":
-                self._stages[name] = build().persist(StorageLevel.MEMORY_AND_DISK)
-            elif mode == "checkpoint":
-                self._stage_root()  # makes sure a checkpoint directory is set
-                self._stages[name] = build().checkpoint(eager=True)
-            elif mode == "table":
-                path = f"{self._stage_root()}/{name}"
-                df = build()
-                if rebalance:
-                    df = df.hint("rebalance", *([] if rebalance is True else rebalance))
-                if sort_by:
-                    df = df.sortWithinPartitions(*sort_by)
-                df.write.mode("errorifexists").parquet(path)
-                self._stages[name] = self.spark.read.parquet(path)
-            else:
-                raise ValueError(f"unknown stage mode {mode!r}")
-            if _TRACE:
-                print(f"[stage] {name} ({mode}): {time.perf_counter() - t0:.3f}s", file=sys.stderr)
-            return self._stages[name]
+        if name not in self._stages:
+            self._stages[name] = build().persist(StorageLevel.MEMORY_AND_DISK)
+        return self._stages[name]
 
     def release(self) -> None:
-        """Drop the run's persisted parts and forget its stages (written tables stay for inspection)."""
-        with self._lock:
-            for df in self._stages.values():
-                if df.is_cached:
-                    df.unpersist()
-            self._stages.clear()
-
-    # ---- broadcast guard -----------------------------------------------------------------------------------------
-    def bounded_count(self, df: DataFrame, key: str) -> int:
-        """Row count of ``df`` capped at ``broadcast_row_limit + 1``; counted once per key (a bounded probe job)."""
-        with self._lock:
-            if key not in self._fits:
-                cap = self.params.broadcast_row_limit + 1
-                self._fits[key] = df.limit(cap).agg(F.count(F.lit(1))).first()[0]
-            return self._fits[key]
-
-    def fits_broadcast(self, df: DataFrame, key: str, limit: int | None = None) -> bool:
-        """Whether ``df`` has at most ``limit`` rows (default ``broadcast_row_limit``)."""
-        limit = self.params.broadcast_row_limit if limit is None else min(limit, self.params.broadcast_row_limit)
-        return self.bounded_count(df, key) <= limit
-
-    def checked_broadcast(self, df: DataFrame, key: str) -> DataFrame:
-        """Broadcast hint only behind a proven row bound; beyond it Catalyst/AQE pick a shuffle join."""
-        return F.broadcast(df) if self.fits_broadcast(df, key) else df
+        """Drop all persisted parts of the run."""
+        for df in self._stages.values():
+            df.unpersist()
+        self._stages.clear()
 
+    def __enter__(self) -> "KpiContext":
+        return self
 
-def fixture_context(spark: SparkSession, sf_dir: str, params: ReportParams = DEFAULT_PARAMS,
-                    staging: bool = True) -> KpiContext:
-    return KpiContext(spark, fixture_warehouse(spark, sf_dir), params, staging)
+    def __exit__(self, *_) -> None:
+        self.release()

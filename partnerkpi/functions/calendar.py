@@ -64,6 +64,11 @@ def ts_between(c: str | Column, start: date, end: date) -> Column:
     return (col >= ts_lit(start)) & (col <= ts_lit(end))
 
 
+def ts_from(c: str | Column, start: date) -> Column:
+    """Lower bound only, at midnight of ``start``."""
+    return (F.col(c) if isinstance(c, str) else c) >= ts_lit(start)
+
+
 def ts_half_open(c: str | Column, start: date, end_excl: date) -> Column:
     col = F.col(c) if isinstance(c, str) else c
     return (col >= ts_lit(start)) & (col < ts_lit(end_excl))

@@ -33,16 +33,6 @@ def mart(c: ColumnOrName) -> Column:
     return round_half_up(c, 6)
 
 
-def flag_count(flag: ColumnOrName) -> Column:
-    """Rows where a boolean flag is true; NULL counts as 0."""
-    return F.sum(F.when(_c(flag), F.lit(1)).otherwise(F.lit(0)))
-
-
-def flag_share_pct(flag: ColumnOrName) -> Column:
-    """Share of rows with the flag, in %, the denominator being every row (NULL flags included)."""
-    return safe_div(flag_count(flag), F.count(F.lit(1))) * 100
-
-
 def weighted_pair(value: ColumnOrName, weight: ColumnOrName, name: str) -> list[Column]:
     """Mergeable weighted rate: the two sums ``(sum v*w, sum w)`` kept apart so they roll up to any grain."""
     v, w = _c(value), _c(weight)

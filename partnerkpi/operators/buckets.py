@@ -12,13 +12,14 @@ from pyspark.sql import functions as F
 
 from ..context import KpiContext
 from ..functions.calendar import date_between, month_key
-from .scope import is_delivered, partner_orders, partner_slice
+from .scope import is_delivered, partner_orders
 
 
 def provider_city_history(ctx: KpiContext) -> DataFrame:
-    """Per partner provider: MAX city and MAX name over all its facts up to ``as_of`` (any state)."""
+    """Per partner provider: MAX city and MAX name over its whole order history (any state, any date)."""
+
     def build() -> DataFrame:
-        f = partner_orders(ctx, F.col("order_date") <= F.lit(ctx.params.as_of))
+        f = partner_orders(ctx)
         # MAX over strings cannot use a hash aggregate buffer (it would sort the whole history); the distinct
         # (provider, city, name) triples are reduced by a hash aggregate first, so only they are sorted. The variant
         # count (providers seen under several cities or names) keeps that distinct step in the optimized plan.
@@ -40,7 +41,7 @@ def provider_city_map(ctx: KpiContext) -> DataFrame:
 def city_orders_rank(ctx: KpiContext) -> DataFrame:
     """Q18: delivered partner orders per city in the benchmark window, descending."""
     p = ctx.params
-    f = partner_slice(ctx, is_delivered() & date_between("order_date", p.bench_start, p.bench_end))
+    f = partner_orders(ctx, is_delivered() & date_between("order_date", p.bench_start, p.bench_end))
     return (
         f.groupBy(F.col("city_name").alias("city"))
         .agg(F.count(F.lit(1)).alias("orders"))
@@ -65,7 +66,7 @@ def top_cities(ctx: KpiContext) -> DataFrame:
             F.row_number().over(Window.orderBy(F.desc("orders"), F.asc("city"))).cast("long").alias("bucket_ord"),
         )
 
-    return ctx.stage("top_cities", build, mode="persist")
+    return ctx.stage("top_cities", build)
 
 
 def city_bucket(ctx: KpiContext, top: DataFrame | None = None) -> DataFrame:
@@ -90,7 +91,7 @@ def bucketize(ctx: KpiContext, df: DataFrame, city_col: str, top: DataFrame | No
 def scorecard_orders(ctx: KpiContext) -> DataFrame:
     """Delivered partner orders in the scorecard window with their month key."""
     p = ctx.params
-    f = partner_slice(ctx, is_delivered() & date_between("order_date", p.scorecard_start, p.scorecard_end))
+    f = partner_orders(ctx, is_delivered() & date_between("order_date", p.scorecard_start, p.scorecard_end))
     return f.withColumn("month", month_key("order_date"))
 
 

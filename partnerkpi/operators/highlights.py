@@ -49,7 +49,7 @@ def trends(ctx: KpiContext, sc: Scorecard | None = None) -> DataFrame:
         )
         return t.withColumn("_span", _month_span(sc)).select("*", "_span.*").drop("_span")
 
-    return ctx.stage("sc_trends", build, mode="checkpoint")
+    return ctx.stage("sc_trends", build)
 
 
 def _trend(sc: Scorecard, metric_key: str) -> DataFrame:
@@ -127,8 +127,8 @@ def quality_gaps(ctx: KpiContext, sc: Scorecard | None = None) -> DataFrame:
 
 
 def highlight_gaps(ctx: KpiContext, sc: Scorecard | None = None) -> DataFrame:
-    """Q34: one 'crit' row per bucket with gaps; the text joins the top gaps with '; '. Persisted once per run."""
-    return ctx.stage("sc_gaps", lambda: _highlight_gaps(ctx, sc), mode="persist")
+    """Q34: one 'crit' row per bucket with gaps; the text joins the top gaps with '; '."""
+    return ctx.stage("sc_gaps", lambda: _highlight_gaps(ctx, sc))
 
 
 def _highlight_gaps(ctx: KpiContext, sc: Scorecard | None) -> DataFrame:
@@ -146,7 +146,7 @@ def _highlight_gaps(ctx: KpiContext, sc: Scorecard | None) -> DataFrame:
 
 
 def highlights(ctx: KpiContext) -> DataFrame:
-    """Q35: orders trend, new-users trend, gaps - in that order, 0 to 3 rows per bucket."""
+    """Q35: orders trend, new-users trend, gaps - in that order, 0 to 3 rows per bucket, buckets by rank."""
     sc = Scorecard(ctx)
     cols = ["bucket", "level", "kind", "text"]
     parts = [
@@ -155,4 +155,5 @@ def highlights(ctx: KpiContext) -> DataFrame:
         highlight_gaps(ctx, sc).select(*cols).withColumn("ord", F.lit(3)),
     ]
     out = parts[0].unionByName(parts[1]).unionByName(parts[2])
-    return out.select("bucket", "ord", "level", "kind", "text").orderBy("bucket", "ord")
+    rank = F.broadcast(sc.buckets.select("bucket", "bucket_ord"))  # top_cities + 1 rows
+    return out.join(rank, "bucket").select("bucket_ord", "bucket", "ord", "level", "kind", "text").orderBy("bucket_ord", "ord")

@@ -1,10 +1,9 @@
 """Period report: seven KPI families by month and by ISO week, the rolling-7-day snapshot and the top stores.
 
-Each family is one function taking ``grain`` ('month' or 'week'). The order-based families (financial,
-operational, failed orders, campaigns) share one conditional-aggregation pass per grain over the partner's staged
-order slice (``orders_mart``), and the weekly-metric families (adjustment/replacement, acceptance) share one pass of
-mergeable (sum v*w, sum w) pairs per grain (``weekly_mart``). Both marts are staged once per run, so the slice is read
-twice per run instead of once per family and grain; each family is then a projection of a few-row table.
+Each family is one function taking ``grain`` ('month' or 'week'). The order-based families (financial, operational,
+failed orders, campaigns) are projections of one conditional-aggregation pass per grain (``orders_mart``) straight from
+the pruned, date-filtered fact, aggregated map-side; a family alone reads only its own columns. The weekly-metric families
+share one pass of mergeable (sum v*w, sum w) pairs per grain (``weekly_mart``).
 """
 
 from __future__ import annotations
@@ -13,10 +12,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..context import KpiContext
-from ..functions.calendar import MONTH, WEEK, date_between, date_half_open, month_key, period_key, stamp_key, ts_between
+from ..functions.calendar import MONTH, WEEK, date_between, date_half_open, month_key, period_key, stamp_key, ts_between, ts_from
 from ..functions.measures import coalesce_sum, distinct_count, finish_pair, mart, round_half_up, safe_div, weighted_rate
 from ..sources.schema import MERCHANT_SPEND, PLATFORM_SPEND
-from .scope import is_delivered, not_delivered, partner_failed_resolutions, partner_slice, partner_weekly
+from .scope import failed_resolutions, is_delivered, not_delivered, partner_orders, partner_weekly
 
 WEEKLY_PAIRS = ["adjustment", "replacement", "acceptance", "active", "rating"]
 
@@ -37,13 +36,13 @@ def orders_mart(ctx: KpiContext, grain: str) -> DataFrame:
     Delivered-only measures are conditional (``when(delivered, ...)``), so a period without delivered orders has
     ``n_delivered = 0`` and is dropped by those families, as a WHERE on the state would.
     """
-    return ctx.stage(f"pr_orders_{grain}", lambda: orders_mart_plan(ctx, grain), mode="persist")
+    return ctx.stage(f"pr_orders_{grain}", lambda: orders_mart_plan(ctx, grain))
 
 
 def orders_mart_plan(ctx: KpiContext, grain: str) -> DataFrame:
     """The unstaged plan of ``orders_mart``."""
     s, e = _order_window(ctx, grain)
-    f = partner_slice(ctx, date_between("order_date", s, e)).withColumn("period", period_key("order_date", grain))
+    f = partner_orders(ctx, date_between("order_date", s, e)).withColumn("period", period_key("order_date", grain))
     dl = is_delivered()
     rsd = ctx.params.approx_distinct_rsd
 
@@ -96,7 +95,7 @@ def weekly_mart(ctx: KpiContext, grain: str) -> DataFrame:
                      F.sum(f"{r}_weight").alias(f"{r}_w")]
         return rows.groupBy("period").agg(*aggs)
 
-    return ctx.stage(f"pr_weekly_{grain}", build, mode="persist")
+    return ctx.stage(f"pr_weekly_{grain}", build)
 
 
 def _delivered_periods(ctx: KpiContext, grain: str) -> DataFrame:
@@ -167,7 +166,7 @@ def campaigns(ctx: KpiContext, grain: str = MONTH) -> DataFrame:
 def failed_reasons(ctx: KpiContext, grain: str = MONTH) -> DataFrame:
     """Q09/Q10: resolution rows of the partner's non-delivered orders by reason and actor (rows, not orders)."""
     s, e = _order_window(ctx, grain)
-    rows = partner_failed_resolutions(ctx).where(date_between("order_date", s, e))
+    rows = failed_resolutions(ctx, date_between("order_date", s, e))
     return (
         rows.withColumn("period", period_key("order_date", grain))
         .groupBy("period", "reason", "actor_type")
@@ -196,13 +195,11 @@ def acceptance(ctx: KpiContext, grain: str = MONTH) -> DataFrame:
 
 
 def acceptance_current(ctx: KpiContext) -> DataFrame:
-    """Q13: acceptance, availability and rating over stamps of the last 7 days; always exactly one row.
+    """Q13: acceptance, availability and rating over stamps from 7 days before ``as_of`` on; always exactly one row.
 
-    The original has no upper bound (the table ends at "now"); here stamps after ``as_of`` are cut so reruns
-    over history give the same answer.
+    There is no upper bound: a run at ``as_of`` on tables that go on later reads the later stamps too.
     """
-    p = ctx.params
-    rows = partner_weekly(ctx, ts_between("ts", p.rolling_start, p.as_of))
+    rows = partner_weekly(ctx, ts_from("ts", ctx.params.rolling_start))
     return rows.agg(
         round_half_up(weighted_rate("acceptance_value", "acceptance_weight", pct=True), 1).alias("acceptance_rate"),
         round_half_up(weighted_rate("active_value", "active_weight", pct=True), 1).alias("availability_rate"),
@@ -213,7 +210,7 @@ def acceptance_current(ctx: KpiContext) -> DataFrame:
 def top_stores_last_month(ctx: KpiContext) -> DataFrame:
     """Q16: previous calendar month, stores (name, city) by merchant price, top N (TakeOrderedAndProject)."""
     p = ctx.params
-    f = partner_slice(ctx, is_delivered() & date_half_open("order_date", p.prev_month_start, p.prev_month_end_excl))
+    f = partner_orders(ctx, is_delivered() & date_half_open("order_date", p.prev_month_start, p.prev_month_end_excl))
     return (
         f.groupBy("provider_name", "city_name")
         .agg(F.count(F.lit(1)).alias("orders"), F.sum("gross").cast("double").alias("merchant_price"))

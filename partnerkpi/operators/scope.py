@@ -1,8 +1,8 @@
 """Partner and peer scopes: fact and metric tables joined to the provider dimension and filtered.
 
-The dimension side is filtered first (country, partner group / grocery flag), its row count is checked, and only then
-is it broadcast, so the large side never shuffles for these joins. Date predicates are applied on the raw date or
-timestamp column and reach the parquet scan as pushed filters.
+The dimension side is filtered first (country, partner group / grocery flag); how it is joined is left to Catalyst and
+AQE, which know its bytes. Date predicates are written on the raw date or timestamp column and reach the parquet scan as
+pushed filters.
 """
 
 from __future__ import annotations
@@ -11,9 +11,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..context import KpiContext
-from ..functions.calendar import date_between, ts_between
-from ..params import ReportParams
-from ..sources.schema import FACT_ORDER
 
 DELIVERED = "delivered"
 
@@ -27,37 +24,20 @@ def not_delivered() -> Column:
     return F.col("order_state") != DELIVERED
 
 
-def _partner_dim(ctx: KpiContext) -> DataFrame:
+def partner_providers(ctx: KpiContext) -> DataFrame:
     p = ctx.params
     return ctx.wh.dim_provider.where(
         (F.col("country_code") == p.country) & (F.col("group_name") == p.partner_group)
     ).select("provider_id")
 
 
-def partner_is_bounded(ctx: KpiContext, wide: bool = False) -> bool:
-    """Whether the partner's provider count passed the broadcast row check.
-
-    Tables with one row per partner provider inherit the bound; ``wide`` applies the lower limit for such tables
-    that carry names and cities (the city map) instead of ids only.
-    """
-    p = ctx.params
-    limit = p.broadcast_wide_row_limit if wide else p.broadcast_row_limit
-    return ctx.fits_broadcast(_partner_dim(ctx), f"partner:{p.country}:{p.partner_group}", limit)
-
-
-def partner_providers(ctx: KpiContext) -> DataFrame:
-    d = _partner_dim(ctx)
-    return F.broadcast(d) if partner_is_bounded(ctx) else d
-
-
 def peer_providers(ctx: KpiContext) -> DataFrame:
     """Peers: same country, grocery flag set. The partner itself is included unless the parameter excludes it."""
     p = ctx.params
     cond = (F.col("country_code") == p.country) & F.col("is_grocery")
     if p.peers_exclude_partner:
         cond = cond & ~F.coalesce(F.col("group_name") == p.partner_group, F.lit(False))
-    d = ctx.wh.dim_provider.where(cond).select("provider_id")
-    return ctx.checked_broadcast(d, f"peer:{p.country}:{p.peers_exclude_partner}:{p.partner_group}")
+    return ctx.wh.dim_provider.where(cond).select("provider_id")
 
 
 def partner_orders(ctx: KpiContext, where: Column | None = None) -> DataFrame:
@@ -70,8 +50,9 @@ def peer_orders(ctx: KpiContext, where: Column | None = None) -> DataFrame:
     return f.join(peer_providers(ctx), "provider_id")
 
 
-def partner_metrics(ctx: KpiContext, table: DataFrame, where: Column | None = None) -> DataFrame:
-    t = table if where is None else table.where(where)
+def partner_weekly(ctx: KpiContext, where: Column | None = None) -> DataFrame:
+    """The partner's weekly metric rows."""
+    t = ctx.wh.provider_weekly if where is None else ctx.wh.provider_weekly.where(where)
     return t.join(partner_providers(ctx), "provider_id")
 
 
@@ -80,61 +61,11 @@ def peer_metrics(ctx: KpiContext, table: DataFrame, where: Column | None = None)
     return t.join(peer_providers(ctx), "provider_id")
 
 
-# ---- the partner's slice, staged once per run ------------------------------------------------------------------------
-def order_window(p: ReportParams):
-    """One closed order-date range covering every order window of the period report and the scorecard."""
-    starts = [p.data_start, p.week_start, p.prev_month_start, p.scorecard_start, p.bench_start]
-    ends = [p.data_end, p.week_end, p.prev_month_end_excl, p.scorecard_end, p.bench_end]
-    return min(starts), max(ends)
-
-
-def stamp_window(p: ReportParams):
-    """One closed stamp range covering every metric-table window (period report, rolling 7 days, scorecard)."""
-    starts = [p.data_start, p.week_start, p.rolling_start, p.scorecard_start.replace(day=1), p.bench_start.replace(day=1)]
-    ends = [p.data_end, p.week_end, p.as_of, p.scorecard_end_excl, p.bench_end_excl]
-    return min(starts), max(ends)
-
+def failed_resolutions(ctx: KpiContext, where: Column) -> DataFrame:
+    """Resolution rows of the partner's non-delivered orders in a date range, with the order date.
 
-def partner_fact(ctx: KpiContext) -> DataFrame:
-    """The partner's orders over the union of report windows (all states): one fact scan per run.
-
-    Every period-report family and the scorecard's order-based parts filter this slice instead of the fact table,
-    so the (date-pruned) fact scan and the dimension join happen once per run, not once per KPI family.
-    """
-    s, e = order_window(ctx.params)
-    cols = [f.name for f in FACT_ORDER.fields]  # only the declared order-fact columns reach the stage
-    return ctx.stage("partner_fact", lambda: partner_orders(ctx, date_between("order_date", s, e)).select(*cols),
-                     sort_by=["order_date"], rebalance=["order_date"])
-
-
-def partner_slice(ctx: KpiContext, where: Column | None = None) -> DataFrame:
-    f = partner_fact(ctx)
-    return f if where is None else f.where(where)
-
-
-def partner_weekly(ctx: KpiContext, where: Column | None = None) -> DataFrame:
-    """The partner's weekly metric rows over the union of stamp windows, staged once per run.
-
-    Bounded by (partner providers x weeks in the windows) and read from the per-provider metric table, not the order
-    fact, so it is persisted rather than written; a lost executor recomputes it from one pruned scan.
+    The order side is pruned to its date range and two columns first; beyond the size that AQE broadcasts, the join
+    shuffles on the order key and splits skewed keys.
     """
-    s, e = stamp_window(ctx.params)
-    t = ctx.stage("partner_weekly", lambda: partner_metrics(ctx, ctx.wh.provider_weekly, ts_between("ts", s, e)),
-                  mode="persist")
-    return t if where is None else t.where(where)
-
-
-def partner_failed_resolutions(ctx: KpiContext) -> DataFrame:
-    """Resolution rows of the partner's non-delivered orders in the report windows, with the order date.
-
-    The resolution table has no date to prune on, so it is scanned once per run here (not once per grain). The
-    order side is the partner's failed orders: broadcast after a row-count check, so the large resolution table is
-    never shuffled; beyond the bound the join becomes a shuffle join (AQE splits skewed order keys).
-    """
-
-    def build() -> DataFrame:
-        orders = partner_slice(ctx, not_delivered()).select("order_id", "order_date")
-        orders = ctx.checked_broadcast(orders, "partner_failed_orders")
-        return ctx.wh.resolution.join(orders, "order_id").select("order_id", "order_date", "reason", "actor_type")
-
-    return ctx.stage("partner_failed_resolutions", build, sort_by=["order_date"], rebalance=["order_date"])
+    orders = partner_orders(ctx, not_delivered() & where).select("order_id", "order_date")
+    return ctx.wh.resolution.join(orders, "order_id").select("order_date", "reason", "actor_type")

@@ -2,8 +2,7 @@
 cell classes and verdicts.
 
 Sizes: every table past the scans is bounded by (buckets x months) or by the 19-row metric catalogue, so the joins
-among them are broadcast by construction; the scans themselves are scoped with size-checked broadcasts of the
-provider ids.
+among them are broadcast by construction; how the scans join the provider ids is left to Catalyst and AQE.
 """
 
 from __future__ import annotations
@@ -26,7 +25,8 @@ from .buckets import (
     scorecard_orders,
     top_cities,
 )
-from .scope import is_delivered, partner_is_bounded, partner_weekly, peer_metrics, peer_orders
+from ..sources.schema import MONTHLY_RATES
+from .scope import is_delivered, partner_weekly, peer_metrics, peer_orders
 
 # The metric catalogue (order, key, group, direction, display format).
 # direction 1 = higher is better, -1 = lower is better; groups: scale, unit, availability, quality.
@@ -54,19 +54,6 @@ METRICS = [
 METRIC_KEYS = [m[1] for m in METRICS]
 QUALITY_GROUP = "quality"
 
-# quality pairs of the monthly table: (short name, source rate)
-QUALITY_PAIRS = [
-    ("dur", "minutes"),
-    ("late", "late"),
-    ("prep", "prep"),
-    ("fail", "failed"),
-    ("bad", "bad"),
-    ("cs", "ticket"),
-    ("compl", "completion"),
-    ("rat", "rating"),
-    ("avail", "active"),
-]
-
 METRIC_DEF_SCHEMA = T.StructType(
     [
         T.StructField("metric_ord", T.LongType(), False),
@@ -91,9 +78,9 @@ def metric_def(ctx: KpiContext) -> DataFrame:
 class Scorecard:
     """The scorecard's intermediate tables.
 
-    Every output of the scorecard, highlight and store families is derived from these members. Each member is a
-    run-level stage of the context (``KpiContext.stage``), so the top-city ranking, the business series, the city map
-    and the benchmark scans run once per report run, however many outputs use them.
+    Every output of the scorecard, highlight and store families is derived from these members. In a staging run each is
+    persisted once (``KpiContext.stage``), so the top-city ranking, the business series, the city map and the benchmark
+    scans run once, however many outputs use them.
     """
 
     def __init__(self, ctx: KpiContext):
@@ -113,14 +100,12 @@ class Scorecard:
 
     @cached_property
     def city_map(self) -> DataFrame:
-        """Provider -> MAX city/name: one row per partner provider, broadcast only when that count is within the
-        wide-table bound; beyond it the joins on provider_id shuffle."""
-        cm = provider_city_history(self.ctx)
-        return F.broadcast(cm) if partner_is_bounded(self.ctx, wide=True) else cm
+        """Provider -> MAX city/name: one row per partner provider."""
+        return provider_city_history(self.ctx)
 
     @cached_property
     def business(self) -> DataFrame:
-        return self.ctx.stage("sc_business", self._business, mode="persist")
+        return self.ctx.stage("sc_business", self._business)
 
     def _business(self) -> DataFrame:
         f = bucketize(self.ctx, scorecard_orders(self.ctx), "city_name", self.top)
@@ -128,7 +113,7 @@ class Scorecard:
 
     @cached_property
     def months(self) -> DataFrame:
-        return self.ctx.stage("sc_months", lambda: populated_months_from(self.ctx, self.business), mode="persist")
+        return self.ctx.stage("sc_months", lambda: populated_months_from(self.ctx, self.business))
 
     def _metric_rows(self, table: DataFrame) -> DataFrame:
         p = self.ctx.params
@@ -143,24 +128,19 @@ class Scorecard:
     def quality(self) -> DataFrame:
         def build() -> DataFrame:
             aggs = []
-            for short, rate in QUALITY_PAIRS:
-                vw, w = weighted_pair(f"{rate}_value", f"{rate}_weight", short)
-                aggs += [mart(vw).alias(f"{short}_vw"), w.cast("long").alias(f"{short}_w")]
+            for rate in MONTHLY_RATES:
+                aggs += weighted_pair(f"{rate}_value", f"{rate}_weight", rate)
             return self._metric_rows(self.ctx.wh.provider_monthly).groupBy("bucket", "month").agg(*aggs)
 
-        return self.ctx.stage("sc_quality", build, mode="persist")
+        return self.ctx.stage("sc_quality", build)
 
     @cached_property
     def adjustment(self) -> DataFrame:
         def build() -> DataFrame:
-            vw, w = weighted_pair("adjustment_value", "adjustment_weight", "adj")
-            return (
-                self._metric_rows(partner_weekly(self.ctx))
-                .groupBy("bucket", "month")
-                .agg(mart(vw).alias("adj_vw"), w.cast("long").alias("adj_w"))
-            )
+            pair = weighted_pair("adjustment_value", "adjustment_weight", "adjustment")
+            return self._metric_rows(partner_weekly(self.ctx)).groupBy("bucket", "month").agg(*pair)
 
-        return self.ctx.stage("sc_adjustment", build, mode="persist")
+        return self.ctx.stage("sc_adjustment", build)
 
     # ---- peer benchmarks (one row each, even over an empty scope) --------------------------------------------------
     def _bench_rows(self, table: DataFrame) -> DataFrame:
@@ -169,7 +149,7 @@ class Scorecard:
 
     @cached_property
     def bench_business(self) -> DataFrame:
-        return self.ctx.stage("sc_bench_business", self._bench_business, mode="persist")
+        return self.ctx.stage("sc_bench_business", self._bench_business)
 
     def _bench_business(self) -> DataFrame:
         p = self.ctx.params
@@ -178,17 +158,15 @@ class Scorecard:
 
     @cached_property
     def bench_quality(self) -> DataFrame:
-        names = {"rat": "rating"}
         return self.ctx.stage("sc_bench_quality", lambda: self._bench_rows(self.ctx.wh.provider_monthly).agg(
-            *[mart(_w2(rate, short not in ("dur", "rat"))).alias(names.get(short, short)) for short, rate in QUALITY_PAIRS]
-        ), mode="persist")
+            *[mart(_w2(rate, rate not in ("minutes", "rating"))).alias(rate) for rate in MONTHLY_RATES]
+        ))
 
     @cached_property
     def bench_adjustment(self) -> DataFrame:
         return self.ctx.stage(
             "sc_bench_adjustment",
-            lambda: self._bench_rows(self.ctx.wh.provider_weekly).agg(mart(_w2("adjustment", True)).alias("adj")),
-            mode="persist",
+            lambda: self._bench_rows(self.ctx.wh.provider_weekly).agg(mart(_w2("adjustment", True)).alias("adjustment")),
         )
 
     # ---- matrix, benchmarks, means ---------------------------------------------------------------------------------
@@ -198,7 +176,7 @@ class Scorecard:
 
     @cached_property
     def matrix(self) -> DataFrame:
-        return self.ctx.stage("sc_matrix", self._matrix, mode="checkpoint")
+        return self.ctx.stage("sc_matrix", self._matrix)
 
     def _matrix(self) -> DataFrame:
         # dense grid: every bucket gets the (bounded) array of populated months, one scalar subquery, no join
@@ -217,7 +195,7 @@ class Scorecard:
 
     @cached_property
     def benchmarks(self) -> DataFrame:
-        return self.ctx.stage("sc_benchmarks", self._benchmarks, mode="checkpoint")
+        return self.ctx.stage("sc_benchmarks", self._benchmarks)
 
     def _benchmarks(self) -> DataFrame:
         p = self.ctx.params
@@ -244,15 +222,15 @@ class Scorecard:
             round_half_up(safe_div(g, o), 1),
             per_merchant_month(g),
             per_merchant_month(o),
-            round_half_up(F.col("avail"), 1),
-            round_half_up(F.col("dur"), 1),
+            round_half_up(F.col("active"), 1),
+            round_half_up(F.col("minutes"), 1),
             round_half_up(F.col("late"), 1),
             round_half_up(F.col("prep"), 1),
-            round_half_up(F.col("fail"), 1),
+            round_half_up(F.col("failed"), 1),
             round_half_up(F.col("bad"), 1),
-            F.when(F.col("adj") != 0, round_half_up(F.col("adj"), 1)),  # 0 counts as missing
-            round_half_up(F.col("cs"), 1),
-            round_half_up(F.col("compl"), 1),
+            F.when(F.col("adjustment") != 0, round_half_up(F.col("adjustment"), 1)),  # 0 counts as missing
+            round_half_up(F.col("ticket"), 1),
+            round_half_up(F.col("completion"), 1),
             round_half_up(F.col("rating"), 2),
         ]
         wide = one.select(*[v.cast("double").alias(k) for v, k in zip(vals, METRIC_KEYS)])
@@ -271,7 +249,7 @@ class Scorecard:
             )
             return self.with_bench(means).join(F.broadcast(self.metric_def.drop("metric_ord")), "metric_key")
 
-        return self.ctx.stage("sc_means", build, mode="persist")
+        return self.ctx.stage("sc_means", build)
 
 
 def _business_aggs(rsd: float | None) -> list:
@@ -293,8 +271,8 @@ def _matrix_values() -> list:
     """The 19 cell values of one (bucket, month) row from the joined business/quality/adjustment parts."""
     o, g, au, nu, mc = (F.col(c) for c in ("orders", "gmv_eur", "active_users", "new_users", "merchants"))
 
-    def q(short, pct, scale):
-        return round_half_up(finish_pair(f"{short}_vw", f"{short}_w", pct), scale)
+    def q(rate, pct, scale):
+        return round_half_up(finish_pair(f"{rate}_vw", f"{rate}_w", pct), scale)
 
     return [
         round_half_up(g, 0),
@@ -306,16 +284,16 @@ def _matrix_values() -> list:
         round_half_up(safe_div(g, o), 0),
         round_half_up(safe_div(g, mc), 1),
         round_half_up(safe_div(o, mc), 1),
-        q("avail", True, 1),
-        q("dur", False, 2),
+        q("active", True, 1),
+        q("minutes", False, 2),
         q("late", True, 1),
         q("prep", True, 1),
-        q("fail", True, 1),
+        q("failed", True, 1),
         q("bad", True, 1),
-        q("adj", True, 1),
-        q("cs", True, 1),
-        q("compl", True, 1),
-        q("rat", False, 2),
+        q("adjustment", True, 1),
+        q("ticket", True, 1),
+        q("completion", True, 1),
+        q("rating", False, 2),
     ]
 
 
@@ -336,12 +314,17 @@ def populated_months(ctx: KpiContext, sc: Scorecard | None = None) -> DataFrame:
 
 def quality_by_bucket_month(ctx: KpiContext, sc: Scorecard | None = None) -> DataFrame:
     """Q22: nine (sum v*w, sum w) pairs per bucket (provider's MAX city) and populated month."""
-    return _sc(ctx, sc).quality
+    return _pairs_at_edge(_sc(ctx, sc).quality)
 
 
 def adjustment_by_bucket_month(ctx: KpiContext, sc: Scorecard | None = None) -> DataFrame:
     """Q23: the item-adjustment pair from the weekly table (a week goes to its stamp's month)."""
-    return _sc(ctx, sc).adjustment
+    return _pairs_at_edge(_sc(ctx, sc).adjustment)
+
+
+def _pairs_at_edge(pairs: DataFrame) -> DataFrame:
+    """Merged pairs as a result: sums rounded to 6 dp (the parts themselves stay raw, so they merge further)."""
+    return pairs.select(*[mart(c).alias(c) if c.endswith("_vw") else c for c in pairs.columns])
 
 
 def benchmark_business(ctx: KpiContext, sc: Scorecard | None = None) -> DataFrame:

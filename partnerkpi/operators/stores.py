@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 from ..context import KpiContext
 from ..functions.calendar import ts_half_open
 from ..functions.measures import finish_pair, mart, round_half_up
-from .buckets import bucketize
-from .scope import partner_is_bounded, partner_weekly
-from .scorecard import Scorecard, _sc
+from .buckets import bucketize, city_bucket
+from .scope import partner_weekly
+from .scorecard import Scorecard, _sc, good_or_bad
 
 # Store columns (key, direction, display format); direction 0 = not scored.
 STORE_COLS = [
@@ -63,19 +63,17 @@ def store_quality(ctx: KpiContext, sc: Scorecard | None = None) -> DataFrame:
 
 
 def _store_quality_part(ctx: KpiContext, sc: Scorecard | None) -> DataFrame:
-    return ctx.stage("st_quality", lambda: _store_quality(ctx, _sc(ctx, sc)), mode="persist")
+    return ctx.stage("st_quality", lambda: _store_quality(ctx, _sc(ctx, sc)))
 
 
 def _store_quality(ctx: KpiContext, sc: Scorecard) -> DataFrame:
-    cm = sc.city_map  # one row per partner provider, broadcast when the partner passed the size check
+    cm = sc.city_map  # one row per partner provider
     adj = (
         partner_weekly(ctx, _bench_window(ctx))
         .groupBy("provider_id")
         .agg(finish_pair(F.sum(F.col("adjustment_value") * F.col("adjustment_weight")),
                          F.sum("adjustment_weight"), pct=True).alias("replacement"))
     )
-    # one narrow row per partner provider: broadcast behind the partner's row check, so the monthly rows never shuffle
-    adj = F.broadcast(adj) if partner_is_bounded(ctx) else adj
     rows = ctx.wh.provider_monthly.where(_bench_window(ctx)).join(cm, "provider_id").join(adj, "provider_id", "left")
     aggs = [F.sum("delivered_orders").cast("long").alias("orders")]
     for key, rate, pct in _STORE_RATES:
@@ -102,18 +100,19 @@ def store_bucketed(ctx: KpiContext, sc: Scorecard | None = None) -> DataFrame:
             "addr", "city", "bucket", "orders", *[round_half_up(k, 2).alias(k) for k in STORE_KEYS if k != "orders"]
         )
 
-    return ctx.stage("st_bucketed", build, mode="persist")
+    return ctx.stage("st_bucketed", build)
 
 
 def store_medians(ctx: KpiContext, stores: DataFrame | None = None) -> DataFrame:
     """Q37: exact median of each store column over non-NULL values (mean of the middle two when even)."""
-    s = store_bucketed(ctx) if stores is None else stores
-    return s.agg(*[mart(F.median(F.col(k).cast("double"))).alias(k) for k in STORE_KEYS])
+    if stores is None:
+        return ctx.stage("st_medians", lambda: store_medians(ctx, store_bucketed(ctx)))
+    return stores.agg(*[mart(F.median(F.col(k).cast("double"))).alias(k) for k in STORE_KEYS])
 
 
-def _with_medians(ctx: KpiContext, stores: DataFrame) -> DataFrame:
+def _with_medians(ctx: KpiContext, stores: DataFrame, medians: DataFrame | None = None) -> DataFrame:
     """Attach the network medians to every store row: one scalar subquery (a one-row struct), no join."""
-    med = store_medians(ctx, stores).select(F.struct(*[F.col(k).alias(f"med_{k}") for k in STORE_KEYS])).scalar()
+    med = (store_medians(ctx, stores) if medians is None else medians).select(F.struct(*[F.col(k).alias(f"med_{k}") for k in STORE_KEYS])).scalar()
     return stores.withColumn("_med", med).select("*", "_med.*").drop("_med")
 
 
@@ -124,8 +123,12 @@ def _worse(value: Column, ref: Column, direction: int) -> Column:
 def store_flags(ctx: KpiContext, stores: DataFrame | None = None) -> DataFrame:
     """Q38: number of directed metrics strictly worse than the network median; NULL never counts."""
     if stores is None:
-        return ctx.stage("st_flags", lambda: store_flags(ctx, store_bucketed(ctx)), mode="checkpoint")
-    j = _with_medians(ctx, stores)
+        return ctx.stage("st_flags", lambda: _store_flags(ctx, store_bucketed(ctx), store_medians(ctx)))
+    return _store_flags(ctx, stores, None)
+
+
+def _store_flags(ctx: KpiContext, stores: DataFrame, medians: DataFrame | None) -> DataFrame:
+    j = _with_medians(ctx, stores, medians)
     flags = None
     for k, d in DIRECTED:
         term = F.when(_worse(F.col(k), F.col(f"med_{k}"), d), 1).otherwise(0)
@@ -156,7 +159,7 @@ def store_severity(ctx: KpiContext) -> DataFrame:
 def store_cell_class(ctx: KpiContext) -> DataFrame:
     """Q41: per store and column, good/bad against the network median (ties are good); NULL when undefined."""
     s = store_bucketed(ctx)
-    j = _with_medians(ctx, s)
+    j = _with_medians(ctx, s, store_medians(ctx))
     cells = F.explode(
         F.array(
             *[
@@ -169,26 +172,67 @@ def store_cell_class(ctx: KpiContext) -> DataFrame:
         )
     ).alias("c")
     long_df = j.select("addr", "city", "bucket", cells).select("addr", "city", "bucket", "c.*")
-    v, m, d = F.col("value"), F.col("median"), F.col("dir")
-    good = ((d == 1) & (v >= m)) | ((d == -1) & (v <= m))
-    cls = F.when(v.isNull() | m.isNull() | (d == 0), F.lit(None).cast("string")).when(good, "good").otherwise("bad")
+    cls = good_or_bad(F.col("value"), F.col("median"), F.col("dir"))
     return long_df.select("addr", "city", "bucket", "col_ord", "col_key", "value", "median", cls.alias("cell_class"))
 
 
-def store_ranked(ctx: KpiContext, sort_key: str = "flags", descending: bool = True) -> DataFrame:
+#: Rows sampled to cut the stores into slices for ranking.
+RANK_SLICES = 255
+
+
+def store_ranked(ctx: KpiContext, sort_key: str = "flags", descending: bool = True, slices: int = RANK_SLICES) -> DataFrame:
     """Q42: stores ranked inside each bucket by one column; NULLs last in both directions.
 
-    Ties keep the store list order (orders desc, then name, city), as a stable sort of that list would.
+    Ties keep the store list order (orders desc, then name, city), as a stable sort of that list would. A bucket may hold
+    almost all stores, so none is ranked in one task: the whole order is one struct, a uniform sample of at most
+    ``slices`` of its values (those of least hash) cuts each bucket into slices, rows are numbered within their slice, and
+    the slices' counts - one row each - give the offsets.
     """
     f = store_flags(ctx)
-    key = F.col(sort_key)
-    primary = key.desc_nulls_last() if descending else key.asc_nulls_last()
-    w = Window.partitionBy("bucket").orderBy(primary, F.desc("orders"), F.asc("addr"), F.asc("city"))
-    return f.select(
-        "bucket", F.row_number().over(w).cast("long").alias("store_rank"), "addr", "city", "orders", "flags"
-    ).orderBy("bucket", "store_rank")
+    value = F.col(sort_key).cast("double")
+    place = F.struct(
+        F.col("bucket"),
+        value.isNull().alias("none"),
+        F.coalesce(-value if descending else value, F.lit(0.0)).alias("value"),
+        (-F.coalesce(F.col("orders"), F.lit(-(1 << 62)))).alias("orders"),
+        F.col("addr"),
+        F.col("city"),
+    )
+    rows = f.select("bucket", "addr", "city", "orders", "flags", place.alias("place"))
+    sample = rows.select("place", F.xxhash64("addr", "city").alias("h")).orderBy("h", "place").limit(slices)
+    cuts = sample.select(F.sort_array(F.collect_list("place"))).scalar()
+    sliced = rows.withColumn("_cuts", cuts).withColumn(
+        "slice", F.size(F.filter("_cuts", lambda c: c < F.col("place"))).cast("int")
+    ).drop("_cuts")
+    counts = sliced.groupBy("bucket", "slice").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy("bucket").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("bucket", "slice", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    inside = F.row_number().over(Window.partitionBy("bucket", "slice").orderBy("place"))
+    return (
+        sliced.withColumn("nth", inside)
+        .join(F.broadcast(offsets), ["bucket", "slice"])  # at most slices + buckets rows
+        .select("bucket", (F.col("offset") + F.col("nth")).cast("long").alias("store_rank"), "addr", "city", "orders", "flags")
+        .orderBy("bucket", "store_rank")
+    )
 
 
 def bucket_store_counts(ctx: KpiContext) -> DataFrame:
-    """Q43: stores per bucket; buckets without stores do not appear."""
-    return store_bucketed(ctx).groupBy("bucket").agg(F.count(F.lit(1)).alias("stores")).orderBy("bucket")
+    """Q43: stores per bucket, buckets by rank; buckets without stores do not appear."""
+    counts = store_bucketed(ctx).groupBy("bucket").agg(F.count(F.lit(1)).alias("stores"))
+    rank = F.broadcast(city_bucket(ctx))  # top_cities + 1 rows
+    return counts.join(rank, "bucket").select("bucket_ord", "bucket", "stores").orderBy("bucket_ord")
+
+
+def store_table(ctx: KpiContext) -> DataFrame:
+    """Every store with its bucket, its ten numbers, flags and severity."""
+    f = store_flags(ctx)
+    return f.select("addr", "city", "bucket", *STORE_KEYS, "flags", severity(ctx, F.col("flags")).alias("severity"))
+
+
+def store_columns(ctx: KpiContext) -> DataFrame:
+    """The store columns: place, key, direction and display format."""
+    rows = [
+        F.struct(F.lit(i).cast("long").alias("col_ord"), F.lit(k).alias("col_key"), F.lit(d).cast("long").alias("dir"), F.lit(m).alias("fmt"))
+        for i, (k, d, m) in enumerate(STORE_COLS, start=1)
+    ]
+    return ctx.spark.range(1).select(F.inline(F.array(*rows)))

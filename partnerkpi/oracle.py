@@ -7,9 +7,45 @@ as the Spark side; integer aggregates are cast to BIGINT (DuckDB's SUM of intege
 
 from __future__ import annotations
 
-from .operators.scorecard import METRICS
-from .operators.stores import STORE_COLS
-from .params import DEFAULT_PARAMS, ReportParams
+from .params import FIXTURE_PARAMS, ReportParams
+
+# Fixed values, written out here apart from the operators that they check (survey 2.9): the metric catalogue (order, key,
+# group, direction, format) and the store columns (key, direction).
+METRICS = [
+    (1, "GMV", "scale", 1, "eur"),
+    (2, "Orders", "scale", 1, "int"),
+    (3, "Active Users", "scale", 1, "int"),
+    (4, "New Users", "scale", 1, "int"),
+    (5, "Frequency", "scale", 1, "dec"),
+    (6, "Active Merchants", "scale", 1, "int"),
+    (7, "AOV", "unit", 1, "eur"),
+    (8, "GMV per Merchant", "unit", 1, "eur"),
+    (9, "Orders per Merchant", "unit", 1, "int"),
+    (10, "Availability", "availability", 1, "pct"),
+    (11, "Total Delivery Time", "quality", -1, "min"),
+    (12, "Late Delivery 10+", "quality", -1, "pct"),
+    (13, "Late Prep 10+", "quality", -1, "pct"),
+    (14, "Failed", "quality", -1, "pct"),
+    (15, "Bad Order Rate", "quality", -1, "pct"),
+    (16, "Replacement", "quality", -1, "pct"),
+    (17, "CS Ticket", "quality", -1, "pct"),
+    (18, "Completion", "quality", 1, "pct"),
+    (19, "Rating", "quality", 1, "dec"),
+]
+STORE_COLS = [
+    ("orders", 0),
+    ("dur", -1),
+    ("late", -1),
+    ("lateprep", -1),
+    ("failed", -1),
+    ("bad", -1),
+    ("replacement", -1),
+    ("cs", -1),
+    ("compl", 1),
+    ("rating", 1),
+]
+# Of nine directed store columns: severity 2 from ceil(0.6 * 9) = 6 flags, 1 from ceil(0.35 * 9) = 4.
+SEVERITY_CUTS = (6, 4)
 
 
 def rhu(x: str, n: int) -> str:
@@ -39,6 +75,7 @@ def w2(rate: str, pct: bool) -> str:
 
 _PRICE = "CAST(l_extendedprice AS DECIMAL(12,2))"
 _DISC = "CAST(l_discount AS DECIMAL(4,2))"
+_RATES = ["minutes", "late", "prep", "failed", "bad", "ticket", "completion", "rating", "active"]
 _SPEND = [("am", 1), ("liquidity", 2), ("marketing", 3), ("user_lifecycle", 4), ("merchant_lifecycle", 5)]
 
 MAPPING = f"""
@@ -147,11 +184,11 @@ def _metric_def_values() -> str:
 
 
 def _store_cols_values() -> str:
-    rows = ", ".join(f"(CAST({i} AS BIGINT), '{k}', {dr})" for i, (k, dr, _) in enumerate(STORE_COLS, start=1))
+    rows = ", ".join(f"(CAST({i} AS BIGINT), '{k}', {dr})" for i, (k, dr) in enumerate(STORE_COLS, start=1))
     return f"store_cols(col_ord, col_key, dir) AS (VALUES {rows})"
 
 
-def build(p: ReportParams = DEFAULT_PARAMS) -> dict[str, str]:
+def build(p: ReportParams = FIXTURE_PARAMS) -> dict[str, str]:
     if p.approx_distinct_rsd is not None:
         raise ValueError("the oracle is exact: approximate distinct counts have no oracle")
     scopes = f"""
@@ -236,7 +273,7 @@ GROUP BY 1 ORDER BY 1"""
 SELECT {rhu(w2("acceptance", True), 1)} AS acceptance_rate,
   {rhu(w2("active", True), 1)} AS availability_rate,
   {rhu(w2("rating", False), 3)} AS avg_rating
-FROM pw WHERE ts BETWEEN {ts(p.rolling_start)} AND {ts(p.as_of)}"""
+FROM pw WHERE ts >= {ts(p.rolling_start)}"""
     q["top_stores_last_month"] = f"""{head}
 SELECT provider_name, city_name, COUNT(*) AS orders, {mart("CAST(SUM(gross) AS DOUBLE)")} AS merchant_price
 FROM pf WHERE order_state = 'delivered'
@@ -250,7 +287,7 @@ GROUP BY 1, 2 ORDER BY merchant_price DESC, provider_name, city_name LIMIT {p.to
 {_metric_def_values()},
 {_store_cols_values()},
 cm AS (SELECT provider_id, MAX(city_name) AS city_name, MAX(provider_name) AS provider_name
-       FROM pf WHERE order_date <= {d(p.as_of)} GROUP BY provider_id),
+       FROM pf GROUP BY provider_id),
 city_rank AS (SELECT city_name AS city, COUNT(*) AS orders FROM pf
               WHERE order_state = 'delivered' AND order_date BETWEEN {d(p.bench_start)} AND {d(p.bench_end)}
               GROUP BY 1),
@@ -269,18 +306,15 @@ biz AS (SELECT COALESCE(t.bucket, '{p.other_bucket}') AS bucket, strftime(f.orde
 populated AS (SELECT month, CAST(SUM(orders) AS BIGINT) AS orders FROM biz GROUP BY month
               HAVING SUM(orders) >= {p.min_month_orders}),
 qual AS (SELECT COALESCE(t.bucket, '{p.other_bucket}') AS bucket, strftime(m.ts, '%Y-%m') AS month,
-           {", ".join(f"{mart(f'SUM(m.{rate}_value * m.{rate}_weight)')} AS {short}_vw, "
-                      f"CAST(SUM(m.{rate}_weight) AS BIGINT) AS {short}_w"
-                      for short, rate in [("dur", "minutes"), ("late", "late"), ("prep", "prep"),
-                                          ("fail", "failed"), ("bad", "bad"), ("cs", "ticket"),
-                                          ("compl", "completion"), ("rat", "rating"), ("avail", "active")])}
+           {", ".join(f"SUM(m.{r}_value * m.{r}_weight) AS {r}_vw, CAST(SUM(m.{r}_weight) AS BIGINT) AS {r}_w"
+                      for r in _RATES)}
          FROM provider_monthly m JOIN cm ON m.provider_id = cm.provider_id
               LEFT JOIN top_cities t ON cm.city_name = t.bucket
          WHERE {score_m} AND strftime(m.ts, '%Y-%m') IN (SELECT month FROM populated)
          GROUP BY 1, 2),
 adjm AS (SELECT COALESCE(t.bucket, '{p.other_bucket}') AS bucket, strftime(w.ts, '%Y-%m') AS month,
-           {mart("SUM(w.adjustment_value * w.adjustment_weight)")} AS adj_vw,
-           CAST(SUM(w.adjustment_weight) AS BIGINT) AS adj_w
+           SUM(w.adjustment_value * w.adjustment_weight) AS adjustment_vw,
+           CAST(SUM(w.adjustment_weight) AS BIGINT) AS adjustment_w
          FROM provider_weekly w JOIN cm ON w.provider_id = cm.provider_id
               LEFT JOIN top_cities t ON cm.city_name = t.bucket
          WHERE {score_m} AND strftime(w.ts, '%Y-%m') IN (SELECT month FROM populated)
@@ -290,28 +324,28 @@ bb AS (SELECT COUNT(*) AS orders, {mart("CAST(SUM(gmv_eur) AS DOUBLE)")} AS gmv_
          COUNT(DISTINCT provider_id) AS merchants
        FROM fact_order JOIN peers USING (provider_id)
        WHERE order_state = 'delivered' AND order_date BETWEEN {d(p.bench_start)} AND {d(p.bench_end)}),
-bq AS (SELECT {mart(w2("minutes", False))} AS dur, {mart(w2("late", True))} AS late, {mart(w2("prep", True))} AS prep,
-         {mart(w2("failed", True))} AS fail, {mart(w2("bad", True))} AS bad, {mart(w2("ticket", True))} AS cs,
-         {mart(w2("completion", True))} AS compl, {mart(w2("rating", False))} AS rating,
-         {mart(w2("active", True))} AS avail
+bq AS (SELECT {mart(w2("minutes", False))} AS minutes, {mart(w2("late", True))} AS late, {mart(w2("prep", True))} AS prep,
+         {mart(w2("failed", True))} AS failed, {mart(w2("bad", True))} AS bad, {mart(w2("ticket", True))} AS ticket,
+         {mart(w2("completion", True))} AS completion, {mart(w2("rating", False))} AS rating,
+         {mart(w2("active", True))} AS active
        FROM provider_monthly JOIN peers USING (provider_id) WHERE {bench_m}),
-ba AS (SELECT {mart(w2("adjustment", True))} AS adj FROM provider_weekly JOIN peers USING (provider_id)
+ba AS (SELECT {mart(w2("adjustment", True))} AS adjustment FROM provider_weekly JOIN peers USING (provider_id)
        WHERE {bench_m}),
 wide AS (SELECT s.bucket, s.bucket_ord, s.month,
            {rhu("biz.gmv_eur", 0)} AS v1, CAST(biz.orders AS DOUBLE) AS v2, CAST(biz.active_users AS DOUBLE) AS v3,
            CAST(biz.new_users AS DOUBLE) AS v4, {rhu(sdiv("biz.orders", "biz.active_users"), 2)} AS v5,
            CAST(biz.merchants AS DOUBLE) AS v6, {rhu(sdiv("biz.gmv_eur", "biz.orders"), 0)} AS v7,
            {rhu(sdiv("biz.gmv_eur", "biz.merchants"), 1)} AS v8, {rhu(sdiv("biz.orders", "biz.merchants"), 1)} AS v9,
-           {rhu(sdiv("q.avail_vw", "q.avail_w") + " * 100", 1)} AS v10,
-           {rhu(sdiv("q.dur_vw", "q.dur_w"), 2)} AS v11,
+           {rhu(sdiv("q.active_vw", "q.active_w") + " * 100", 1)} AS v10,
+           {rhu(sdiv("q.minutes_vw", "q.minutes_w"), 2)} AS v11,
            {rhu(sdiv("q.late_vw", "q.late_w") + " * 100", 1)} AS v12,
            {rhu(sdiv("q.prep_vw", "q.prep_w") + " * 100", 1)} AS v13,
-           {rhu(sdiv("q.fail_vw", "q.fail_w") + " * 100", 1)} AS v14,
+           {rhu(sdiv("q.failed_vw", "q.failed_w") + " * 100", 1)} AS v14,
            {rhu(sdiv("q.bad_vw", "q.bad_w") + " * 100", 1)} AS v15,
-           {rhu(sdiv("a.adj_vw", "a.adj_w") + " * 100", 1)} AS v16,
-           {rhu(sdiv("q.cs_vw", "q.cs_w") + " * 100", 1)} AS v17,
-           {rhu(sdiv("q.compl_vw", "q.compl_w") + " * 100", 1)} AS v18,
-           {rhu(sdiv("q.rat_vw", "q.rat_w"), 2)} AS v19
+           {rhu(sdiv("a.adjustment_vw", "a.adjustment_w") + " * 100", 1)} AS v16,
+           {rhu(sdiv("q.ticket_vw", "q.ticket_w") + " * 100", 1)} AS v17,
+           {rhu(sdiv("q.completion_vw", "q.completion_w") + " * 100", 1)} AS v18,
+           {rhu(sdiv("q.rating_vw", "q.rating_w"), 2)} AS v19
          FROM (SELECT b.bucket, b.bucket_ord, pm.month FROM buckets b CROSS JOIN populated pm) s
          LEFT JOIN biz ON biz.bucket = s.bucket AND biz.month = s.month
          LEFT JOIN qual q ON q.bucket = s.bucket AND q.month = s.month
@@ -329,10 +363,10 @@ bw AS (SELECT
          {rhu(sdiv("bb.gmv_eur", "bb.orders"), 1)} AS v7,
          {rhu(sdiv(sdiv("bb.gmv_eur", "n.nm"), str(float(p.bench_months))), 1)} AS v8,
          {rhu(sdiv(sdiv("bb.orders", "n.nm"), str(float(p.bench_months))), 1)} AS v9,
-         {rhu("bq.avail", 1)} AS v10, {rhu("bq.dur", 1)} AS v11, {rhu("bq.late", 1)} AS v12,
-         {rhu("bq.prep", 1)} AS v13, {rhu("bq.fail", 1)} AS v14, {rhu("bq.bad", 1)} AS v15,
-         CASE WHEN ba.adj <> 0 THEN {rhu("ba.adj", 1)} END AS v16,
-         {rhu("bq.cs", 1)} AS v17, {rhu("bq.compl", 1)} AS v18, {rhu("bq.rating", 2)} AS v19
+         {rhu("bq.active", 1)} AS v10, {rhu("bq.minutes", 1)} AS v11, {rhu("bq.late", 1)} AS v12,
+         {rhu("bq.prep", 1)} AS v13, {rhu("bq.failed", 1)} AS v14, {rhu("bq.bad", 1)} AS v15,
+         CASE WHEN ba.adjustment <> 0 THEN {rhu("ba.adjustment", 1)} END AS v16,
+         {rhu("bq.ticket", 1)} AS v17, {rhu("bq.completion", 1)} AS v18, {rhu("bq.rating", 2)} AS v19
        FROM bb CROSS JOIN bq CROSS JOIN ba
        CROSS JOIN (SELECT CASE WHEN COALESCE(merchants, 0) = 0 THEN 1 ELSE merchants END AS nm FROM bb) n),
 bench AS (SELECT md.metric_ord, md.metric_key,
@@ -362,12 +396,12 @@ store_quality AS (
   WHERE m.{bench_m}
   GROUP BY cm.provider_name, cm.city_name HAVING SUM(m.delivered_orders) > 0),
 sb AS (SELECT s.addr, s.city, COALESCE(t.bucket, '{p.other_bucket}') AS bucket, s.orders,
-         {", ".join(f"{rhu('s.' + k, 2)} AS {k}" for k, _, _ in STORE_COLS if k != "orders")}
+         {", ".join(f"{rhu('s.' + k, 2)} AS {k}" for k, _ in STORE_COLS if k != "orders")}
        FROM store_quality s LEFT JOIN top_cities t ON s.city = t.bucket),
-med AS (SELECT {", ".join(f"{mart(f'median(CAST({k} AS DOUBLE))')} AS med_{k}" for k, _, _ in STORE_COLS)} FROM sb),
+med AS (SELECT {", ".join(f"{mart(f'median(CAST({k} AS DOUBLE))')} AS med_{k}" for k, _ in STORE_COLS)} FROM sb),
 flagged AS (SELECT sb.*, CAST({" + ".join(
         f"CASE WHEN sb.{k} {'<' if dr == 1 else '>'} med.med_{k} THEN 1 ELSE 0 END"
-        for k, dr, _ in STORE_COLS if dr != 0)} AS BIGINT) AS flags
+        for k, dr in STORE_COLS if dr != 0)} AS BIGINT) AS flags
             FROM sb CROSS JOIN med)"""
 
     def whole(x):
@@ -378,8 +412,11 @@ flagged AS (SELECT sb.*, CAST({" + ".join(
     q["city_bucket"] = f"{sc}\nSELECT bucket, bucket_ord FROM buckets"
     q["business_by_bucket_month"] = f"{sc}\nSELECT * FROM biz"
     q["populated_months"] = f"{sc}\nSELECT month, orders FROM populated ORDER BY month"
-    q["quality_by_bucket_month"] = f"{sc}\nSELECT * FROM qual"
-    q["adjustment_by_bucket_month"] = f"{sc}\nSELECT * FROM adjm"
+    rounded = ", ".join(f"{mart(f'{r}_vw')} AS {r}_vw, {r}_w" for r in _RATES)
+    q["quality_by_bucket_month"] = f"{sc}\nSELECT bucket, month, {rounded} FROM qual"
+    q["adjustment_by_bucket_month"] = (
+        f"{sc}\nSELECT bucket, month, {mart('adjustment_vw')} AS adjustment_vw, adjustment_w FROM adjm"
+    )
     q["benchmark_business"] = f"{sc}\nSELECT * FROM bb"
     q["benchmark_quality"] = f"{sc}\nSELECT * FROM bq"
     q["benchmark_adjustment"] = f"{sc}\nSELECT * FROM ba"
@@ -436,14 +473,14 @@ GROUP BY bucket"""
     q["highlight_new_users_trend"] = f"{sc}\n{users_trend}"
     q["highlight_gaps"] = f"{sc}\n{gaps}"
     q["highlights"] = f"""{sc}
-SELECT bucket, ord, level, kind, text FROM (
+SELECT bucket_ord, bucket, ord, level, kind, text FROM (
   SELECT bucket, 1 AS ord, level, kind, text FROM ({orders_trend})
   UNION ALL SELECT bucket, 2 AS ord, level, kind, text FROM ({users_trend})
-  UNION ALL SELECT bucket, 3 AS ord, level, kind, text FROM ({gaps}))
-ORDER BY bucket, ord"""
+  UNION ALL SELECT bucket, 3 AS ord, level, kind, text FROM ({gaps})) JOIN buckets USING (bucket)
+ORDER BY bucket_ord, ord"""
 
-    keys = [k for k, _, _ in STORE_COLS]
-    hi, mid = p.severity_cuts(sum(1 for _, dr, _ in STORE_COLS if dr != 0))
+    keys = [k for k, _ in STORE_COLS]
+    hi, mid = SEVERITY_CUTS if (p.severity_high, p.severity_mid) == (0.6, 0.35) else p.severity_cuts(9)
     q["store_bucketed"] = f"{sc}\nSELECT * FROM sb"
     q["store_medians"] = f"{sc}\nSELECT {', '.join(f'med_{k} AS {k}' for k in keys)} FROM med"
     q["store_flags"] = f"{sc}\nSELECT addr, city, bucket, {', '.join(keys)}, flags FROM flagged"
@@ -469,7 +506,8 @@ SELECT bucket,
     AS store_rank,
   addr, city, orders, flags
 FROM flagged ORDER BY bucket, store_rank"""
-    q["bucket_store_counts"] = f"{sc}\nSELECT bucket, COUNT(*) AS stores FROM sb GROUP BY bucket ORDER BY bucket"
+    q["bucket_store_counts"] = f"""{sc}
+SELECT bucket_ord, bucket, COUNT(*) AS stores FROM sb JOIN buckets USING (bucket) GROUP BY ALL ORDER BY bucket_ord"""
     return q
 
 

@@ -23,20 +23,20 @@ def _add_months(d: date, n: int) -> date:
 
 @dataclass(frozen=True)
 class ReportParams:
-    """Partner, scope and threshold parameters of one report run."""
+    """Partner, scope and threshold parameters of one report run. Partner, country and dates have no default."""
 
-    country: str = "xa"
-    partner_group: str = "P0"
-    as_of: date = date(1999, 7, 14)
+    country: str
+    partner_group: str
+    as_of: date
     # first day of monthly data in the period report (partner go-live)
-    data_start: date = date(1999, 1, 1)
+    data_start: date
     # scorecard month range (both ends inclusive, whole months)
-    scorecard_start: date = date(1999, 1, 1)
-    scorecard_end: date = date(1999, 6, 30)
+    scorecard_start: date
+    scorecard_end: date
     # benchmark quarter (whole months, both ends inclusive)
-    bench_start: date = date(1999, 4, 1)
-    bench_end: date = date(1999, 6, 30)
-    min_month_orders: int = 25
+    bench_start: date
+    bench_end: date
+    min_month_orders: int = 50
     top_cities: int = 4
     other_bucket: str = "other"
     top_stores: int = 15
@@ -51,10 +51,6 @@ class ReportParams:
     peers_exclude_partner: bool = False
     # opt-in HyperLogLog distinct counts (relative standard deviation); None = exact, as the original
     approx_distinct_rsd: float | None = None
-    # a join side is broadcast only after a count proves it has at most this many rows (narrow id lists) ...
-    broadcast_row_limit: int = 2_000_000
-    # ... or this many for wide per-provider tables (ids with names and cities, ~60 bytes a row)
-    broadcast_wide_row_limit: int = 500_000
 
     def with_(self, **kw) -> "ReportParams":
         return replace(self, **kw)
@@ -102,10 +98,11 @@ class ReportParams:
         s, e = _month_start(self.bench_start), _month_start(self.bench_end)
         return (e.year - s.year) * 12 + e.month - s.month + 1
 
-    def scorecard_months(self) -> list[str]:
+    def scorecard_months(self) -> list[tuple[str, str]]:
+        """(key, label) of every month of the scorecard range, e.g. ('1999-01', 'Jan 1999')."""
         out, m = [], _month_start(self.scorecard_start)
         while m <= self.scorecard_end:
-            out.append(m.strftime("%Y-%m"))
+            out.append((m.strftime("%Y-%m"), m.strftime("%b %Y")))
             m = _add_months(m, 1)
         return out
 
@@ -113,4 +110,15 @@ class ReportParams:
         return math.ceil(n_directed * self.severity_high), math.ceil(n_directed * self.severity_mid)
 
 
-DEFAULT_PARAMS = ReportParams()
+#: Parameters of the registered queries over the test tables; the month threshold fits their size.
+FIXTURE_PARAMS = ReportParams(
+    country="xa",
+    partner_group="P0",
+    as_of=date(1999, 7, 14),
+    data_start=date(1999, 1, 1),
+    scorecard_start=date(1999, 1, 1),
+    scorecard_end=date(1999, 6, 30),
+    bench_start=date(1999, 4, 1),
+    bench_end=date(1999, 6, 30),
+    min_month_orders=25,
+)

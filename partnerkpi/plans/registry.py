@@ -2,17 +2,15 @@
 
 from __future__ import annotations
 
-import os
-import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..context import KpiContext, fixture_context
-from ..sources.catalog import fixture_warehouse
+from ..context import KpiContext
 from ..functions.calendar import MONTH, WEEK
 from ..operators import buckets, highlights, period_report, scorecard, stores
-from ..params import DEFAULT_PARAMS, ReportParams
+from ..params import FIXTURE_PARAMS, ReportParams
+from ..sources.catalog import fixture_warehouse
 
 QueryFn = Callable[[KpiContext], DataFrame]
 
@@ -67,22 +65,9 @@ SCORECARD: dict[str, QueryFn] = {
 
 QUERIES: dict[str, QueryFn] = {**PERIOD_REPORT, **SCORECARD}
 
-_CTX_LOCK = threading.Lock()
-_CTX: dict[tuple, KpiContext] = {}
-
-
-def context_for(spark: SparkSession, sf_dir: str, params: ReportParams = DEFAULT_PARAMS) -> KpiContext:
-    """One context per (application, fixture dir, parameters): tables materialized and size checks done once."""
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), params)
-    with _CTX_LOCK:
-        ctx = _CTX.get(key)
-    if ctx is None:
-        ctx = fixture_context(spark, sf_dir, params)
-        with _CTX_LOCK:
-            _CTX[key] = ctx
-    else:  # re-validates that the materialized tables are still there (a rebuilt warehouse drops the stages)
-        ctx.reset(fixture_warehouse(spark, sf_dir))
-    return ctx
+def context_for(spark: SparkSession, sf_dir: str, params: ReportParams = FIXTURE_PARAMS) -> KpiContext:
+    """A context over the test tables as they are now: nothing is kept between calls, the mapping is part of the plan."""
+    return KpiContext(spark, fixture_warehouse(spark, sf_dir), params)
 
 
 def spark_query(name: str) -> Callable[[SparkSession, str], DataFrame]:

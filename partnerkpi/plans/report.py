@@ -1,7 +1,7 @@
 """The two report runs as Spark jobs: the period report and the scorecard with store scoring.
 
-Each run builds every section from one run context (shared stages), then writes the sections as datasets. Nothing
-is collected to the driver except the small run metadata row.
+Each run builds every section from one staging context, then writes the sections as datasets. Nothing is collected to the
+driver.
 """
 
 from __future__ import annotations
@@ -26,18 +26,44 @@ FAMILIES = {
 }
 
 
+#: What the benchmark is, for the scorecard's reader.
+BENCHMARK_NOTE = (
+    "Benchmark: grocery providers of the same country over the benchmark months; scale metrics per merchant and month, "
+    "rates weighted by their orders."
+)
+
+
+def _one_row(ctx: KpiContext, **values: str) -> DataFrame:
+    return ctx.spark.range(1).select(*[F.lit(v).alias(k) for k, v in values.items()])
+
+
 def run_meta(ctx: KpiContext) -> DataFrame:
-    """Run metadata as a one-row table (the windows are parameters; ``as_of`` replaces wall-clock time)."""
+    """Run metadata of the period report (the windows are parameters; ``as_of`` replaces wall-clock time)."""
     p = ctx.params
-    return ctx.spark.range(1).select(
-        F.lit(p.country).alias("country"),
-        F.lit(p.partner_group).alias("partner_group"),
-        F.lit(p.as_of.isoformat()).alias("as_of"),
-        F.lit(p.data_start.isoformat()).alias("data_start"),
-        F.lit(p.data_end.isoformat()).alias("data_end"),
-        F.lit(p.week_start.isoformat()).alias("weekly_start"),
-        F.lit(p.week_end.isoformat()).alias("weekly_end"),
-    )
+    return _one_row(
+        ctx, country=p.country, partner_group=p.partner_group, as_of=p.as_of.isoformat(),
+        data_start=p.data_start.isoformat(), data_end=p.data_end.isoformat(),
+        weekly_start=p.week_start.isoformat(), weekly_end=p.week_end.isoformat(),
+    )
+
+
+def scorecard_meta(ctx: KpiContext) -> DataFrame:
+    """Run metadata of the scorecard: scope, month range, store period and the benchmark note."""
+    p = ctx.params
+    return _one_row(
+        ctx, country=p.country, partner_group=p.partner_group, as_of=p.as_of.isoformat(),
+        scorecard_start=p.scorecard_start.isoformat(), scorecard_end=p.scorecard_end.isoformat(),
+        store_period_start=p.bench_start.isoformat(), store_period_end=p.bench_end.isoformat(),
+        benchmark_note=BENCHMARK_NOTE,
+    )
+
+
+def month_labels(ctx: KpiContext) -> DataFrame:
+    """Every month of the scorecard range with its label, and whether it is populated."""
+    rows = [F.struct(F.lit(k).alias("month"), F.lit(v).alias("label")) for k, v in ctx.params.scorecard_months()]
+    spine = ctx.spark.range(1).select(F.inline(F.array(*rows)))
+    months = F.broadcast(scorecard.populated_months(ctx))  # at most one row a month of the range
+    return spine.join(months, "month", "left").select("month", "label", "orders", F.col("orders").isNotNull().alias("populated"))
 
 
 def period_report_sections(ctx: KpiContext) -> dict[str, DataFrame]:
@@ -53,14 +79,16 @@ def period_report_sections(ctx: KpiContext) -> dict[str, DataFrame]:
 def scorecard_sections(ctx: KpiContext) -> dict[str, DataFrame]:
     sc = scorecard.Scorecard(ctx)
     return {
+        "meta": scorecard_meta(ctx),
         "buckets": city_bucket(ctx, sc.top),
-        "months": scorecard.populated_months(ctx, sc),
+        "months": month_labels(ctx),
         "metrics": nested_metrics(sc.matrix, sc.metric_def, sc.benchmarks),
         "metric_matrix": sc.matrix,
         "cell_class": scorecard.metric_cell_class(ctx, sc),
         "verdicts": scorecard.metric_verdict(ctx, sc),
         "highlights": highlights.highlights(ctx),
-        "stores": stores.store_severity(ctx),
+        "stores": stores.store_table(ctx),
+        "store_cols": stores.store_columns(ctx),
         "store_medians": stores.store_medians(ctx),
         "worst_stores": stores.worst_stores(ctx),
         "store_ranked": stores.store_ranked(ctx),
@@ -74,11 +102,17 @@ def _partition(ctx: KpiContext, by_partner: bool) -> dict[str, str] | None:
     return {"country": ctx.params.country, "partner_group": ctx.params.partner_group} if by_partner else None
 
 
-def write_period_report(ctx: KpiContext, out_dir: str, fmt: str = "parquet", by_partner: bool = False) -> dict[str, str]:
-    """Write all period-report sections; ``by_partner`` partitions them by (country, partner_group)."""
-    return write_sections(period_report_sections(ctx), out_dir, fmt, partition=_partition(ctx, by_partner))
+def _write(sections, ctx: KpiContext, out_dir: str, fmt: str, by_partner: bool, mode: str) -> dict[str, str]:
+    """Write the sections of one run; the parts that they share are persisted for the run and dropped at its end."""
+    with KpiContext(ctx.spark, ctx.wh, ctx.params, staging=True) as run:
+        return write_sections(sections(run), out_dir, fmt, mode, _partition(run, by_partner))
+
+
+def write_period_report(ctx: KpiContext, out_dir: str, fmt: str = "parquet", by_partner: bool = False, mode: str = "overwrite") -> dict[str, str]:
+    """Write all period-report sections; a rerun replaces them. ``by_partner`` partitions by (country, partner_group)."""
+    return _write(period_report_sections, ctx, out_dir, fmt, by_partner, mode)
 
 
-def write_scorecard(ctx: KpiContext, out_dir: str, fmt: str = "parquet", by_partner: bool = False) -> dict[str, str]:
-    """Write all scorecard sections; ``by_partner`` partitions them by (country, partner_group)."""
-    return write_sections(scorecard_sections(ctx), out_dir, fmt, partition=_partition(ctx, by_partner))
+def write_scorecard(ctx: KpiContext, out_dir: str, fmt: str = "parquet", by_partner: bool = False, mode: str = "overwrite") -> dict[str, str]:
+    """Write all scorecard sections; a rerun replaces them. ``by_partner`` partitions by (country, partner_group)."""
+    return _write(scorecard_sections, ctx, out_dir, fmt, by_partner, mode)

@@ -1,28 +1,26 @@
-"""The five warehouse inputs as DataFrames: read from given tables, or derived from the test tables.
+"""The five warehouse inputs as DataFrames: bound to given tables, or derived from the test tables.
 
-Derived tables are written once under the cluster's shared checkpoint directory (``spark.checkpoint.dir``) and read
-back. That cuts the lineage (a lost executor re-reads parquet instead of recomputing the mapping) and lets every query
-scan a column-pruned, date-clustered copy. For a local checkpoint directory the copy is keyed by the raw files'
-content and the mapping code and published atomically, so later applications reuse it.
+A binding names, per input, the table's own columns and is cast to the types that the workload needs, so real tables with
+other names and numeric types fit. The derived inputs are a plan over the raw test tables; ``materialize_fixture`` writes
+them for a caller that reads them many times, to a folder the caller owns.
 """
 
 from __future__ import annotations
 
-import hashlib
-import os
-import tempfile
-import threading
-import uuid
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import fixtures
-from .schema import SCHEMAS, assert_schema
+from .schema import SCHEMAS, assert_schema, conform
 
 TABLES = ("fact_order", "dim_provider", "provider_monthly", "provider_weekly", "resolution")
 
+#: {input: {column of this library: column of the given table}}; columns left out keep their name.
+Columns = Mapping[str, Mapping[str, str]]
+
 
 @dataclass(frozen=True)
 class Warehouse:
@@ -33,132 +31,30 @@ class Warehouse:
     resolution: DataFrame
 
     @classmethod
-    def from_frames(cls, **frames: DataFrame) -> "Warehouse":
+    def from_frames(cls, *, columns: Columns | None = None, **frames: DataFrame) -> "Warehouse":
+        bound = {}
         for name in TABLES:
-            assert_schema(frames[name], SCHEMAS[name], name)
-        return cls(**{n: frames[n] for n in TABLES})
+            df = frames[name]
+            names = (columns or {}).get(name, {})
+            if names:
+                own = {f.name: names.get(f.name, f.name) for f in SCHEMAS[name].fields}
+                df = df.select(*[F.col(f"`{theirs}`").alias(ours) for ours, theirs in own.items() if theirs in df.columns])
+            bound[name] = conform(assert_schema(df, SCHEMAS[name], name), SCHEMAS[name])
+        return cls(**bound)
 
     @classmethod
-    def from_paths(cls, spark: SparkSession, paths: dict[str, str], fmt: str = "parquet") -> "Warehouse":
-        """Read the five inputs from storage (e.g. the real warehouse tables exported as parquet)."""
-        return cls.from_frames(**{n: spark.read.format(fmt).load(paths[n]) for n in TABLES})
+    def from_paths(cls, spark: SparkSession, paths: Mapping[str, str], fmt: str = "parquet", columns: Columns | None = None) -> "Warehouse":
+        """Read the five inputs from storage."""
+        return cls.from_frames(columns=columns, **{n: spark.read.format(fmt).load(paths[n]) for n in TABLES})
 
     @classmethod
-    def from_tables(cls, spark: SparkSession, names: dict[str, str]) -> "Warehouse":
-        """Read the five inputs from catalog tables, e.g. ``{'fact_order': 'db.fact_order_delivery', ...}``."""
-        return cls.from_frames(**{n: spark.table(names[n]) for n in TABLES})
-
-
-def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint directory of the session; a private one is set only when none is configured."""
-    sc = spark.sparkContext
-    d = sc.getCheckpointDir()
-    if not d:
-        d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-        if d:
-            sc.setCheckpointDir(d)
-        else:  # local runs and tests only: nothing configured
-            sc.setCheckpointDir(tempfile.mkdtemp(prefix="partnerkpi-ckpt-"))
-        d = sc.getCheckpointDir()
-    return d
-
-
-_LOCK = threading.Lock()
-_CACHE: dict[tuple[str, str], tuple[str, Warehouse]] = {}
-
-
-def _local_path(uri: str) -> str | None:
-    if uri.startswith("file:"):
-        return uri[len("file:"):]
-    return uri if "://" not in uri and not uri.startswith(("hdfs:", "s3", "gs:", "abfs")) else None
-
-
-def _still_there(root: str) -> bool:
-    lp = _local_path(root)
-    return lp is None or all(os.path.exists(os.path.join(lp, t, "_SUCCESS")) for t in TABLES)
-
-
-def materialize_fixture(spark: SparkSession, sf_dir: str, root: str) -> Warehouse:
-    """Derive the five inputs from the test tables under ``sf_dir`` and write them under ``root``."""
-    raw = fixtures.read_raw(spark, sf_dir)
-    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "8")))
-
-    def write(df: DataFrame, name: str) -> DataFrame:
-        df.write.mode("errorifexists").parquet(f"{root}/{name}")
-        return spark.read.parquet(f"{root}/{name}")
-
-    dim = write(fixtures.dim_provider(raw), "dim_provider")
-    # date-clustered fact: range partitions + sorted files give parquet min/max skipping on order_date filters
-    enriched = fixtures.enriched_orders(raw, dim)
-    fact = write(enriched.repartitionByRange(parts, "order_date").sortWithinPartitions("order_date", "provider_id"),
-                 "fact_order")
-    monthly = write(fixtures.provider_monthly(fact).repartitionByRange(parts, "ts").sortWithinPartitions("ts"),
-                    "provider_monthly")
-    weekly = write(fixtures.provider_weekly(fact).repartitionByRange(parts, "ts").sortWithinPartitions("ts"),
-                   "provider_weekly")
-    res = write(fixtures.resolution(raw), "resolution")
-    return Warehouse.from_frames(
-        fact_order=fact, dim_provider=dim, provider_monthly=monthly, provider_weekly=weekly, resolution=res
-    )
-
-
-def _fixture_key(sf_dir: str) -> str | None:
-    """Content key of a local fixture: raw file names, sizes and mtimes plus the mapping code itself."""
-    try:
-        h = hashlib.sha1(open(fixtures.__file__, "rb").read())
-        for t in fixtures.RAW_TABLES:
-            st = os.stat(os.path.join(sf_dir, f"{t}.parquet"))
-            h.update(f"{t}:{st.st_size}:{st.st_mtime_ns}".encode())
-        return h.hexdigest()[:16]
-    except OSError:
-        return None
-
-
-def _read_tables(spark: SparkSession, root: str) -> Warehouse:
-    return Warehouse.from_frames(**{t: spark.read.parquet(f"{root}/{t}") for t in TABLES})
-
-
-def _shared_fixture(spark: SparkSession, sf_dir: str) -> tuple[str, Warehouse] | None:
-    """Reuse or publish the derived tables under the configured (shared) checkpoint directory, across applications.
-
-    Only for local paths: the tables are written to a unique directory and published by an atomic rename, so
-    concurrent runs never read a half-written copy.
-    """
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir", None)
-    key = _fixture_key(sf_dir)
-    base = _local_path(conf_dir) if conf_dir else None
-    if not base or not key:
-        return None
-    final = os.path.join(base, f"partnerkpi-fixture-{key}")
-    if not _still_there(final):
-        tmp = f"{final}.tmp-{uuid.uuid4().hex[:12]}"
-        materialize_fixture(spark, sf_dir, tmp)
-        try:
-            os.rename(tmp, final)
-        except OSError:  # another run published first (or the rename is not possible): use what exists
-            if not _still_there(final):
-                return tmp, _read_tables(spark, tmp)
-    return final, _read_tables(spark, final)
+    def from_tables(cls, spark: SparkSession, names: Mapping[str, str], columns: Columns | None = None) -> "Warehouse":
+        """Read the five inputs from catalog tables, e.g. ``{'fact_order': 'reporting.orders', ...}``."""
+        return cls.from_frames(columns=columns, **{n: spark.table(names[n]) for n in TABLES})
 
 
 def fixture_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
-    """The derived warehouse for ``sf_dir``: materialized once and reused by later queries and applications."""
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
-    with _LOCK:
-        hit = _CACHE.get(key)
-        if hit is not None and _still_there(hit[0]):
-            return hit[1]
-        shared = _shared_fixture(spark, sf_dir)
-        if shared is None:
-            root = f"{checkpoint_root(spark).rstrip('/')}/partnerkpi-tables-{uuid.uuid4().hex[:12]}"
-            shared = (root, materialize_fixture(spark, sf_dir, root))
-        _CACHE[key] = shared
-        return shared[1]
-
-
-def lazy_fixture_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
-    """The same five inputs as an unmaterialized plan over the raw tables (used to inspect the full lineage)."""
+    """The five inputs as a plan over the raw test tables under ``sf_dir``: always what the files hold now."""
     raw = fixtures.read_raw(spark, sf_dir)
     dim = fixtures.dim_provider(raw)
     enriched = fixtures.enriched_orders(raw, dim)
@@ -171,5 +67,26 @@ def lazy_fixture_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     )
 
 
-def table_counts(wh: Warehouse) -> dict[str, int]:
-    return {n: getattr(wh, n).agg(F.count(F.lit(1))).first()[0] for n in TABLES}
+def materialize_fixture(spark: SparkSession, sf_dir: str, root: str) -> Warehouse:
+    """Write the derived inputs under ``root`` (shared storage, a folder of the caller's) and read them from there.
+
+    The mapping is evaluated once, into the order fact; the metric tables are aggregated from that. AQE sizes the files
+    (a hot month is split), and rows are date-sorted inside them for min/max skipping.
+    """
+    raw = fixtures.read_raw(spark, sf_dir)
+
+    def write(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+        if by:
+            df = df.hint("rebalance", by).sortWithinPartitions(by)
+        df.write.mode("errorifexists").parquet(f"{root.rstrip('/')}/{name}")
+        return spark.read.parquet(f"{root.rstrip('/')}/{name}")
+
+    dim = write(fixtures.dim_provider(raw), "dim_provider")
+    fact = write(fixtures.enriched_orders(raw, dim), "fact_order", "order_date")
+    return Warehouse.from_frames(
+        fact_order=fact,
+        dim_provider=dim,
+        provider_monthly=write(fixtures.provider_monthly(fact), "provider_monthly", "ts"),
+        provider_weekly=write(fixtures.provider_weekly(fact), "provider_weekly", "ts"),
+        resolution=write(fixtures.resolution(raw), "resolution"),
+    )

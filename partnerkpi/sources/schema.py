@@ -99,16 +99,35 @@ def assert_schema(df: DataFrame, schema: T.StructType, name: str) -> DataFrame:
         if t is None:
             problems.append(f"missing {f.name}")
         elif isinstance(f.dataType, T.DecimalType):
-            if not isinstance(t, (T.DecimalType, T.DoubleType)):
+            if not isinstance(t, T.NumericType):
                 problems.append(f"{f.name}: {t.simpleString()} is not numeric money")
         elif isinstance(f.dataType, T.TimestampNTZType):
             if not isinstance(t, (T.TimestampNTZType, T.TimestampType)):
                 problems.append(f"{f.name}: {t.simpleString()} is not a timestamp")
-        elif isinstance(f.dataType, T.LongType):
-            if not isinstance(t, (T.LongType, T.IntegerType)):
-                problems.append(f"{f.name}: {t.simpleString()} is not integral")
+        elif isinstance(f.dataType, (T.LongType, T.DoubleType)):
+            if not isinstance(t, T.NumericType):
+                problems.append(f"{f.name}: {t.simpleString()} is not numeric")
         elif type(t) is not type(f.dataType):
             problems.append(f"{f.name}: {t.simpleString()} != {f.dataType.simpleString()}")
     if problems:
         raise SchemaMismatch(f"{name}: " + "; ".join(problems))
     return df
+
+
+def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Cast where the given numeric or timestamp type is not the one that the workload computes with.
+
+    Rates become double, keys, counts and weights long (whole numbers; a fractional weight stays double), money keeps its
+    exact type or becomes double.
+    """
+    have = {f.name: f.dataType for f in df.schema.fields}
+    changed = {}
+    for f in schema.fields:
+        t, want = have[f.name], f.dataType
+        if isinstance(want, T.DecimalType) or type(t) is type(want):
+            continue
+        if isinstance(want, T.LongType) and f.name.endswith("_weight") and isinstance(t, (T.DecimalType, T.DoubleType, T.FloatType)):
+            want = T.DoubleType() if not (isinstance(t, T.DecimalType) and t.scale == 0) else want
+        if isinstance(want, (T.LongType, T.DoubleType, T.TimestampNTZType)):
+            changed[f.name] = df[f.name].cast(want)
+    return df.withColumns(changed) if changed else df

@@ -30,7 +30,7 @@ def to_mart(df: DataFrame) -> DataFrame:
 
 
 def write_sections(sections: Mapping[str, DataFrame], out_dir: str, fmt: str = "parquet",
-                   mode: str = "errorifexists", partition: Mapping[str, str] | None = None) -> dict[str, str]:
+                   mode: str = "overwrite", partition: Mapping[str, str] | None = None) -> dict[str, str]:
     """Write every section as its own dataset under ``out_dir``; returns section -> path.
 
     With ``partition`` (e.g. ``{"country": "xa", "partner_group": "P0"}``) each section gets those columns and is

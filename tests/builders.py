@@ -8,7 +8,7 @@ from decimal import Decimal
 from pyspark.sql import SparkSession
 
 from partnerkpi.context import KpiContext
-from partnerkpi.params import ReportParams
+from partnerkpi.params import FIXTURE_PARAMS, ReportParams
 from partnerkpi.sources.catalog import Warehouse
 from partnerkpi.sources.schema import (
     DIM_PROVIDER,
@@ -20,7 +20,7 @@ from partnerkpi.sources.schema import (
     WEEKLY_RATES,
 )
 
-PARAMS = ReportParams(min_month_orders=1)
+PARAMS = FIXTURE_PARAMS.with_(min_month_orders=1)
 
 
 def provider(pid, name=None, city="C1", country="xa", group="P0", grocery=True):

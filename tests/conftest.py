@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -22,8 +23,12 @@ def spark():
 
 @pytest.fixture(scope="session")
 def small_ctx(spark):
-    """sf0.001 with a month threshold of 1 order, so every scorecard part has rows at this size."""
-    from partnerkpi.params import DEFAULT_PARAMS
-    from partnerkpi.plans.registry import context_for
-
-    return context_for(spark, SF_SMALL, DEFAULT_PARAMS.with_(min_month_orders=1))
+    """sf0.001, derived inputs written to a temporary folder, with a month threshold of 1 order (every part has rows)."""
+    from partnerkpi.context import KpiContext
+    from partnerkpi.params import FIXTURE_PARAMS
+    from partnerkpi.sources.catalog import materialize_fixture
+
+    with tempfile.TemporaryDirectory(prefix="partnerkpi-tests-") as root:
+        wh = materialize_fixture(spark, SF_SMALL, f"{root}/inputs")
+        with KpiContext(spark, wh, FIXTURE_PARAMS.with_(min_month_orders=1), staging=True) as ctx:
+            yield ctx

@@ -84,8 +84,8 @@ def test_empty_scope_global_aggregates_return_one_row(spark):
         (None, None, None)
     ]
     assert rows(scorecard.benchmark_business(c), "orders", "gmv_eur", "merchants") == [(0, None, 0)]
-    assert rows(scorecard.benchmark_quality(c), "dur", "rating") == [(None, None)]
-    assert rows(scorecard.benchmark_adjustment(c), "adj") == [(None,)]
+    assert rows(scorecard.benchmark_quality(c), "minutes", "rating") == [(None, None)]
+    assert rows(scorecard.benchmark_adjustment(c), "adjustment") == [(None,)]
     assert period_report.financial(c, MONTH).count() == 0
 
 
@@ -267,3 +267,26 @@ def test_gap_order_by_distance_ranks_relative_distance(spark):
         sc.means = means
         got = [r["metric_key"] for r in highlights.quality_gaps(c, sc).orderBy("gap_rank").collect()]
         assert got == want
+
+
+def test_a_store_renamed_after_as_of_counts_under_its_latest_largest_name(spark):
+    """The city map reads the whole order history: rows after ``as_of`` and without a date too."""
+    from partnerkpi.operators.buckets import provider_city_map
+
+    wh = warehouse(
+        spark,
+        [provider(1)],
+        orders=[order(1, 1, d("1999-05-03"), city="A"), order(2, 1, d("2001-01-01"), city="Z"), order(3, 1, None, city="B")],
+    )
+    assert [tuple(r) for r in provider_city_map(ctx(spark, wh)).collect()] == [(1, "Z")]
+
+
+def test_the_rolling_snapshot_has_no_upper_bound(spark):
+    from partnerkpi.operators.period_report import acceptance_current
+
+    wh = warehouse(
+        spark,
+        [provider(1)],
+        weekly_rows=[weekly(1, ts("1999-07-12"), acceptance=(1.0, 10)), weekly(1, ts("1999-08-02"), acceptance=(0.0, 10))],
+    )
+    assert acceptance_current(ctx(spark, wh)).first()["acceptance_rate"] == 50.0

@@ -32,7 +32,7 @@ def test_delivered_plus_failed_is_total_without_null_state(small_ctx):
 
 
 def test_mergeable_pairs_roll_up_to_the_direct_rate(small_ctx):
-    q = scorecard.quality_by_bucket_month(small_ctx)
+    q = scorecard.Scorecard(small_ctx).quality
     merged = q.agg((F.sum("late_vw") / F.sum("late_w")).alias("r")).first()["r"]
     sc = scorecard.Scorecard(small_ctx)
     rows = sc._metric_rows(small_ctx.wh.provider_monthly)
@@ -62,19 +62,23 @@ def test_staged_equals_unstaged(small_ctx, name):
 
 @pytest.mark.parametrize("name", ["financial_monthly", "failed_reasons_weekly", "quality_by_bucket_month",
                                   "benchmark_business", "store_quality", "metric_verdict"])
-def test_results_do_not_depend_on_the_broadcast_decision(small_ctx, name):
-    """With the row limits at 1 no broadcast hint is given (Catalyst/AQE pick the joins); results are the same."""
-    tight = KpiContext(small_ctx.spark, small_ctx.wh,
-                       small_ctx.params.with_(broadcast_row_limit=1, broadcast_wide_row_limit=1), staging=False)
-    assert not tight.fits_broadcast(tight.wh.dim_provider, "all-providers")
-    a = sorted(map(tuple, QUERIES[name](small_ctx).collect()), key=str)
-    b = sorted(map(tuple, QUERIES[name](tight).collect()), key=str)
+def test_results_do_not_depend_on_the_join_strategy(small_ctx, name):
+    """With broadcasting off, the scopes join by shuffle; results are the same."""
+    spark = small_ctx.spark
+    raw = KpiContext(spark, small_ctx.wh, small_ctx.params)
+    a = sorted(map(tuple, QUERIES[name](raw).collect()), key=str)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        b = sorted(map(tuple, QUERIES[name](raw).collect()), key=str)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert a == b
 
 
 def test_lost_cached_parts_are_recomputed_from_lineage(small_ctx):
     """Dropping every persisted part's blocks (as a lost executor would) changes no result: they recompute from
-    their lineage, which starts at the written stage tables."""
+    their lineage, which starts at the input tables."""
     names = ["financial_monthly", "acceptance_weekly", "metric_matrix", "highlights", "store_flags"]
     before = {n: sorted(map(tuple, QUERIES[n](small_ctx).collect()), key=str) for n in names}
     persisted = [df for df in small_ctx._stages.values() if df.is_cached]
@@ -118,3 +122,18 @@ def test_opt_in_approximate_distinct_counts(small_ctx):
         e = exact[(r["bucket"], r["month"])]
         for c in ("active_users", "new_users", "merchants"):
             assert abs(r[c] - e[c]) <= max(1, 0.06 * e[c]), (c, r[c], e[c])
+
+
+@pytest.mark.parametrize(("key", "descending"), [("flags", True), ("late", False), ("rating", True), ("orders", False)])
+def test_sliced_store_ranking_equals_one_window_per_bucket(small_ctx, key, descending):
+    """Any column and direction, NULLs last, nearly all stores in one bucket, more slices than stores and fewer."""
+    from pyspark.sql import Window
+
+    ctx = KpiContext(small_ctx.spark, small_ctx.wh, small_ctx.params.with_(top_cities=1))
+    f = stores.store_flags(ctx)
+    order = F.col(key).desc_nulls_last() if descending else F.col(key).asc_nulls_last()
+    w = Window.partitionBy("bucket").orderBy(order, F.desc("orders"), "addr", "city")
+    want = {(r[0], r[1], r[2], r[3]) for r in f.select("bucket", F.row_number().over(w), "addr", "city").collect()}
+    for slices in (3, 255):
+        got = {(r[0], r[1], r[2], r[3]) for r in stores.store_ranked(ctx, key, descending, slices).collect()}
+        assert got == want

@@ -9,8 +9,8 @@ import pytest
 import __spark_entry__ as entry
 from conftest import SF_ORACLE
 
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+QUERIES = {n: q for n, q in entry.queries().items() if n not in entry.LLM_QUERIES}
+ORACLE = {n: q for n, q in entry.oracle_sql().items() if n not in entry.LLM_QUERIES}
 SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR"}
 
 
@@ -53,22 +53,23 @@ def test_query_matches_oracle(spark, duck, name):
     assert srows == orows
 
 
-def test_all_queries_match_the_oracle_under_other_parameters(spark, duck):
+def test_all_queries_match_the_oracle_under_other_parameters(spark, duck, tmp_path):
     """Another partner group and country, a Sunday as_of, a leap-year February, top-3 cities, peers without the
     partner: Spark and the oracle generated for the same parameters agree on every query."""
     from datetime import date
 
     from partnerkpi.oracle import build
-    from partnerkpi.params import DEFAULT_PARAMS
+    from partnerkpi.context import KpiContext
+    from partnerkpi.params import FIXTURE_PARAMS
     from partnerkpi.plans.registry import QUERIES as FNS
-    from partnerkpi.plans.registry import context_for
+    from partnerkpi.sources.catalog import materialize_fixture
 
-    p = DEFAULT_PARAMS.with_(
+    p = FIXTURE_PARAMS.with_(
         partner_group="P1", country="xb", as_of=date(2000, 3, 12), data_start=date(1999, 9, 1),
         scorecard_start=date(1999, 9, 1), scorecard_end=date(2000, 2, 29), bench_start=date(1999, 12, 1),
         bench_end=date(2000, 2, 29), min_month_orders=10, top_cities=3, peers_exclude_partner=True,
     )
-    ctx = context_for(spark, SF_ORACLE, p)
+    ctx = KpiContext(spark, materialize_fixture(spark, SF_ORACLE, str(tmp_path / "inputs")), p, staging=True)
     sql = build(p)
     for name, fn in FNS.items():
         sdf = fn(ctx)
@@ -78,3 +79,15 @@ def test_all_queries_match_the_oracle_under_other_parameters(spark, duck):
         idx = {d[0]: i for i, d in enumerate(cur.description)}
         orows = sorted((tuple(_norm(r[idx[c]]) for c in cols) for r in cur.fetchall()), key=_key)
         assert srows == orows, name
+    ctx.release()
+
+
+def test_the_oracle_sees_a_wrong_metric_direction(spark, duck, monkeypatch):
+    from partnerkpi.operators import scorecard
+    from partnerkpi.plans.registry import spark_query
+
+    flipped = [(o, k, g, -d if k == "Rating" else d, f) for o, k, g, d, f in scorecard.METRICS]
+    monkeypatch.setattr(scorecard, "METRICS", flipped)
+    got = {tuple(r) for r in spark_query("metric_cell_class")(spark, SF_ORACLE).select("metric_key", "bucket", "month", "cell_class").collect()}
+    cur = duck.execute(f"SELECT metric_key, bucket, month, cell_class FROM ({ORACLE['metric_cell_class']})")
+    assert got != set(cur.fetchall())

@@ -12,9 +12,9 @@ from hypothesis import strategies as st
 from builders import ctx, order, provider, warehouse
 from partnerkpi.functions.calendar import MONTH
 from partnerkpi.operators import period_report, stores
-from partnerkpi.params import ReportParams
+from partnerkpi.params import FIXTURE_PARAMS
 
-PARAMS = ReportParams()
+PARAMS = FIXTURE_PARAMS.with_()
 START = date(1998, 12, 20)  # a little before the monthly window, so the window edge is exercised
 
 row_st = st.tuples(

@@ -34,9 +34,19 @@ def test_scorecard_round_trip_and_nested_metrics(small_ctx):
     back = read_sections(small_ctx.spark, paths, fmt="json")
     metrics = back["metrics"]
     assert metrics.count() == 19
-    months = back["months"].count()
+    months = back["months"].where("populated").count()
     row = metrics.where("metric_key = 'Orders'").first()
     assert all(len(v) == months for v in row["brands"].asDict().values())
+    assert [r["label"] for r in back["months"].orderBy("month").collect()][0] == "Jan 1999"
+    assert set(back["stores"].columns) == {"addr", "city", "bucket", "orders", "dur", "late", "lateprep", "failed", "bad",
+                                           "replacement", "cs", "compl", "rating", "flags", "severity"}
+    assert back["stores"].count() == small_ctx.stage("st_flags", lambda: None).count()
+    assert back["store_cols"].count() == 10
+    meta = back["meta"].first()
+    assert meta["store_period_start"] == "1999-04-01" and meta["benchmark_note"]
+    n = back["stores"].count()
+    report.write_scorecard(small_ctx, out, fmt="json")  # a second run replaces the first
+    assert read_sections(small_ctx.spark, paths, fmt="json")["stores"].count() == n
 
 
 def test_command_line_period_report(spark, capsys):
@@ -83,3 +93,13 @@ def test_warehouse_from_catalog_tables_gives_the_same_results(small_ctx):
         a = sorted(map(tuple, QUERIES[q](small_ctx).collect()), key=str)
         b = sorted(map(tuple, QUERIES[q](ctx).collect()), key=str)
         assert a == b, q
+
+
+def test_command_line_without_dates_is_an_error(capsys):
+    import pytest
+
+    from partnerkpi.__main__ import main
+
+    with pytest.raises(SystemExit):
+        main(["period", "--tables", "/nowhere", "--out", "/nowhere/out", "--country", "xa", "--partner", "P0"])
+    assert "--as-of" in capsys.readouterr().err
