@@ -19,7 +19,7 @@ from . import (
     token_rollup,
     toxicity,
 )
-from .common import id_bucket, read_table, scratch_dir, with_code
+from .common import id_bucket, read_table, scratch_dir, with_code, written
 
 
 def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,18 +101,20 @@ def op8_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     All documents are inserted under two versions; those labelled of bad quality are deleted from both; the toxic ones
     among the others are revised from ``pieces-1`` to ``pieces-2``; two batches are folded into a base on the way.
     """
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    texts = read_table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    docs = written(token_rollup.counted(texts, {"words": "words-1", "pieces": "pieces-1", "recount": "pieces-2"}), "counts")
     labels = read_table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic"))
     bad = docs.join(labels.where("quality = 0"), "doc_id", "left_semi")
     toxic = docs.join(labels.where("quality = 1 and toxic = 1"), "doc_id", "left_semi")
+    words, pieces = F.col("words"), F.col("pieces")
     store = token_rollup.TokenRollup(spark, scratch_dir(spark))
-    store.commit("words", token_rollup.deltas(docs, "words-1", "insert"))
-    store.commit("pieces", token_rollup.deltas(docs, "pieces-1", "insert"))
+    store.commit("words", token_rollup.deltas(docs, "words-1", "insert", words))
+    store.commit("pieces", token_rollup.deltas(docs, "pieces-1", "insert", pieces))
     base = store.compact("first", ["words", "pieces"])
-    gone = token_rollup.deltas(bad, "words-1", "delete").unionAll(token_rollup.deltas(bad, "pieces-1", "delete"))
+    gone = token_rollup.deltas(bad, "words-1", "delete", words).unionAll(token_rollup.deltas(bad, "pieces-1", "delete", pieces))
     store.commit("bad-quality", gone)
     store.commit("bad-quality", gone)  # sent again: no effect
-    store.commit("recount", token_rollup.revision(toxic, "pieces-1", "pieces-2"))
+    store.commit("recount", token_rollup.revision(toxic, "pieces-1", "pieces-2", pieces, F.col("recount")))
     return store.totals(["words", "pieces", "bad-quality", "recount"], base)
 
 

@@ -50,9 +50,14 @@ def deltas(docs: DataFrame, version: str, op: str, tokens: Column | None = None)
     )
 
 
-def revision(docs: DataFrame, old: str, new: str) -> DataFrame:
+def revision(docs: DataFrame, old: str, new: str, old_tokens: Column | None = None, new_tokens: Column | None = None) -> DataFrame:
     """Documents counted under ``old`` move to ``new``: one delete and one insert each."""
-    return deltas(docs, old, "delete").unionAll(deltas(docs, new, "insert"))
+    return deltas(docs, old, "delete", old_tokens).unionAll(deltas(docs, new, "insert", new_tokens))
+
+
+def counted(docs: DataFrame, versions: dict[str, str], text: str = "text") -> DataFrame:
+    """The documents without their text, with one token count for each {column: version}; joins then move no text."""
+    return docs.select(*[c for c in docs.columns if c != text], *[count_tokens(v, text).alias(c) for c, v in versions.items()])
 
 
 class TokenRollup:
