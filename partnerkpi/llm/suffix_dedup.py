@@ -52,7 +52,8 @@ def minimiser_positions(grams: np.ndarray, window: int, usable: np.ndarray) -> n
     reach = 1
     while reach < window:  # low[j] = min of grams[j : j + reach]
         step = min(reach, window - reach)
-        low[: n - step] = np.minimum(low[: n - step], low[step:])
+        rest = max(n - step, 0)  # a block may have fewer grams than the step
+        low[:rest] = np.minimum(low[:rest], low[step:])
         reach += step
     low[~usable] = 0
     high = low
@@ -60,7 +61,7 @@ def minimiser_positions(grams: np.ndarray, window: int, usable: np.ndarray) -> n
     while reach < window:  # high[p] = max of low[p - reach + 1 : p + 1]
         step = min(reach, window - reach)
         nxt = high.copy()
-        nxt[step:] = np.maximum(high[step:], high[: n - step])
+        nxt[step:] = np.maximum(high[step:], high[: max(n - step, 0)])
         high = nxt
         reach += step
     return (grams <= high) & (high > 0)

@@ -394,6 +394,19 @@ def test_suffix_edges(edge, empty):
     assert suffix_dedup.repeated_passages(empty).count() == 0 and suffix_dedup.cut_repeats(empty).count() == 0
 
 
+def test_blocks_of_any_few_words_pass(spark):
+    words = [f"w{i}" for i in range(60)]
+    for n in range(1, 61):
+        block = next(suffix_dedup.blocks(pa.array([" ".join(words[:n])])))
+        row, pos, _, count = suffix_dedup.retained(block, 50, 19)
+        assert count.tolist() == [n] and (len(pos) > 0) == (n >= 50) and not row.any()
+    rows = [(n, " ".join(words[:n])) for n in range(1, 61)]
+    df = spark.createDataFrame(spark.sparkContext.parallelize(rows, len(rows)), "doc_id long, text string")  # each in a partition of its own
+    got = {(r["doc_id"], r["start_word"], r["end_word"]) for r in suffix_dedup.repeated_passages(df).collect()}
+    assert got == {(n, 0, min(n, 59)) for n in range(50, 61)}
+    assert {r["doc_id"] for r in suffix_dedup.cut_repeats(df).collect()} >= set(range(1, 51))
+
+
 # ---------------------------------------------------------------- 10 toxicity
 
 
