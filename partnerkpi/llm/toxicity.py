@@ -13,14 +13,15 @@ vectorised over all words of a batch.
 
 Labels name documents, so the sentences of a toxic document are labelled in rounds (multiple-instance learning): all
 sentences of clean documents are clean; of a toxic document those are toxic that the machine of the round before scores
-beyond half the margin, by a word that no clean sentence has (at first those with a word of high log-odds), the others are left out; a toxic document without any, as a
+beyond half the margin, by a word that clean documents have at most a tenth as often (at first those with the word that
+tells the document best from clean ones, whatever the size of the sample), the others are left out; a toxic document without any, as a
 wrong label gives, teaches nothing. Each round also adds the clean words that it scored highest. A document's score is its highest sentence's, mapped to the chance of label 1.
 
 Training uses a bounded sample: ``max_docs`` labelled rows of each class, least by hash, of up to ``max_chars``
 characters. Scoring covers every word of every text.
 
 Defined results: null and empty texts and texts without a word of three letters get a clean text's score;
-without training rows of both classes every score is 0; repeated rows score alike; null labels do not train; labels,
+without training rows of both classes, or without a word of three letters in toxic ones, every score is 0; repeated rows score alike; null labels do not train; labels,
 language, source and ids are never read for a score; extra columns are kept and ignored.
 """
 
@@ -45,8 +46,8 @@ LANDMARKS = 160
 ROUNDS = 4
 MAX_DOCS = 2000
 MAX_CHARS = 20_000
-#: Words of at least these log-odds are toxic in the first round.
-FIRST_ODDS = 4.0
+#: A toxic word's share of the clean documents is at most this part of its share of the toxic ones (labels may be wrong).
+CLEAN_PART = 0.1
 #: Clean words a round trains on.
 MAX_WORDS = 20_000
 
@@ -204,6 +205,20 @@ def svm(z: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float = 1.0,
     return w[:-1], float(w[-1])
 
 
+def _told(toxic: int, clean: int, n1: int, n0: int) -> float:
+    """How well a word tells toxic documents from clean ones: log-likelihood ratio of its counts, below 0 where clean ones have it more."""
+    expected = (toxic + clean) * n1 / (n1 + n0)
+    ratio = toxic * np.log(toxic / expected) + (clean * np.log(clean / (toxic + clean - expected)) if clean else 0.0)
+    return float(np.copysign(ratio, toxic - expected))
+
+
+def _best_words(bags: list[set[bytes]], count: list[Counter], n1: int, n0: int) -> tuple[set[bytes], dict[bytes, float], list[bytes]]:
+    """(words rare in clean documents, how well each word tells, the best rare word of each bag that has one)."""
+    rare = {w for w, k in count[1].items() if count[0][w] * n1 <= CLEAN_PART * k * n0}
+    told = {w: _told(k, count[0][w], n1, n0) for w, k in count[1].items()}
+    return rare, told, [max(bag & rare, key=lambda w: (told[w], w)) for bag in bags if not rare.isdisjoint(bag)]
+
+
 def train(texts: list[str], labels: list[int], landmarks: int = LANDMARKS, rounds: int = ROUNDS) -> ToxicModel:
     """Multiple-instance training on whole labelled documents (see the module text)."""
     seen: dict[str, int] = {}
@@ -234,8 +249,19 @@ def train(texts: list[str], labels: list[int], landmarks: int = LANDMARKS, round
     base = marks.kernel(marks.words)
     val, vec = np.linalg.eigh(base)
     root = vec @ np.diag(1 / np.sqrt(np.maximum(val, 1e-3))) @ vec.T  # K^(-1/2), small eigenvalues held up
-    witness = [w for bag, label in zip(bags, y, strict=True) if label for w in bag if odds[w] >= FIRST_ODDS]
-    if not witness:
+    toxic = [bag for bag, label in zip(bags, y, strict=True) if label and bag]
+    bad, fine = ([set(bag) for bag, label in zip(bags, y, strict=True) if label == v] for v in (1, 0))
+    rare, told, best = _best_words(bad, count, n1, n0)
+    part = round(n0 * n1 / (n1 + n0))  # what clean documents dealt as if so many were toxic would give by chance
+    dealt = [Counter(), Counter()]
+    for i, bag in enumerate(fine):
+        dealt[i * part // n0 != (i + 1) * part // n0].update(bag)
+    chosen = [bag for i, bag in enumerate(fine) if i * part // n0 != (i + 1) * part // n0]
+    _, luck, lucky = _best_words(chosen, dealt, part, n0 - part)
+    chance = np.quantile([luck[w] for w in lucky], 0.95) if lucky else 0.0
+    seeds = {w for w in best if told[w] > chance} or set(best) or {w for w, t in told.items() if t > 0} or set(count[1])
+    witness = [w for bag in toxic for w in bag if w in seeds]
+    if not witness:  # no toxic document has a word of three letters
         return ToxicModel(np.zeros(CODES, np.float32), 0.0, 0.0, -np.inf)
     common = clean[: MAX_WORDS // 4]
     negatives = sorted(set(common) | set(clean[:: max(1, len(clean) // (MAX_WORDS - len(common)))]))
@@ -255,10 +281,9 @@ def train(texts: list[str], labels: list[int], landmarks: int = LANDMARKS, round
         hard = [all_clean[i] for i in np.argsort(-scored, kind="stable")[: MAX_WORDS // 20]]
         negatives = sorted(set(negatives) | set(hard))
         witness = []
-        for bag, lab in zip(bags, y, strict=True):
-            if lab and bag:
-                v = _word_values(bag, weights)
-                witness += [bag[i] for i in np.flatnonzero(v + bias > 0.5) if not count[0][bag[i]]]
+        for bag in toxic:
+            v = _word_values(bag, weights)
+            witness += [bag[i] for i in np.flatnonzero(v + bias > 0.5) if bag[i] in rare]
         if not witness:
             break
     top = _top_scores(arr, weights, bias)

@@ -449,6 +449,22 @@ def test_toxicity_finds_whole_gapped_and_spaced_insults_and_leaves_clean_texts(s
     assert empty.select(toxicity.score_column(model)).count() == 0
 
 
+@pytest.mark.parametrize(("toxic", "clean", "wrong"), [(200, 200, 0), (150, 300, 0), (400, 400, 20)])
+def test_many_rare_insults_are_learned_at_any_class_sizes(toxic, clean, wrong):
+    rng = random.Random(11)
+    make = lambda n: "".join(rng.choice("bcdfgklmnprst") + rng.choice("aeiou") for _ in range(n))
+    ordinary = [make(rng.randrange(2, 4)) for _ in range(400)]
+    insults = [make(2) + "xq" + make(1) for _ in range(20)]
+    text = lambda: [rng.choice(ordinary) for _ in range(60)]
+    fine = lambda: " ".join(text())
+    rude = lambda i: " ".join([*text(), insults[i % 20]])
+    labelled = [(rude(i), 1) for i in range(toxic)] + [(fine(), 0) for _ in range(clean - wrong)] + [(rude(i), 0) for i in range(wrong)]
+    model = toxicity.train([t for t, _ in labelled], [y for _, y in labelled])
+    chance = lambda ts: model.chance(toxicity._top_scores(pa.array(ts, pa.string()), model.weights, model.bias))
+    assert (chance([rude(i) for i in range(100)]) >= 0.5).mean() >= 0.9
+    assert (chance([fine() for _ in range(100)]) >= 0.5).mean() <= 0.05
+
+
 def test_toxicity_on_held_out_rows(spark):
     sf = "/root/testdata/sf0.1"
     got = queries.QUERIES["op10_toxicity_string_kernel"](spark, sf).join(read_table(spark, sf, "labels"), "doc_id").where("held_out").collect()
