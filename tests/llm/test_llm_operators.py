@@ -465,6 +465,45 @@ def test_many_rare_insults_are_learned_at_any_class_sizes(toxic, clean, wrong):
     assert (chance([fine() for _ in range(100)]) >= 0.5).mean() <= 0.05
 
 
+def test_strings_score_as_written_out_across_spaces_and_in_long_words():
+    weights = np.random.default_rng(0).normal(size=toxicity.CODES).astype(np.float32)
+    ts = ["id iot", "a", "", None, "the cat sat on it", "x" * 5000, "漢字" * 60 + " abc", "one two three " * 20]
+    for block in toxicity.blocks(pa.array(ts, pa.string())):
+        x = toxicity.strings(block)
+        assert np.allclose(toxicity.string_scores(x, weights), toxicity.word_scores(*x.marked(np.arange(len(x.row))), weights), atol=1e-3)
+        assert b"idiot" in {bytes(x.body[s:e] + 97) for s, e in zip(x.start, x.end, strict=True)}
+        for r in np.unique(x.row):  # every letter is in a string that is no longer than a run
+            own = (x.row == r) & (x.end - x.start <= toxicity.RUN * toxicity.LONG)
+            held = np.zeros(len(x.body) + 1, int)
+            np.add.at(held, x.start[own], 1)
+            np.add.at(held, x.end[own], -1)
+            everything = x.row == r
+            assert (np.cumsum(held)[x.start[everything].min() : x.end[everything].max()] > 0).all()
+    assert abs(toxicity._norm(np.array(9000)) / toxicity._norm(np.array(4500)) - 2**0.5) < 1e-3
+
+
+@pytest.mark.parametrize("kind", ["phrase", "split", "no spaces"])
+def test_toxic_phrases_split_insults_and_texts_without_spaces(kind):
+    rng = random.Random(5)
+    make = lambda n: "".join(rng.choice("bcdfgklmnprst") + rng.choice("aeiou") for _ in range(n))
+    ordinary = [make(rng.randrange(2, 4)) for _ in range(300)]
+    signs = [chr(0x4E00 + i) for i in range(400)]
+    if kind == "split":
+        ordinary += ["xqu", "izv", "jho", "wyx"] * 5
+    bad = {"phrase": [" ".join(ordinary[3 * i : 3 * i + 3]) for i in range(3)], "split": ["xqu izv", "jho wyx"]}.get(kind)
+    bad = bad or ["".join(rng.choice(signs) for _ in range(3)) for _ in range(3)]
+
+    def text(rude):
+        gap = "" if kind == "no spaces" else " "
+        words = [rng.choice(signs if kind == "no spaces" else ordinary) for _ in range(100)]
+        return gap.join([*words[:40], rng.choice(bad), *words[40:]] if rude else words)
+
+    model = toxicity.train([text(True) for _ in range(200)] + [text(False) for _ in range(400)], [1] * 200 + [0] * 400)
+    chance = lambda ts: model.chance(toxicity._top_scores(pa.array(ts, pa.string()), model.weights, model.bias))
+    assert (chance([text(True) for _ in range(100)]) >= 0.5).mean() >= 0.9
+    assert (chance([text(False) for _ in range(100)]) >= 0.5).mean() <= 0.1
+
+
 def test_toxicity_on_held_out_rows(spark):
     sf = "/root/testdata/sf0.1"
     got = queries.QUERIES["op10_toxicity_string_kernel"](spark, sf).join(read_table(spark, sf, "labels"), "doc_id").where("held_out").collect()
