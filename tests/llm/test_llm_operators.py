@@ -330,6 +330,29 @@ def test_a_texts_score_does_not_depend_on_its_neighbours_and_bytes_sum_to_one():
     assert scores("")[0] < 0
 
 
+def test_weights_move_through_the_whole_text():
+    rng = np.random.default_rng(3)
+    code = lm_mixing.byte_code([LONG[:3000]])
+    tables = [rng.integers(-20, 21, 1 << b).astype(np.int8) for b in lm_mixing.TABLE_BITS]
+    model = lm_mixing.Mixer(code, tables, np.full((4, 3), 0.4))
+    ts = [LONG[:2500], "short", "again and " * 300]
+    (block,) = lm_mixing.blocks(pa.array(ts), 1 << 30)
+    s = lm_mixing.stream(block)
+    got = lm_mixing.log10_probabilities(s, model, rate=0.05)
+    n, entry = lm_mixing._entries(s.data, code)
+    f, gate = lm_mixing.predictions(s, np.arange(len(s.data)), n, lm_mixing._node_hashes(code[2])[entry], tables)
+    f, y, at = np.stack(f, axis=1).astype(float), code[3][entry], np.concatenate([[0], np.cumsum(n)])
+    for t in range(len(ts)):  # one text after another, no restart
+        moved, want = np.zeros(3), 0.0
+        for b in range(s.offsets[t], s.offsets[t + 1], lm_mixing.STRIDE):
+            e = slice(at[b], at[min(b + lm_mixing.STRIDE, s.offsets[t + 1])])
+            x = ((model.weights[gate[e]] + moved) * f[e]).sum(axis=1)
+            p = 1 / (1 + np.exp(-np.clip(x, -12, 12)))
+            want += np.log10(np.where(y[e] == 1, p, 1 - p)).sum()
+            moved = moved + 0.05 * (f[e] * (y[e] - p)[:, None]).sum(axis=0)
+        assert abs(got[t] / want - 1) < 1e-3
+
+
 def test_lm_empty_table(spark, empty):
     assert lm_mixing.score(empty).count() == 0
 
