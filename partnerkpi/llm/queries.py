@@ -12,6 +12,7 @@ from . import (
     decontam,
     language_id,
     lm_mixing,
+    periodic_runs,
     quality_crf,
     quality_rules,
     simhash,
@@ -19,7 +20,7 @@ from . import (
     token_rollup,
     toxicity,
 )
-from .common import id_bucket, read_table, scratch_dir, with_code, written
+from .common import id_bucket, read_table, scratch_dir, text_or_empty, with_code, written
 
 
 def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -133,6 +134,43 @@ def op10_toxicity_string_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def planted_tails(docs: DataFrame) -> DataFrame:
+    """``doc_id`` and text, where every tenth text (by h = crc32 of the id as text) ends in a repeated unit.
+
+    With g = h div 10 and n words, word i >= a = g mod n becomes word a + (i - a) mod p, p = 1 + (n - a) div (3 + g mod 8).
+    """
+    h = id_bucket(1 << 32).cast("long")
+    docs = docs.select("doc_id", text_or_empty().alias("text"), h.alias("h"), F.floor(h / 10).alias("g"))
+    spaced = F.trim(F.regexp_replace("text", r"[\x20\x09-\x0D]+", " "))
+    words = F.when((F.col("h") % 10 == 0) & (spaced != ""), F.split(spaced, " "))  # null: the text stays
+    docs = docs.withColumn("words", words).withColumn("n", F.size("words").cast("long"))
+    docs = docs.withColumn("a", F.when(F.col("words").isNotNull(), F.col("g") % F.col("n")))
+    docs = docs.withColumn("p", 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8)))
+    a, p, rest = F.col("a").cast("int"), F.col("p").cast("int"), (F.col("n") - F.col("a")).cast("int")
+    unit = F.array_repeat(F.slice("words", a + 1, F.least(p, rest)), F.ceil(rest / p).cast("int"))
+    tail = F.slice(F.flatten(unit), F.lit(1), rest)
+    planted = F.array_join(F.concat(F.slice("words", F.lit(1), a), tail), " ")
+    return docs.select("doc_id", F.coalesce(planted, F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of 24 words and three periods or more in every document after its tail is planted, and digests of them."""
+    docs = planted_tails(read_table(spark, sf_dir, "documents"))
+    found = periodic_runs.with_runs(docs, result="p", min_words=24, min_repeats=3).select("doc_id", "p.runs", "p.collapsed")
+    found = found.withColumn("best", periodic_runs.strongest(F.col("runs")))
+    milli = F.floor(1000 * F.col("best.length") / F.col("best.period"))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        milli.cast("long").alias("exponent_milli"),
+        F.sha2(periodic_runs.runs_text(F.col("runs")).cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_language_evidence_fusion": op2_language_evidence_fusion,
@@ -144,6 +182,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_rollup": op8_token_rollup,
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
     "op10_toxicity_string_kernel": op10_toxicity_string_kernel,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 QUERIES = {name: with_code(query) for name, query in _QUERIES.items()}
