@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from . import (
     bpe,
     decontam,
+    filter_audit,
     language_id,
     lm_mixing,
     periodic_runs,
@@ -134,6 +135,11 @@ def op10_toxicity_string_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order of five filters over all documents: kept, removed, redundant, unique, lost rows and Shapley sums by source."""
+    return filter_audit.audit(spark, f"{sf_dir.rstrip('/')}/documents.parquet", read_table(spark, sf_dir, "labels"))
+
+
 def planted_tails(docs: DataFrame) -> DataFrame:
     """``doc_id`` and text, where every tenth text (by h = crc32 of the id as text) ends in a repeated unit.
 
@@ -182,6 +188,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_rollup": op8_token_rollup,
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
     "op10_toxicity_string_kernel": op10_toxicity_string_kernel,
+    "op12_filter_audit": op12_filter_audit,
     "op13_periodic_runs": op13_periodic_runs,
 }
 
@@ -218,4 +225,28 @@ t AS (SELECT source, lang, 'words-1' AS version, w1 AS n FROM c WHERE NOT bad
   UNION ALL SELECT source, lang, 'pieces-1', p1 FROM c WHERE NOT bad AND NOT moved
   UNION ALL SELECT source, lang, 'pieces-2', p2 FROM c WHERE moved)
 SELECT source, lang, version, count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_tokens FROM t GROUP BY ALL""",
+    "op12_filter_audit": r"""
+WITH RECURSIVE d AS (SELECT doc_id, coalesce(text, '') AS t, coalesce(source, '') AS part,
+  regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+lab AS (SELECT doc_id, max(quality = 1) AS good, max(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+m AS (SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+  len(w) < 200 AS a, 100 * len(list_distinct(w)) < 50 * len(w) AS b,
+  100 * len(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * len(t) AS c, regexp_matches(t, '[#$%&*|]') AS dd,
+  coalesce(d.doc_id > min(d.doc_id) OVER (PARTITION BY t), false) AS e FROM d LEFT JOIN lab USING (doc_id)),
+k AS (SELECT part, good, toxic, CAST(a AS INT) + 2 * CAST(b AS INT) + 4 * CAST(c AS INT) + 8 * CAST(dd AS INT) + 16 * CAST(e AS INT) AS mask,
+  count(*) AS n FROM m GROUP BY ALL),
+o(ord) AS (SELECT '' UNION ALL SELECT ord || x FROM o, (VALUES ('A'), ('B'), ('C'), ('D'), ('E')) v(x) WHERE NOT contains(ord, x)),
+s AS (SELECT ord AS filter_order, i AS step, CAST(pow(2, ascii(ord[i]) - 65) AS INT) AS bit,
+  CAST(list_sum([pow(2, ascii(ord[j]) - 65) for j in range(1, i)]) AS INT) AS seen FROM o, range(1, 6) r(i) WHERE len(ord) = 5),
+x AS (SELECT part, filter_order, step, bit, coalesce(seen, 0) AS seen, mask, n, good, toxic FROM s, k),
+y AS (SELECT part, filter_order, CAST(step AS INT) AS step, bit,
+  CAST(coalesce(sum(n) FILTER (mask & (seen | bit) = 0), 0) AS BIGINT) AS kept,
+  CAST(coalesce(sum(n) FILTER (mask & seen = 0 AND mask & bit > 0), 0) AS BIGINT) AS removed,
+  CAST(coalesce(sum(n) FILTER (mask & seen > 0 AND mask & bit > 0), 0) AS BIGINT) AS redundant,
+  CAST(coalesce(sum(n) FILTER (mask = bit), 0) AS BIGINT) AS unique_fails,
+  CAST(coalesce(sum(n) FILTER (mask & seen = 0 AND mask & bit > 0 AND good), 0) AS BIGINT) AS good_lost,
+  CAST(coalesce(sum(n) FILTER (mask & seen = 0 AND mask & bit > 0 AND toxic), 0) AS BIGINT) AS toxic_lost
+  FROM x GROUP BY ALL)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley FROM y""",
 }
