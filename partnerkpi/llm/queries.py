@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
+    adaptive_scan,
     bpe,
     decontam,
     filter_audit,
@@ -135,6 +136,16 @@ def op10_toxicity_string_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_adaptive_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest other rows of every hundredth vector, by Euclidean distance."""
+    vectors = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    index = adaptive_scan.build(vectors, k=10)
+    if index is None:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    found = adaptive_scan.search(index, vectors.where(F.col("vec_id") % 100 == 0))
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every order of five filters over all documents: kept, removed, redundant, unique, lost rows and Shapley sums by source."""
     return filter_audit.audit(spark, f"{sf_dir.rstrip('/')}/documents.parquet", read_table(spark, sf_dir, "labels"))
@@ -188,6 +199,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_rollup": op8_token_rollup,
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
     "op10_toxicity_string_kernel": op10_toxicity_string_kernel,
+    "op11_adaptive_scan": op11_adaptive_scan,
     "op12_filter_audit": op12_filter_audit,
     "op13_periodic_runs": op13_periodic_runs,
 }
