@@ -15,8 +15,9 @@ cost milliseconds, so texts share state rows by digest: one bucket for each ``BU
 kept with the checkpoint), merged as a whole frame. A batch rewrites the state, some 40 bytes a text, so batches should be
 a hundredth of the input or more. Before the shuffle each Arrow batch keeps only the least id of a text; its other rows are
 beaten already and need no state, they are spread by id, so a text that a third of the rows share sends one row for each
-10,000 of them to its bucket. State lives in RocksDB with its checkpoint below ``spark.checkpoint.dir``: lost executors
-reload it from there.
+10,000 of them to its bucket. State lives in the session's state store (``spark.sql.streaming.stateStore.providerClass``;
+choose RocksDB where two copies of the state do not fit the executors' heaps) with its checkpoint below
+``spark.checkpoint.dir``: lost executors reload it from there.
 
 Defined results: a null text is empty, a null source the empty string; rows without id are judged by A to D and neither fail
 E nor make others fail; rows of equal id and text do not beat each other, each counts; equal ids in ``labels`` count as good
@@ -205,12 +206,7 @@ def counters(
         sums = marked.groupBy("part", "mask", good, toxic).agg(F.sum("n").alias("n")).where("n <> 0")
         sums.coalesce(1).write.mode("overwrite").parquet(f"{folder}/counters/batch={number}")
 
-    session = spark.newSession()
-    session.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    session.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
-    session.conf.set("spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage", "true")
-    session.conf.set("spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB", "256")
-    reader = session.readStream.schema(schema)
+    reader = spark.readStream.schema(schema)
     reader = reader.option("maxFilesPerTrigger", batch_files) if batch_files else reader.option("maxBytesPerTrigger", batch_bytes)
     query = (
         deltas(reader.parquet(_as_glob(path)), _buckets(spark, path, folder))
