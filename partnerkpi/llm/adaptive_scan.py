@@ -225,9 +225,11 @@ def _scan_lists(index: Index, probes: DataFrame) -> DataFrame:
     left = dealt(probes, "h2", "parts", "subs")
     right = dealt(index.rows, "h1", "subs", "parts")
 
+    none = pd.DataFrame({"h1": np.empty(0, np.int64), "h2": np.empty(0, np.int64), "dist": np.empty(0), "ids": np.empty(0, object)})
+
     def scan(queries: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
         if not len(queries) or not len(rows):
-            return pd.DataFrame({"h1": [], "h2": [], "dist": [], "ids": []})
+            return none
         exact, least = _matrix(rows["vec"]), np.array([i[0] for i in rows["ids"]], np.int64)
         blocks = [_matrix(rows[b], np.float32) for b in names]
         out = []
