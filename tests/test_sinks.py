@@ -6,6 +6,7 @@ import tempfile
 
 from pyspark.sql import types as T
 
+from partnerkpi.operators import stores
 from partnerkpi.plans import report
 from partnerkpi.sources.sinks import read_sections, to_mart
 
@@ -40,7 +41,7 @@ def test_scorecard_round_trip_and_nested_metrics(small_ctx):
     assert [r["label"] for r in back["months"].orderBy("month").collect()][0] == "Jan 1999"
     assert set(back["stores"].columns) == {"addr", "city", "bucket", "orders", "dur", "late", "lateprep", "failed", "bad",
                                            "replacement", "cs", "compl", "rating", "flags", "severity"}
-    assert back["stores"].count() == small_ctx.stage("st_flags", lambda: None).count()
+    assert back["stores"].count() == stores.store_flags(small_ctx).count()
     assert back["store_cols"].count() == 10
     meta = back["meta"].first()
     assert meta["store_period_start"] == "1999-04-01" and meta["benchmark_note"]

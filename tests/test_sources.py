@@ -85,7 +85,7 @@ def test_a_replaced_input_file_gives_new_numbers_in_the_same_session(spark, tmp_
     sf = tmp_path / "sf"
     sf.mkdir()
     for t in ("orders", "lineitem", "supplier", "nation"):
-        shutil.copy(f"{SF_SMALL}/{t}.parquet", sf / f"{t}.parquet")
+        shutil.copyfile(f"{SF_SMALL}/{t}.parquet", sf / f"{t}.parquet")  # not the read-only mode
     query = entry.queries()["financial_monthly"]
     before = sum(r["orders"] for r in query(spark, str(sf)).collect())
     orders = pq.read_table(f"{SF_SMALL}/orders.parquet")
