@@ -4,6 +4,7 @@
         --data-start 1999-01-01 --scorecard-start 1999-01-01 --scorecard-end 1999-06-30 \\
         --bench-start 1999-04-01 --bench-end 1999-06-30
     python -m partnerkpi period --fixture /root/testdata/sf0.1 --out /shared/out/period --format json
+    python -m partnerkpi partners --catalog binding.json --out /shared/out ...   (all partners, as a bundle)
 
 Inputs: ``--catalog FILE`` (JSON: ``tables`` {input: catalog table}, optional ``columns`` {input: {column: table's
 column}}), ``--tables DIR`` (parquet folders named like the inputs; ``--columns FILE`` binds other column names) or
@@ -22,7 +23,7 @@ from pyspark.sql import SparkSession
 
 from .context import KpiContext
 from .params import FIXTURE_PARAMS, ReportParams
-from .plans.report import write_period_report, write_scorecard
+from .plans.report import publish, report_scope, write_period_report, write_scorecard
 from .sources.catalog import TABLES, Warehouse, fixture_warehouse
 
 _TYPES = {"int": int, "float": float, "str": str, "date": date.fromisoformat, "float | None": float}
@@ -31,7 +32,7 @@ _NAMES = {"partner_group": "partner"}
 
 def _parser() -> argparse.ArgumentParser:
     ap = argparse.ArgumentParser(prog="partnerkpi")
-    ap.add_argument("report", choices=["period", "scorecard"])
+    ap.add_argument("report", choices=["period", "scorecard", "partners"])
     src = ap.add_mutually_exclusive_group(required=True)
     src.add_argument("--tables", help="directory with the five input tables as parquet")
     src.add_argument("--catalog", help="JSON file that binds the five inputs to catalog tables")
@@ -41,6 +42,8 @@ def _parser() -> argparse.ArgumentParser:
     ap.add_argument("--format", default="parquet", choices=["parquet", "json"])
     ap.add_argument("--mode", default="overwrite", choices=["overwrite", "errorifexists"])
     ap.add_argument("--master", help="Spark master, e.g. local[8], yarn or spark://host:port; omit under spark-submit")
+    ap.add_argument("--bundle", action="store_true",
+                    help="write a run folder and commit its manifest last, so that readers never see a mixed result")
     ap.add_argument("--by-partner", action="store_true",
                     help="partition every section by country and partner group (several partners, one output root)")
     for f in dataclasses.fields(ReportParams):  # every parameter of the run is an option
@@ -82,8 +85,11 @@ def main(argv: list[str] | None = None) -> None:
         wh = Warehouse.from_tables(spark, binding["tables"], binding.get("columns"))
     else:
         wh = Warehouse.from_paths(spark, {t: f"{a.tables.rstrip('/')}/{t}" for t in TABLES}, columns=_json(a.columns))
-    write = write_period_report if a.report == "period" else write_scorecard
     ctx = KpiContext(spark, wh, params)
+    if a.bundle or a.report == "partners":
+        print(json.dumps({"run_id": publish(ctx, a.out, a.report, a.format), "scope": report_scope(ctx, a.report)}))
+        return
+    write = write_period_report if a.report == "period" else write_scorecard
     print(json.dumps(write(ctx, a.out, a.format, by_partner=a.by_partner, mode=a.mode), indent=1))
 
 

@@ -68,7 +68,10 @@ def _as_int_text(c):
 
 def highlight_orders_trend(ctx: KpiContext, sc: Scorecard | None = None) -> DataFrame:
     """Q32: orders first vs last month; win when not lower; pct = |change| / first, 0 when first is 0."""
-    t = _trend(_sc(ctx, sc), "Orders")
+    return _trend(_sc(ctx, sc), "Orders").select("bucket", *orders_trend_columns())
+
+
+def orders_trend_columns() -> list:
     a1, a2 = F.col("first_value"), F.col("last_value")
     up = a2 >= a1
     pct = trend_pct(a1, a2)
@@ -77,26 +80,29 @@ def highlight_orders_trend(ctx: KpiContext, sc: Scorecard | None = None) -> Data
         F.lit(" ("), F.col("m_first"), F.lit("→"), F.col("m_last"), F.lit("), "),
         F.when(up, F.lit("growth ")).otherwise(F.lit("decline ")), pct.cast("string"), F.lit("%."),
     )
-    return t.select(
-        "bucket", "first_value", "last_value",
+    return [
+        "first_value", "last_value",
         F.when(up, LEVEL_WIN).otherwise(LEVEL_WATCH).alias("level"),
         pct.alias("pct"), F.lit(KIND_ORDERS).alias("kind"), text.alias("text"),
-    )
+    ]
 
 
 def highlight_new_users_trend(ctx: KpiContext, sc: Scorecard | None = None) -> DataFrame:
     """Q33: the same on New Users, without the percentage."""
-    t = _trend(_sc(ctx, sc), "New Users")
+    return _trend(_sc(ctx, sc), "New Users").select("bucket", *new_users_trend_columns())
+
+
+def new_users_trend_columns() -> list:
     a1, a2 = F.col("first_value"), F.col("last_value")
     text = F.concat(
         F.lit("New users "), _as_int_text(a1), F.lit("→"), _as_int_text(a2),
         F.lit(" ("), F.col("m_first"), F.lit("→"), F.col("m_last"), F.lit(")."),
     )
-    return t.select(
-        "bucket", "first_value", "last_value",
+    return [
+        "first_value", "last_value",
         F.when(a2 >= a1, LEVEL_WIN).otherwise(LEVEL_WATCH).alias("level"),
         F.lit(KIND_NEW_USERS).alias("kind"), text.alias("text"),
-    )
+    ]
 
 
 def _gap_value_text(v, fmt):
@@ -112,17 +118,21 @@ def _gap_value_text(v, fmt):
 
 def quality_gaps(ctx: KpiContext, sc: Scorecard | None = None) -> DataFrame:
     """Quality metrics whose mean is strictly worse than the benchmark, ranked per bucket by raw mean desc."""
-    m = _sc(ctx, sc).means
+    return ranked_gaps(ctx, _sc(ctx, sc).means)
+
+
+def ranked_gaps(ctx: KpiContext, means: DataFrame, keys: tuple[str, ...] = ("bucket",)) -> DataFrame:
+    """The quality gaps among ``means``, the first ``max_gaps`` within each value of ``keys``."""
     a, b, d = F.col("mean_value"), F.col("bench"), F.col("dir")
     worse = (d * (a - b)) < 0
-    gaps = m.where(b.isNotNull() & (d != 0) & a.isNotNull() & worse & (F.col("metric_group") == QUALITY_GROUP))
+    gaps = means.where(b.isNotNull() & (d != 0) & a.isNotNull() & worse & (F.col("metric_group") == QUALITY_GROUP))
     if ctx.params.gap_order == "distance":
         key = F.coalesce(safe_div(F.abs(a - b), F.abs(b)), F.lit(float("inf"))).desc()  # zero benchmark: farthest
     elif ctx.params.gap_order == "mean":
         key = F.desc("mean_value")
     else:
         raise ValueError(f"gap_order must be 'mean' or 'distance', not {ctx.params.gap_order!r}")
-    w = Window.partitionBy("bucket").orderBy(key, F.asc("metric_ord"))
+    w = Window.partitionBy(*keys).orderBy(key, F.asc("metric_ord"))
     return gaps.withColumn("gap_rank", F.row_number().over(w)).where(F.col("gap_rank") <= ctx.params.max_gaps)
 
 
@@ -132,16 +142,21 @@ def highlight_gaps(ctx: KpiContext, sc: Scorecard | None = None) -> DataFrame:
 
 
 def _highlight_gaps(ctx: KpiContext, sc: Scorecard | None) -> DataFrame:
-    g = quality_gaps(ctx, sc).withColumn(
+    return gap_rows(quality_gaps(ctx, sc))
+
+
+def gap_rows(gaps: DataFrame, keys: tuple[str, ...] = ("bucket",)) -> DataFrame:
+    """One highlight row for each value of ``keys``, from its ranked gaps."""
+    g = gaps.withColumn(
         "item", F.concat(F.col("metric_key"), F.lit(" ("), _gap_value_text(F.col("mean_value"), F.col("fmt")), F.lit(")"))
     )
-    per_bucket = g.groupBy("bucket").agg(
+    per_bucket = g.groupBy(*keys).agg(
         F.sort_array(F.collect_list(F.struct("gap_rank", "item"))).alias("items"),  # <= max_gaps per bucket
         F.count(F.lit(1)).alias("n_gaps"),
     )
     text = F.concat(F.lit("Biggest gaps with the market: "), F.array_join(F.col("items.item"), "; "), F.lit("."))
     return per_bucket.select(
-        "bucket", F.lit(LEVEL_CRIT).alias("level"), F.lit(KIND_GAPS).alias("kind"), text.alias("text"), "n_gaps"
+        *keys, F.lit(LEVEL_CRIT).alias("level"), F.lit(KIND_GAPS).alias("kind"), text.alias("text"), "n_gaps"
     )
 
 

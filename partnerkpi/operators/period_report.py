@@ -43,8 +43,12 @@ def orders_mart_plan(ctx: KpiContext, grain: str) -> DataFrame:
     """The unstaged plan of ``orders_mart``."""
     s, e = _order_window(ctx, grain)
     f = partner_orders(ctx, date_between("order_date", s, e)).withColumn("period", period_key("order_date", grain))
+    return f.groupBy("period").agg(*order_measures(ctx.params.approx_distinct_rsd))
+
+
+def order_measures(rsd: float | None = None) -> list[Column]:
+    """Every measure of the four order-based families, as aggregates over order rows."""
     dl = is_delivered()
-    rsd = ctx.params.approx_distinct_rsd
 
     def dsum(c: Column | str) -> Column:
         return F.sum(F.when(dl, F.col(c) if isinstance(c, str) else c))
@@ -52,7 +56,7 @@ def orders_mart_plan(ctx: KpiContext, grain: str) -> DataFrame:
     def dcount(cond: Column) -> Column:
         return F.count(F.when(dl & cond, 1))
 
-    return f.groupBy("period").agg(
+    return [
         F.count(F.lit(1)).alias("n_all"),
         F.count(F.when(dl, 1)).alias("n_delivered"),
         F.count(F.when(not_delivered(), 1)).alias("n_failed"),
@@ -75,7 +79,15 @@ def orders_mart_plan(ctx: KpiContext, grain: str) -> DataFrame:
         F.count(F.when(dl, F.col("delivery_minutes"))).alias("minutes_n"),
         dsum("courier_minutes").alias("courier_sum"),
         F.count(F.when(dl, F.col("courier_minutes"))).alias("courier_n"),
-    )
+    ]
+
+
+def weekly_pairs() -> list[Column]:
+    """The (sum v*w, sum w) aggregates of the weekly rates."""
+    aggs = []
+    for r in WEEKLY_PAIRS:
+        aggs += [F.sum(F.col(f"{r}_value") * F.col(f"{r}_weight")).alias(f"{r}_vw"), F.sum(f"{r}_weight").alias(f"{r}_w")]
+    return aggs
 
 
 def weekly_mart(ctx: KpiContext, grain: str) -> DataFrame:
@@ -89,11 +101,7 @@ def weekly_mart(ctx: KpiContext, grain: str) -> DataFrame:
             rows = partner_weekly(ctx, ts_between("ts", p.week_start, p.week_end)).withColumn("period", stamp_key("ts"))
         else:
             raise ValueError(grain)
-        aggs = []
-        for r in WEEKLY_PAIRS:
-            aggs += [F.sum(F.col(f"{r}_value") * F.col(f"{r}_weight")).alias(f"{r}_vw"),
-                     F.sum(f"{r}_weight").alias(f"{r}_w")]
-        return rows.groupBy("period").agg(*aggs)
+        return rows.groupBy("period").agg(*weekly_pairs())
 
     return ctx.stage(f"pr_weekly_{grain}", build)
 
@@ -107,13 +115,8 @@ def _pct(num: str, den: str) -> Column:
 
 
 # ---- families -----------------------------------------------------------------------------------------------------
-def financial(ctx: KpiContext, grain: str = MONTH) -> DataFrame:
-    """Q01/Q02: orders, merchant price, GMV, AOV, activated and active users, refund rate, implied FX rate.
-
-    Price per order and AOV divide by all delivered rows (rows with a NULL price included), not by the non-NULL ones.
-    """
-    return _delivered_periods(ctx, grain).select(
-        "period",
+def financial_columns() -> list:
+    return [
         F.col("n_delivered").alias("orders"),
         mart("gross").alias("merchant_price"),
         mart(safe_div("gross", "n_delivered")).alias("merchant_price_per_order"),
@@ -123,13 +126,19 @@ def financial(ctx: KpiContext, grain: str = MONTH) -> DataFrame:
         "active_users",
         _pct("refunded", "gmv").alias("refund_rate_pct"),
         mart(safe_div("gmv", "gmv_eur")).alias("fx_rate"),
-    ).orderBy("period")
+    ]
 
 
-def operational(ctx: KpiContext, grain: str = MONTH) -> DataFrame:
-    """Q03/Q04: delivered orders, active stores, honey/bad/late/late-pickup shares (NULL flag = 0), mean times."""
-    return _delivered_periods(ctx, grain).select(
-        "period",
+def financial(ctx: KpiContext, grain: str = MONTH) -> DataFrame:
+    """Q01/Q02: orders, merchant price, GMV, AOV, activated and active users, refund rate, implied FX rate.
+
+    Price per order and AOV divide by all delivered rows (rows with a NULL price included), not by the non-NULL ones.
+    """
+    return _delivered_periods(ctx, grain).select("period", *financial_columns()).orderBy("period")
+
+
+def operational_columns() -> list:
+    return [
         F.col("n_delivered").alias("delivered_orders"),
         "active_stores",
         _pct("n_honey", "n_delivered").alias("honey_order_rate"),
@@ -138,29 +147,40 @@ def operational(ctx: KpiContext, grain: str = MONTH) -> DataFrame:
         _pct("n_late_pickup", "n_delivered").alias("late_pickup_rate"),
         mart(safe_div("minutes_sum", "minutes_n")).alias("avg_delivery_minutes"),
         mart(safe_div("courier_sum", "courier_n")).alias("avg_courier_delivery_min"),
-    ).orderBy("period")
+    ]
 
 
-def failed_orders(ctx: KpiContext, grain: str = MONTH) -> DataFrame:
-    """Q07/Q08: placed, delivered and failed orders over all states; a NULL state is in neither count."""
-    return orders_mart(ctx, grain).select(
-        "period",
+def operational(ctx: KpiContext, grain: str = MONTH) -> DataFrame:
+    """Q03/Q04: delivered orders, active stores, honey/bad/late/late-pickup shares (NULL flag = 0), mean times."""
+    return _delivered_periods(ctx, grain).select("period", *operational_columns()).orderBy("period")
+
+
+def failed_orders_columns() -> list:
+    return [
         F.col("n_all").alias("total_placed"),
         F.col("n_delivered").alias("delivered"),
         F.col("n_failed").alias("failed_total"),
         _pct("n_failed", "n_all").alias("failed_rate_pct"),
-    ).orderBy("period")
+    ]
 
 
-def campaigns(ctx: KpiContext, grain: str = MONTH) -> DataFrame:
-    """Q11/Q12: campaign discount, platform and merchant spend (six null-safe columns each), campaign orders."""
-    return _delivered_periods(ctx, grain).select(
-        "period",
+def failed_orders(ctx: KpiContext, grain: str = MONTH) -> DataFrame:
+    """Q07/Q08: placed, delivered and failed orders over all states; a NULL state is in neither count."""
+    return orders_mart(ctx, grain).select("period", *failed_orders_columns()).orderBy("period")
+
+
+def campaigns_columns() -> list:
+    return [
         mart("discount").alias("campaigns_discount"),
         mart("platform_spend").alias("platform_spend"),
         mart("merchant_spend").alias("merchant_spend"),
         "campaign_orders",
-    ).orderBy("period")
+    ]
+
+
+def campaigns(ctx: KpiContext, grain: str = MONTH) -> DataFrame:
+    """Q11/Q12: campaign discount, platform and merchant spend (six null-safe columns each), campaign orders."""
+    return _delivered_periods(ctx, grain).select("period", *campaigns_columns()).orderBy("period")
 
 
 def failed_reasons(ctx: KpiContext, grain: str = MONTH) -> DataFrame:
@@ -175,23 +195,29 @@ def failed_reasons(ctx: KpiContext, grain: str = MONTH) -> DataFrame:
     )
 
 
-def replacement_adjustment(ctx: KpiContext, grain: str = MONTH) -> DataFrame:
-    """Q05/Q06: item adjustment and replacement rates, % rounded to 2 dp, from the weekly metric table."""
-    return weekly_mart(ctx, grain).select(
-        "period",
+def replacement_adjustment_columns() -> list:
+    return [
         round_half_up(finish_pair("adjustment_vw", "adjustment_w", pct=True), 2).alias("adjustment_rate"),
         round_half_up(finish_pair("replacement_vw", "replacement_w", pct=True), 2).alias("replacement_rate"),
-    ).orderBy("period")
+    ]
 
 
-def acceptance(ctx: KpiContext, grain: str = MONTH) -> DataFrame:
-    """Q14/Q15: acceptance, availability and rating by month of the weekly stamp / by raw stamp."""
-    return weekly_mart(ctx, grain).select(
-        "period",
+def replacement_adjustment(ctx: KpiContext, grain: str = MONTH) -> DataFrame:
+    """Q05/Q06: item adjustment and replacement rates, % rounded to 2 dp, from the weekly metric table."""
+    return weekly_mart(ctx, grain).select("period", *replacement_adjustment_columns()).orderBy("period")
+
+
+def acceptance_columns() -> list:
+    return [
         round_half_up(finish_pair("acceptance_vw", "acceptance_w", pct=True), 1).alias("acceptance_rate"),
         round_half_up(finish_pair("active_vw", "active_w", pct=True), 1).alias("availability_rate"),
         round_half_up(finish_pair("rating_vw", "rating_w"), 3).alias("avg_rating"),
-    ).orderBy("period")
+    ]
+
+
+def acceptance(ctx: KpiContext, grain: str = MONTH) -> DataFrame:
+    """Q14/Q15: acceptance, availability and rating by month of the weekly stamp / by raw stamp."""
+    return weekly_mart(ctx, grain).select("period", *acceptance_columns()).orderBy("period")
 
 
 def acceptance_current(ctx: KpiContext) -> DataFrame:

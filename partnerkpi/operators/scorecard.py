@@ -109,7 +109,7 @@ class Scorecard:
 
     def _business(self) -> DataFrame:
         f = bucketize(self.ctx, scorecard_orders(self.ctx), "city_name", self.top)
-        return f.groupBy("bucket", "month").agg(*_business_aggs(self.ctx.params.approx_distinct_rsd))
+        return f.groupBy("bucket", "month").agg(*business_aggs(self.ctx.params.approx_distinct_rsd))
 
     @cached_property
     def months(self) -> DataFrame:
@@ -154,7 +154,7 @@ class Scorecard:
     def _bench_business(self) -> DataFrame:
         p = self.ctx.params
         f = peer_orders(self.ctx, is_delivered() & date_between("order_date", p.bench_start, p.bench_end))
-        return f.agg(*_business_aggs(p.approx_distinct_rsd))
+        return f.agg(*business_aggs(p.approx_distinct_rsd))
 
     @cached_property
     def bench_quality(self) -> DataFrame:
@@ -188,7 +188,7 @@ class Scorecard:
             .join(F.broadcast(self.quality), ["bucket", "month"], "left")
             .join(F.broadcast(self.adjustment), ["bucket", "month"], "left")
         )
-        wide = wide.select("bucket", "bucket_ord", "month", *[v.alias(k) for v, k in zip(_matrix_values(), METRIC_KEYS)])
+        wide = wide.select("bucket", "bucket_ord", "month", *[v.alias(k) for v, k in zip(matrix_values(), METRIC_KEYS)])
         return self._long(wide, ["bucket", "bucket_ord", "month"], "value").select(
             "metric_ord", "metric_key", "bucket_ord", "bucket", "month", "value"
         )
@@ -205,34 +205,7 @@ class Scorecard:
             .withColumn("_a", self.bench_adjustment.select(F.struct("*")).scalar())
             .select("*", "_q.*", "_a.*")
         )
-        nm = F.when(F.coalesce(F.col("merchants"), F.lit(0)) == 0, F.lit(1)).otherwise(F.col("merchants"))
-        months = float(p.bench_months)
-
-        def per_merchant_month(c):
-            return round_half_up(safe_div(safe_div(c, nm), F.lit(months)), 1)
-
-        o, g, au = F.col("orders"), F.col("gmv_eur"), F.col("active_users")
-        vals = [
-            per_merchant_month(g),
-            per_merchant_month(o),
-            per_merchant_month(au),
-            per_merchant_month(F.col("new_users")),
-            round_half_up(safe_div(o, au), 2),
-            F.lit(None).cast("double"),
-            round_half_up(safe_div(g, o), 1),
-            per_merchant_month(g),
-            per_merchant_month(o),
-            round_half_up(F.col("active"), 1),
-            round_half_up(F.col("minutes"), 1),
-            round_half_up(F.col("late"), 1),
-            round_half_up(F.col("prep"), 1),
-            round_half_up(F.col("failed"), 1),
-            round_half_up(F.col("bad"), 1),
-            F.when(F.col("adjustment") != 0, round_half_up(F.col("adjustment"), 1)),  # 0 counts as missing
-            round_half_up(F.col("ticket"), 1),
-            round_half_up(F.col("completion"), 1),
-            round_half_up(F.col("rating"), 2),
-        ]
+        vals = benchmark_values(p.bench_months)
         wide = one.select(*[v.cast("double").alias(k) for v, k in zip(vals, METRIC_KEYS)])
         return self._long(wide, [], "bench").select("metric_ord", "metric_key", "bench")
 
@@ -252,7 +225,7 @@ class Scorecard:
         return self.ctx.stage("sc_means", build)
 
 
-def _business_aggs(rsd: float | None) -> list:
+def business_aggs(rsd: float | None) -> list:
     """Orders, GMV EUR and the three distinct counts (exact unless an HLL error is requested)."""
     return [
         F.count(F.lit(1)).alias("orders"),
@@ -267,7 +240,39 @@ def _w2(rate: str, pct: bool):
     return finish_pair(F.sum(F.col(f"{rate}_value") * F.col(f"{rate}_weight")), F.sum(f"{rate}_weight"), pct)
 
 
-def _matrix_values() -> list:
+def benchmark_values(bench_months: int) -> list:
+    """The 19 benchmarks from one row of peer aggregates (business, quality and adjustment parts)."""
+    nm = F.when(F.coalesce(F.col("merchants"), F.lit(0)) == 0, F.lit(1)).otherwise(F.col("merchants"))
+    months = float(bench_months)
+
+    def per_merchant_month(c):
+        return round_half_up(safe_div(safe_div(c, nm), F.lit(months)), 1)
+
+    o, g, au = F.col("orders"), F.col("gmv_eur"), F.col("active_users")
+    return [
+        per_merchant_month(g),
+        per_merchant_month(o),
+        per_merchant_month(au),
+        per_merchant_month(F.col("new_users")),
+        round_half_up(safe_div(o, au), 2),
+        F.lit(None).cast("double"),
+        round_half_up(safe_div(g, o), 1),
+        per_merchant_month(g),
+        per_merchant_month(o),
+        round_half_up(F.col("active"), 1),
+        round_half_up(F.col("minutes"), 1),
+        round_half_up(F.col("late"), 1),
+        round_half_up(F.col("prep"), 1),
+        round_half_up(F.col("failed"), 1),
+        round_half_up(F.col("bad"), 1),
+        F.when(F.col("adjustment") != 0, round_half_up(F.col("adjustment"), 1)),  # 0 counts as missing
+        round_half_up(F.col("ticket"), 1),
+        round_half_up(F.col("completion"), 1),
+        round_half_up(F.col("rating"), 2),
+    ]
+
+
+def matrix_values() -> list:
     """The 19 cell values of one (bucket, month) row from the joined business/quality/adjustment parts."""
     o, g, au, nu, mc = (F.col(c) for c in ("orders", "gmv_eur", "active_users", "new_users", "merchants"))
 

@@ -75,6 +75,16 @@ def _store_quality(ctx: KpiContext, sc: Scorecard) -> DataFrame:
                          F.sum("adjustment_weight"), pct=True).alias("replacement"))
     )
     rows = ctx.wh.provider_monthly.where(_bench_window(ctx)).join(cm, "provider_id").join(adj, "provider_id", "left")
+    return (
+        rows.groupBy(F.col("provider_name").alias("addr"), F.col("city_name").alias("city"))
+        .agg(*store_measures())
+        .where(F.col("orders") > 0)
+        .select("addr", "city", *STORE_KEYS)
+    )
+
+
+def store_measures() -> list[Column]:
+    """Orders and the nine rates of a store, as aggregates over its monthly rows."""
     aggs = [F.sum("delivered_orders").cast("long").alias("orders")]
     for key, rate, pct in _STORE_RATES:
         aggs.append(
@@ -82,12 +92,7 @@ def _store_quality(ctx: KpiContext, sc: Scorecard) -> DataFrame:
             .alias(key)
         )
     aggs.append(mart(F.max("replacement")).alias("replacement"))
-    return (
-        rows.groupBy(F.col("provider_name").alias("addr"), F.col("city_name").alias("city"))
-        .agg(*aggs)
-        .where(F.col("orders") > 0)
-        .select("addr", "city", *STORE_KEYS)
-    )
+    return aggs
 
 
 def store_bucketed(ctx: KpiContext, sc: Scorecard | None = None) -> DataFrame:
@@ -129,11 +134,16 @@ def store_flags(ctx: KpiContext, stores: DataFrame | None = None) -> DataFrame:
 
 def _store_flags(ctx: KpiContext, stores: DataFrame, medians: DataFrame | None) -> DataFrame:
     j = _with_medians(ctx, stores, medians)
+    return j.select("addr", "city", "bucket", *STORE_KEYS, flag_count().alias("flags"))
+
+
+def flag_count() -> Column:
+    """Directed columns strictly worse than their median, from a row with both."""
     flags = None
     for k, d in DIRECTED:
         term = F.when(_worse(F.col(k), F.col(f"med_{k}"), d), 1).otherwise(0)
         flags = term if flags is None else flags + term
-    return j.select("addr", "city", "bucket", *STORE_KEYS, flags.cast("long").alias("flags"))
+    return flags.cast("long")
 
 
 def worst_stores(ctx: KpiContext, flags: DataFrame | None = None) -> DataFrame:
@@ -159,7 +169,11 @@ def store_severity(ctx: KpiContext) -> DataFrame:
 def store_cell_class(ctx: KpiContext) -> DataFrame:
     """Q41: per store and column, good/bad against the network median (ties are good); NULL when undefined."""
     s = store_bucketed(ctx)
-    j = _with_medians(ctx, s, store_medians(ctx))
+    return cell_classes(_with_medians(ctx, s, store_medians(ctx)))
+
+
+def cell_classes(stores: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
+    """One row per store and column, from store rows with their medians."""
     cells = F.explode(
         F.array(
             *[
@@ -171,9 +185,9 @@ def store_cell_class(ctx: KpiContext) -> DataFrame:
             ]
         )
     ).alias("c")
-    long_df = j.select("addr", "city", "bucket", cells).select("addr", "city", "bucket", "c.*")
+    long_df = stores.select(*keys, "addr", "city", "bucket", cells).select(*keys, "addr", "city", "bucket", "c.*")
     cls = good_or_bad(F.col("value"), F.col("median"), F.col("dir"))
-    return long_df.select("addr", "city", "bucket", "col_ord", "col_key", "value", "median", cls.alias("cell_class"))
+    return long_df.select(*keys, "addr", "city", "bucket", "col_ord", "col_key", "value", "median", cls.alias("cell_class"))
 
 
 #: Rows sampled to cut the stores into slices for ranking.
@@ -188,9 +202,15 @@ def store_ranked(ctx: KpiContext, sort_key: str = "flags", descending: bool = Tr
     ``slices`` of its values (those of least hash) cuts each bucket into slices, rows are numbered within their slice, and
     the slices' counts - one row each - give the offsets.
     """
-    f = store_flags(ctx)
+    return ranked(store_flags(ctx), sort_key, descending, slices)
+
+
+def ranked(stores: DataFrame, sort_key: str = "flags", descending: bool = True, slices: int = RANK_SLICES, keys: tuple[str, ...] = ()) -> DataFrame:
+    """``store_ranked`` of the given store rows, within each value of ``keys`` and each bucket."""
+    f = stores
     value = F.col(sort_key).cast("double")
     place = F.struct(
+        *keys,
         F.col("bucket"),
         value.isNull().alias("none"),
         F.coalesce(-value if descending else value, F.lit(0.0)).alias("value"),
@@ -198,21 +218,21 @@ def store_ranked(ctx: KpiContext, sort_key: str = "flags", descending: bool = Tr
         F.col("addr"),
         F.col("city"),
     )
-    rows = f.select("bucket", "addr", "city", "orders", "flags", place.alias("place"))
-    sample = rows.select("place", F.xxhash64("addr", "city").alias("h")).orderBy("h", "place").limit(slices)
+    rows = f.select(*keys, "bucket", "addr", "city", "orders", "flags", place.alias("place"))
+    sample = rows.select("place", F.xxhash64(*keys, "addr", "city").alias("h")).orderBy("h", "place").limit(slices)
     cuts = sample.select(F.sort_array(F.collect_list("place"))).scalar()
     sliced = rows.withColumn("_cuts", cuts).withColumn(
         "slice", F.size(F.filter("_cuts", lambda c: c < F.col("place"))).cast("int")
     ).drop("_cuts")
-    counts = sliced.groupBy("bucket", "slice").agg(F.count(F.lit(1)).alias("n"))
-    before = Window.partitionBy("bucket").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("bucket", "slice", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
-    inside = F.row_number().over(Window.partitionBy("bucket", "slice").orderBy("place"))
+    counts = sliced.groupBy(*keys, "bucket", "slice").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy(*keys, "bucket").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*keys, "bucket", "slice", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    inside = F.row_number().over(Window.partitionBy(*keys, "bucket", "slice").orderBy("place"))
     return (
         sliced.withColumn("nth", inside)
-        .join(F.broadcast(offsets), ["bucket", "slice"])  # at most slices + buckets rows
-        .select("bucket", (F.col("offset") + F.col("nth")).cast("long").alias("store_rank"), "addr", "city", "orders", "flags")
-        .orderBy("bucket", "store_rank")
+        .join(F.broadcast(offsets) if not keys else offsets, [*keys, "bucket", "slice"])  # at most slices + buckets rows a key
+        .select(*keys, "bucket", (F.col("offset") + F.col("nth")).cast("long").alias("store_rank"), "addr", "city", "orders", "flags")
+        .orderBy(*keys, "bucket", "store_rank")
     )
 
 

@@ -511,4 +511,29 @@ SELECT bucket_ord, bucket, COUNT(*) AS stores FROM sb JOIN buckets USING (bucket
     return q
 
 
-ORACLE_SQL = build()
+#: The partners of the test mapping: two groups in each of two countries.
+TEST_PARTNERS = [(c, g) for c in ("xa", "xb") for g in ("P0", "P1")]
+_BOTH_GRAINS = ("financial", "operational", "replacement_adjustment", "failed_orders", "failed_reasons", "campaigns", "acceptance")
+_BY_COUNTRY = ("benchmark_business", "benchmark_quality", "benchmark_adjustment", "metric_benchmarks")
+
+
+def build_all_partners(p: ReportParams = FIXTURE_PARAMS) -> dict[str, str]:
+    """Statements for all partners: the single statements of every partner, one below the other."""
+    single = {(c, g): build(p.with_(country=c, partner_group=g)) for c, g in TEST_PARTNERS}
+    out: dict[str, list[str]] = {}
+    for (c, g), q in single.items():
+        if g == TEST_PARTNERS[0][1]:
+            for name in _BY_COUNTRY:
+                out.setdefault(name, []).append(f"SELECT '{c}' AS country_code, * FROM ({q[name]})")
+        for name, sql in q.items():
+            who = f"'{c}' AS country_code, '{g}' AS partner_group"
+            family, _, last = name.rpartition("_")
+            grain = {"monthly": "month", "weekly": "week"}.get(last)
+            if family in _BOTH_GRAINS and grain:
+                out.setdefault(family, []).append(f"SELECT {who}, '{grain}' AS grain, * FROM ({sql})")
+            elif name not in _BY_COUNTRY and not name.startswith("highlight_"):
+                out.setdefault(name, []).append(f"SELECT {who}, * FROM ({sql})")
+    return {f"partners_{name}": "\nUNION ALL\n".join(parts) for name, parts in out.items()}
+
+
+ORACLE_SQL = {**build(), **build_all_partners()}

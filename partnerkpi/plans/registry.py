@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..context import KpiContext
 from ..functions.calendar import MONTH, WEEK
-from ..operators import buckets, highlights, period_report, scorecard, stores
+from ..operators import buckets, highlights, partners, period_report, scorecard, stores
 from ..params import FIXTURE_PARAMS, ReportParams
 from ..sources.catalog import fixture_warehouse
 
@@ -63,7 +63,14 @@ SCORECARD: dict[str, QueryFn] = {
     "bucket_store_counts": stores.bucket_store_counts,
 }
 
-QUERIES: dict[str, QueryFn] = {**PERIOD_REPORT, **SCORECARD}
+#: Every result for all partners in one run, as ``partners_<name>``.
+ALL_PARTNERS: dict[str, QueryFn] = {
+    f"partners_{name}": (lambda c, name=name: partners.AllPartners(c).result(name))
+    for name in (*partners.PERIOD, *partners.PER_PARTNER, *partners.PER_COUNTRY)
+}
+
+QUERIES: dict[str, QueryFn] = {**PERIOD_REPORT, **SCORECARD, **ALL_PARTNERS}
+
 
 def context_for(spark: SparkSession, sf_dir: str, params: ReportParams = FIXTURE_PARAMS) -> KpiContext:
     """A context over the test tables as they are now: nothing is kept between calls, the mapping is part of the plan."""

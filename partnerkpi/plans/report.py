@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 from ..context import KpiContext
 from ..functions.calendar import MONTH, WEEK
-from ..operators import highlights, period_report, scorecard, stores
+from ..operators import highlights, partners, period_report, scorecard, stores
 from ..operators.buckets import city_bucket
+from ..sources.bundle import write_bundle
 from ..sources.sinks import nested_metrics, write_sections
 
 FAMILIES = {
@@ -116,3 +117,26 @@ def write_period_report(ctx: KpiContext, out_dir: str, fmt: str = "parquet", by_
 def write_scorecard(ctx: KpiContext, out_dir: str, fmt: str = "parquet", by_partner: bool = False, mode: str = "overwrite") -> dict[str, str]:
     """Write all scorecard sections; a rerun replaces them. ``by_partner`` partitions by (country, partner_group)."""
     return _write(scorecard_sections, ctx, out_dir, fmt, by_partner, mode)
+
+
+def partners_sections(ctx: KpiContext) -> dict[str, DataFrame]:
+    """Every result of both reports for all partners, the partner as a key."""
+    found = partners.AllPartners(ctx)
+    return {name: found.result(name) for name in (*partners.PERIOD, *partners.PER_PARTNER, *partners.PER_COUNTRY)}
+
+
+REPORTS = {"period": period_report_sections, "scorecard": scorecard_sections, "partners": partners_sections}
+
+
+def report_scope(ctx: KpiContext, report: str) -> str:
+    """Name of a report's bundles: one sequence of bundles for each report and partner."""
+    return report if report == "partners" else f"{report}/{ctx.params.country}/{ctx.params.partner_group}"
+
+
+def publish(ctx: KpiContext, root: str, report: str, fmt: str = "parquet") -> str:
+    """Write a report as a bundle that readers see as a whole once its manifest is there; returns the run id.
+
+    The ``partners`` report is partitioned by country and partner group.
+    """
+    with KpiContext(ctx.spark, ctx.wh, ctx.params, staging=True) as run:
+        return write_bundle(ctx.spark, REPORTS[report](run), root, report_scope(ctx, report), fmt, partners.KEYS)

@@ -34,7 +34,7 @@ def _key(row):
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
-    assert len(QUERIES) == 43
+    assert len(QUERIES) == 43 + 33
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
@@ -58,7 +58,7 @@ def test_all_queries_match_the_oracle_under_other_parameters(spark, duck, tmp_pa
     partner: Spark and the oracle generated for the same parameters agree on every query."""
     from datetime import date
 
-    from partnerkpi.oracle import build
+    from partnerkpi.oracle import build, build_all_partners
     from partnerkpi.context import KpiContext
     from partnerkpi.params import FIXTURE_PARAMS
     from partnerkpi.plans.registry import QUERIES as FNS
@@ -70,9 +70,12 @@ def test_all_queries_match_the_oracle_under_other_parameters(spark, duck, tmp_pa
         bench_end=date(2000, 2, 29), min_month_orders=10, top_cities=3, peers_exclude_partner=True,
     )
     ctx = KpiContext(spark, materialize_fixture(spark, SF_ORACLE, str(tmp_path / "inputs")), p, staging=True)
-    sql = build(p)
+    with pytest.raises(ValueError, match="one by one"):
+        FNS["partners_financial"](ctx)  # other peers for each partner
+    shared = p.with_(peers_exclude_partner=False)
+    sql = build(p) | build_all_partners(shared)
     for name, fn in FNS.items():
-        sdf = fn(ctx)
+        sdf = fn(KpiContext(spark, ctx.wh, shared) if name.startswith("partners_") else ctx)
         cols = sorted(sdf.columns)
         srows = sorted((tuple(_norm(r[c]) for c in cols) for r in sdf.collect()), key=_key)
         cur = duck.execute(sql[name])
