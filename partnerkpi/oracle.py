@@ -516,6 +516,11 @@ TEST_PARTNERS = [(c, g) for c in ("xa", "xb") for g in ("P0", "P1")]
 _BOTH_GRAINS = ("financial", "operational", "replacement_adjustment", "failed_orders", "failed_reasons", "campaigns", "acceptance")
 _BY_COUNTRY = ("benchmark_business", "benchmark_quality", "benchmark_adjustment", "metric_benchmarks")
 
+_FROM_STATES = (
+    "financial", "operational", "failed_orders", "campaigns", "failed_reasons", "top_stores_last_month", "provider_city_map",
+    "city_orders_rank", "city_bucket", "business_by_bucket_month", "benchmark_business",
+)
+
 
 def build_all_partners(p: ReportParams = FIXTURE_PARAMS) -> dict[str, str]:
     """Statements for all partners: the single statements of every partner, one below the other."""
@@ -533,7 +538,8 @@ def build_all_partners(p: ReportParams = FIXTURE_PARAMS) -> dict[str, str]:
                 out.setdefault(family, []).append(f"SELECT {who}, '{grain}' AS grain, * FROM ({sql})")
             elif name not in _BY_COUNTRY and not name.startswith("highlight_"):
                 out.setdefault(name, []).append(f"SELECT {who}, * FROM ({sql})")
-    return {f"partners_{name}": "\nUNION ALL\n".join(parts) for name, parts in out.items()}
+    joined = {name: "\nUNION ALL\n".join(parts) for name, parts in out.items()}
+    return {f"partners_{name}": sql for name, sql in joined.items()} | {f"states_{name}": joined[name] for name in _FROM_STATES}
 
 
 ORACLE_SQL = {**build(), **build_all_partners()}

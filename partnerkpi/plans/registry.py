@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..context import KpiContext
 from ..functions.calendar import MONTH, WEEK
-from ..operators import buckets, highlights, partners, period_report, scorecard, stores
+from ..operators import buckets, highlights, partners, period_report, scorecard, states, stores
 from ..params import FIXTURE_PARAMS, ReportParams
 from ..sources.catalog import fixture_warehouse
 
@@ -69,7 +69,12 @@ ALL_PARTNERS: dict[str, QueryFn] = {
     for name in (*partners.PERIOD, *partners.PER_PARTNER, *partners.PER_COUNTRY)
 }
 
-QUERIES: dict[str, QueryFn] = {**PERIOD_REPORT, **SCORECARD, **ALL_PARTNERS}
+#: The results for all partners that are folded from day states, as ``states_<name>``.
+FROM_STATES: dict[str, QueryFn] = {
+    f"states_{name}": (lambda c, name=name: states.StatePartners(c, states.state_frames(c.wh)).result(name)) for name in states.FROM_STATES
+}
+
+QUERIES: dict[str, QueryFn] = {**PERIOD_REPORT, **SCORECARD, **ALL_PARTNERS, **FROM_STATES}
 
 
 def context_for(spark: SparkSession, sf_dir: str, params: ReportParams = FIXTURE_PARAMS) -> KpiContext:

@@ -51,11 +51,22 @@ def write_bundle(
         keys = [k for k in partition_by if k in df.columns]
         (out.partitionBy(*keys) if keys else out).save(f"{root}/{path}")
         written.append((name, path, fmt))
+    commit(spark, root, scope, run_id, written)
+    return run_id
+
+
+def commit(spark: SparkSession, root: str, scope: str, run_id: str, sections: list[tuple[str, str, str]]) -> None:
+    """Make (name, path, format) the scope's newest sections, in one step."""
     last = _newest(spark, root, scope)
-    row = [(scope, (last[0]["seq"] if last else 0) + 1, run_id, written)]
+    row = [(scope, (last[0]["seq"] if last else 0) + 1, run_id, sections)]
     manifest = spark.createDataFrame(row, "scope string, seq long, run_id string, sections array<struct<name:string,path:string,format:string>>")
-    manifest.withColumn("committed_at", F.current_timestamp().cast("string")).coalesce(1).write.mode("errorifexists").json(f"{root}/manifests/{run_id}")
-    return run_id
+    manifest.withColumn("committed_at", F.current_timestamp().cast("string")).coalesce(1).write.mode("errorifexists").json(f"{root.rstrip('/')}/manifests/{run_id}")
+
+
+def committed(spark: SparkSession, root: str, scope: str) -> list[tuple[str, str, str]]:
+    """(name, path, format) of the newest sections of a scope; none before its first commit."""
+    last = _newest(spark, root, scope)
+    return [tuple(s) for s in last[0]["sections"]] if last else []
 
 
 def read_bundle(spark: SparkSession, root: str, scope: str) -> dict[str, DataFrame]:

@@ -34,7 +34,7 @@ def _key(row):
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
-    assert len(QUERIES) == 43 + 33
+    assert len(QUERIES) == 43 + 33 + 11
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
@@ -75,7 +75,7 @@ def test_all_queries_match_the_oracle_under_other_parameters(spark, duck, tmp_pa
     shared = p.with_(peers_exclude_partner=False)
     sql = build(p) | build_all_partners(shared)
     for name, fn in FNS.items():
-        sdf = fn(KpiContext(spark, ctx.wh, shared) if name.startswith("partners_") else ctx)
+        sdf = fn(KpiContext(spark, ctx.wh, shared) if name.startswith(("partners_", "states_")) else ctx)
         cols = sorted(sdf.columns)
         srows = sorted((tuple(_norm(r[c]) for c in cols) for r in sdf.collect()), key=_key)
         cur = duck.execute(sql[name])
