@@ -7,7 +7,7 @@ not depend on shuffle order.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..context import KpiContext
@@ -19,37 +19,12 @@ LEVEL_WIN, LEVEL_WATCH, LEVEL_CRIT = "win", "watch", "crit"
 KIND_ORDERS, KIND_NEW_USERS, KIND_GAPS = "Orders", "New users", "Where to improve"
 
 
-def _month_span(sc: Scorecard):
-    """First and last populated month (the labels of the trend texts) as one scalar-subquery struct."""
-    return sc.months.select(F.struct(F.min("month").alias("m_first"), F.max("month").alias("m_last"))).scalar()
-
-
 TREND_METRICS = ["Orders", "New Users"]
 
 
 def trends(ctx: KpiContext, sc: Scorecard | None = None) -> DataFrame:
-    """First and last non-NULL month value per bucket for both trend metrics, in one aggregation.
-
-    Only buckets with at least two such months. The month is ordered as a DATE (fixed width), so ``min_by`` /
-    ``max_by`` run in a hash aggregate. Persisted once per run; Q32, Q33 and Q35 project it.
-    """
-    sc = _sc(ctx, sc)
-
-    def build() -> DataFrame:
-        t = (
-            sc.matrix.where(F.col("metric_key").isin(TREND_METRICS) & F.col("value").isNotNull())
-            .withColumn("month_date", F.to_date("month", "yyyy-MM"))
-            .groupBy("bucket", "metric_key")
-            .agg(
-                F.min_by("value", "month_date").alias("first_value"),
-                F.max_by("value", "month_date").alias("last_value"),
-                F.count(F.lit(1)).alias("n_months"),
-            )
-            .where(F.col("n_months") >= 2)
-        )
-        return t.withColumn("_span", _month_span(sc)).select("*", "_span.*").drop("_span")
-
-    return ctx.stage("sc_trends", build)
+    """First and last non-NULL month value per bucket for both trend metrics, where there are two such months."""
+    return _sc(ctx, sc).summary.where(F.col("metric_key").isin(TREND_METRICS) & (F.col("n_months") >= 2))
 
 
 def _trend(sc: Scorecard, metric_key: str) -> DataFrame:
@@ -68,10 +43,10 @@ def _as_int_text(c):
 
 def highlight_orders_trend(ctx: KpiContext, sc: Scorecard | None = None) -> DataFrame:
     """Q32: orders first vs last month; win when not lower; pct = |change| / first, 0 when first is 0."""
-    return _trend(_sc(ctx, sc), "Orders").select("bucket", *orders_trend_columns())
+    return _trend(_sc(ctx, sc), "Orders").select("bucket", *[c.alias(n) for n, c in orders_trend_columns().items()])
 
 
-def orders_trend_columns() -> list:
+def orders_trend_columns() -> dict[str, Column]:
     a1, a2 = F.col("first_value"), F.col("last_value")
     up = a2 >= a1
     pct = trend_pct(a1, a2)
@@ -80,29 +55,23 @@ def orders_trend_columns() -> list:
         F.lit(" ("), F.col("m_first"), F.lit("→"), F.col("m_last"), F.lit("), "),
         F.when(up, F.lit("growth ")).otherwise(F.lit("decline ")), pct.cast("string"), F.lit("%."),
     )
-    return [
-        "first_value", "last_value",
-        F.when(up, LEVEL_WIN).otherwise(LEVEL_WATCH).alias("level"),
-        pct.alias("pct"), F.lit(KIND_ORDERS).alias("kind"), text.alias("text"),
-    ]
+    level = F.when(up, LEVEL_WIN).otherwise(LEVEL_WATCH)
+    return {"first_value": a1, "last_value": a2, "level": level, "pct": pct, "kind": F.lit(KIND_ORDERS), "text": text}
 
 
 def highlight_new_users_trend(ctx: KpiContext, sc: Scorecard | None = None) -> DataFrame:
     """Q33: the same on New Users, without the percentage."""
-    return _trend(_sc(ctx, sc), "New Users").select("bucket", *new_users_trend_columns())
+    return _trend(_sc(ctx, sc), "New Users").select("bucket", *[c.alias(n) for n, c in new_users_trend_columns().items()])
 
 
-def new_users_trend_columns() -> list:
+def new_users_trend_columns() -> dict[str, Column]:
     a1, a2 = F.col("first_value"), F.col("last_value")
     text = F.concat(
         F.lit("New users "), _as_int_text(a1), F.lit("→"), _as_int_text(a2),
         F.lit(" ("), F.col("m_first"), F.lit("→"), F.col("m_last"), F.lit(")."),
     )
-    return [
-        "first_value", "last_value",
-        F.when(a2 >= a1, LEVEL_WIN).otherwise(LEVEL_WATCH).alias("level"),
-        F.lit(KIND_NEW_USERS).alias("kind"), text.alias("text"),
-    ]
+    level = F.when(a2 >= a1, LEVEL_WIN).otherwise(LEVEL_WATCH)
+    return {"first_value": a1, "last_value": a2, "level": level, "kind": F.lit(KIND_NEW_USERS), "text": text}
 
 
 def _gap_value_text(v, fmt):
@@ -121,19 +90,34 @@ def quality_gaps(ctx: KpiContext, sc: Scorecard | None = None) -> DataFrame:
     return ranked_gaps(ctx, _sc(ctx, sc).means)
 
 
-def ranked_gaps(ctx: KpiContext, means: DataFrame, keys: tuple[str, ...] = ("bucket",)) -> DataFrame:
-    """The quality gaps among ``means``, the first ``max_gaps`` within each value of ``keys``."""
+def _is_gap() -> Column:
+    """A quality metric whose mean is strictly worse than the benchmark."""
     a, b, d = F.col("mean_value"), F.col("bench"), F.col("dir")
-    worse = (d * (a - b)) < 0
-    gaps = means.where(b.isNotNull() & (d != 0) & a.isNotNull() & worse & (F.col("metric_group") == QUALITY_GROUP))
-    if ctx.params.gap_order == "distance":
-        key = F.coalesce(safe_div(F.abs(a - b), F.abs(b)), F.lit(float("inf"))).desc()  # zero benchmark: farthest
-    elif ctx.params.gap_order == "mean":
-        key = F.desc("mean_value")
-    else:
-        raise ValueError(f"gap_order must be 'mean' or 'distance', not {ctx.params.gap_order!r}")
-    w = Window.partitionBy(*keys).orderBy(key, F.asc("metric_ord"))
-    return gaps.withColumn("gap_rank", F.row_number().over(w)).where(F.col("gap_rank") <= ctx.params.max_gaps)
+    return b.isNotNull() & (d != 0) & a.isNotNull() & ((d * (a - b)) < 0) & (F.col("metric_group") == QUALITY_GROUP)
+
+
+def _gap_size(gap_order: str) -> Column:
+    """What the gaps are ranked by, largest first."""
+    a, b = F.col("mean_value"), F.col("bench")
+    if gap_order == "distance":
+        return F.coalesce(safe_div(F.abs(a - b), F.abs(b)), F.lit(float("inf")))  # zero benchmark: farthest
+    if gap_order == "mean":
+        return a
+    raise ValueError(f"gap_order must be 'mean' or 'distance', not {gap_order!r}")
+
+
+def _gap_item() -> Column:
+    return F.concat(F.col("metric_key"), F.lit(" ("), _gap_value_text(F.col("mean_value"), F.col("fmt")), F.lit(")"))
+
+
+def _gaps_text(items: Column) -> Column:
+    return F.concat(F.lit("Biggest gaps with the market: "), F.array_join(items, "; "), F.lit("."))
+
+
+def ranked_gaps(ctx: KpiContext, summary: DataFrame) -> DataFrame:
+    """The quality gaps, the first ``max_gaps`` of each bucket."""
+    w = Window.partitionBy("bucket").orderBy(F.desc(_gap_size(ctx.params.gap_order)), F.asc("metric_ord"))
+    return summary.where(_is_gap()).withColumn("gap_rank", F.row_number().over(w)).where(F.col("gap_rank") <= ctx.params.max_gaps)
 
 
 def highlight_gaps(ctx: KpiContext, sc: Scorecard | None = None) -> DataFrame:
@@ -142,33 +126,34 @@ def highlight_gaps(ctx: KpiContext, sc: Scorecard | None = None) -> DataFrame:
 
 
 def _highlight_gaps(ctx: KpiContext, sc: Scorecard | None) -> DataFrame:
-    return gap_rows(quality_gaps(ctx, sc))
-
-
-def gap_rows(gaps: DataFrame, keys: tuple[str, ...] = ("bucket",)) -> DataFrame:
-    """One highlight row for each value of ``keys``, from its ranked gaps."""
-    g = gaps.withColumn(
-        "item", F.concat(F.col("metric_key"), F.lit(" ("), _gap_value_text(F.col("mean_value"), F.col("fmt")), F.lit(")"))
-    )
-    per_bucket = g.groupBy(*keys).agg(
+    per_bucket = quality_gaps(ctx, sc).withColumn("item", _gap_item()).groupBy("bucket").agg(
         F.sort_array(F.collect_list(F.struct("gap_rank", "item"))).alias("items"),  # <= max_gaps per bucket
         F.count(F.lit(1)).alias("n_gaps"),
     )
-    text = F.concat(F.lit("Biggest gaps with the market: "), F.array_join(F.col("items.item"), "; "), F.lit("."))
     return per_bucket.select(
-        *keys, F.lit(LEVEL_CRIT).alias("level"), F.lit(KIND_GAPS).alias("kind"), text.alias("text"), "n_gaps"
+        "bucket", F.lit(LEVEL_CRIT).alias("level"), F.lit(KIND_GAPS).alias("kind"), _gaps_text(F.col("items.item")).alias("text"), "n_gaps"
+    )
+
+
+def highlight_rows(summary: DataFrame, max_gaps: int, gap_order: str, keys: tuple[str, ...] = ()) -> DataFrame:
+    """All highlights of each bucket from one reading of its summary (19 rows): trends, then the gaps' text."""
+    place = [*keys, "bucket_ord", "bucket"]
+
+    def trend(metric: str, columns: dict[str, Column], ord_: int) -> Column:
+        row = F.struct(F.lit(ord_).alias("ord"), *[columns[c].alias(c) for c in ("level", "kind", "text")])
+        return F.max(F.when((F.col("metric_key") == metric) & (F.col("n_months") >= 2), row))
+
+    gap = F.when(_is_gap(), F.struct((-_gap_size(gap_order)).alias("size"), F.col("metric_ord"), _gap_item().alias("item")))
+    per_bucket = summary.groupBy(*place).agg(
+        trend("Orders", orders_trend_columns(), 1).alias("o"),
+        trend("New Users", new_users_trend_columns(), 2).alias("u"),
+        F.slice(F.sort_array(F.collect_list(gap)), 1, max_gaps).alias("gaps"),  # at most 19 a bucket
     )
+    gaps = F.when(F.size("gaps") > 0, F.struct(F.lit(3).alias("ord"), F.lit(LEVEL_CRIT).alias("level"), F.lit(KIND_GAPS).alias("kind"), _gaps_text(F.col("gaps.item")).alias("text")))
+    return per_bucket.select(*place, F.inline(F.array_compact(F.array("o", "u", gaps))))
 
 
 def highlights(ctx: KpiContext) -> DataFrame:
     """Q35: orders trend, new-users trend, gaps - in that order, 0 to 3 rows per bucket, buckets by rank."""
-    sc = Scorecard(ctx)
-    cols = ["bucket", "level", "kind", "text"]
-    parts = [
-        highlight_orders_trend(ctx, sc).select(*cols).withColumn("ord", F.lit(1)),
-        highlight_new_users_trend(ctx, sc).select(*cols).withColumn("ord", F.lit(2)),
-        highlight_gaps(ctx, sc).select(*cols).withColumn("ord", F.lit(3)),
-    ]
-    out = parts[0].unionByName(parts[1]).unionByName(parts[2])
-    rank = F.broadcast(sc.buckets.select("bucket", "bucket_ord"))  # top_cities + 1 rows
-    return out.join(rank, "bucket").select("bucket_ord", "bucket", "ord", "level", "kind", "text").orderBy("bucket_ord", "ord")
+    rows = highlight_rows(Scorecard(ctx).summary, ctx.params.max_gaps, ctx.params.gap_order)
+    return rows.select("bucket_ord", "bucket", "ord", "level", "kind", "text").orderBy("bucket_ord", "ord")

@@ -22,9 +22,9 @@ from ..functions.measures import finish_pair, mart, round_half_up, weighted_pair
 from ..sources.schema import MONTHLY_RATES
 from . import period_report as pr
 from . import stores as st
-from .highlights import TREND_METRICS, gap_rows, new_users_trend_columns, orders_trend_columns, ranked_gaps
+from .highlights import highlight_rows
 from .scope import is_delivered, not_delivered
-from .scorecard import METRIC_KEYS, benchmark_values, business_aggs, good_or_bad, matrix_values, metric_def, verdict_columns
+from .scorecard import METRIC_KEYS, benchmark_values, business_aggs, good_or_bad, matrix_values, metric_def, summary_measures, verdict_columns
 
 COUNTRY, PARTNER = "country_code", "partner_group"
 KEYS = (COUNTRY, PARTNER)
@@ -321,34 +321,22 @@ class AllPartners:
         return self._with_bench(self.matrix).select(*KEYS, "metric_ord", "metric_key", "bucket", "month", "value", "bench", cls.alias("cell_class"))
 
     @cached_property
-    def means(self) -> DataFrame:
+    def summary(self) -> DataFrame:
         def build() -> DataFrame:
             ids = [*KEYS, "metric_ord", "metric_key", "bucket_ord", "bucket", "dir", "fmt", "metric_group"]
-            return self._with_bench(self.matrix.groupBy(*ids).agg(F.avg("value").alias("mean_value")))
+            return self._with_bench(self.matrix.groupBy(*ids).agg(*summary_measures()))
 
-        return self.ctx.stage("ap_means", build)
+        return self.ctx.stage("ap_summary", build)
 
     def metric_verdict(self) -> DataFrame:
         """Q31 of every partner."""
         a = F.col("mean_value")
         verdict, tone = verdict_columns(a, F.col("bench"), F.col("dir"), self.p.par_band)
-        return self.means.select(*KEYS, "metric_ord", "metric_key", "bucket", mart(a).alias("mean_value"), "bench", verdict.alias("verdict"), tone.alias("tone"))
+        return self.summary.select(*KEYS, "metric_ord", "metric_key", "bucket", mart(a).alias("mean_value"), "bench", verdict.alias("verdict"), tone.alias("tone"))
 
     def highlights(self) -> DataFrame:
         """Q35 of every partner (Q32 to Q34 are its rows of ``ord`` 1 to 3)."""
-        series = self.matrix.where(F.col("metric_key").isin(TREND_METRICS) & F.col("value").isNotNull())
-        trend = (
-            series.withColumn("_d", F.to_date("month", "yyyy-MM"))
-            .groupBy(*KEYS, "bucket_ord", "bucket", "metric_key")
-            .agg(F.min_by("value", "_d").alias("first_value"), F.max_by("value", "_d").alias("last_value"), F.count(F.lit(1)).alias("n"))
-            .where(F.col("n") >= 2)
-            .join(self.months.groupBy(*KEYS).agg(F.min("month").alias("m_first"), F.max("month").alias("m_last")), list(KEYS))
-        )
-        place, cols = [*KEYS, "bucket_ord", "bucket"], ["level", "kind", "text"]
-        orders = trend.where(F.col("metric_key") == "Orders").select(*place, *orders_trend_columns()).select(*place, F.lit(1).alias("ord"), *cols)
-        users = trend.where(F.col("metric_key") == "New Users").select(*place, *new_users_trend_columns()).select(*place, F.lit(2).alias("ord"), *cols)
-        gaps = gap_rows(ranked_gaps(self.ctx, self.means, tuple(place)), tuple(place)).select(*place, F.lit(3).alias("ord"), *cols)
-        return orders.unionByName(users).unionByName(gaps)
+        return highlight_rows(self.summary, self.p.max_gaps, self.p.gap_order, KEYS)
 
     # ---- stores ------------------------------------------------------------------------------------------------------
     @cached_property

@@ -213,16 +213,33 @@ class Scorecard:
         return df.join(F.broadcast(self.benchmarks.select("metric_key", "bench")), "metric_key")  # 19 rows
 
     @cached_property
-    def means(self) -> DataFrame:
-        """Mean over the non-NULL (already rounded) months per metric and bucket, with benchmark and catalogue."""
+    def summary(self) -> DataFrame:
+        """One row per metric and bucket (``summary_measures``) with benchmark and catalogue: all that is read from series."""
 
         def build() -> DataFrame:
-            means = self.matrix.groupBy("metric_ord", "metric_key", "bucket_ord", "bucket").agg(
-                F.avg("value").alias("mean_value")
-            )
-            return self.with_bench(means).join(F.broadcast(self.metric_def.drop("metric_ord")), "metric_key")
+            rows = self.matrix.groupBy("metric_ord", "metric_key", "bucket_ord", "bucket").agg(*summary_measures())
+            return self.with_bench(rows).join(F.broadcast(self.metric_def.drop("metric_ord")), "metric_key")
+
+        return self.ctx.stage("sc_summary", build)
+
+    @property
+    def means(self) -> DataFrame:
+        return self.summary
 
-        return self.ctx.stage("sc_means", build)
+
+def summary_measures() -> list:
+    """Of a metric's dense month series: mean over the non-NULL (already rounded) months, first and last non-NULL value, their
+    number, and the first and last month. The month is ordered as a DATE (fixed width), for a hash aggregate."""
+    day = F.when(F.col("value").isNotNull(), F.to_date("month", "yyyy-MM"))
+    months = F.to_date("month", "yyyy-MM")
+    return [
+        F.avg("value").alias("mean_value"),
+        F.min_by("value", day).alias("first_value"),
+        F.max_by("value", day).alias("last_value"),
+        F.count("value").alias("n_months"),
+        F.date_format(F.min(months), "yyyy-MM").alias("m_first"),
+        F.date_format(F.max(months), "yyyy-MM").alias("m_last"),
+    ]
 
 
 def business_aggs(rsd: float | None) -> list:
