@@ -31,8 +31,6 @@ MAX_TRAIN_DOCS = 4000
 MAX_TRAIN_LINES = 100
 #: Steps of training and its L2 penalty.
 STEPS, PENALTY = 150, 1e-4
-#: Lines handled together in one forward-backward pass.
-LINES_AT_ONCE = 1 << 17
 
 # The byte classes that the line features count.
 _CLASSES = (b"#*$%&<>", b"|", b"!?", b"0123456789", b".,;:", b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz", b"/=_~^@\\[]{}")
@@ -50,8 +48,8 @@ def _per_span(flags: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     return c[ends] - c[starts]
 
 
-def line_features(block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(features with neighbours [lines, WIDTH], weight of each line in characters, first line of each text)."""
+def own_features(block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(features [lines, FEATURES], weight of each line in characters, first line of each text)."""
     starts, ends, first = block.lines()
     data = block.data
     solid = _per_span(~IS_SPACE[data], starts, ends)
@@ -85,7 +83,13 @@ def line_features(block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     own[:, k + 5] = own[:, k + 4] * np.minimum(solid, 200) / 200
     for back in (0, 1):
         own[:, k + 6 + back] = np.sqrt(_per_span(again[back], w0, w1) / np.maximum(words, 1))
-    x = np.zeros((len(starts), WIDTH), np.float32)
+    return own, solid.astype(np.float64), first
+
+
+def line_features(block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(features with neighbours [lines, WIDTH], weight of each line in characters, first line of each text)."""
+    own, weight, first = own_features(block)
+    x = np.zeros((len(own), WIDTH), np.float32)
     x[:, :FEATURES] = own
     x[1:, FEATURES : 2 * FEATURES] = own[:-1]
     x[:-1, 2 * FEATURES : 3 * FEATURES] = own[1:]
@@ -94,7 +98,22 @@ def line_features(block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     x[:, -3] = 1
     x[first[:-1], -2] = 1
     x[first[1:] - 1, -1] = 1
-    return x, solid.astype(np.float64), first
+    return x, weight, first
+
+
+def line_scores(block: Block, emit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(``line_features`` times ``emit``, weight, first line), without the wide table of neighbours' features."""
+    own, weight, first = own_features(block)
+    before, after = (own @ emit[k * FEATURES : (k + 1) * FEATURES] for k in (1, 2))
+    scores = own @ emit[:FEATURES] + emit[-3]
+    inner = np.ones(len(own), bool)
+    inner[first[:-1]] = False  # lines with one before them in their text
+    at = np.flatnonzero(inner)
+    scores[at] += before[at - 1]
+    scores[at - 1] += after[at]
+    scores[first[:-1]] += emit[-2]
+    scores[first[1:] - 1] += emit[-1]
+    return scores, weight, first
 
 
 @dataclass
@@ -112,50 +131,45 @@ class Crf:
         return 1 / (1 + np.exp(-(self.slope * mean + self.shift)))
 
 
-def _padded(first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Line number at [step, text] (-1 beyond a text's end), texts in falling order of their lines; that order."""
-    n = np.diff(first)
-    order = np.argsort(-n, kind="stable")
-    steps = int(n.max()) if len(n) else 0
-    at = np.arange(steps)[:, None]
-    return np.where(at < n[order][None, :], first[:-1][order][None, :] + at, -1), order
-
-
 def marginals(scores: np.ndarray, trans: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
-    """(P(good) of each line, expected pair counts [2, 2], log partition) by forward-backward over all texts at once."""
+    """(P(good) of each line, expected pair counts [2, 2], log partition) by forward-backward over all texts at once.
+
+    Step s takes line s of every text that has one; texts stand in falling order of their lines, so these are the first ones
+    and everything is kept by line: memory follows the lines, however they are spread over texts.
+    """
     good = np.empty(len(scores))
     pairs = np.zeros((2, 2))
-    grid, _ = _padded(first)
-    steps = len(grid)
+    n = np.diff(first)
+    order = np.argsort(-n, kind="stable")
+    start = first[:-1][order]
+    steps = int(n.max()) if len(n) else 0
     if not steps:
         return good, pairs, 0.0
-    width = (grid >= 0).sum(axis=1)
-    fwd = np.zeros((steps, grid.shape[1], 2))
+    width = len(n) - np.searchsorted(np.sort(n), np.arange(steps), "right")  # texts with more than s lines
+    fwd = np.empty((len(scores), 2))
     log_z = 0.0
     top = np.maximum(scores, 0)
     e = np.stack([np.exp(-top), np.exp(scores - top)], axis=1)  # scaled emissions of bad, good
     t = np.exp(trans)
     for s in range(steps):
-        rows = grid[s, : width[s]]
-        a = e[rows] if s == 0 else (fwd[s - 1, : width[s]] @ t) * e[rows]
+        rows = start[: width[s]] + s
+        a = e[rows] if s == 0 else (fwd[rows - 1] @ t) * e[rows]
         z = a.sum(axis=1, keepdims=True)
-        fwd[s, : width[s]] = a / z
+        fwd[rows] = a / z
         log_z += float(np.log(z).sum() + top[rows].sum())
-    back = np.ones((grid.shape[1], 2))
+    back = np.ones((len(n), 2))
     for s in range(steps - 1, -1, -1):
-        rows = grid[s, : width[s]]
+        rows = start[: width[s]] + s
+        b = np.ones((width[s], 2))
         if s + 1 < steps and width[s + 1]:
-            nxt = grid[s + 1, : width[s + 1]]
-            eb = e[nxt] * back[: width[s + 1]]
-            b = np.ones((width[s], 2))
+            here = rows[: width[s + 1]]
+            eb = e[here + 1] * back[: width[s + 1]]
             b[: width[s + 1]] = eb @ t.T
-            joint = fwd[s, : width[s + 1], :, None] * t[None] * eb[:, None, :]
+            joint = fwd[here][:, :, None] * t[None] * eb[:, None, :]
             pairs += (joint / joint.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
             b /= b.sum(axis=1, keepdims=True)
-        else:
-            b = np.ones((width[s], 2))
         back[: width[s]] = b
-        p = fwd[s, : width[s]] * b
+        p = fwd[rows] * b
         good[rows] = p[:, 1] / p.sum(axis=1)
     return good, pairs, log_z
 
@@ -210,8 +224,8 @@ def quality_scores(texts: pa.Array, model: Crf) -> np.ndarray:
     """Length-weighted mean of P(good) over each text's lines."""
     out = np.full(len(texts), model.blank)
     for block in blocks(texts):
-        x, weight, first = line_features(block)
-        good, _, _ = marginals(x @ model.emit, model.trans, first)
+        scores, weight, first = line_scores(block, model.emit)
+        good, _, _ = marginals(scores, model.trans, first)
         mean, full = _means(good, weight, first)
         part = np.where(full, model.calibrated(mean), model.blank)
         out[block.first_row : block.first_row + block.rows] = part

@@ -287,3 +287,35 @@ def test_runs_of_edge_rows(spark):
     assert periodic_runs.with_runs(df.limit(0)).count() == 0
     assert queries.planted_tails(df).count() == len(rows)
     assert queries.planted_tails(df).where(F.col("text").isNull()).count() == 0
+
+
+# ---------------------------------------------------------------- 6 memory of the line labels
+
+
+def test_quality_memory_follows_the_lines():
+    """100,000 lines beside 2,000 short texts: the forward-backward pass keeps what the lines need, not lines times texts."""
+    import tracemalloc
+
+    from partnerkpi.llm import quality_crf
+
+    rng = np.random.default_rng(0)
+    model = quality_crf.Crf(rng.normal(size=quality_crf.WIDTH), rng.normal(size=(2, 2)), 0.5, 2.0, -1.0)
+    short = [f"Line one of {k}.\nAnd two\n\nthree" for k in range(2000)]
+    texts = pa.array(["\n" * 100_000, *short])
+    tracemalloc.start()
+    together = quality_crf.quality_scores(texts, model)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 200e6
+    assert np.allclose(together[1:], quality_crf.quality_scores(pa.array(short), model))
+    assert together[0] == 0.5  # no text
+
+
+def test_line_scores_equal_the_wide_features():
+    from partnerkpi.llm import quality_crf
+
+    emit = np.random.default_rng(1).normal(size=quality_crf.WIDTH)
+    for b in blocks(pa.array(["", "a", "a\nb c\n\n42 # x", None, "x\n" * 7])):
+        x, weight, first = quality_crf.line_features(b)
+        scores, w, f = quality_crf.line_scores(b, emit)
+        assert np.allclose(x @ emit, scores, atol=1e-5) and (w == weight).all() and (f == first).all()
