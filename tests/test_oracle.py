@@ -74,8 +74,9 @@ def test_all_queries_match_the_oracle_under_other_parameters(spark, duck, tmp_pa
         FNS["partners_financial"](ctx)  # other peers for each partner
     shared = p.with_(peers_exclude_partner=False)
     sql = build(p) | build_all_partners(shared)
+    every = KpiContext(spark, ctx.wh, shared, staging=True)
     for name, fn in FNS.items():
-        sdf = fn(KpiContext(spark, ctx.wh, shared) if name.startswith(("partners_", "states_")) else ctx)
+        sdf = fn(every if name.startswith(("partners_", "states_")) else ctx)
         cols = sorted(sdf.columns)
         srows = sorted((tuple(_norm(r[c]) for c in cols) for r in sdf.collect()), key=_key)
         cur = duck.execute(sql[name])
@@ -83,6 +84,7 @@ def test_all_queries_match_the_oracle_under_other_parameters(spark, duck, tmp_pa
         orows = sorted((tuple(_norm(r[idx[c]]) for c in cols) for r in cur.fetchall()), key=_key)
         assert srows == orows, name
     ctx.release()
+    every.release()
 
 
 def test_the_oracle_sees_a_wrong_metric_direction(spark, duck, monkeypatch):
