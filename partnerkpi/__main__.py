@@ -38,6 +38,7 @@ def _parser() -> argparse.ArgumentParser:
     src.add_argument("--catalog", help="JSON file that binds the five inputs to catalog tables")
     src.add_argument("--fixture", help="directory with the TPC-H-style test tables")
     ap.add_argument("--columns", help="JSON file with column names of the tables in --tables")
+    ap.add_argument("--month-column", help="partition column of the fact with the order's month as yyyyMM")
     ap.add_argument("--out", required=True, help="output directory (on shared storage for a cluster)")
     ap.add_argument("--format", default="parquet", choices=["parquet", "json"])
     ap.add_argument("--mode", default="overwrite", choices=["overwrite", "errorifexists"])
@@ -82,9 +83,9 @@ def main(argv: list[str] | None = None) -> None:
         wh = fixture_warehouse(spark, a.fixture)
     elif a.catalog:
         binding = _json(a.catalog)
-        wh = Warehouse.from_tables(spark, binding["tables"], binding.get("columns"))
+        wh = Warehouse.from_tables(spark, binding["tables"], binding.get("columns"), a.month_column)
     else:
-        wh = Warehouse.from_paths(spark, {t: f"{a.tables.rstrip('/')}/{t}" for t in TABLES}, columns=_json(a.columns))
+        wh = Warehouse.from_paths(spark, {t: f"{a.tables.rstrip('/')}/{t}" for t in TABLES}, columns=_json(a.columns), month_column=a.month_column)
     ctx = KpiContext(spark, wh, params)
     if a.bundle or a.report == "partners":
         print(json.dumps({"run_id": publish(ctx, a.out, a.report, a.format), "scope": report_scope(ctx, a.report)}))

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..context import KpiContext
-from ..functions.calendar import date_between, month_key
+from ..functions.calendar import month_key
 from .scope import is_delivered, partner_orders
 
 
@@ -41,7 +41,7 @@ def provider_city_map(ctx: KpiContext) -> DataFrame:
 def city_orders_rank(ctx: KpiContext) -> DataFrame:
     """Q18: delivered partner orders per city in the benchmark window, descending."""
     p = ctx.params
-    f = partner_orders(ctx, is_delivered() & date_between("order_date", p.bench_start, p.bench_end))
+    f = partner_orders(ctx, is_delivered() & ctx.wh.ordered_between(p.bench_start, p.bench_end))
     return (
         f.groupBy(F.col("city_name").alias("city"))
         .agg(F.count(F.lit(1)).alias("orders"))
@@ -91,7 +91,7 @@ def bucketize(ctx: KpiContext, df: DataFrame, city_col: str, top: DataFrame | No
 def scorecard_orders(ctx: KpiContext) -> DataFrame:
     """Delivered partner orders in the scorecard window with their month key."""
     p = ctx.params
-    f = partner_orders(ctx, is_delivered() & date_between("order_date", p.scorecard_start, p.scorecard_end))
+    f = partner_orders(ctx, is_delivered() & ctx.wh.ordered_between(p.scorecard_start, p.scorecard_end))
     return f.withColumn("month", month_key("order_date"))
 
 

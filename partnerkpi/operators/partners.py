@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..context import KpiContext
-from ..functions.calendar import MONTH, WEEK, date_between, date_half_open, month_key, stamp_key, ts_between, ts_from, ts_half_open, week_key
+from ..functions.calendar import MONTH, WEEK, date_between, month_key, stamp_key, ts_between, ts_from, ts_half_open, week_key
 from ..functions.measures import finish_pair, mart, round_half_up, weighted_pair, weighted_rate
 from ..sources.schema import MONTHLY_RATES
 from . import period_report as pr
@@ -66,7 +66,7 @@ class AllPartners:
     def _period_orders(self, where: Column | None = None) -> tuple[DataFrame, Column]:
         """Order rows of both windows, and the (grain, period) structs that deal them out."""
         p = self.p
-        span = date_between("order_date", min(p.data_start, p.week_start), max(p.data_end, p.week_end))
+        span = self.ctx.wh.ordered_between(min(p.data_start, p.week_start), max(p.data_end, p.week_end))
         rows = self._orders(span if where is None else span & where)
         return rows, _either(self._grains(lambda s, e: date_between("order_date", s, e)), {MONTH: month_key("order_date"), WEEK: week_key("order_date")})
 
@@ -139,7 +139,7 @@ class AllPartners:
 
     def top_stores_last_month(self) -> DataFrame:
         """Q16 of every partner."""
-        f = self._orders(is_delivered() & date_half_open("order_date", self.p.prev_month_start, self.p.prev_month_end_excl))
+        f = self._orders(is_delivered() & self.ctx.wh.ordered_between(self.p.prev_month_start, self.p.data_end))
         stores = f.groupBy(*KEYS, "provider_name", "city_name").agg(
             F.count(F.lit(1)).alias("orders"), mart(F.sum("gross").cast("double")).alias("merchant_price")
         )
@@ -164,7 +164,7 @@ class AllPartners:
 
     def city_orders_rank(self) -> DataFrame:
         """Q18 of every partner."""
-        f = self._orders(is_delivered() & date_between("order_date", self.p.bench_start, self.p.bench_end))
+        f = self._orders(is_delivered() & self.ctx.wh.ordered_between(self.p.bench_start, self.p.bench_end))
         return f.groupBy(*KEYS, F.col("city_name").alias("city")).agg(F.count(F.lit(1)).alias("orders"))
 
     @cached_property
@@ -197,7 +197,7 @@ class AllPartners:
         """Q20 of every partner."""
 
         def build() -> DataFrame:
-            f = self._orders(is_delivered() & date_between("order_date", self.p.scorecard_start, self.p.scorecard_end))
+            f = self._orders(is_delivered() & self.ctx.wh.ordered_between(self.p.scorecard_start, self.p.scorecard_end))
             f = self._bucketed(f.withColumn("month", month_key("order_date")), "city_name")
             return f.groupBy(*KEYS, "bucket", "month").agg(*business_aggs(self.p.approx_distinct_rsd))
 
@@ -254,7 +254,7 @@ class AllPartners:
     @cached_property
     def bench_business(self) -> DataFrame:
         """Q24 of every country."""
-        rows = self.ctx.wh.fact_order.where(is_delivered() & date_between("order_date", self.p.bench_start, self.p.bench_end))
+        rows = self.ctx.wh.fact_order.where(is_delivered() & self.ctx.wh.ordered_between(self.p.bench_start, self.p.bench_end))
         zero = ("orders", "active_users", "new_users", "merchants")
         return self.ctx.stage("ap_bench_business", lambda: self._bench(rows, business_aggs(self.p.approx_distinct_rsd), zero))
 

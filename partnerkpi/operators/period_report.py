@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..context import KpiContext
-from ..functions.calendar import MONTH, WEEK, date_between, date_half_open, month_key, period_key, stamp_key, ts_between, ts_from
+from ..functions.calendar import MONTH, WEEK, month_key, period_key, stamp_key, ts_between, ts_from
 from ..functions.measures import coalesce_sum, distinct_count, finish_pair, mart, round_half_up, safe_div, weighted_rate
 from ..sources.schema import MERCHANT_SPEND, PLATFORM_SPEND
 from .scope import failed_resolutions, is_delivered, not_delivered, partner_orders, partner_weekly
@@ -42,7 +42,7 @@ def orders_mart(ctx: KpiContext, grain: str) -> DataFrame:
 def orders_mart_plan(ctx: KpiContext, grain: str) -> DataFrame:
     """The unstaged plan of ``orders_mart``."""
     s, e = _order_window(ctx, grain)
-    f = partner_orders(ctx, date_between("order_date", s, e)).withColumn("period", period_key("order_date", grain))
+    f = partner_orders(ctx, ctx.wh.ordered_between(s, e)).withColumn("period", period_key("order_date", grain))
     return f.groupBy("period").agg(*order_measures(ctx.params.approx_distinct_rsd))
 
 
@@ -186,7 +186,7 @@ def campaigns(ctx: KpiContext, grain: str = MONTH) -> DataFrame:
 def failed_reasons(ctx: KpiContext, grain: str = MONTH) -> DataFrame:
     """Q09/Q10: resolution rows of the partner's non-delivered orders by reason and actor (rows, not orders)."""
     s, e = _order_window(ctx, grain)
-    rows = failed_resolutions(ctx, date_between("order_date", s, e))
+    rows = failed_resolutions(ctx, ctx.wh.ordered_between(s, e))
     return (
         rows.withColumn("period", period_key("order_date", grain))
         .groupBy("period", "reason", "actor_type")
@@ -236,7 +236,7 @@ def acceptance_current(ctx: KpiContext) -> DataFrame:
 def top_stores_last_month(ctx: KpiContext) -> DataFrame:
     """Q16: previous calendar month, stores (name, city) by merchant price, top N (TakeOrderedAndProject)."""
     p = ctx.params
-    f = partner_orders(ctx, is_delivered() & date_half_open("order_date", p.prev_month_start, p.prev_month_end_excl))
+    f = partner_orders(ctx, is_delivered() & ctx.wh.ordered_between(p.prev_month_start, p.data_end))
     return (
         f.groupBy("provider_name", "city_name")
         .agg(F.count(F.lit(1)).alias("orders"), F.sum("gross").cast("double").alias("merchant_price"))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..context import KpiContext
-from ..functions.calendar import date_between, month_key, ts_half_open
+from ..functions.calendar import month_key, ts_half_open
 from ..functions.measures import distinct_count, finish_pair, mart, round_half_up, safe_div, weighted_pair
 from .buckets import (
     bucketize,
@@ -153,7 +153,7 @@ class Scorecard:
 
     def _bench_business(self) -> DataFrame:
         p = self.ctx.params
-        f = peer_orders(self.ctx, is_delivered() & date_between("order_date", p.bench_start, p.bench_end))
+        f = peer_orders(self.ctx, is_delivered() & self.ctx.wh.ordered_between(p.bench_start, p.bench_end))
         return f.agg(*business_aggs(p.approx_distinct_rsd))
 
     @cached_property

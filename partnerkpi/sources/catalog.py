@@ -9,12 +9,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass
+from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.calendar import date_between
 from . import fixtures
-from .schema import SCHEMAS, assert_schema, conform
+from .schema import SCHEMAS, SchemaMismatch, assert_schema, conform
 
 TABLES = ("fact_order", "dim_provider", "provider_monthly", "provider_weekly", "resolution")
 
@@ -29,28 +31,45 @@ class Warehouse:
     provider_monthly: DataFrame
     provider_weekly: DataFrame
     resolution: DataFrame
+    #: Partition column of the fact: the order's month as the number yyyyMM; None where the fact has none.
+    month_column: str | None = None
+
+    def ordered_between(self, start: date, end: date) -> Column:
+        """Closed range of order dates, as a filter that the scan gets; with a month column its months too, which prune folders."""
+        days = date_between("order_date", start, end)
+        if self.month_column is None:
+            return days
+        month = F.col(self.month_column)
+        return (month >= start.year * 100 + start.month) & (month <= end.year * 100 + end.month) & days
 
     @classmethod
-    def from_frames(cls, *, columns: Columns | None = None, **frames: DataFrame) -> "Warehouse":
+    def from_frames(cls, *, columns: Columns | None = None, month_column: str | None = None, **frames: DataFrame) -> "Warehouse":
         bound = {}
         for name in TABLES:
             df = frames[name]
             names = (columns or {}).get(name, {})
             if names:
                 own = {f.name: names.get(f.name, f.name) for f in SCHEMAS[name].fields}
-                df = df.select(*[F.col(f"`{theirs}`").alias(ours) for ours, theirs in own.items() if theirs in df.columns])
+                extra = [month_column] if month_column and name == "fact_order" else []
+                df = df.select(*[F.col(f"`{theirs}`").alias(ours) for ours, theirs in own.items() if theirs in df.columns], *extra)
             bound[name] = conform(assert_schema(df, SCHEMAS[name], name), SCHEMAS[name])
-        return cls(**bound)
+        if month_column and month_column not in bound["fact_order"].columns:
+            raise SchemaMismatch(f"fact_order: missing month column {month_column}")
+        return cls(**bound, month_column=month_column)
 
     @classmethod
-    def from_paths(cls, spark: SparkSession, paths: Mapping[str, str], fmt: str = "parquet", columns: Columns | None = None) -> "Warehouse":
+    def from_paths(
+        cls, spark: SparkSession, paths: Mapping[str, str], fmt: str = "parquet", columns: Columns | None = None, month_column: str | None = None
+    ) -> "Warehouse":
         """Read the five inputs from storage."""
-        return cls.from_frames(columns=columns, **{n: spark.read.format(fmt).load(paths[n]) for n in TABLES})
+        return cls.from_frames(columns=columns, month_column=month_column, **{n: spark.read.format(fmt).load(paths[n]) for n in TABLES})
 
     @classmethod
-    def from_tables(cls, spark: SparkSession, names: Mapping[str, str], columns: Columns | None = None) -> "Warehouse":
+    def from_tables(
+        cls, spark: SparkSession, names: Mapping[str, str], columns: Columns | None = None, month_column: str | None = None
+    ) -> "Warehouse":
         """Read the five inputs from catalog tables, e.g. ``{'fact_order': 'reporting.orders', ...}``."""
-        return cls.from_frames(columns=columns, **{n: spark.table(names[n]) for n in TABLES})
+        return cls.from_frames(columns=columns, month_column=month_column, **{n: spark.table(names[n]) for n in TABLES})
 
 
 def fixture_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
@@ -67,6 +86,18 @@ def fixture_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     )
 
 
+#: Name of the partition column that ``write_fact_by_month`` adds.
+MONTH_COLUMN = "order_month"
+
+
+def write_fact_by_month(fact: DataFrame, path: str) -> DataFrame:
+    """Write an order fact in a folder per month, rows sorted by date within files; a hot month is split by AQE."""
+    month = F.year("order_date") * 100 + F.month("order_date")
+    rows = fact.withColumn(MONTH_COLUMN, month).hint("rebalance", MONTH_COLUMN).sortWithinPartitions(MONTH_COLUMN, "order_date")
+    rows.write.mode("errorifexists").partitionBy(MONTH_COLUMN).parquet(path)
+    return fact.sparkSession.read.parquet(path)
+
+
 def materialize_fixture(spark: SparkSession, sf_dir: str, root: str) -> Warehouse:
     """Write the derived inputs under ``root`` (shared storage, a folder of the caller's) and read them from there.
 

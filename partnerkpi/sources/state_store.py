@@ -12,6 +12,8 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterable
 from datetime import date, timedelta
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,7 +35,7 @@ def weeks_between(first: date, last: date) -> list[date]:
     return [start + timedelta(days=7 * k) for k in range((monday(last) - start).days // 7 + 1)]
 
 
-def inside(weeks: Iterable[date]) -> Column:
+def inside(weeks: Iterable[date], wh: Warehouse | None = None) -> Column:
     """Condition on ``order_date``: one closed range for each stretch of weeks, which reach the scan as pushed filters."""
     stretches: list[list[date]] = []
     for w in sorted(set(weeks)):
@@ -41,10 +43,8 @@ def inside(weeks: Iterable[date]) -> Column:
             stretches[-1][1] = w + timedelta(days=6)
         else:
             stretches.append([w, w + timedelta(days=6)])
-    cond = F.lit(False)
-    for k, (s, e) in enumerate(stretches):
-        cond = date_between("order_date", s, e) if k == 0 else cond | date_between("order_date", s, e)
-    return cond
+    ranges = [wh.ordered_between(s, e) if wh else date_between("order_date", s, e) for s, e in stretches]
+    return reduce(or_, ranges) if ranges else F.lit(False)
 
 
 class StateStore:
@@ -73,7 +73,7 @@ class StateStore:
             return []
         run_id = uuid.uuid4().hex
         kept = {n: s for n, s in sections.items() if n == "providers" or date.fromisoformat(n.split("/")[1]) not in todo}
-        for state, frame in state_frames(wh, inside(todo)).items():
+        for state, frame in state_frames(wh, inside(todo, wh)).items():
             path = f"runs/{run_id}/{state}"
             # the rows of a week are few for its orders; AQE sizes the files
             frame.withColumn("w", F.col("week").cast("string")).hint("rebalance", "w").write.partitionBy("w").parquet(f"{self.root}/{path}")
