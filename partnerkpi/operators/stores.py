@@ -3,7 +3,8 @@ severity tiers, worst stores, per-cell classes and per-bucket ranking.
 
 The per-store table has one row per (store name, city) of the partner. Medians use Spark's exact ``median``
 (``percentile(0.5)``), whose aggregation buffer holds value->count pairs: the store values are rounded to 2 dp, so the
-buffer is bounded by the value domain, not by the number of stores. The one-row median struct is attached to the
+buffer is bounded by the value domain, not by the number of stores; where ``orders`` has too many values for that,
+``distributed_medians`` selects them by slices (``medians.py``). The one-row median struct is attached to the
 store rows as a scalar subquery.
 """
 
@@ -16,6 +17,7 @@ from ..context import KpiContext
 from ..functions.calendar import ts_half_open
 from ..functions.measures import finish_pair, mart, round_half_up
 from .buckets import bucketize, city_bucket
+from .medians import exact_medians
 from .scope import partner_weekly
 from .scorecard import Scorecard, _sc, good_or_bad
 
@@ -112,7 +114,15 @@ def store_medians(ctx: KpiContext, stores: DataFrame | None = None) -> DataFrame
     """Q37: exact median of each store column over non-NULL values (mean of the middle two when even)."""
     if stores is None:
         return ctx.stage("st_medians", lambda: store_medians(ctx, store_bucketed(ctx)))
-    return stores.agg(*[mart(F.median(F.col(k).cast("double"))).alias(k) for k in STORE_KEYS])
+    return medians_of(ctx, stores)
+
+
+def medians_of(ctx: KpiContext, stores: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
+    """The medians of the store columns, by the run's way of taking medians."""
+    if ctx.params.distributed_medians:
+        return exact_medians(stores, STORE_KEYS, keys).select(*keys, *[mart(F.col(k)).alias(k) for k in STORE_KEYS])
+    exact = [mart(F.median(F.col(k).cast("double"))).alias(k) for k in STORE_KEYS]
+    return stores.groupBy(*keys).agg(*exact) if keys else stores.agg(*exact)
 
 
 def _with_medians(ctx: KpiContext, stores: DataFrame, medians: DataFrame | None = None) -> DataFrame:

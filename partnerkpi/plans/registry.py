@@ -55,6 +55,7 @@ SCORECARD: dict[str, QueryFn] = {
     "highlights": highlights.highlights,
     "store_bucketed": stores.store_bucketed,
     "store_medians": stores.store_medians,
+    "store_medians_distributed": lambda c: stores.store_medians(c.with_params(distributed_medians=True)),
     "store_flags": stores.store_flags,
     "worst_stores": stores.worst_stores,
     "store_severity": stores.store_severity,
@@ -69,6 +70,8 @@ ALL_PARTNERS: dict[str, QueryFn] = {
     for name in (*partners.PERIOD, *partners.PER_PARTNER, *partners.PER_COUNTRY)
 }
 
+ALL_PARTNERS["partners_store_medians_distributed"] = lambda c: partners.AllPartners(c.with_params(distributed_medians=True)).result("store_medians")
+
 #: The results for all partners that are folded from day states, as ``states_<name>``.
 FROM_STATES: dict[str, QueryFn] = {
     f"states_{name}": (lambda c, name=name: states.StatePartners(c, states.state_frames(c.wh)).result(name)) for name in states.FROM_STATES
