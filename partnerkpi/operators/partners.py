@@ -23,7 +23,7 @@ from ..sources.schema import MONTHLY_RATES
 from . import period_report as pr
 from . import stores as st
 from .highlights import highlight_rows
-from .scope import is_delivered, not_delivered
+from .scope import counted_failures, is_delivered, not_delivered
 from .scorecard import METRIC_KEYS, benchmark_values, business_aggs, good_or_bad, matrix_values, metric_def, summary_measures, verdict_columns
 
 COUNTRY, PARTNER = "country_code", "partner_group"
@@ -63,18 +63,19 @@ class AllPartners:
         p = self.p
         return {MONTH: inside(p.data_start, p.data_end), WEEK: inside(p.week_start, p.week_end)}
 
-    def _period_orders(self, where: Column | None = None) -> tuple[DataFrame, Column]:
-        """Order rows of both windows, and the (grain, period) structs that deal them out."""
+    def _span(self) -> Column:
+        """Order dates of either window."""
         p = self.p
-        span = self.ctx.wh.ordered_between(min(p.data_start, p.week_start), max(p.data_end, p.week_end))
-        rows = self._orders(span if where is None else span & where)
-        return rows, _either(self._grains(lambda s, e: date_between("order_date", s, e)), {MONTH: month_key("order_date"), WEEK: week_key("order_date")})
+        return self.ctx.wh.ordered_between(min(p.data_start, p.week_start), max(p.data_end, p.week_end))
+
+    def _period_of(self) -> Column:
+        """The (grain, period) structs that deal an order row out to both windows."""
+        return _either(self._grains(lambda s, e: date_between("order_date", s, e)), {MONTH: month_key("order_date"), WEEK: week_key("order_date")})
 
     @cached_property
     def orders_mart(self) -> DataFrame:
         def build() -> DataFrame:
-            rows, g = self._period_orders()
-            return rows.withColumn("g", g).groupBy(*KEYS, "g.grain", "g.period").agg(*pr.order_measures(self.p.approx_distinct_rsd))
+            return self._orders(self._span()).withColumn("g", self._period_of()).groupBy(*KEYS, "g.grain", "g.period").agg(*pr.order_measures(self.p.approx_distinct_rsd))
 
         return self.ctx.stage("ap_orders", build)
 
@@ -122,10 +123,13 @@ class AllPartners:
 
     def failed_reasons(self) -> DataFrame:
         """Q09/Q10 of every partner: resolution rows of non-delivered orders by reason and actor."""
-        rows, g = self._period_orders(not_delivered())
-        orders = rows.select("order_id", "order_date", *KEYS)
-        joined = self.ctx.wh.resolution.join(orders, "order_id").select("order_date", "reason", "actor_type", *KEYS)
-        return joined.withColumn("g", g).groupBy(*KEYS, "g.grain", "g.period", "reason", "actor_type").agg(F.count(F.lit(1)).alias("cnt"))
+        g = self._period_of()
+        if self.ctx.wh.bucketed:
+            counted = counted_failures(self.ctx, self._span()).join(self.providers, "provider_id")
+        else:
+            orders = self._orders(not_delivered() & self._span()).select("order_id", "order_date", *KEYS)
+            counted = self.ctx.wh.resolution.join(orders, "order_id").select("order_date", "reason", "actor_type", F.lit(1).alias("n"), *KEYS)
+        return counted.withColumn("g", g).groupBy(*KEYS, "g.grain", "g.period", "reason", "actor_type").agg(F.sum("n").alias("cnt"))
 
     def acceptance_current(self) -> DataFrame:
         """Q13 of every partner; a partner without rows has one row of NULLs."""
@@ -366,8 +370,7 @@ class AllPartners:
     @cached_property
     def medians(self) -> DataFrame:
         """Q37 of every partner that has stores."""
-        exact = [mart(F.median(F.col(k).cast("double"))).alias(k) for k in st.STORE_KEYS]
-        return self.ctx.stage("ap_medians", lambda: self.store_bucketed.groupBy(*KEYS).agg(*exact))
+        return self.ctx.stage("ap_medians", lambda: st.medians_of(self.ctx, self.store_bucketed, KEYS))
 
     @cached_property
     def _scored(self) -> DataFrame:

@@ -190,7 +190,7 @@ def failed_reasons(ctx: KpiContext, grain: str = MONTH) -> DataFrame:
     return (
         rows.withColumn("period", period_key("order_date", grain))
         .groupBy("period", "reason", "actor_type")
-        .agg(F.count(F.lit(1)).alias("cnt"))
+        .agg(F.sum("n").alias("cnt"))
         .orderBy("period", F.desc("cnt"), "reason", "actor_type")
     )
 

@@ -62,10 +62,25 @@ def peer_metrics(ctx: KpiContext, table: DataFrame, where: Column | None = None)
 
 
 def failed_resolutions(ctx: KpiContext, where: Column) -> DataFrame:
-    """Resolution rows of the partner's non-delivered orders in a date range, with the order date.
+    """Resolution rows of the partner's non-delivered orders in a date range, counted by date, reason and actor.
 
-    The order side is pruned to its date range and two columns first; beyond the size that AQE broadcasts, the join
-    shuffles on the order key and splits skewed keys.
+    The order side is pruned to its date range and a few columns first; beyond the size that AQE broadcasts, the join
+    shuffles on the order key and splits skewed keys. On bucketed tables it needs no exchange, see ``counted_failures``.
     """
+    if ctx.wh.bucketed:
+        return counted_failures(ctx, where).join(partner_providers(ctx), "provider_id").select("order_date", "reason", "actor_type", "n")
     orders = partner_orders(ctx, not_delivered() & where).select("order_id", "order_date")
-    return ctx.wh.resolution.join(orders, "order_id").select("order_date", "reason", "actor_type")
+    return ctx.wh.resolution.join(orders, "order_id").select("order_date", "reason", "actor_type", F.lit(1).alias("n"))
+
+
+def counted_failures(ctx: KpiContext, where: Column) -> DataFrame:
+    """Resolutions of non-delivered orders in a date range by provider, date, reason and actor (count ``n``), bucket by bucket.
+
+    Fact and resolutions lie in the same buckets by order id, so each task merges one bucket of both. The resolutions of an
+    order are counted by reason and actor first (within the bucket too): an order with very many is a few rows in the
+    join. Providers are joined after the counts, when few rows are left to move.
+    """
+    orders = ctx.wh.fact_order.where(not_delivered() & where).select("order_id", "order_date", "provider_id")
+    reasons = ctx.wh.resolution.groupBy("order_id", "reason", "actor_type").agg(F.count(F.lit(1)).alias("n"))
+    failed = orders.hint("merge").join(reasons, "order_id")
+    return failed.groupBy("provider_id", "order_date", "reason", "actor_type").agg(F.sum("n").alias("n"))

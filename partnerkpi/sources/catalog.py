@@ -8,7 +8,7 @@ them for a caller that reads them many times, to a folder the caller owns.
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,6 +33,8 @@ class Warehouse:
     resolution: DataFrame
     #: Partition column of the fact: the order's month as the number yyyyMM; None where the fact has none.
     month_column: str | None = None
+    #: Fact and resolutions are tables in the same number of buckets by order id (``write_bucketed``).
+    bucketed: bool = False
 
     def ordered_between(self, start: date, end: date) -> Column:
         """Closed range of order dates, as a filter that the scan gets; with a month column its months too, which prune folders."""
@@ -57,6 +59,11 @@ class Warehouse:
             raise SchemaMismatch(f"fact_order: missing month column {month_column}")
         return cls(**bound, month_column=month_column)
 
+    def with_bucketed(self, fact_order: DataFrame, resolution: DataFrame) -> "Warehouse":
+        """The same inputs with the fact and the resolutions read from the tables of ``write_bucketed``."""
+        frames = {name: getattr(self, name) for name in TABLES} | {"fact_order": fact_order, "resolution": resolution}
+        return replace(self.from_frames(month_column=self.month_column, **frames), bucketed=True)
+
     @classmethod
     def from_paths(
         cls, spark: SparkSession, paths: Mapping[str, str], fmt: str = "parquet", columns: Columns | None = None, month_column: str | None = None
@@ -98,6 +105,28 @@ def write_fact_by_month(fact: DataFrame, path: str) -> DataFrame:
     return fact.sparkSession.read.parquet(path)
 
 
+def write_bucketed(wh: Warehouse, buckets: int, names: tuple[str, str], path: str | None = None, month: bool = False) -> Warehouse:
+    """Write the fact and the resolutions as catalog tables in ``buckets`` buckets by order id, and read them from there.
+
+    Rows are exchanged once, here, into the tasks that write the buckets, one file each (one for each month with
+    ``month``, which keeps the folders by month); joins on the order id then need no exchange on either side. ``buckets``
+    should make a bucket of the fact some hundred megabytes. ``path``: a folder for the tables' files, else the warehouse.
+    """
+    spark = wh.fact_order.sparkSession
+    for df, name in ((wh.fact_order, names[0]), (wh.resolution, names[1])):
+        by_month = month and name == names[0]
+        if by_month:
+            df = df.withColumn(MONTH_COLUMN, F.year("order_date") * 100 + F.month("order_date"))
+        out = df.repartition(buckets, "order_id").write.mode("errorifexists").format("parquet").bucketBy(buckets, "order_id").sortBy("order_id")
+        if by_month:
+            out = out.partitionBy(MONTH_COLUMN)
+        if path:
+            out = out.option("path", f"{path.rstrip('/')}/{name}")
+        out.saveAsTable(name)
+    bound = replace(wh, month_column=MONTH_COLUMN) if month else wh
+    return bound.with_bucketed(spark.table(names[0]), spark.table(names[1]))
+
+
 def materialize_fixture(spark: SparkSession, sf_dir: str, root: str) -> Warehouse:
     """Write the derived inputs under ``root`` (shared storage, a folder of the caller's) and read them from there.
 

@@ -59,19 +59,22 @@ def test_every_registered_plan(raw_ctx, name):
             assert not any(n.startswith("Exchange") for n in below), (name, path)
 
 
-def paths_up(df, table: str) -> list[list[str]]:
-    """Node names from each scan of a table up to the root."""
+def paths_up(df, table: str, exchanges: bool = False) -> list[list[str]]:
+    """Node names from each scan of a table up to the root; with ``exchanges`` in the plan that AQE starts from."""
     out: list[list[str]] = []
 
     def walk(node, above):
         name = str(node.nodeName())
-        if "Scan parquet" in name and f"/{table}]" in str(node.verboseStringWithOperatorId()):
+        if "Scan parquet" in name and re.search(rf"/{table}\]|\.{table}\b", f"{name}\n{node.verboseStringWithOperatorId()}"):
             out.append(above)
         kids = node.children()
         for i in range(kids.size()):
             walk(kids.apply(i), [name, *above])
 
     plan = df._jdf.queryExecution().sparkPlan()
+    if exchanges:
+        plan = df._jdf.queryExecution().executedPlan()
+        plan = plan.initialPlan() if str(plan.nodeName()) == "AdaptiveSparkPlan" else plan
     walk(plan, [])
     return out
 
