@@ -45,6 +45,7 @@ def _parser() -> argparse.ArgumentParser:
     ap.add_argument("--master", help="Spark master, e.g. local[8], yarn or spark://host:port; omit under spark-submit")
     ap.add_argument("--bundle", action="store_true",
                     help="write a run folder and commit its manifest last, so that readers never see a mixed result")
+    ap.add_argument("--observe", action="store_true", help="bundles: add a section with the bad input rows that the run met")
     ap.add_argument("--by-partner", action="store_true",
                     help="partition every section by country and partner group (several partners, one output root)")
     for f in dataclasses.fields(ReportParams):  # every parameter of the run is an option
@@ -88,7 +89,7 @@ def main(argv: list[str] | None = None) -> None:
         wh = Warehouse.from_paths(spark, {t: f"{a.tables.rstrip('/')}/{t}" for t in TABLES}, columns=_json(a.columns), month_column=a.month_column)
     ctx = KpiContext(spark, wh, params)
     if a.bundle or a.report == "partners":
-        print(json.dumps({"run_id": publish(ctx, a.out, a.report, a.format), "scope": report_scope(ctx, a.report)}))
+        print(json.dumps({"run_id": publish(ctx, a.out, a.report, a.format, a.observe), "scope": report_scope(ctx, a.report)}))
         return
     write = write_period_report if a.report == "period" else write_scorecard
     print(json.dumps(write(ctx, a.out, a.format, by_partner=a.by_partner, mode=a.mode), indent=1))

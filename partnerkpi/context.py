@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
+from .operators.input_quality import InputWatch
 from .params import ReportParams
 from .sources.catalog import Warehouse
 
@@ -25,10 +26,15 @@ class KpiContext:
     wh: Warehouse
     params: ReportParams
     staging: bool = False
+    #: Counts bad rows in the run's own reading (``operators.input_quality.InputWatch``), None: not counted.
+    inputs: InputWatch | None = None
     _stages: dict[str, DataFrame] = field(default_factory=dict, repr=False)
 
     def with_params(self, **kw) -> "KpiContext":
-        return KpiContext(self.spark, self.wh, self.params.with_(**kw), self.staging)
+        return KpiContext(self.spark, self.wh, self.params.with_(**kw), self.staging, self.inputs)
+
+    def watched(self, part: str, rows: DataFrame) -> DataFrame:
+        return self.inputs.watch(part, rows) if self.inputs else rows
 
     def stage(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         """``build()``, or in a staging run one persisted copy of it for all uses."""

@@ -75,7 +75,8 @@ class AllPartners:
     @cached_property
     def orders_mart(self) -> DataFrame:
         def build() -> DataFrame:
-            return self._orders(self._span()).withColumn("g", self._period_of()).groupBy(*KEYS, "g.grain", "g.period").agg(*pr.order_measures(self.p.approx_distinct_rsd))
+            rows = self.ctx.watched("fact_order/both grains", self.ctx.wh.fact_order.where(self._span())).join(self.providers, "provider_id")
+            return rows.withColumn("g", self._period_of()).groupBy(*KEYS, "g.grain", "g.period").agg(*pr.order_measures(self.p.approx_distinct_rsd))
 
         return self.ctx.stage("ap_orders", build)
 
@@ -84,7 +85,7 @@ class AllPartners:
         def build() -> DataFrame:
             p = self.p
             span = ts_between("ts", min(p.data_start, p.week_start), max(p.data_end, p.week_end))
-            rows = self.ctx.wh.provider_weekly.where(span).join(self.providers, "provider_id")
+            rows = self.ctx.watched("provider_weekly/both grains", self.ctx.wh.provider_weekly.where(span)).join(self.providers, "provider_id")
             g = _either(self._grains(lambda s, e: ts_between("ts", s, e)), {MONTH: month_key("ts"), WEEK: stamp_key("ts")})
             return rows.withColumn("g", g).groupBy(*KEYS, "g.grain", "g.period").agg(*pr.weekly_pairs())
 

@@ -42,7 +42,7 @@ def orders_mart(ctx: KpiContext, grain: str) -> DataFrame:
 def orders_mart_plan(ctx: KpiContext, grain: str) -> DataFrame:
     """The unstaged plan of ``orders_mart``."""
     s, e = _order_window(ctx, grain)
-    f = partner_orders(ctx, ctx.wh.ordered_between(s, e)).withColumn("period", period_key("order_date", grain))
+    f = partner_orders(ctx, ctx.wh.ordered_between(s, e), part=grain).withColumn("period", period_key("order_date", grain))
     return f.groupBy("period").agg(*order_measures(ctx.params.approx_distinct_rsd))
 
 
@@ -96,9 +96,9 @@ def weekly_mart(ctx: KpiContext, grain: str) -> DataFrame:
     def build() -> DataFrame:
         p = ctx.params
         if grain == MONTH:
-            rows = partner_weekly(ctx, ts_between("ts", p.data_start, p.data_end)).withColumn("period", month_key("ts"))
+            rows = partner_weekly(ctx, ts_between("ts", p.data_start, p.data_end), part=grain).withColumn("period", month_key("ts"))
         elif grain == WEEK:
-            rows = partner_weekly(ctx, ts_between("ts", p.week_start, p.week_end)).withColumn("period", stamp_key("ts"))
+            rows = partner_weekly(ctx, ts_between("ts", p.week_start, p.week_end), part=grain).withColumn("period", stamp_key("ts"))
         else:
             raise ValueError(grain)
         return rows.groupBy("period").agg(*weekly_pairs())

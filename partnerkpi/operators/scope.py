@@ -40,8 +40,10 @@ def peer_providers(ctx: KpiContext) -> DataFrame:
     return ctx.wh.dim_provider.where(cond).select("provider_id")
 
 
-def partner_orders(ctx: KpiContext, where: Column | None = None) -> DataFrame:
+def partner_orders(ctx: KpiContext, where: Column | None = None, part: str | None = None) -> DataFrame:
+    """The partner's order rows; with ``part`` the run's input counts see all rows of ``where`` under that name."""
     f = ctx.wh.fact_order if where is None else ctx.wh.fact_order.where(where)
+    f = ctx.watched(f"fact_order/{part}", f) if part else f
     return f.join(partner_providers(ctx), "provider_id")
 
 
@@ -50,9 +52,10 @@ def peer_orders(ctx: KpiContext, where: Column | None = None) -> DataFrame:
     return f.join(peer_providers(ctx), "provider_id")
 
 
-def partner_weekly(ctx: KpiContext, where: Column | None = None) -> DataFrame:
+def partner_weekly(ctx: KpiContext, where: Column | None = None, part: str | None = None) -> DataFrame:
     """The partner's weekly metric rows."""
     t = ctx.wh.provider_weekly if where is None else ctx.wh.provider_weekly.where(where)
+    t = ctx.watched(f"provider_weekly/{part}", t) if part else t
     return t.join(partner_providers(ctx), "provider_id")
 
 

@@ -512,6 +512,28 @@ SELECT bucket_ord, bucket, COUNT(*) AS stores FROM sb JOIN buckets USING (bucket
     return q
 
 
+def build_input_quality() -> str:
+    """Counts of rows of the inputs that a report leaves out or counts twice."""
+
+    def counts(table: str, checks: dict[str, str]) -> list[str]:
+        return [f"SELECT '{table}' AS input, '{c}' AS measure, COUNT(CASE WHEN {cond} THEN 1 END) AS n FROM {table}" for c, cond in checks.items()]
+
+    def rates(names: list[str]) -> dict[str, str]:
+        return {"rows": "true"} | {f"{r}_without_weight": f"{r}_value IS NOT NULL AND COALESCE({r}_weight, 0) <= 0" for r in names}
+
+    parts = counts("fact_order", {
+        "rows": "true", "null_state": "order_state IS NULL", "null_provider": "provider_id IS NULL", "null_user": "user_id IS NULL",
+        "null_gross": "gross IS NULL", "negative_gross": "gross < 0",
+        "unknown_provider": "provider_id NOT IN (SELECT provider_id FROM dim_provider)",
+    })
+    parts += counts("provider_weekly", rates(["adjustment", "replacement", "acceptance", "rating", "active"]))
+    parts += counts("provider_monthly", rates(_RATES))
+    parts += counts("resolution", {"unknown_order": "NOT EXISTS (SELECT 1 FROM fact_order f WHERE f.order_id = resolution.order_id)"})
+    for table, key, check in (("fact_order", "order_id", "repeated_order"), ("dim_provider", "provider_id", "repeated_provider")):
+        parts.append(f"SELECT '{table}' AS input, '{check}' AS measure, COUNT({key}) - COUNT(DISTINCT {key}) AS n FROM {table}")
+    return f"WITH {MAPPING}\nSELECT input, measure, n FROM (" + "\nUNION ALL\n".join(parts) + ") ORDER BY input, measure"
+
+
 #: The partners of the test mapping: two groups in each of two countries.
 TEST_PARTNERS = [(c, g) for c in ("xa", "xb") for g in ("P0", "P1")]
 _BOTH_GRAINS = ("financial", "operational", "replacement_adjustment", "failed_orders", "failed_reasons", "campaigns", "acceptance")
@@ -543,4 +565,4 @@ def build_all_partners(p: ReportParams = FIXTURE_PARAMS) -> dict[str, str]:
     return {f"partners_{name}": sql for name, sql in joined.items()} | {f"states_{name}": joined[name] for name in _FROM_STATES}
 
 
-ORACLE_SQL = {**build(), **build_all_partners()}
+ORACLE_SQL = {**build(), **build_all_partners(), "input_quality": build_input_quality()}

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..context import KpiContext
 from ..functions.calendar import MONTH, WEEK
 from ..operators import buckets, highlights, partners, period_report, scorecard, states, stores
+from ..operators.input_quality import input_quality
 from ..params import FIXTURE_PARAMS, ReportParams
 from ..sources.catalog import fixture_warehouse
 
@@ -77,7 +78,7 @@ FROM_STATES: dict[str, QueryFn] = {
     f"states_{name}": (lambda c, name=name: states.StatePartners(c, states.state_frames(c.wh)).result(name)) for name in states.FROM_STATES
 }
 
-QUERIES: dict[str, QueryFn] = {**PERIOD_REPORT, **SCORECARD, **ALL_PARTNERS, **FROM_STATES}
+QUERIES: dict[str, QueryFn] = {**PERIOD_REPORT, **SCORECARD, **ALL_PARTNERS, **FROM_STATES, "input_quality": input_quality}
 
 
 def context_for(spark: SparkSession, sf_dir: str, params: ReportParams = FIXTURE_PARAMS) -> KpiContext:

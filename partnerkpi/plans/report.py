@@ -13,6 +13,7 @@ from ..context import KpiContext
 from ..functions.calendar import MONTH, WEEK
 from ..operators import highlights, partners, period_report, scorecard, stores
 from ..operators.buckets import city_bucket
+from ..operators.input_quality import InputWatch
 from ..sources.bundle import write_bundle
 from ..sources.sinks import nested_metrics, write_sections
 
@@ -133,10 +134,15 @@ def report_scope(ctx: KpiContext, report: str) -> str:
     return report if report == "partners" else f"{report}/{ctx.params.country}/{ctx.params.partner_group}"
 
 
-def publish(ctx: KpiContext, root: str, report: str, fmt: str = "parquet") -> str:
+def publish(ctx: KpiContext, root: str, report: str, fmt: str = "parquet", observe: bool = False) -> str:
     """Write a report as a bundle that readers see as a whole once its manifest is there; returns the run id.
 
-    The ``partners`` report is partitioned by country and partner group.
+    The ``partners`` report is partitioned by country and partner group. With ``observe`` the bundle ends with the
+    section ``input_quality``: what the run's own reading of the inputs met (the scorecard watches nothing: no rows).
     """
-    with KpiContext(ctx.spark, ctx.wh, ctx.params, staging=True) as run:
-        return write_bundle(ctx.spark, REPORTS[report](run), root, report_scope(ctx, report), fmt, partners.KEYS)
+    watch = InputWatch() if observe else None
+    with KpiContext(ctx.spark, ctx.wh, ctx.params, staging=True, inputs=watch) as run:
+        sections = REPORTS[report](run)
+        if watch:
+            sections = {**sections, "input_quality": lambda: watch.result(ctx.spark)}
+        return write_bundle(ctx.spark, sections, root, report_scope(ctx, report), fmt, partners.KEYS)

@@ -8,16 +8,18 @@ their scope. A driver lost at any point leaves the folder of an unnamed run behi
 
 from __future__ import annotations
 
+import json
 import uuid
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 from pyspark.sql.utils import AnalysisException
 
 from .sinks import to_mart
 
-_MANIFEST = "scope string, seq long, run_id string, committed_at string, sections array<struct<name:string,path:string,format:string>>"
+_MANIFEST = "scope string, seq long, run_id string, committed_at string, sections array<struct<name:string,path:string,format:string,schema:string>>"
 
 
 class NoBundle(LookupError):
@@ -39,34 +41,36 @@ def _newest(spark: SparkSession, root: str, scope: str):
 
 
 def write_bundle(
-    spark: SparkSession, sections: Mapping[str, DataFrame], root: str, scope: str, fmt: str = "parquet", partition_by: tuple[str, ...] = ()
+    spark: SparkSession, sections: Mapping[str, DataFrame | Callable[[], DataFrame]], root: str, scope: str, fmt: str = "parquet", partition_by: tuple[str, ...] = ()
 ) -> str:
     """Write all sections of a run, then its manifest; returns the run id. Sections that have the columns of
-    ``partition_by`` are partitioned by them. Two runs of one scope at a time are both kept; the later commit is read."""
+    ``partition_by`` are partitioned by them; a callable is called when its turn comes. Two runs of one scope at a time are both kept; the later commit is read."""
     run_id, root = uuid.uuid4().hex, root.rstrip("/")
     written = []
     for name, df in sections.items():
         path = f"runs/{run_id}/{name}"
-        out = to_mart(df).write.mode("errorifexists").format(fmt)
+        df = df() if callable(df) else df
+        df = to_mart(df)
+        out = df.write.mode("errorifexists").format(fmt)
         keys = [k for k in partition_by if k in df.columns]
         (out.partitionBy(*keys) if keys else out).save(f"{root}/{path}")
-        written.append((name, path, fmt))
+        written.append((name, path, fmt, df.schema.json()))  # a partitioned section without rows has no file that tells
     commit(spark, root, scope, run_id, written)
     return run_id
 
 
-def commit(spark: SparkSession, root: str, scope: str, run_id: str, sections: list[tuple[str, str, str]]) -> None:
-    """Make (name, path, format) the scope's newest sections, in one step."""
+def commit(spark: SparkSession, root: str, scope: str, run_id: str, sections: list[tuple]) -> None:
+    """Make (name, path, format), with or without a schema as JSON, the scope's newest sections, in one step."""
     last = _newest(spark, root, scope)
-    row = [(scope, (last[0]["seq"] if last else 0) + 1, run_id, sections)]
-    manifest = spark.createDataFrame(row, "scope string, seq long, run_id string, sections array<struct<name:string,path:string,format:string>>")
+    row = [(scope, (last[0]["seq"] if last else 0) + 1, run_id, [(*s, None)[:4] for s in sections])]
+    manifest = spark.createDataFrame(row, "scope string, seq long, run_id string, sections array<struct<name:string,path:string,format:string,schema:string>>")
     manifest.withColumn("committed_at", F.current_timestamp().cast("string")).coalesce(1).write.mode("errorifexists").json(f"{root.rstrip('/')}/manifests/{run_id}")
 
 
 def committed(spark: SparkSession, root: str, scope: str) -> list[tuple[str, str, str]]:
     """(name, path, format) of the newest sections of a scope; none before its first commit."""
     last = _newest(spark, root, scope)
-    return [tuple(s) for s in last[0]["sections"]] if last else []
+    return [tuple(s)[:3] for s in last[0]["sections"]] if last else []
 
 
 def read_bundle(spark: SparkSession, root: str, scope: str) -> dict[str, DataFrame]:
@@ -74,7 +78,13 @@ def read_bundle(spark: SparkSession, root: str, scope: str) -> dict[str, DataFra
     last = _newest(spark, root, scope)
     if not last:
         raise NoBundle(f"no bundle of {scope!r} below {root}")
-    return {s["name"]: spark.read.format(s["format"]).load(f"{root.rstrip('/')}/{s['path']}") for s in last[0]["sections"]}
+
+    def read(s) -> DataFrame:
+        reader = spark.read.format(s["format"])
+        reader = reader.schema(StructType.fromJson(json.loads(s["schema"]))) if s["schema"] else reader
+        return reader.load(f"{root.rstrip('/')}/{s['path']}")
+
+    return {s["name"]: read(s) for s in last[0]["sections"]}
 
 
 def expire(spark: SparkSession, root: str, keep: int = 2, unnamed: bool = False) -> list[str]:

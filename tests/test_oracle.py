@@ -34,7 +34,7 @@ def _key(row):
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
-    assert len(QUERIES) == 43 + 33 + 11 + 2
+    assert len(QUERIES) == 43 + 33 + 11 + 3
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
@@ -73,7 +73,7 @@ def test_all_queries_match_the_oracle_under_other_parameters(spark, duck, tmp_pa
     with pytest.raises(ValueError, match="one by one"):
         FNS["partners_financial"](ctx)  # other peers for each partner
     shared = p.with_(peers_exclude_partner=False)
-    sql = build(p) | build_all_partners(shared)
+    sql = build(p) | build_all_partners(shared) | {"input_quality": ORACLE["input_quality"]}
     every = KpiContext(spark, ctx.wh, shared, staging=True)
     for name, fn in FNS.items():
         sdf = fn(every if name.startswith(("partners_", "states_")) else ctx)
