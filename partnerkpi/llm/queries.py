@@ -113,12 +113,12 @@ def op8_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = token_rollup.TokenRollup(spark, scratch_dir(spark))
     store.commit("words", token_rollup.deltas(docs, "words-1", "insert", words))
     store.commit("pieces", token_rollup.deltas(docs, "pieces-1", "insert", pieces))
-    base = store.compact("first", ["words", "pieces"])
+    store.compact()
     gone = token_rollup.deltas(bad, "words-1", "delete", words).unionAll(token_rollup.deltas(bad, "pieces-1", "delete", pieces))
     store.commit("bad-quality", gone)
     store.commit("bad-quality", gone)  # sent again: no effect
     store.commit("recount", token_rollup.revision(toxic, "pieces-1", "pieces-2", pieces, F.col("recount")))
-    return store.totals(["words", "pieces", "bad-quality", "recount"], base)
+    return store.totals()
 
 
 def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

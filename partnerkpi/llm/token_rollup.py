@@ -5,10 +5,10 @@ signed deltas: an insert adds a document's tokens, a delete takes them away, a r
 in). A batch is summed to one row per group before it is written, so the store's size follows groups and batches, not
 documents; the hot source is pre-aggregated map-side.
 
-Commits are idempotent: a batch lives in the folder of its id and is written by overwrite, so a batch that is sent again,
-or resumed after a lost driver, replaces itself; Spark's committer shows a batch's files only when its job has ended.
-``totals`` sums all batches; ``compact`` folds chosen batches into a base that names them, and a folded batch that arrives
-again is ignored.
+Commits are idempotent: rows are written to a folder of their own, and a log entry that names batch and folder makes them
+count. A batch that is sent again is left as it was committed; one whose driver was lost halfway was never committed.
+``totals`` sums the newest base and the batches that it does not hold; ``compact`` folds all batches into a new base, whose
+log entry names them, so that a folded batch that arrives again is ignored, also by a client that was not there before.
 
 Defined results: null sources and languages are groups of their own; null texts count no tokens but one document; a null
 or unknown operation is an error; groups whose documents sum to zero leave the totals; deltas in any order give the
@@ -17,8 +17,9 @@ same totals; an empty batch is a batch without rows; extra columns are ignored.
 
 from __future__ import annotations
 
-from functools import reduce
+import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,31 +62,77 @@ def counted(docs: DataFrame, versions: dict[str, str], text: str = "text") -> Da
 
 
 class TokenRollup:
-    """The store: ``batches/<id>`` and ``base/<n>`` folders below ``path``."""
+    """The store below ``path``: attempts of batches and bases in folders of their own, and what counts in ``log``.
+
+    A log entry is one small JSON file, moved to its name in one step when it is whole. It names the folder of a batch, or
+    of a base and all batches that the base holds. A new client of the path therefore knows what is folded; nothing has to
+    be remembered by the caller.
+    """
+
+    _LOG = "kind string, id string, seq long, folder string, holds array<string>"
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
 
-    def commit(self, batch_id: str, changes: DataFrame) -> None:
-        """Write a batch of delta rows; the same id again replaces it."""
+    def _log(self) -> list:
+        """The log entries, one a batch and one a base: bounded by commits, not by documents.
+
+        Where two writers committed the same batch or base at a time, all readers take the same one of the two.
+        """
+        try:
+            rows = self.spark.read.schema(self._LOG).json(f"{self.path}/log/*").collect()
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return []
+        return list({(r["kind"], r["id"], r["seq"]): r for r in sorted(rows, key=lambda r: r["folder"])}.values())
+
+    def _commit(self, kind: str, batch_id: str | None, seq: int | None, folder: str, holds: list[str]) -> None:
+        entry = self.spark.createDataFrame([(kind, batch_id, seq, folder, holds)], self._LOG)
+        entry.coalesce(1).write.mode("errorifexists").json(f"{self.path}/log/{uuid.uuid4().hex}")
+
+    def _write(self, rows: DataFrame) -> str:
+        """Rows into a folder of their own; one that the log never names is left by a lost driver."""
+        folder = f"attempts/{uuid.uuid4().hex}"
+        rows.write.mode("errorifexists").parquet(f"{self.path}/{folder}")
+        return folder
+
+    def commit(self, batch_id: str, changes: DataFrame) -> bool:
+        """Add a batch of delta rows; False if a batch of this id is committed already (it is then left as it is).
+
+        A driver lost before the log entry leaves no trace in the totals, and the batch can be sent again.
+        """
+        if any(r["kind"] == "batch" and r["id"] == batch_id for r in self._log()):
+            return False
         summed = changes.groupBy(*KEYS).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
-        summed.write.mode("overwrite").parquet(f"{self.path}/batches/{batch_id}")
+        self._commit("batch", batch_id, None, self._write(summed), [batch_id])
+        return True
+
+    def batches(self) -> list[str]:
+        """Ids of the committed batches."""
+        return sorted(r["id"] for r in self._log() if r["kind"] == "batch")
 
-    def read(self, batch_id: str) -> DataFrame:
-        return self.spark.read.schema(_SCHEMA).parquet(f"{self.path}/batches/{batch_id}")
+    def _parts(self) -> list:
+        """The log entries that make the totals: the newest base, and the batches that it does not hold."""
+        log = self._log()
+        bases = sorted((r for r in log if r["kind"] == "base"), key=lambda r: r["seq"])[-1:]
+        folded = set(bases[0]["holds"]) if bases else set()
+        return bases + [r for r in log if r["kind"] == "batch" and r["id"] not in folded]
 
-    def totals(self, batch_ids: list[str], base: tuple[str, list[str]] | None = None) -> DataFrame:
-        """Totals over the given batches (each counted once), on top of a base that replaces those it names."""
-        folded = set(base[1]) if base else set()
-        parts = [self.read(b) for b in dict.fromkeys(batch_ids) if b not in folded]
-        if base:
-            parts.append(self.spark.read.schema(_SCHEMA).parquet(f"{self.path}/base/{base[0]}"))
+    def totals(self) -> DataFrame:
+        """Totals over all committed batches, each counted once."""
+        return self._sum(self._parts()).where("n_docs <> 0")
+
+    def _sum(self, parts: list) -> DataFrame:
         if not parts:
             return self.spark.createDataFrame([], _SCHEMA)
-        rows = reduce(DataFrame.unionAll, parts)
-        return rows.groupBy(*KEYS).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens")).where("n_docs <> 0")
-
-    def compact(self, name: str, batch_ids: list[str], base: tuple[str, list[str]] | None = None) -> tuple[str, list[str]]:
-        """Fold batches into a new base (under a new name); returns what ``totals`` takes as ``base``."""
-        self.totals(batch_ids, base).write.mode("overwrite").parquet(f"{self.path}/base/{name}")
-        return name, sorted({*batch_ids, *(base[1] if base else [])})
+        rows = self.spark.read.schema(_SCHEMA).parquet(*[f"{self.path}/{r['folder']}" for r in parts])
+        return rows.groupBy(*KEYS).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens")).where("n_docs <> 0 OR n_tokens <> 0")
+
+    def compact(self) -> int:
+        """Fold everything committed so far into a new base; returns its number. A batch that is committed meanwhile stays a batch."""
+        parts = self._parts()
+        seq = 1 + max((r["seq"] for r in parts if r["kind"] == "base"), default=0)
+        holds = sorted({b for r in parts for b in r["holds"]})
+        self._commit("base", None, seq, self._write(self._sum(parts)), holds)
+        return seq

@@ -360,28 +360,59 @@ def test_lm_empty_table(spark, empty):
 # ---------------------------------------------------------------- 8 token counts
 
 
-def test_rollup_is_idempotent_and_additive(spark, edge, empty):
-    store = token_rollup.TokenRollup(spark, scratch_dir(spark))
-    ins = token_rollup.deltas(edge, "words-1", "insert")
-    store.commit("a", ins)
-    store.commit("a", ins)
-    out = token_rollup.deltas(edge.where("source = 's'"), "words-1", "delete")
-    store.commit("b", out)
-    store.commit("c", token_rollup.revision(edge.where("source = 't'"), "words-1", "pieces-1"))
-    store.commit("none", token_rollup.deltas(empty, "words-1", "insert"))
+def rollup_rows(df):
+    return {(r["source"], r["lang"], r["version"]): (r["n_docs"], r["n_tokens"]) for r in df.collect()}
 
-    def rows(df):
-        return {(r["source"], r["lang"], r["version"]): (r["n_docs"], r["n_tokens"]) for r in df.collect()}
 
-    want = rows(store.totals(["c", "b", "a", "a", "none"]))
+def test_rollup_is_idempotent_and_additive(spark, edge, empty):
+    path = scratch_dir(spark)
+    store = token_rollup.TokenRollup(spark, path)
+    assert store.totals().count() == 0
+    batches = {
+        "a": token_rollup.deltas(edge, "words-1", "insert"),
+        "c": token_rollup.revision(edge.where("source = 't'"), "words-1", "pieces-1"),
+        "b": token_rollup.deltas(edge.where("source = 's'"), "words-1", "delete"),
+        "none": token_rollup.deltas(empty, "words-1", "insert"),
+    }
+    assert [store.commit(k, d) for k, d in batches.items()] == [True] * 4
+    assert [store.commit(k, d) for k, d in batches.items()] == [False] * 4  # sent again
+    want = rollup_rows(store.totals())
     assert want == {(None, None, "words-1"): (2, 0), (None, "en", "words-1"): (1, 2), ("t", "de", "pieces-1"): (2, want[("t", "de", "pieces-1")][1])}
-    base = store.compact("one", ["a", "b"])
-    store.commit("b", out)  # folded already, sent again
-    assert rows(store.totals(["b", "c"], base)) == want
-    assert rows(store.totals([], store.compact("two", ["c"], base))) == want
+    assert store.compact() == 1
+    later = token_rollup.TokenRollup(spark, path)  # a client that knows nothing of the base
+    assert later.batches() == ["a", "b", "c", "none"] and rollup_rows(later.totals()) == want
+    assert [later.commit(k, d) for k, d in batches.items()] == [False] * 4
+    assert rollup_rows(later.totals()) == want
+    assert later.commit("d", token_rollup.deltas(edge.where("source is null"), "words-1", "delete")) and later.compact() == 2
+    assert rollup_rows(token_rollup.TokenRollup(spark, path).totals()) == {k: v for k, v in want.items() if k[0] == "t"}
     with pytest.raises(KeyError):
         token_rollup.deltas(edge, "words-1", "upsert")
-    assert store.totals([]).count() == 0
+
+
+def test_rollup_survives_a_lost_driver_and_two_writers(spark, edge):
+    path = scratch_dir(spark)
+    store = token_rollup.TokenRollup(spark, path)
+    ins = token_rollup.deltas(edge, "words-1", "insert")
+    store._write(ins)  # rows written, then the driver is lost before the log entry
+    assert store.totals().count() == 0 and store.batches() == []
+    assert store.commit("a", ins)
+    want = rollup_rows(store.totals())
+    summed = ins.groupBy(*token_rollup.KEYS).agg({"n_docs": "sum", "n_tokens": "sum"}).toDF(*token_rollup.KEYS, "n_docs", "n_tokens")
+    store._commit("batch", "a", None, store._write(summed), ["a"])  # a second writer that looked before the first committed
+    assert rollup_rows(store.totals()) == want
+    store.compact()
+    assert rollup_rows(store.totals()) == want
+
+
+def test_a_base_keeps_tokens_of_groups_without_documents(spark, edge):
+    """Deltas may arrive in any order: a delete before its insert, folded in between."""
+    store = token_rollup.TokenRollup(spark, scratch_dir(spark))
+    one = edge.where("source = 's'").limit(1)
+    store.commit("out", token_rollup.deltas(one, "words-1", "delete", F.lit(7).cast("long")))
+    store.commit("in", token_rollup.deltas(one, "words-1", "insert", F.lit(3).cast("long")))
+    store.compact()
+    store.commit("again", token_rollup.deltas(one, "words-1", "insert", F.lit(5).cast("long")))
+    assert [v for v in rollup_rows(store.totals()).values()] == [(1, 1)]
 
 
 # ---------------------------------------------------------------- 9 suffix arrays
