@@ -20,13 +20,13 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import text_or_empty, written
 from .wordscan import FOLD, blocks, mixed
 
-#: Training texts of each language (least by hash) and their longest length.
+#: Distinct training texts of each language (least by hash) and their longest length.
 SAMPLE_DOCS, SAMPLE_CHARS = 500, 20_000
 TRIGRAM_BITS = 16
 TEMPERATURE = 3.0
@@ -56,17 +56,30 @@ def train(texts: list[str], langs: list[str]) -> tuple[list[str], np.ndarray]:
     return names, np.log(counts / counts.sum(axis=1, keepdims=True)).astype(np.float32) if names else counts.astype(np.float32)
 
 
+def sampled(docs: DataFrame, lang: str = "lang", text: str = "text", per_lang: int = SAMPLE_DOCS) -> DataFrame:
+    """(lang, text): of each language the ``per_lang`` distinct texts of least hash (ties: the smaller text), in two scans
+    however many languages there are.
+
+    The first scan estimates each language's number of distinct texts; the second keeps the texts whose hash lies under the
+    language's threshold, chosen so that twice the wanted number is expected, and the least of these are ranked. A
+    language whose threshold let too few through (copies, estimate off) just has a smaller sample.
+    """
+    named = docs.where(F.col(lang).isNotNull()).select(F.col(lang).cast("string").alias("lang"), text_or_empty(text).alias("text"))
+    named = named.where(F.char_length("text").between(1, SAMPLE_CHARS)).withColumn("h", F.shiftrightunsigned(F.xxhash64("text"), 1))
+    counts = named.groupBy("lang").agg(F.approx_count_distinct("h", 0.02).alias("n")).collect()  # a row a language
+    if not counts:
+        return named.select("lang", "text").limit(0)
+    under = F.create_map(*[F.lit(v) for r in counts for v in (r["lang"], int(min(1.0, 2 * per_lang / max(r["n"], 1)) * ((1 << 63) - 1024)) + 1023)])
+    few = named.where(F.col("h") <= F.element_at(under, F.col("lang"))).groupBy("lang", "h").agg(F.min("text").alias("text"))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
+    return few.withColumn("place", place).where(F.col("place") <= per_lang).select("lang", "text")
+
+
 def fit(docs: DataFrame, lang: str = "lang", text: str = "text") -> tuple[list[str], np.ndarray]:
     """Train on at most ``SAMPLE_DOCS`` texts of each language (the languages' number is that of the label set)."""
-    named = docs.where(F.col(lang).isNotNull()).select(F.col(lang).alias("lang"), text_or_empty(text).alias("text"))
-    named = named.where(F.char_length("text").between(1, SAMPLE_CHARS))
-    parts = [named.where(F.col("lang") == r["lang"]).orderBy(F.xxhash64("text"), "text").limit(SAMPLE_DOCS) for r in named.select("lang").distinct().collect()]
-    if not parts:
+    got = sampled(docs, lang, text).toArrow()
+    if not got.num_rows:
         return [], np.zeros((0, 1 << TRIGRAM_BITS), np.float32)
-    sample = parts[0]
-    for p in parts[1:]:
-        sample = sample.unionAll(p)
-    got = sample.toArrow()
     return train(got.column("text").to_pylist(), got.column("lang").to_pylist())
 
 

@@ -4,12 +4,14 @@ Each text gives a vector of transformed statistics (``VECTOR``): log mean word l
 symbols, duplicate lines, words in repeated 3-word windows, and upper-case letters. Among the texts that pass the base
 rule, location and scatter are estimated per (language, source) by the minimum covariance determinant: from medians and
 median deviations, concentration steps take the ``COVERAGE`` share of a group's texts with the least Mahalanobis distance
-and estimate anew from these, which never raises the determinant. The scatter is floored (``FLOORS``; shares that are 0 in
+and estimate anew from these, which never raises the determinant, until it stays the same. The scatter is floored (``FLOORS``; shares that are 0 in
 most texts would make it singular) and rescaled so that the median distance fits the chi-square law. Texts whose squared
 distance passes the chi-square cut are rejected, but only if a statistic lies on the bad side of its group's centre.
 
 All steps are grouped aggregations over all texts (quantiles by mergeable sketches, sums of products), so a source with a
-third of all rows is pre-aggregated like any other; only one row of estimates per group moves. Groups under ``MIN_GROUP``
+third of all rows is pre-aggregated like any other; only one row of estimates per group moves, and back to the texts by
+broadcast after a count. The sketches' cuts depend on how rows are split among tasks (rank error 1/2000), so a text whose
+distance lies at the cut within that error may be judged otherwise in another run. Groups under ``MIN_GROUP``
 texts are pooled by language, and languages still under it in one rest pool.
 
 Defined results: null and empty texts have zero counts and fail the base rule; null languages and sources are groups of
@@ -30,13 +32,17 @@ from .common import written
 from .wordscan import IS_SPACE, blocks, doc_of, gram_hashes, mixed, span_hashes
 
 MIN_WORDS, MAX_REPEAT_SHARE = 50, 0.5
-COVERAGE = 0.75
-STEPS = 4
+COVERAGE = 0.55
+#: Concentration steps at most, and the fall of a log determinant that counts as none.
+MOST_STEPS, STEADY = 10, 0.01
 MIN_GROUP = 100
+#: Rows (some 400 bytes each) up to which a table of a row per group is broadcast.
+BROADCAST_POOLS = 20_000
 #: Standard normal quantile of the cut (three texts in a hundred thousand of a normal population).
 CUT_Z = 4.0
 VECTOR = ("log_word_len", "symbol", "dup_line", "repeat", "upper")
-#: Least standard deviation of each entry.
+#: Least standard deviation of each entry. Those of the two repeat shares let a short clean text say one of its three lines
+#: twice; a line that comes back raises both shares, so a third of repeated lines with their words is beyond the cut.
 FLOORS = (0.04, 0.05, 0.15, 0.15, 0.05)
 
 # The symbols counted.
@@ -137,7 +143,8 @@ def _inverses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         inv = np.linalg.inv(cov)
         to_list = lambda a, k: pa.ListArray.from_arrays(pa.array(np.arange(len(a) + 1, dtype=np.int32) * k), pa.array(a.ravel()))
         yield pa.RecordBatch.from_arrays(
-            [batch.column("pool"), to_list(mean, d), to_list(inv.reshape(len(n), -1), d * d)], names=["pool", "centre", "inverse"]
+            [batch.column("pool"), to_list(mean, d), to_list(inv.reshape(len(n), -1), d * d), pa.array(np.linalg.slogdet(cov)[1])],
+            names=["pool", "centre", "inverse", "log_det"],
         )
 
 
@@ -148,12 +155,21 @@ def _distance() -> Column:
     return sum(terms[1:], terms[0])
 
 
-def estimates(vectors: DataFrame, coverage: float = COVERAGE, steps: int = STEPS) -> DataFrame:
-    """(pool, centre, inverse, scale) of every pool of ``vectors`` (pool, x): the minimum covariance determinant."""
+def _beside(rows: DataFrame, groups: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """Join rows with a written table of one row per ``key``: broadcast while that is at most ``BROADCAST_POOLS`` rows, so
+    that a group with a third of all rows is not dealt to one task; a shuffled join beyond."""
+    return rows.join(F.broadcast(groups) if groups.count() <= BROADCAST_POOLS else groups, key, how)
+
+
+def estimates(vectors: DataFrame, coverage: float = COVERAGE, most_steps: int = MOST_STEPS) -> DataFrame:
+    """(pool, centre, inverse, scale) of every pool of ``vectors`` (pool, x): the minimum covariance determinant.
+
+    Concentration steps end when no pool's log determinant falls by over ``STEADY`` any more, or after ``most_steps``.
+    """
     d = len(VECTOR)
     median = [F.percentile_approx(F.col("x")[i], 0.5, 2000).alias(f"m{i}") for i in range(d)]
     mid = written(vectors.groupBy("pool").agg(*median), "medians", small=True)
-    spread = vectors.join(mid, "pool").groupBy("pool").agg(
+    spread = _beside(vectors, mid, "pool").groupBy("pool").agg(
         *[F.percentile_approx(F.abs(F.col("x")[i] - F.col(f"m{i}")), 0.5, 2000).alias(f"v{i}") for i in range(d)]
     )
     weight = [1 / ((1.4826 * F.col(f"v{i}")) ** 2 + FLOORS[i] ** 2) for i in range(d)]
@@ -161,30 +177,37 @@ def estimates(vectors: DataFrame, coverage: float = COVERAGE, steps: int = STEPS
         "pool",
         F.array(*[F.col(f"m{i}") for i in range(d)]).alias("centre"),
         F.array(*[weight[i] if i == j else F.lit(0.0) for i in range(d) for j in range(d)]).alias("inverse"),
+        F.lit(float("inf")).alias("log_det"),
     )
-    for step in range(steps):
-        now = written(now, f"step{step}", small=True)
-        far = vectors.join(now, "pool").select("pool", "x", _distance().alias("d2"))
-        near = far.join(far.groupBy("pool").agg(F.percentile_approx("d2", coverage, 2000).alias("cut")), "pool").where("d2 <= cut")
+    now = written(now, "start", small=True)
+    for step in range(most_steps):
+        far = _beside(vectors, now, "pool").select("pool", "x", _distance().alias("d2"))
+        cuts = written(far.groupBy("pool").agg(F.percentile_approx("d2", coverage, 2000).alias("cut")), f"cut{step}", small=True)
+        near = _beside(far, cuts, "pool").where("d2 <= cut")
         sums = [F.sum(F.col("x")[i]).alias(f"s{i}") for i in range(d)]
         products = [F.sum(F.col("x")[i] * F.col("x")[j]).alias(f"p{i}_{j}") for i in range(d) for j in range(i, d)]
-        now = near.groupBy("pool").agg(F.count("*").alias("n"), *sums, *products).mapInArrow(
-            _inverses, "pool string, centre array<double>, inverse array<double>"
+        new = near.groupBy("pool").agg(F.count("*").alias("n"), *sums, *products).mapInArrow(
+            _inverses, "pool string, centre array<double>, inverse array<double>, log_det double"
         )
-    now = written(now, "mcd", small=True)
-    far = vectors.join(now, "pool").groupBy("pool").agg(F.percentile_approx(_distance(), 0.5, 2000).alias("mid"))
+        new = written(new, f"step{step}", small=True)
+        falls = new.join(now.select("pool", F.col("log_det").alias("was")), "pool").agg(F.max(F.col("was") - F.col("log_det"))).first()[0]
+        now = new
+        if falls is None or falls <= STEADY:
+            break
+    far = _beside(vectors, now, "pool").groupBy("pool").agg(F.percentile_approx(_distance(), 0.5, 2000).alias("mid"))
     scale = F.greatest(F.col("mid") / F.lit(chi_square_quantile(d, 0.0)), F.lit(1.0))
-    return now.join(far, "pool").select("pool", "centre", "inverse", scale.alias("scale"))
+    return written(now.join(far, "pool").select("pool", "centre", "inverse", scale.alias("scale")), "mcd", small=True)
 
 
 def pooled(rows: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
     """Add ``pool``: (lang, source) where it has ``min_group`` rows, else its language's rest, else the rest of all."""
     named = F.to_json(F.struct("lang", "source"), {"ignoreNullFields": "false"})
     by_source = rows.groupBy(named.alias("__g"), F.to_json(F.struct("lang"), {"ignoreNullFields": "false"}).alias("__l")).agg(F.count("*").alias("__n"))
+    by_source = written(by_source, "sources", small=True)
     rest = by_source.where(F.col("__n") < min_group).groupBy("__l").agg(F.sum("__n").alias("__m")).withColumnRenamed("__l", "__r")
     pool = F.when(F.col("__n") >= min_group, F.col("__g")).when(F.col("__m") >= min_group, F.col("__l")).otherwise("rest")
     names = by_source.join(rest, (F.col("__l") == F.col("__r")) & (F.col("__n") < min_group), "left").select("__g", pool.alias("pool"))
-    return rows.withColumn("__g", named).join(names, "__g").drop("__g")
+    return _beside(rows.withColumn("__g", named), written(names, "pools", small=True), "__g").drop("__g")
 
 
 def judged(docs: DataFrame, cut_z: float = CUT_Z) -> DataFrame:
@@ -201,7 +224,7 @@ def judged(docs: DataFrame, cut_z: float = CUT_Z) -> DataFrame:
         F.sequence(F.lit(1), F.lit(len(VECTOR) - 1)), lambda i: F.get("x", i) > F.get("centre", i) + F.get(F.array(*map(F.lit, FLOORS)), i)
     ) | (F.abs(F.get("x", F.lit(0)) - F.get("centre", F.lit(0))) > 3 * FLOORS[0])
     distance = _distance() / F.col("scale")
-    verdict = passing.join(known, "pool", "left").select(
+    verdict = _beside(passing, known, "pool", "left").select(
         *stats.columns,
         distance.alias("distance"),
         F.coalesce(~((distance > chi_square_quantile(len(VECTOR), cut_z)) & bad_side), F.lit(True)).alias("kept"),

@@ -138,6 +138,60 @@ def test_language_agrees_with_the_declaration_and_uses_other_evidence(spark):
     assert language_id.identify(frame, ([], np.zeros((0, 1 << language_id.TRIGRAM_BITS)))).first()["language"] is None
 
 
+def test_language_posteriors_equal_a_plain_computation(spark):
+    """Text likelihoods as given; tables, smoothing, priors and the fusion worked out by loops over the pages."""
+    import re
+
+    model = language_id.fit(read_table(spark, SF_ORACLE, "documents"))
+    names = model[0]
+    pages = read_table(spark, SF_SMALL, "pages").select("page_id", "url", "html")
+    odd = [(9001, None, None), (9002, "not an address", "<html lang=fr>"), (9003, "http://localhost/x", "<p>the of and</p>"), (9001, None, None)]
+    pages = pages.unionByName(spark.createDataFrame(odd, pages.schema)).coalesce(2).cache()
+    logs = language_id.text_log_likelihoods(model, language_id.visible_text(F.col("html")))
+    rows = []
+    for r in pages.select("*", logs.alias("logs")).collect():
+        host = re.match(r"[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", r["url"] or "")
+        host = host.group(1).lower() if host else ""
+        declared = re.search(r"(?i)<html[^>]*?\blang\s*=\s*[\"']?([a-zA-Z]+)", r["html"] or "")
+        domain = re.search(r"([^.]+\.[^.]+)$", host)
+        x = np.array(r["logs"])
+        p = np.exp(x - x.max())
+        rows.append((r["page_id"], host, declared.group(1).lower() if declared else "", host.rsplit(".", 1)[-1], domain.group(1) if domain else "", x, p / p.sum()))
+    def table(place):
+        sums = {}
+        for r in rows:
+            sums[r[place]] = sums.get(r[place], 0) + r[6]
+        return sums
+    everything = sum(r[6] for r in rows)
+    share = (everything + 1) / (everything.sum() + len(names))
+    declared, suffix = table(2), table(3)
+    domain = {k: (v + language_id.DOMAIN_STRENGTH * share) / (v.sum() + language_id.DOMAIN_STRENGTH) for k, v in table(4).items()}
+    hosts = table(1)
+    want = []
+    for page, host, d, s, dom, x, _ in rows:
+        prior = (hosts[host] + language_id.HOST_STRENGTH * domain[dom]) / (hosts[host].sum() + language_id.HOST_STRENGTH)
+        z = x + np.log(prior) + np.log((declared[d] + 1) / (everything + len(declared))) + np.log((suffix[s] + 1) / (everything + len(suffix)))
+        z = np.exp(z - z.max())
+        want.append((page, host, d, s, *(z / z.sum())))
+    got = [(r["page_id"], r["host"], r["declared"], r["suffix"], *r["posterior"]) for r in language_id.identify(pages, model).collect()]
+    assert len(got) == len(want)
+    for a, b in zip(sorted(got), sorted(want), strict=True):
+        assert a[:4] == b[:4] and np.allclose(a[4:], b[4:], atol=1e-9)
+
+
+def test_the_language_sample_is_the_least_distinct_texts_of_each_language(spark, edge, empty):
+    rows = [(la, f"text {i} of {la}") for la, n in (("en", 4000), ("de", 30)) for i in range(n)]
+    rows += [("en", "a copy")] * 3000 + [(None, "nameless"), ("fr", ""), ("fr", None), ("es", "x" * (language_id.SAMPLE_CHARS + 1))]
+    docs = spark.createDataFrame(rows, "lang string, text string").repartition(5)
+    got = {(r["lang"], r["text"]) for r in language_id.sampled(docs, per_lang=50).collect()}
+    hashed = docs.where("lang in ('en', 'de')").distinct().select("lang", "text", F.shiftrightunsigned(F.xxhash64("text"), 1).alias("h")).collect()
+    for la in ("en", "de"):
+        least = sorted((r["h"], r["text"]) for r in hashed if r["lang"] == la)[:50]
+        assert {t for x, t in got if x == la} == {t for _, t in least}
+    assert {la for la, _ in got} == {"en", "de"}
+    assert language_id.sampled(edge).count() == 4 and language_id.sampled(empty).count() == 0
+
+
 # ---------------------------------------------------------------- 3 BPE
 
 
@@ -215,6 +269,36 @@ def test_outliers_go_and_clean_documents_stay(spark, edge, empty):
     assert quality_rules.judged(empty).count() == 0
 
 
+@pytest.mark.parametrize("pools", [20_000, 0])
+def test_a_source_with_two_fifths_junk_keeps_its_clean_centre(spark, monkeypatch, pools):
+    """With and without broadcast estimates; junk of three kinds, nearly none of which the base rule rejects."""
+    monkeypatch.setattr(quality_rules, "BROADCAST_POOLS", pools)
+    rng = random.Random(3)
+    vocabulary = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(2, 9))) for _ in range(3000)]
+
+    def lines(n):
+        return [" ".join(rng.choices(vocabulary, k=rng.randint(6, 14))).capitalize() + "." for _ in range(n)]
+
+    def junk(kind):
+        some = lines(rng.randint(8, 20))
+        if kind == 0:  # symbols between the words
+            return "\n".join(x.replace(" ", " | ") for x in some)
+        if kind == 1:  # shouting
+            return "\n".join(x.upper() for x in some)
+        return "\n".join(some + [some[0]] * (len(some) * 4 // 5))  # a line again and again
+
+    rows = [(i, "\n".join(lines(rng.randint(8, 20))) if i % 5 < 3 else junk(i % 3), "en", "hot") for i in range(1500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(4)
+    got = quality_rules.judged(docs).collect()
+    assert len(got) == len(rows) and np.mean([r["base_failed"] for r in got]) < 0.1
+    got = [r for r in got if not r["base_failed"]]
+    clean = [r["kept"] for r in got if r["doc_id"] % 5 < 3]
+    for kind in range(3):
+        dropped = [not r["kept"] for r in got if r["doc_id"] % 5 >= 3 and r["doc_id"] % 3 == kind]
+        assert np.mean(dropped) > 0.95, kind
+    assert np.mean(clean) > 0.98
+
+
 def test_pools_fall_back_to_language_and_rest(spark):
     rows = [("en", "a")] * 6 + [("en", "b")] * 2 + [("en", "c")] * 3 + [("de", "a")] * 2 + [(None, None)]
     got = Counter(r["pool"] for r in quality_rules.pooled(spark.createDataFrame(rows, "lang string, source string"), 5).collect())
