@@ -9,12 +9,15 @@ weights move along the coding error's gradient. Each text starts from the traine
 its end, so the score is a proper probability of the whole text, and its sum of bits over bytes gives bits per byte. Texts
 of a block are coded side by side.
 
-Training gathers from the corpus (1) for every hashed (context, decision) how often each bit came, (2) counts of every
-token. The first are fixed-size tables (``TABLE_BITS``): each task fills its own, and the tasks' tables are summed piece by
-piece, compressed, before their stretched probabilities (13 MB) are gathered and broadcast. Token counts grow with the
-corpus and stay distributed: the ``HEAD_WORDS`` most frequent are broadcast, every other token of every text meets its
-count in a join. The Huffman code and the mixing weights come from a bounded sample of training texts, which the tables
-leave out, so that the weights are fitted to texts the tables have not seen.
+Training reads every training text three times: for (1) counts of every token and every stream byte, which make the
+Huffman code, (2) for every hashed (context, decision) how often each bit came, (3) the mixing weights. The second are
+fixed-size tables (``TABLE_BITS``): each task fills its own, and the tasks' tables are summed piece by piece, compressed,
+before their stretched probabilities (13 MB) are gathered and broadcast. The weights minimise the coding cost of all
+training decisions, each predicted by the tables without that one occurrence of it (26 MB of such predictions are
+broadcast); tasks count how often each triple of predictions came, in steps of ``_COARSE``, and the driver fits the weights
+to these counts, at most 2**18 of them. Equal bytes in equal contexts are counted first and looked up once. Token counts
+grow with the corpus and stay distributed: the ``HEAD_WORDS`` most frequent are broadcast, every other token of every text
+meets its count in a join.
 
 Defined results: a null or empty text is its end token; repeated rows score alike, and all rows keep their number;
 without any training text the counts are empty (base score from the add-one formula, model near one bit a decision);
@@ -34,27 +37,31 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import text_or_empty, written
-from .wordscan import _BASE, _INV, FOLD, Block, blocks, doc_of, mixed, powers, span_hashes
+from .wordscan import _BASE, _INV, FOLD, IS_SPACE, Block, blocks, doc_of, mixed, powers, span_hashes
 
 #: Bytes of a text between two moves of its weights.
 STRIDE = 4
-#: Bytes of texts scored, and counted, together.
-BLOCK, COUNT_BLOCK = 2 << 20, 128 << 10
+#: Bytes of texts scored together, and scanned together.
+BLOCK, SCAN_BLOCK = 3 << 20, 128 << 10
+#: Stream bytes whose equal contexts are counted together, and bytes (of those or of the scored) whose decisions are looked up together.
+TALLY, LOOKUP = 2 << 20, 8 << 10
 #: Slots (as a power of 2) of each predictor's table: last two bytes, last four, the word's beginning.
 TABLE_BITS = (20, 22, 23)
 #: Slots summed in one piece.
 PIECE = 1 << 16
 HEAD_WORDS = 500_000
 RATE = 0.005
-#: Held from the tables for code and weights: one training text in ``SAMPLE_SHARE`` by hash, at most so many, so long.
-SAMPLE_SHARE, SAMPLE_DOCS, SAMPLE_CHARS = 20, 100, 20_000
 _UNSEEN = -128
 #: The mixture's log odds stay within this (the sure and the unlikely bit both keep float32 precision).
 _BOUND = np.float32(12)
 #: Stretched probabilities are kept in eighths.
 _STEP = np.float32(1 / 8)
+#: Steps of the stretched probabilities that count as one where the weights are fitted.
+_COARSE = 5
 _END, _SPACE = 10, 32
 _TOKEN_END = -1  # the end token's key; a word's hash never has it
+_BYTE = -2  # stream byte b has the key _BYTE - b
+_STREAMED = np.where(IS_SPACE, np.uint8(_SPACE), FOLD)
 
 
 # ---------------------------------------------------------------- streams and contexts
@@ -62,96 +69,156 @@ _TOKEN_END = -1  # the end token's key; a word's hash never has it
 
 @dataclass
 class Stream:
-    """Streams of a block's texts one after another, where each begins, and the words' hashes with their first per text."""
+    """Streams of a block's texts one after another, where each begins, every byte in its contexts, and the words' hashes with
+    their first per text.
+
+    A byte's key has 24 bits of the hash of the current word's beginning, the four bytes before it (the last one in the
+    highest place) and the byte itself: all that its slots are made of.
+    """
 
     data: np.ndarray
     offsets: np.ndarray
-    contexts: list[np.ndarray]
+    keys: np.ndarray
     words: np.ndarray
     first: np.ndarray
 
 
-def stream(block: Block, words_only: bool = False) -> Stream:
-    starts, ends, first = block.words()
-    folded = FOLD[block.data]
-    words = span_hashes(folded, starts, ends) & np.uint64((1 << 63) - 1)
-    if words_only:
-        return Stream(folded[:0], first, [], words, first)
-    length = ends - starts
-    doc = doc_of(first)
+def _joined(parts: list[Stream]) -> Stream:
+    def ends(name: str) -> np.ndarray:
+        own = [getattr(p, name) for p in parts]
+        shift = np.cumsum([0] + [o[-1] for o in own[:-1]])
+        return np.concatenate([own[0][:1]] + [o[1:] + b for o, b in zip(own, shift, strict=True)])
+
+    def rest(name: str) -> np.ndarray:
+        return np.concatenate([getattr(p, name) for p in parts])
+
+    return Stream(rest("data"), ends("offsets"), rest("keys"), rest("words"), ends("first"))
+
+
+def stream(block: Block) -> Stream:
+    """The block's streams; a large block is scanned in parts, whose working arrays stay in the processor's cache."""
+    if len(block.data) > SCAN_BLOCK and block.rows > 1:
+        cut = np.unique(np.searchsorted(block.offsets, np.arange(0, len(block.data), SCAN_BLOCK)))
+        cut = np.unique(np.append(cut, [0, block.rows]))
+        at = block.offsets
+        return _joined([_stream(Block(a, block.data[at[a] : at[b]], at[a : b + 1] - at[a])) for a, b in zip(cut[:-1], cut[1:], strict=True)])
+    return _stream(block)
+
+
+def _stream(block: Block, words: bool = True) -> Stream:
     rows = block.rows
-    total = int(length.sum()) + len(starts) + rows
-    begin = np.concatenate([[0], np.cumsum(length + 1)[:-1]]) + doc if len(starts) else np.empty(0, np.int64)
-    out = np.full(total, _SPACE, np.uint8)
-    source = np.repeat(starts - np.concatenate([[0], np.cumsum(length)[:-1]]), length) + np.arange(length.sum()) if len(starts) else np.empty(0, np.int64)
-    target = np.repeat(begin - np.concatenate([[0], np.cumsum(length)[:-1]]), length) + np.arange(length.sum()) if len(starts) else np.empty(0, np.int64)
-    out[target] = folded[source]
-    per_row = np.zeros(rows, np.int64)
-    np.add.at(per_row, doc, length + 1)
-    offsets = np.concatenate([[0], np.cumsum(per_row + 1)])
-    out[offsets[1:] - 1] = _END
-    back = [out]
-    for _ in range(4):
-        b = np.empty(total, np.uint8)
-        b[1:] = back[-1][:-1]
-        b[offsets[:-1]] = _END
-        back.append(b)
-    two = back[1].astype(np.uint64) << np.uint64(8) | back[2]
-    four = two << np.uint64(16) | back[3].astype(np.uint64) << np.uint64(8) | back[4]
-    # hash of the current word up to each byte; its own beginning is where the last space or text begin was
-    fresh = (back[1] == _SPACE) | (back[1] == _END)
-    place = np.maximum.accumulate(np.where(fresh, np.arange(total), 0))
+    raw = np.empty(len(block.data) + 2 * rows, np.uint8)
+    body = np.ones(len(raw), bool)
+    end = block.offsets[1:] + 2 * np.arange(1, rows + 1) - 1
+    body[end] = body[end - 1] = False
+    raw[body] = _STREAMED[block.data]
+    raw[end], raw[end - 1] = _END, _SPACE
+    # a space after a space or at a text's begin is left out: one is left after each word
+    space = raw == _SPACE
+    keep = np.ones(len(raw), bool)
+    keep[0] = not space[0]
+    keep[1:] = ~(space[1:] & (space[:-1] | (raw[:-1] == _END)))
+    out = raw[keep]
+    offsets = np.append(0, np.flatnonzero(out == _END) + 1)
+    begin = offsets[:-1]
+    padded = np.full(len(out) + 4, _END, np.uint8)
+    padded[4:] = out
+    four = np.ndarray((len(out),), "<u4", padded, strides=(1,)).copy()
+    for j in range(4):  # what lies before a text's begin counts as end bytes
+        at = (begin + j)[begin + j < offsets[1:]]
+        ends = np.uint32((_END * 0x01010101) >> 8 * j)
+        four[at] = ends if j == 0 else four[at] & np.uint32(0xFFFFFFFF << (32 - 8 * j) & 0xFFFFFFFF) | ends
+    # hash of the current word up to each byte: from where the last space or text begin was
+    total = len(out)
+    after = np.flatnonzero((out == _SPACE) | (out == _END)) + 1
+    start = np.append(0, after[:-1])
+    length = after - start
     c = np.zeros(total + 1, np.uint64)
     np.cumsum((out.astype(np.uint64) + np.uint64(1)) * powers(_BASE, total), out=c[1:])
-    prefix = (c[:-1] - c[place]) * powers(_INV, total)[place]
-    contexts = [(mixed(c) >> np.uint64(32)).astype(np.uint32) for c in (two, four, prefix)]
-    return Stream(out, offsets, contexts, words, first)
+    prefix = c[:-1] - np.repeat(c[start], length)
+    prefix *= np.repeat(powers(_INV, total)[start], length)
+    prefix *= np.uint64(0x9E3779B97F4A7C15)
+    prefix &= np.uint64(0xFFFFFF << 40)
+    prefix |= four.astype(np.uint64) << np.uint64(8)
+    prefix |= out
+    start, end = start[length > 1], after[length > 1] - 1
+    hashes = span_hashes(out, start, end) & np.uint64((1 << 63) - 1) if words else np.empty(0, np.uint64)
+    return Stream(out, offsets, prefix, hashes, np.searchsorted(start, offsets))
+
+
+def contexts(keys: np.ndarray) -> list[np.ndarray]:
+    """Hashed contexts of each byte, one slot number of its own for each table: last two bytes, last four, the word's beginning."""
+    four = (keys >> np.uint64(8)).astype(np.uint32)
+    two = (four >> np.uint32(16)) * np.uint32(0x9E3779B1)
+    four *= np.uint32(0x9E3779B1)
+    four ^= four >> np.uint32(15)
+    four *= np.uint32(0x85EBCA77)
+    prefix = (keys >> np.uint64(32)).astype(np.uint32)
+    return [(h >> np.uint32(32 - bits)).astype(np.intp) for h, bits in zip((two, four, prefix), TABLE_BITS, strict=True)]
 
 
 # ---------------------------------------------------------------- training counts
 
 
 def _node_hashes(node: np.ndarray) -> np.ndarray:
-    return (mixed(node.astype(np.uint64) + np.uint64(1)) >> np.uint64(32)).astype(np.uint32)
+    return node.astype(np.intp)
 
 
-def slots(context: np.ndarray, node_hash: np.ndarray, bits: int) -> np.ndarray:
-    """Slot of each (hashed context, hashed decision node)."""
-    h = context ^ node_hash
-    h *= np.uint32(0x9E3779B1)
-    h ^= h >> np.uint32(15)
-    h *= np.uint32(0x85EBCA77)
-    h >>= np.uint32(32 - bits)
+def slots(context: np.ndarray, owner: np.ndarray, node_hash: np.ndarray) -> np.ndarray:
+    """Slot of each decision (byte that owns it, node): a context's decisions lie close together."""
+    h = context.take(owner)
+    h ^= node_hash
     return h
 
 
+def _owners(n: np.ndarray) -> np.ndarray:
+    """Byte that owns each decision, where byte i has n[i] of them."""
+    return np.repeat(np.arange(len(n)), n)
+
+
 def _entries(symbols: np.ndarray, code) -> tuple[np.ndarray, np.ndarray]:
     """Number of decisions of each byte, and the code entry of every decision."""
     first, size, _, _ = code
-    n = size[symbols]
-    end = np.cumsum(n)
-    entry = np.arange(end[-1] if len(end) else 0, dtype=np.int32)
-    entry += np.repeat((first[symbols] - end + n).astype(np.int32), n)
+    n = size.take(symbols)
+    entry = (first.take(symbols) - np.cumsum(n) + n).take(_owners(n))
+    entry += np.arange(len(entry))
     return n, entry
 
 
+def _tallied(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(key of a byte in its contexts, how often) of some MB of streams each; every occurrence is in one of them."""
+    held: list[np.ndarray] = []
+    for batch in batches:
+        for block in blocks(batch.column("text"), SCAN_BLOCK):
+            held.append(_stream(block, words=False).keys)
+            if sum(map(len, held)) > TALLY:
+                yield np.unique(np.concatenate(held), return_counts=True)
+                held.clear()
+    if held:
+        yield np.unique(np.concatenate(held), return_counts=True)
+
+
+def _decided(batches: Iterator[pa.RecordBatch], code) -> Iterator[tuple[list[np.ndarray], np.ndarray]]:
+    """Of all decisions in the texts: 2 * slot + bit in each table, and how often that came."""
+    _, _, node, bit = code
+    hashed, up = _node_hashes(node), bit.astype(np.intp)
+    for keys, times in _tallied(batches):
+        for b in range(0, len(keys), LOOKUP):
+            part = keys[b : b + LOOKUP]
+            n, entry = _entries(part.astype(np.uint8), code)
+            owner, h, y = _owners(n), hashed.take(entry), up.take(entry)
+            yield [slots(c, owner, h) << 1 | y for c in contexts(part)], times[b : b + LOOKUP].take(owner)
+
+
 def _count_decisions(code):
     """Rows (kind, piece, blob): this task's counts of both bits in every slot of the piece, compressed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _, _, node, bit = code
-        hashed, up = _node_hashes(node), bit.astype(np.uint32)
         tables = [np.zeros(2 << bits, np.int32) for bits in TABLE_BITS]
-        for batch in batches:
-            for block in blocks(batch.column("text"), COUNT_BLOCK):
-                s = stream(block)
-                n, entry = _entries(s.data, code)
-                h, y = hashed[entry], up[entry]
-                for table, ctx, bits in zip(tables, s.contexts, TABLE_BITS, strict=True):
-                    at = slots(np.repeat(ctx, n), h, bits)
-                    at <<= np.uint32(1)
-                    at |= y
-                    np.add.at(table, at.astype(np.intp), np.int32(1))
+        for at, times in _decided(batches, code):
+            times = times.astype(np.int32)
+            for table, i in zip(tables, at, strict=True):
+                np.add.at(table, i, times)
         for kind, table in enumerate(tables):
             for piece in range(0, len(table), 2 * PIECE):
                 part = table[piece : piece + 2 * PIECE]
@@ -165,15 +232,56 @@ def _count_decisions(code):
     return run
 
 
+def _left_out(counts: np.ndarray) -> np.ndarray:
+    """Of every (slot, bit) the coarse prediction for that bit without one occurrence of it; 0: then unseen."""
+    out = np.zeros(counts.shape, np.uint8)
+    for bit, sign in ((0, -1), (1, 1)):
+        less = counts.copy()
+        less[:, bit] = np.maximum(less[:, bit] - 1, 0)
+        x = _stretch(less[:, 0], less[:, 1])
+        out[:, bit] = np.where(x == _UNSEEN, 0, 32 + sign * np.rint(x / _COARSE))
+    return out
+
+
+def _count_predictions(shared):
+    """Rows (cell, n): how often each triple of left-out predictions came in this task's texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        code, tables = shared.value
+        total = np.zeros(1 << 18, np.int64)
+        for at, times in _decided(batches, code):
+            cell = np.zeros(len(times), np.intp)
+            for table, i in zip(tables, at, strict=True):
+                cell <<= 6
+                cell |= table.take(i, mode="clip")  # a slot is always inside its table
+            np.add.at(total, cell, times)
+        cell = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(cell, pa.int32()), pa.array(total[cell])], names=["cell", "n"])
+
+    return run
+
+
+def _weights_of_cells(cell: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Weights by gate from the triples' counts; all predictions are signed for the bit that came."""
+    codes = [cell >> shift & 63 for shift in (12, 6, 0)]
+    x = [np.where(c > 0, (c - 32) * float(_COARSE * _STEP), 0.0) for c in codes]
+    return fit_weights(x, (codes[1] > 0) + 2 * (codes[2] > 0), np.ones(len(cell)), n)
+
+
 def _sum_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sum the counts of each (kind, piece) run and give its stretched probabilities (int8)."""
+    """Sum the counts of each (kind, piece) run and give its stretched probabilities (int8), also those without one occurrence."""
     key, total = None, None
 
     def done():
         counts = total.reshape(-1, 2)
         return pa.RecordBatch.from_arrays(
-            [pa.array([key[0]], pa.int32()), pa.array([key[1]], pa.int32()), pa.array([_stretch(counts[:, 0], counts[:, 1]).tobytes()], pa.binary())],
-            names=["kind", "piece", "blob"],
+            [
+                pa.array([key[0]], pa.int32()),
+                pa.array([key[1]], pa.int32()),
+                pa.array([_stretch(counts[:, 0], counts[:, 1]).tobytes()], pa.binary()),
+                pa.array([_left_out(counts).tobytes()], pa.binary()),
+            ],
+            names=["kind", "piece", "blob", "left_out"],
         )
 
     for batch in batches:
@@ -190,23 +298,34 @@ def _sum_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (key, n) of the tokens' counts, summed over a few million tokens each."""
+    """Rows (key, n) of the tokens' counts, summed over a few million tokens each, and of the stream's bytes."""
     held: list[np.ndarray] = []
+    data = np.zeros(256, np.int64)
+
+    def rows(key: np.ndarray, n: np.ndarray):
+        for i in range(0, len(key), 1 << 18):
+            yield pa.RecordBatch.from_arrays([pa.array(key[i : i + (1 << 18)]), pa.array(n[i : i + (1 << 18)])], names=["key", "n"])
 
     def flushed():
-        word, n = np.unique(np.concatenate(held), return_counts=True)
+        yield from rows(*np.unique(np.concatenate(held), return_counts=True))
         held.clear()
-        for i in range(0, len(word), 1 << 18):
-            yield pa.RecordBatch.from_arrays([pa.array(word[i : i + (1 << 18)]), pa.array(n[i : i + (1 << 18)])], names=["key", "n"])
 
     for batch in batches:
-        for block in blocks(batch.column("text"), BLOCK):
-            s = stream(block, words_only=True)
-            held += [s.words.view(np.int64), np.full(block.rows, _TOKEN_END)]
+        for block in blocks(batch.column("text"), SCAN_BLOCK):
+            starts, ends, _ = block.words()
+            folded = FOLD[block.data]
+            words = span_hashes(folded, starts, ends) & np.uint64((1 << 63) - 1)
+            held += [words.view(np.int64), np.full(block.rows, _TOKEN_END)]
+            own = np.bincount(folded, minlength=256)
+            own[IS_SPACE] = 0
+            own[[_SPACE, _END]] = len(words), block.rows
+            data += own
             if sum(map(len, held)) > 3_000_000:
                 yield from flushed()
     if held:
         yield from flushed()
+    seen = np.flatnonzero(data)
+    yield from rows(_BYTE - seen, data[seen])
 
 
 # ---------------------------------------------------------------- the model
@@ -248,10 +367,10 @@ def _stretch(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
 
 
 def _events(s: Stream, code):
-    """All decisions in the order (step of ``STRIDE`` bytes, text, byte, depth).
+    """All bytes in the order (step of ``STRIDE`` bytes, text, byte).
 
-    Returns the position of each byte, its number of decisions, the code entry of each decision; the number of decisions of
-    each unit (step, text), its lane and the first unit of each step; and each lane's text, longest first.
+    Returns the position of each byte, its number of decisions; the number of decisions of each unit (step, text), its lane
+    and the first unit of each step; and each lane's text, longest first.
     """
     length = np.diff(s.offsets)
     text = np.argsort(-length, kind="stable")
@@ -263,17 +382,18 @@ def _events(s: Stream, code):
     offset = np.repeat(STRIDE * np.arange(steps), alive)
     size = np.minimum(STRIDE, span[lane] - offset)
     first = np.cumsum(size) - size
-    pos = np.arange(size.sum()) + np.repeat(begin[lane] + offset - first, size)
-    n, entry = _entries(s.data[pos], code)
-    in_unit = np.add.reduceat(n, first) if len(first) else n
-    return pos, n, entry, in_unit, lane, at, text
+    pos = np.repeat((begin[lane] + offset - first).astype(np.int32), size)
+    pos += np.arange(len(pos), dtype=np.int32)
+    n = code[1].astype(np.uint8).take(s.data.take(pos))
+    in_unit = np.add.reduceat(n, first, dtype=np.intp) if len(first) else n.astype(np.intp)
+    return pos, n, in_unit, lane, at, text
 
 
-def _in_steps(s: Stream, pos: np.ndarray, n: np.ndarray, node_hash: np.ndarray, tables: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
+def _in_steps(keys: np.ndarray, n: np.ndarray, node_hash: np.ndarray, tables: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
     """Stretched probability in steps by each predictor (0 where unseen), and the gate: which of the two sparse contexts was seen."""
-    out, gate = [], np.zeros(len(node_hash), np.uint8)
-    for kind, (table, ctx, bits) in enumerate(zip(tables, s.contexts, TABLE_BITS, strict=True)):
-        raw = table.take(slots(np.repeat(ctx[pos], n), node_hash, bits), mode="clip")  # a slot is always inside its table
+    out, gate, owner = [], np.zeros(len(node_hash), np.uint8), _owners(n)
+    for kind, (table, context) in enumerate(zip(tables, contexts(keys), strict=True)):
+        raw = table.take(slots(context, owner, node_hash), mode="clip")  # a slot is always inside its table
         seen = raw != _UNSEEN
         raw *= seen
         out.append(raw)
@@ -284,92 +404,102 @@ def _in_steps(s: Stream, pos: np.ndarray, n: np.ndarray, node_hash: np.ndarray,
 
 def predictions(s: Stream, pos: np.ndarray, n: np.ndarray, node_hash: np.ndarray, tables: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
     """Stretched probability by each predictor (0 where unseen), and the gate."""
-    steps, gate = _in_steps(s, pos, n, node_hash, tables)
+    steps, gate = _in_steps(s.keys[pos], n, node_hash, tables)
     return [v * _STEP for v in steps], gate
 
 
-def _mixed(s: Stream, pos: np.ndarray, n: np.ndarray, entry: np.ndarray, model: Mixer) -> tuple[np.ndarray, np.ndarray]:
+def _mixed(s: Stream, pos: np.ndarray, n: np.ndarray, model: Mixer) -> tuple[np.ndarray, np.ndarray]:
     """Of each decision the predictors' stretched probabilities in steps (predictor, decision) and their mixture by the
     trained weights, both signed so that positive speaks for the coded bit. Made piece by piece, which bounds the working
     arrays; what stays are bytes."""
     _, _, node, bit = model.code
     hashed, sign = _node_hashes(node), np.where(bit, 1, -1).astype(np.int8)
     weights = np.ascontiguousarray(model.weights.T, np.float32) * _STEP
-    f, x = np.empty((len(model.tables), len(entry)), np.int8), np.zeros(len(entry), np.float32)
-    end = np.concatenate([[0], np.cumsum(n)])
-    for b in range(0, len(pos), COUNT_BLOCK):
-        part = slice(b, min(b + COUNT_BLOCK, len(pos)))
-        on = slice(end[part.start], end[part.stop])
-        st, gate = _in_steps(s, pos[part], n[part], hashed[entry[on]], model.tables)
-        coded = sign[entry[on]]
+    total, end = int(n.sum(dtype=np.int64)), 0
+    f, x = np.empty((len(model.tables), total), np.int8), np.zeros(total, np.float32)
+    for b in range(0, len(pos), LOOKUP):
+        keys = s.keys.take(pos[b : b + LOOKUP])
+        own, entry = _entries(keys.astype(np.uint8), model.code)
+        on = slice(end, end := end + len(entry))
+        st, gate = _in_steps(keys, own, hashed.take(entry), model.tables)
+        coded = sign.take(entry)
         gate = gate.astype(np.intp)
         for kept, w, v in zip(f, weights, st, strict=True):
             np.multiply(v, coded, out=kept[on])
-            x[on] += w.take(gate, mode="clip") * kept[on]
+            gain = w.take(gate, mode="clip")
+            gain *= kept[on].astype(np.float32)
+            x[on] += gain
     return f, x
 
 
 def log10_probabilities(s: Stream, model: Mixer, rate: float = RATE) -> np.ndarray:
     """log10 of the model's probability of each text's stream."""
-    pos, n, entry, in_unit, lane, at, text = _events(s, model.code)
-    f, x = _mixed(s, pos, n, entry, model)
-    own = np.repeat(lane.astype(np.int32), in_unit)
+    pos, n, in_unit, _, at, text = _events(s, model.code)
+    f, x = _mixed(s, pos, n, model)
     begin = np.cumsum(in_unit) - in_unit
-    moved = np.zeros((len(f), len(text)), np.float32)
+    k = len(f)
+    moved, coded = np.zeros((k, len(text)), np.float32), np.zeros(len(text))
     one, rate = np.float32(1), np.float32(rate)
     rate *= _STEP * _STEP  # the weights' moves are kept per step of the predictors
-    bounds = np.append(begin, len(entry))[at].tolist()
+    bounds = np.append(begin, len(x))[at].tolist()
     at = at.tolist()
-    del pos, n, entry
+    np.negative(x, out=x)
+    del pos, n
     for t in range(len(at) - 1):
         lo, hi, e0, e1 = at[t], at[t + 1], bounds[t], bounds[t + 1]
         now, part = f[:, e0:e1].astype(np.float32), x[e0:e1]
         if t:
-            shift = moved.take(own[e0:e1], axis=1, mode="clip")
+            shift = moved[:, : hi - lo].repeat(in_unit[lo:hi], axis=1)
             shift *= now
-            part += np.add.reduce(shift, axis=0)
-        # part turns from the coded bit's log odds into the probability of the other one, which is the coding error
+            part -= np.add.reduce(shift, axis=0)
+        # part turns from the other bit's log odds into its odds; both bits' odds over one give the coding error and its cost
         np.minimum(part, _BOUND, out=part)
         np.maximum(part, -_BOUND, out=part)
         np.exp(part, out=part)
-        part += one
-        np.divide(one, part, out=part)
-        gain = np.add.reduceat(part * now, begin[lo:hi] - e0, axis=1)
+        both = part + one
+        np.divide(part, both, out=part)
+        gain = np.empty((k + 1, e1 - e0), np.float32)
+        np.multiply(now, part, out=gain[:k])
+        np.log(both, out=gain[k])
+        gain = np.add.reduceat(gain, begin[lo:hi] - e0, axis=1)
+        coded[: hi - lo] -= gain[k]
+        gain = gain[:k]
         gain *= rate
         moved[:, : hi - lo] += gain
-    np.subtract(one, x, out=x)
-    per_unit = np.log10(np.multiply.reduceat(x, begin, dtype=np.float64)) if len(begin) else np.empty(0)
-    return np.bincount(text[lane], per_unit, minlength=len(s.offsets) - 1)
+    out = np.empty(len(text))
+    out[text] = coded / np.log(10)
+    return out
 
 
-def fit_weights(x: list[np.ndarray], seen: np.ndarray, y: np.ndarray, steps: int = 15) -> np.ndarray:
-    """Weights by gate that minimise the coding cost of the sample's decisions (Newton, small penalty)."""
+def fit_weights(x: list[np.ndarray], seen: np.ndarray, y: np.ndarray, times: np.ndarray | None = None, steps: int = 15) -> np.ndarray:
+    """Weights by gate that minimise the coding cost of decisions, each of which came so many ``times`` (Newton, small penalty)."""
     out = np.zeros((4, len(x)))
     for g in range(4):
         on = seen == g
         f = np.stack([a[on] for a in x], axis=1).astype(float)
+        m = np.ones(len(f)) if times is None else times[on].astype(float)
         w = np.full(len(x), 0.4)
         for _ in range(steps if on.any() else 0):
             p = 1 / (1 + np.exp(-np.clip(f @ w, -30, 30)))
-            grad = f.T @ (y[on] - p) - 1.0 * (w - 0.4)
-            hess = (f * (p * (1 - p))[:, None]).T @ f + np.eye(len(x))
+            grad = f.T @ (m * (y[on] - p)) - 1.0 * (w - 0.4)
+            hess = (f * (m * p * (1 - p))[:, None]).T @ f + np.eye(len(x))
             w = w + np.clip(np.linalg.solve(hess, grad), -1, 1)
         out[g] = w
     return out
 
 
-def byte_code(sample: list[str]):
-    """Huffman code of the sample's stream bytes, every byte value allowed for."""
+def byte_code(texts: list[str]):
+    """Huffman code of the texts' stream bytes, every byte value allowed for."""
     counts = np.ones(256, np.int64)
-    for block in blocks(pa.array(sample, pa.string()), BLOCK):
+    for block in blocks(pa.array(texts, pa.string()), BLOCK):
         counts += np.bincount(stream(block).data, minlength=256)
     return huffman(counts)
 
 
-def mixer(code, tables: list[np.ndarray], sample: list[str]) -> Mixer:
-    """The model from its tables, with weights fitted to the sample."""
+def mixer(code, tables: list[np.ndarray], texts: list[str]) -> Mixer:
+    """The model from its tables, with weights fitted to texts that the tables left out."""
     st, gate, y = [], [], []
-    for block in blocks(pa.array(sample, pa.string()), BLOCK):
+    for block in blocks(pa.array(texts, pa.string()), BLOCK):
         s = stream(block)
         n, entry = _entries(s.data, code)
         f, g = predictions(s, np.arange(len(s.data)), n, _node_hashes(code[2])[entry], tables)
@@ -387,33 +517,33 @@ def mixer(code, tables: list[np.ndarray], sample: list[str]) -> Mixer:
 def train(docs: DataFrame, mod: int, rest: int) -> tuple[Mixer, DataFrame, int, int]:
     """(mixer, token counts (key, n), number of training tokens, of distinct ones) from documents not in the held-out class."""
     bucket = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(mod))
-    learn = docs.where(bucket != rest).select(F.xxhash64("doc_id", text_or_empty()).alias("id"), text_or_empty().alias("text"))
-    sample = (
-        learn.where((F.pmod("id", F.lit(SAMPLE_SHARE)) == 0) & F.char_length("text").between(1, SAMPLE_CHARS))
-        .orderBy("id", "text")
-        .limit(SAMPLE_DOCS)
-        .toArrow()
-    )
-    texts = sample.column("text").to_pylist()
-    code = byte_code(texts)
+    learn = docs.where(bucket != rest).select(text_or_empty().alias("text"))
+    counts = written(learn.mapInArrow(_count_words, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")), "tokens")
+    tokens = counts.where(F.col("key") >= _TOKEN_END)
+    total = tokens.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
+    data = np.ones(256, np.int64)  # every byte value is allowed for
+    for r in counts.where(F.col("key") < _TOKEN_END).collect():
+        data[_BYTE - r["key"]] += r["n"]
+    code = huffman(data)
     pieces = (
-        learn.where(~F.col("id").isin(sample.column("id").to_pylist()))
-        .select("text")
-        .mapInArrow(_count_decisions(code), "kind int, piece int, blob binary")
+        learn.mapInArrow(_count_decisions(code), "kind int, piece int, blob binary")
         .repartition("kind", "piece")
         .sortWithinPartitions("kind", "piece")
-        .mapInArrow(_sum_pieces, "kind int, piece int, blob binary")
+        .mapInArrow(_sum_pieces, "kind int, piece int, blob binary, left_out binary")
         .toArrow()
     )
     tables = [np.full(1 << bits, _UNSEEN, np.int8) for bits in TABLE_BITS]
-    for kind, piece, blob in zip(*(pieces.column(i) for i in range(3)), strict=True):
+    left_out = [np.zeros(2 << bits, np.uint8) for bits in TABLE_BITS]
+    for kind, piece, blob, less in zip(*(pieces.column(i) for i in range(4)), strict=True):
         at = piece.as_py() * PIECE
         tables[kind.as_py()][at : at + PIECE] = np.frombuffer(blob.as_py(), np.int8)
-    tokens = written(
-        learn.select("text").mapInArrow(_count_words, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")), "tokens"
-    )
-    total = tokens.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
-    return mixer(code, tables, texts), tokens, int(total["n"] or 0), int(total["v"] or 0)
+        left_out[kind.as_py()][2 * at : 2 * (at + PIECE)] = np.frombuffer(less.as_py(), np.uint8)
+    del pieces
+    shared = docs.sparkSession.sparkContext.broadcast((code, left_out))
+    cells = learn.mapInArrow(_count_predictions(shared), "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    shared.unpersist()
+    weights = _weights_of_cells(cells.column("cell").to_numpy().astype(np.int64), cells.column("n").to_numpy())
+    return Mixer(code, tables, weights), tokens, int(total["n"] or 0), int(total["v"] or 0)
 
 
 def _of_like_length(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

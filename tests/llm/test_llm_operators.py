@@ -6,6 +6,7 @@ import hashlib
 import itertools
 import math
 import random
+import re
 import zlib
 from collections import Counter
 
@@ -437,6 +438,62 @@ def test_weights_move_through_the_whole_text():
         assert abs(got[t] / want - 1) < 1e-3
 
 
+def test_code_tables_and_weights_come_from_every_training_text(spark):
+    rng = np.random.default_rng(11)
+    vocabulary = ["Tea", "teapot", "a", "of", "über", "x9", "longer-word", "tea\ttime"]
+    rows = [(i, " ".join(rng.choice(vocabulary, 40))) for i in range(150)] + [(500, "rare " * 6), (501, "rare " * 6), (502, None), (None, "z" * 25_000)]
+    learned = [t for d, t in rows if zlib.crc32(("" if d is None else str(d)).encode()) % 7 != 2]
+    model, _, _, _ = lm_mixing.train(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), 7, 2)
+    code = lm_mixing.byte_code([t or "" for t in learned])
+    assert all(np.array_equal(a, b) for a, b in zip(model.code, code, strict=True))
+    # every decision of every training text, one after another: counts of both bits, then the prediction without that one
+    (block,) = lm_mixing.blocks(pa.array(learned, pa.string()), 1 << 30)
+    s = lm_mixing.stream(block)
+    n, entry = lm_mixing._entries(s.data, code)
+    node, y = lm_mixing._node_hashes(code[2])[entry], code[3][entry]
+    x = []
+    for table, context, bits in zip(model.tables, lm_mixing.contexts(s.keys), lm_mixing.TABLE_BITS, strict=True):
+        slot = np.repeat(context, n) ^ node
+        counts = np.zeros((1 << bits, 2), np.int64)
+        np.add.at(counts, (slot, y), 1)
+        assert np.array_equal(table, lm_mixing._stretch(counts[:, 0], counts[:, 1]))
+        less = counts[slot]
+        less[np.arange(len(y)), y] -= 1
+        x.append(lm_mixing._stretch(less[:, 0], less[:, 1]))
+    gate = (x[1] != lm_mixing._UNSEEN) + 2 * (x[2] != lm_mixing._UNSEEN)
+    x = [np.where(v == lm_mixing._UNSEEN, 0, np.rint(v / 5) * 5) / 8 for v in x]
+    assert np.allclose(model.weights, lm_mixing.fit_weights(x, gate, y), atol=1e-6)
+
+
+def test_streams_do_not_depend_on_the_scanned_parts():
+    texts = ["", " ", None, "  Two\t\nwords ", "x", "\n", LONG * 4, "ABC" * 20_000, "é b" * 30_000, ""]
+    want = []
+    for t in texts:  # word by word
+        out, keys, four, word = bytearray(), [], b"\n" * 4, b""
+        for b in b"".join(w + b" " for w in brute_stream_words(t)) + b"\n":
+            keys.append((four[::-1], word, b))
+            four, word = four[1:] + bytes([b]), (b"" if b == 32 else (word + bytes([b]))[:40])
+            out.append(b)
+        want.append((bytes(out), keys))
+    (block,) = lm_mixing.blocks(pa.array(texts, pa.string()), 1 << 30)
+    s = lm_mixing.stream(block)
+    prefixes = {}
+    for t, (out, keys) in enumerate(want):
+        at = slice(s.offsets[t], s.offsets[t + 1])
+        assert s.data[at].tobytes() == out
+        assert (s.keys[at].astype(np.uint8) == s.data[at]).all()
+        assert (s.keys[at] >> np.uint64(8)).astype(">u4").tobytes() == b"".join(k[0] for k in keys)
+        for k, h in zip(keys, (s.keys[at] >> np.uint64(40)).tolist(), strict=True):
+            if len(k[1]) < 40:
+                assert prefixes.setdefault(k[1], h) == h
+        assert s.first[t + 1] - s.first[t] == len(brute_stream_words(texts[t]))
+    assert len(set(prefixes.values())) > 0.99 * len(prefixes)
+
+
+def brute_stream_words(text):
+    return [w.translate(bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))) for w in re.split(rb"[\x20\x09-\x0D]+", (text or "").encode()) if w]
+
+
 def test_lm_empty_table(spark, empty):
     assert lm_mixing.score(empty).count() == 0
 
