@@ -37,19 +37,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import text_or_empty, written
-from .wordscan import _BASE, _INV, FOLD, IS_SPACE, Block, blocks, doc_of, mixed, powers, span_hashes
+from .wordscan import _INV, FOLD, IS_SPACE, Block, blocks, doc_of, powers, running_hash, span_hashes
 
 #: Bytes of a text between two moves of its weights.
 STRIDE = 4
 #: Bytes of texts scored together, and scanned together.
-BLOCK, SCAN_BLOCK = 3 << 20, 128 << 10
+BLOCK, SCAN_BLOCK = 3 << 20, 64 << 10
 #: Stream bytes whose equal contexts are counted together, and bytes (of those or of the scored) whose decisions are looked up together.
-TALLY, LOOKUP = 2 << 20, 8 << 10
+TALLY, LOOKUP = 2 << 20, 16 << 10
 #: Slots (as a power of 2) of each predictor's table: last two bytes, last four, the word's beginning.
 TABLE_BITS = (20, 22, 23)
 #: Slots summed in one piece.
 PIECE = 1 << 16
 HEAD_WORDS = 500_000
+#: Leading bits of a frequent word's key that are looked up at once.
+HEAD_BITS = 19
 RATE = 0.005
 _UNSEEN = -128
 #: The mixture's log odds stay within this (the sure and the unlikely bit both keep float32 precision).
@@ -64,6 +66,11 @@ _BYTE = -2  # stream byte b has the key _BYTE - b
 _STREAMED = np.where(IS_SPACE, np.uint8(_SPACE), FOLD)
 
 
+def _translated(data: np.ndarray, by: np.ndarray) -> np.ndarray:
+    """by[data], for bytes."""
+    return np.frombuffer(data.tobytes().translate(by.tobytes()), np.uint8)
+
+
 # ---------------------------------------------------------------- streams and contexts
 
 
@@ -83,25 +90,23 @@ class Stream:
     first: np.ndarray
 
 
-def _joined(parts: list[Stream]) -> Stream:
-    def ends(name: str) -> np.ndarray:
-        own = [getattr(p, name) for p in parts]
-        shift = np.cumsum([0] + [o[-1] for o in own[:-1]])
-        return np.concatenate([own[0][:1]] + [o[1:] + b for o, b in zip(own, shift, strict=True)])
-
-    def rest(name: str) -> np.ndarray:
-        return np.concatenate([getattr(p, name) for p in parts])
-
-    return Stream(rest("data"), ends("offsets"), rest("keys"), rest("words"), ends("first"))
-
-
 def stream(block: Block) -> Stream:
     """The block's streams; a large block is scanned in parts, whose working arrays stay in the processor's cache."""
     if len(block.data) > SCAN_BLOCK and block.rows > 1:
         cut = np.unique(np.searchsorted(block.offsets, np.arange(0, len(block.data), SCAN_BLOCK)))
         cut = np.unique(np.append(cut, [0, block.rows]))
-        at = block.offsets
-        return _joined([_stream(Block(a, block.data[at[a] : at[b]], at[a : b + 1] - at[a])) for a, b in zip(cut[:-1], cut[1:], strict=True)])
+        at, end = block.offsets, 0
+        # a stream has no more than two bytes more than its text
+        data, keys = (np.empty(len(block.data) + 2 * block.rows, t) for t in (np.uint8, np.uint64))
+        offsets, words, first = [np.zeros(1, np.int64)], [], [np.zeros(1, np.int64)]
+        for a, b in zip(cut[:-1], cut[1:], strict=True):
+            p = _stream(Block(a, block.data[at[a] : at[b]], at[a : b + 1] - at[a]))
+            data[end : end + len(p.data)], keys[end : end + len(p.data)] = p.data, p.keys
+            offsets.append(p.offsets[1:] + end)
+            first.append(p.first[1:] + first[-1][-1])
+            words.append(p.words)
+            end += len(p.data)
+        return Stream(data[:end], np.concatenate(offsets), keys[:end], np.concatenate(words), np.concatenate(first))
     return _stream(block)
 
 
@@ -111,7 +116,7 @@ def _stream(block: Block, words: bool = True) -> Stream:
     body = np.ones(len(raw), bool)
     end = block.offsets[1:] + 2 * np.arange(1, rows + 1) - 1
     body[end] = body[end - 1] = False
-    raw[body] = _STREAMED[block.data]
+    raw[body] = _translated(block.data, _STREAMED)
     raw[end], raw[end - 1] = _END, _SPACE
     # a space after a space or at a text's begin is left out: one is left after each word
     space = raw == _SPACE
@@ -133,16 +138,16 @@ def _stream(block: Block, words: bool = True) -> Stream:
     after = np.flatnonzero((out == _SPACE) | (out == _END)) + 1
     start = np.append(0, after[:-1])
     length = after - start
-    c = np.zeros(total + 1, np.uint64)
-    np.cumsum((out.astype(np.uint64) + np.uint64(1)) * powers(_BASE, total), out=c[1:])
-    prefix = c[:-1] - np.repeat(c[start], length)
-    prefix *= np.repeat(powers(_INV, total)[start], length)
+    c = running_hash(out)
+    begun = np.repeat(start, length)
+    prefix = c[:-1] - c.take(begun)
+    prefix *= powers(_INV, total).take(begun)
     prefix *= np.uint64(0x9E3779B97F4A7C15)
     prefix &= np.uint64(0xFFFFFF << 40)
     prefix |= four.astype(np.uint64) << np.uint64(8)
     prefix |= out
     start, end = start[length > 1], after[length > 1] - 1
-    hashes = span_hashes(out, start, end) & np.uint64((1 << 63) - 1) if words else np.empty(0, np.uint64)
+    hashes = span_hashes(out, start, end, running=c) & np.uint64((1 << 63) - 1) if words else np.empty(0, np.uint64)
     return Stream(out, offsets, prefix, hashes, np.searchsorted(start, offsets))
 
 
@@ -176,26 +181,38 @@ def _owners(n: np.ndarray) -> np.ndarray:
     return np.repeat(np.arange(len(n)), n)
 
 
-def _entries(symbols: np.ndarray, code) -> tuple[np.ndarray, np.ndarray]:
-    """Number of decisions of each byte, and the code entry of every decision."""
+def _owned(symbols: np.ndarray, code) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Number of decisions of each byte, the byte that owns each decision, and its code entry."""
     first, size, _, _ = code
     n = size.take(symbols)
-    entry = (first.take(symbols) - np.cumsum(n) + n).take(_owners(n))
+    owner = _owners(n)
+    entry = (first.take(symbols) - np.cumsum(n) + n).take(owner)
     entry += np.arange(len(entry))
+    return n, owner, entry
+
+
+def _entries(symbols: np.ndarray, code) -> tuple[np.ndarray, np.ndarray]:
+    """Number of decisions of each byte, and the code entry of every decision."""
+    n, _, entry = _owned(symbols, code)
     return n, entry
 
 
 def _tallied(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(key of a byte in its contexts, how often) of some MB of streams each; every occurrence is in one of them."""
-    held: list[np.ndarray] = []
+    held, size = np.empty(TALLY, np.uint64), 0
     for batch in batches:
         for block in blocks(batch.column("text"), SCAN_BLOCK):
-            held.append(_stream(block, words=False).keys)
-            if sum(map(len, held)) > TALLY:
-                yield np.unique(np.concatenate(held), return_counts=True)
-                held.clear()
-    if held:
-        yield np.unique(np.concatenate(held), return_counts=True)
+            keys = _stream(block, words=False).keys
+            if size + len(keys) > TALLY:
+                yield np.unique(held[:size], return_counts=True)
+                size = 0
+            if len(keys) > TALLY:
+                yield np.unique(keys, return_counts=True)
+            else:
+                held[size : size + len(keys)] = keys
+                size += len(keys)
+    if size:
+        yield np.unique(held[:size], return_counts=True)
 
 
 def _decided(batches: Iterator[pa.RecordBatch], code) -> Iterator[tuple[list[np.ndarray], np.ndarray]]:
@@ -205,8 +222,8 @@ def _decided(batches: Iterator[pa.RecordBatch], code) -> Iterator[tuple[list[np.
     for keys, times in _tallied(batches):
         for b in range(0, len(keys), LOOKUP):
             part = keys[b : b + LOOKUP]
-            n, entry = _entries(part.astype(np.uint8), code)
-            owner, h, y = _owners(n), hashed.take(entry), up.take(entry)
+            _, owner, entry = _owned(part.astype(np.uint8), code)
+            h, y = hashed.take(entry), up.take(entry)
             yield [slots(c, owner, h) << 1 | y for c in contexts(part)], times[b : b + LOOKUP].take(owner)
 
 
@@ -319,7 +336,7 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for block in blocks(batch.column("text"), SCAN_BLOCK):
             starts, ends, _ = block.words()
-            folded = FOLD[block.data]
+            folded = _translated(block.data, FOLD)
             words = span_hashes(folded, starts, ends) & np.uint64((1 << 63) - 1)
             held += [words.view(np.int64), np.full(block.rows, _TOKEN_END)]
             own = np.bincount(folded, minlength=256)
@@ -375,8 +392,8 @@ def _stretch(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
 def _events(s: Stream, code):
     """All bytes in the order (step of ``STRIDE`` bytes, text, byte).
 
-    Returns the position of each byte, its number of decisions; the number of decisions of each unit (step, text), its lane
-    and the first unit of each step; and each lane's text, longest first.
+    Returns the position of each byte and the first byte of each step; the number of decisions of each unit (step, text) and
+    the first unit of each step; and the text of each lane, longest first. The steps' firsts have one more entry.
     """
     length = np.diff(s.offsets)
     text = np.argsort(-length, kind="stable")
@@ -390,14 +407,14 @@ def _events(s: Stream, code):
     first = np.cumsum(size) - size
     pos = np.repeat((begin[lane] + offset - first).astype(np.int32), size)
     pos += np.arange(len(pos), dtype=np.int32)
-    n = code[1].astype(np.uint8).take(s.data.take(pos))
+    n = _translated(s.data, code[1].astype(np.uint8)).take(pos)
     in_unit = np.add.reduceat(n, first, dtype=np.intp) if len(first) else n.astype(np.intp)
-    return pos, n, in_unit, lane, at, text
+    return pos, np.append(first, len(pos))[at], in_unit, at, text
 
 
-def _in_steps(keys: np.ndarray, n: np.ndarray, node_hash: np.ndarray, tables: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
+def _in_steps(keys: np.ndarray, owner: np.ndarray, node_hash: np.ndarray, tables: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
     """Stretched probability in steps by each predictor (0 where unseen), and the gate: which of the two sparse contexts was seen."""
-    out, gate, owner = [], np.zeros(len(node_hash), np.uint8), _owners(n)
+    out, gate = [], np.zeros(len(node_hash), np.uint8)
     for kind, (table, context) in enumerate(zip(tables, contexts(keys), strict=True)):
         raw = table.take(slots(context, owner, node_hash), mode="clip")  # a slot is always inside its table
         seen = raw != _UNSEEN
@@ -410,54 +427,60 @@ def _in_steps(keys: np.ndarray, n: np.ndarray, node_hash: np.ndarray, tables: li
 
 def predictions(s: Stream, pos: np.ndarray, n: np.ndarray, node_hash: np.ndarray, tables: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
     """Stretched probability by each predictor (0 where unseen), and the gate."""
-    steps, gate = _in_steps(s.keys[pos], n, node_hash, tables)
+    steps, gate = _in_steps(s.keys[pos], _owners(n), node_hash, tables)
     return [v * _STEP for v in steps], gate
 
 
-def _mixed(s: Stream, pos: np.ndarray, n: np.ndarray, model: Mixer) -> tuple[np.ndarray, np.ndarray]:
+def _mixed(s: Stream, pos: np.ndarray, model: Mixer) -> tuple[np.ndarray, np.ndarray]:
     """Of each decision the predictors' stretched probabilities in steps (predictor, decision) and their mixture by the
-    trained weights, both signed so that positive speaks for the coded bit. Made piece by piece, which bounds the working
-    arrays; what stays are bytes."""
+    trained weights, both signed so that positive speaks for the coded bit. Many are made piece by piece, which bounds the
+    working arrays."""
     _, _, node, bit = model.code
     hashed, sign = _node_hashes(node), np.where(bit, 1, -1).astype(np.int8)
     weights = np.ascontiguousarray(model.weights.T, np.float32) * _STEP
-    total, end = int(n.sum(dtype=np.int64)), 0
-    f, x = np.empty((len(model.tables), total), np.int8), np.zeros(total, np.float32)
+    parts = []
     for b in range(0, len(pos), LOOKUP):
         keys = s.keys.take(pos[b : b + LOOKUP])
-        own, entry = _entries(keys.astype(np.uint8), model.code)
-        on = slice(end, end := end + len(entry))
-        st, gate = _in_steps(keys, own, hashed.take(entry), model.tables)
+        _, owner, entry = _owned(keys.astype(np.uint8), model.code)
+        st, gate = _in_steps(keys, owner, hashed.take(entry), model.tables)
         coded = sign.take(entry)
         gate = gate.astype(np.intp)
+        f, x = np.empty((len(st), len(entry)), np.float32), np.zeros(len(entry), np.float32)
         for kept, w, v in zip(f, weights, st, strict=True):
-            np.multiply(v, coded, out=kept[on])
+            np.multiply(v, coded, out=v)
+            kept[:] = v
             gain = w.take(gate, mode="clip")
-            gain *= kept[on].astype(np.float32)
-            x[on] += gain
-    return f, x
+            gain *= kept
+            x += gain
+        parts.append((f, x))
+    return parts[0] if len(parts) == 1 else (np.concatenate([f for f, _ in parts], axis=1), np.concatenate([x for _, x in parts]))
 
 
 def log10_probabilities(s: Stream, model: Mixer, rate: float = RATE) -> np.ndarray:
     """log10 of the model's probability of each text's stream."""
-    pos, n, in_unit, _, at, text = _events(s, model.code)
-    f, x = _mixed(s, pos, n, model)
+    pos, first, in_unit, at, text = _events(s, model.code)
     begin = np.cumsum(in_unit) - in_unit
-    k = len(f)
+    k = len(model.tables)
     moved, coded = np.zeros((k, len(text)), np.float32), np.zeros(len(text))
     one, rate = np.float32(1), np.float32(rate)
     rate *= _STEP * _STEP  # the weights' moves are kept per step of the predictors
-    bounds = np.append(begin, len(x))[at].tolist()
+    bounds = np.append(begin, in_unit.sum())[at].tolist()
     at = at.tolist()
-    np.negative(x, out=x)
-    del pos, n
+    ready = 0  # steps whose predictions are looked up: as many at once as have about LOOKUP bytes
     for t in range(len(at) - 1):
+        if t == ready:
+            ready = max(t + 1, int(np.searchsorted(first, first[t] + LOOKUP, "right")) - 1)
+            f, x = _mixed(s, pos[first[t] : first[ready]], model)
+            np.negative(x, out=x)
+            base = bounds[t]
         lo, hi, e0, e1 = at[t], at[t + 1], bounds[t], bounds[t + 1]
-        now, part = f[:, e0:e1].astype(np.float32), x[e0:e1]
+        now, part = f[:, e0 - base : e1 - base], x[e0 - base : e1 - base]
         if t:
             shift = moved[:, : hi - lo].repeat(in_unit[lo:hi], axis=1)
             shift *= now
-            part -= np.add.reduce(shift, axis=0)
+            for more in shift[1:]:
+                shift[0] += more
+            part -= shift[0]
         # part turns from the other bit's log odds into its odds; both bits' odds over one give the coding error and its cost
         np.minimum(part, _BOUND, out=part)
         np.maximum(part, -_BOUND, out=part)
@@ -562,21 +585,38 @@ def _of_like_length(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             yield batch.take(pa.array(rows))
 
 
+class Head:
+    """The most frequent words' keys in order, found from the first one of the same leading bits on (the keys are hashes: few share them)."""
+
+    def __init__(self, keys: np.ndarray):
+        self.size = len(keys)
+        self.keys = np.append(keys, np.iinfo(np.int64).max)
+        begin = np.cumsum(np.bincount(keys >> 63 - HEAD_BITS, minlength=1 << HEAD_BITS))
+        self.begin = np.append(0, begin[:-1]).astype(np.int32)
+
+    def places(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Each word's place among the keys, and whether it is one of them."""
+        place = self.begin.take(words >> 63 - HEAD_BITS).astype(np.intp)
+        before = np.flatnonzero(self.keys.take(place) < words)
+        while len(before):
+            place[before] += 1
+            before = before[self.keys.take(place[before]) < words[before]]
+        return place, (self.keys.take(place) == words) & (place < self.size)
+
+
 def _score(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, head_key, head_n, total, distinct = shared.value
         model = Mixer(model.code, _in_own_memory(model.tables), model.weights)
+        head, head_log = Head(head_key), np.log10((head_n + 1) / (total + distinct + 1))
         for batch in _of_like_length(batches):
             for block in blocks(batch.column("text"), BLOCK):
                 s = stream(block)
                 row = doc_of(s.first)
                 word = s.words.view(np.int64)
-                place = np.minimum(np.searchsorted(head_key, word), max(len(head_key) - 1, 0))
-                hit = head_key[place] == word if len(head_key) else np.zeros(len(word), bool)
-                logs = np.zeros(block.rows)
-                known = np.zeros(block.rows, np.int64)
-                np.add.at(logs, row[hit], np.log10((head_n[place[hit]] + 1) / (total + distinct + 1)))
-                np.add.at(known, row[hit], 1)
+                place, hit = head.places(word)
+                logs = np.bincount(row[hit], head_log[place[hit]], block.rows).astype(float)  # of no words they are integers
+                known = np.bincount(row[hit], minlength=block.rows)
                 tail = np.flatnonzero(~hit)
                 cut = np.searchsorted(row[tail], np.arange(block.rows + 1)).astype(np.int32)
                 take = pa.array(np.arange(block.first_row, block.first_row + block.rows))

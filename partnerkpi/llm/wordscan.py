@@ -50,11 +50,17 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h
 
 
-def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base=_BASE, inv=_INV) -> np.ndarray:
-    """Hash of values[s:e] for each span, independent of the span's place."""
+def running_hash(values: np.ndarray, base=_BASE) -> np.ndarray:
+    """Sum over the values before each place, and over all, that the hashes of spans are differences of."""
     c = np.empty(len(values) + 1, np.uint64)
     c[0] = 0
     np.cumsum((values.astype(np.uint64) + np.uint64(1)) * powers(base, len(values)), out=c[1:])
+    return c
+
+
+def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base=_BASE, inv=_INV, running=None) -> np.ndarray:
+    """Hash of values[s:e] for each span, independent of the span's place; ``running``: their ``running_hash``, if at hand."""
+    c = running_hash(values, base) if running is None else running
     h = c[ends]
     h -= c[starts]
     h *= powers(inv, len(values) + 1)[starts]

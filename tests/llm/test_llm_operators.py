@@ -490,6 +490,42 @@ def test_streams_do_not_depend_on_the_scanned_parts():
     assert len(set(prefixes.values())) > 0.99 * len(prefixes)
 
 
+def test_predictions_are_looked_up_and_frequent_words_found_a_few_at_a_time(monkeypatch):
+    rng = np.random.default_rng(5)
+    words = rng.integers(0, 1 << 63, 5000)
+    words[:600] = words[0] + np.arange(600)  # many of the same leading bits
+    keys = np.sort(words[::2])
+    head = lm_mixing.Head(keys)
+    place, hit = head.places(words)
+    assert np.array_equal(place, np.searchsorted(keys, words)) and np.array_equal(hit, np.isin(words, keys))
+    assert not lm_mixing.Head(keys[:0]).places(np.append(words, np.iinfo(np.int64).max))[1].any()
+    assert np.array_equal(lm_mixing._translated(words.view(np.uint8), lm_mixing.FOLD), lm_mixing.FOLD[words.view(np.uint8)])
+    # no more than LOOKUP bytes' predictions are held at once, and the scores are those of looking up all at once
+    code = lm_mixing.byte_code([LONG[:3000]])
+    tables = [rng.integers(-20, 21, 1 << b).astype(np.int8) for b in lm_mixing.TABLE_BITS]
+    model = lm_mixing.Mixer(code, tables, rng.random((4, 3)))
+    (block,) = lm_mixing.blocks(pa.array([LONG[:2500], "short", None, "again and " * 300, *["x y"] * 50]), 1 << 30)
+    s, held, mix = lm_mixing.stream(block), [], lm_mixing._mixed
+    monkeypatch.setattr(lm_mixing, "_mixed", lambda s, pos, model: held.append(len(pos)) or mix(s, pos, model))
+    scores = []
+    for at_once in (1 << 20, 500, 64, 1):
+        monkeypatch.setattr(lm_mixing, "LOOKUP", at_once)
+        held.clear()
+        scores.append(lm_mixing.log10_probabilities(s, model))
+        assert sum(held) == len(s.data) and max(held) <= max(at_once, lm_mixing.STRIDE * block.rows)
+    assert all(np.array_equal(scores[0], x) for x in scores[1:])
+    # tallies hold every byte once, however they are cut
+    batch = pa.RecordBatch.from_arrays([pa.array([LONG, "", None, "x " * 400, "Tea"])], names=["text"])
+    (block,) = lm_mixing.blocks(batch.column("text"), 1 << 30)
+    want = Counter(lm_mixing.stream(block).keys.tolist())
+    for tally in (1 << 20, 900, 7):
+        monkeypatch.setattr(lm_mixing, "TALLY", tally)
+        got = Counter()
+        for keys, times in lm_mixing._tallied(iter([batch, batch.slice(3)])):
+            got.update(dict(zip(keys.tolist(), times.tolist(), strict=True)))
+        assert got - want == Counter(lm_mixing.stream(next(lm_mixing.blocks(batch.slice(3).column("text"), 1 << 30))).keys.tolist())
+
+
 def brute_stream_words(text):
     return [w.translate(bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))) for w in re.split(rb"[\x20\x09-\x0D]+", (text or "").encode()) if w]
 
